@@ -1,0 +1,6 @@
+"""Names of the engine's queries, their builders and their SQL statements."""
+
+from __future__ import annotations
+
+QUERIES: dict = {}
+ORACLES: dict = {}
