@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash
+from . import chat, importance, media, mixing, sharding, simhash, suffix, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,32 @@ def op1_mixing(spark, sf_dir):
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix(spark, sf_dir):
+    return suffix.removals(_table(spark, sf_dir, "documents"))
+
+
+def op4_media(spark, sf_dir):
+    return media.digests(media.store_media(_table(spark, sf_dir, "documents")))
+
+
+def op6_sharding(spark, sf_dir):
+    return sharding.shard(_table(spark, sf_dir, "documents"))
+
+
+def op7_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op8_importance(spark, sf_dir):
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_chat(spark, sf_dir):
+    return chat.rotate(_table(spark, sf_dir, "conversations"))
+
+
 def op9_simhash(spark, sf_dir):
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), width=4, budget=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -23,6 +49,12 @@ def op9_simhash(spark, sf_dir):
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_suffix": op3_suffix,
+    "op4_media": op4_media,
+    "op6_sharding": op6_sharding,
+    "op7_token_counts": op7_token_counts,
+    "op8_importance": op8_importance,
     "op9_simhash": op9_simhash,
+    "op10_chat": op10_chat,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_sharding": sharding.oracle(), "op10_chat": chat.ORACLE}
