@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, importance, media, mixing, sharding, simhash, suffix, token_counts
+from . import chat, importance, media, mixing, packing, sharding, simhash, suffix, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,12 @@ def op1_mixing(spark, sf_dir):
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op2_packing(spark, sf_dir):
+    import public_tokenizers
+
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_suffix(spark, sf_dir):
     return suffix.removals(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +55,7 @@ def op9_simhash(spark, sf_dir):
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_packing": op2_packing,
     "op3_suffix": op3_suffix,
     "op4_media": op4_media,
     "op6_sharding": op6_sharding,
