@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, importance, media, mixing, packing, sharding, simhash, suffix, token_counts
+from . import chat, descent, importance, media, mixing, packing, sharding, simhash, suffix, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_media(spark, sf_dir):
     return media.digests(media.store_media(_table(spark, sf_dir, "documents")))
 
 
+def op5_descent(spark, sf_dir):
+    return descent.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op6_sharding(spark, sf_dir):
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_suffix": op3_suffix,
     "op4_media": op4_media,
+    "op5_descent": op5_descent,
     "op6_sharding": op6_sharding,
     "op7_token_counts": op7_token_counts,
     "op8_importance": op8_importance,
