@@ -144,17 +144,17 @@ def fit(docs: DataFrame, labels: DataFrame, store: Store, max_labels: int = MAX_
 
 
 def score(docs: DataFrame, model: Model, seed: int = 11) -> DataFrame:
-    """Rows (doc_id, n_features, log_weight, key); key is null without features."""
+    """Rows (doc_id, digest, n_features, log_weight, key); digest is of the text, key is null without features."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = shared.value
         for batch in batches:
             found = [features(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_features": [len(f) for f in found], "log_weight": [m.weight(f) if m.known else 1.0 * bool(len(f)) for f in found]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": batch["digest"], "n_features": [len(f) for f in found], "log_weight": [m.weight(f) if m.known else 1.0 * bool(len(f)) for f in found]})
 
-    schema = docs.select("doc_id").schema.add("n_features", "long").add("log_weight", "double")
-    rows = docs.select("doc_id", "text").mapInPandas(run, schema)
+    schema = docs.select("doc_id").schema.add("digest", "long").add("n_features", "long").add("log_weight", "double")
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("digest")).mapInPandas(run, schema)
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
     return rows.withColumn("key", F.when(F.col("n_features") > 0, F.col("log_weight") - F.log(-F.log(uniform))))
 
@@ -184,10 +184,16 @@ def kth_largest(rows: DataFrame, column: str, k: int, few: int = 4096) -> float
 
 
 def resample(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, seed: int = 11) -> DataFrame:
-    """One row per document: doc_id, n_features, log_weight, kept."""
+    """One row per document: doc_id, digest, n_features, log_weight, kept."""
     store = Store(docs.sparkSession, "importance")
     rows = store.save(score(docs, fit(docs, labels, store, max_labels), seed))
     k = rows.filter((F.col("n_features") > 0) & (F.col("log_weight") > LEVEL)).count()
     cut = kth_largest(rows.filter("key IS NOT NULL"), "key", k)
     kept = F.lit(False) if cut is None else F.coalesce(F.col("key") >= F.lit(cut), F.lit(False))
-    return rows.select("doc_id", "n_features", "log_weight", kept.alias("kept"))
+    return rows.select("doc_id", "digest", "n_features", "log_weight", kept.alias("kept"))
+
+
+def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents, all columns, that the sample holds."""
+    kept = resample(docs, labels).filter("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest")), "left_semi")

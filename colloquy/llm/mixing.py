@@ -115,7 +115,7 @@ def mix(docs: DataFrame, weights=(1, 2, 3), share: float = 1.0, max_repeat: int
         sized.alias("d")
         .join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
         .select("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", F.col("t.n_docs").alias("n"), rate.alias("rate"))
-        .withColumn("copies", F.floor("rate").cast("long"))
+        .withColumn("copies", F.when(F.col("size") > 0, F.floor("rate")).otherwise(F.lit(0)).cast("long"))
         .withColumn("mass", (F.col("rate") - F.floor("rate")) * F.col("size"))
         .drop("rate")
     )

@@ -45,7 +45,8 @@ def op7_token_counts(spark, sf_dir):
 
 
 def op8_importance(spark, sf_dir):
-    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    found = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_features", "log_weight", "kept")
 
 
 def op10_chat(spark, sf_dir):
@@ -57,6 +58,12 @@ def op9_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -68,5 +75,6 @@ QUERIES = {
     "op8_importance": op8_importance,
     "op9_simhash": op9_simhash,
     "op10_chat": op10_chat,
+    "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {"op6_sharding": sharding.oracle(), "op10_chat": chat.ORACLE}

@@ -26,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -59,15 +59,15 @@ def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42) -> DataFrame:
-    """Rows (doc_id, fp), fp being the signed 64-bit fingerprint."""
+    """Rows (doc_id, digest, fp): a digest of the text, and the signed 64-bit fingerprint."""
 
     def run(batches):
         for batch in batches:
             values = np.fromiter((fingerprint(t, width, seed) for t in batch["text"]), np.uint64, len(batch))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": values.view(np.int64)})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": batch["digest"], "fp": values.view(np.int64)})
 
-    schema = docs.select("doc_id").schema.add("fp", "long")
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    schema = docs.select("doc_id").schema.add("digest", "long").add("fp", "long")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("digest")).mapInPandas(run, schema)
 
 
 def block_plan(n: int, budget: int, target: int = 2048) -> list[list[tuple[int, int]]]:
@@ -210,7 +210,7 @@ def trie_links(classes: DataFrame, budget: int, cell: int = 2048) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, seed: int = 42) -> DataFrame:
-    """One row per document: doc_id, fp (signed), component_id (smallest doc_id reachable by links)."""
+    """One row per document: doc_id, digest, fp (signed), component_id (smallest doc_id reachable by links)."""
     store = Store(docs.sparkSession, "simhash")
     rows = store.save(fingerprints(docs, width, seed))
     classes = store.save(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
@@ -220,4 +220,15 @@ def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, seed: int
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = store.save(rooted.join(least, "root").select("fp", "component_id"))
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(named, "fp").select("doc_id", "digest", "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, width: int = 4, budget: int = 4) -> DataFrame:
+    """One document of each component, all columns: that with its smallest doc_id."""
+    found = near_duplicates(docs, width, budget)
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # Rows that share the doc_id may differ in text: one of them stays.
+    first = first.groupBy(F.col("doc_id").alias("_id")).agg(F.min("digest").alias("_digest"))
+    rows = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest")))
+    once = F.row_number().over(Window.partitionBy("_id", "_digest").orderBy(F.lit(0)))
+    return rows.withColumn("_n", once).filter("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
