@@ -2,5 +2,355 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..functions import meta, policy, text, tokens
+from ..operators import chunk, increment, index, route, search, segment, speakers, summarize
+from ..sources import writers
+from . import stand_ins as S
+from .oracles import ORACLES
+
 QUERIES: dict = {}
-ORACLES: dict = {}
+
+
+def query(f):
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _documents(expr, name: str):
+    """A query that adds one column to documents."""
+
+    def run(spark, sf_dir) -> DataFrame:
+        return S.documents(spark, sf_dir).select("doc_id", expr(F.col("text")).alias(name))
+
+    return run
+
+
+def _exploded(expr, name: str):
+    """A query of the elements of one array of each document."""
+
+    def run(spark, sf_dir) -> DataFrame:
+        return S.documents(spark, sf_dir).select("doc_id", F.posexplode(expr(F.col("text"))).alias("i", name))
+
+    return run
+
+
+QUERIES |= {
+    "token_estimate": _documents(tokens.estimate, "tokens"),
+    "ws_normalize": _documents(text.normalize_whitespace, "clean"),
+    "quotes_dashes": _documents(text.plain_quotes, "clean"),
+    "punct_spacing": _documents(text.punctuation_spacing, "clean"),
+    "collapse_repeats": _documents(text.collapse_repeats, "clean"),
+    "replacements": _documents(lambda t: text.replace_terms(t, S.TERMS), "clean"),
+    "deep_clean": _documents(text.deep_clean, "clean"),
+    "normalize_patterns": _documents(text.normalize_patterns, "clean"),
+    "sentences_loose": _exploded(segment.sentences_loose, "sentence"),
+    "sentences_strict": _exploded(segment.sentences_strict, "sentence"),
+    "merge_fragments": _exploded(lambda t: segment.merge_fragments(segment.sentences_strict(t)), "line"),
+    "word_chunks": _exploded(lambda t: chunk.word_chunks(t, 200), "chunk"),
+    "sentence_chunks": _exploded(lambda t: chunk.sentence_chunks(t, 200), "chunk"),
+    "density_chunks": _exploded(lambda t: chunk.density_chunks(t, 200, S.KEYWORDS, 3), "chunk"),
+    "index_chunks": _exploded(chunk.index_chunks, "chunk"),
+    "snippets": _documents(lambda t: text.snippet(t, S.QUERY), "snippet"),
+    "density_count": _documents(lambda t: chunk.keyword_hits(t, S.KEYWORDS), "hits"),
+    "output_budget": _documents(lambda t: tokens.output_budget(F.lit(8192), tokens.estimate(t)), "budget"),
+}
+
+
+@query
+def text_stats(spark, sf_dir):
+    t = F.col("text")
+    return S.documents(spark, sf_dir).select("doc_id", text.word_count(t).alias("words"), text.read_minutes(t).alias("minutes"), text.dollar_signs(t).alias("dollars"))
+
+
+@query
+def normalized_transcripts(spark, sf_dir):
+    """The whole normalization stage: cleanup, replacements, sentences, fragments, lines."""
+    t = text.replace_terms(text.normalize_patterns(text.normalize_whitespace(F.col("text"))), S.TERMS)
+    return S.documents(spark, sf_dir).select("doc_id", writers.sentence_lines(segment.merge_fragments(segment.sentences_strict(t))).alias("lines"))
+
+
+def _consolidated(window: float, least: int):
+    def run(spark, sf_dir):
+        rows = S.cues(spark, sf_dir).select("doc", F.posexplode(segment.consolidate(F.col("cues"), window, least)).alias("i", "s"))
+        return rows.select("doc", "i", "s.*")
+
+    return run
+
+
+QUERIES["consolidate_turns"] = _consolidated(90.0, 1)
+QUERIES["consolidate_long"] = _consolidated(40.0, 15)
+
+
+@query
+def caption_round_trip(spark, sf_dir):
+    """Cues written as WebVTT and parsed again."""
+    rows = S.cues(spark, sf_dir).select("doc", segment.parse_vtt(writers.vtt_text(F.col("cues"))).alias("cues"))
+    return rows.select("doc", F.posexplode("cues").alias("i", "c")).select("doc", "i", "c.*")
+
+
+@query
+def stitched(spark, sf_dir):
+    turns = S.table(spark, sf_dir, "conversations")
+    start = (F.col("turn") % 2) * 30.0
+    rows = turns.select(F.col("conv_id").alias("doc"), F.floor(F.col("turn") / 2).alias("chunk"), (F.col("turn") % 2).alias("idx"), start.alias("start"), (start + F.length("text") % 30).alias("end"), "text")
+    return segment.stitch(rows).drop("text")
+
+
+@query
+def speaker_islands(spark, sf_dir):
+    turns = S.table(spark, sf_dir, "conversations")
+    whole, own = Window.partitionBy("conv_id").orderBy("turn"), Window.partitionBy("conv_id", "role").orderBy("turn")
+    rows = turns.withColumn("_g", F.row_number().over(whole) - F.row_number().over(own))
+    return rows.groupBy("conv_id", "role", "_g").agg(F.min("turn").alias("first_turn"), F.max("turn").alias("last_turn"), F.count(F.lit(1)).alias("turns")).drop("_g")
+
+
+def _files(spark, sf_dir):
+    return S.documents(spark, sf_dir).select("doc_id", F.expr(S.FILE_NAME).alias("name"))
+
+
+@query
+def doc_type_tag(spark, sf_dir):
+    return _files(spark, sf_dir).select("doc_id", meta.document_type(F.col("name")).alias("type"))
+
+
+@query
+def doc_date(spark, sf_dir):
+    return _files(spark, sf_dir).select("doc_id", meta.file_date(F.col("name")).alias("date"))
+
+
+@query
+def file_ids(spark, sf_dir):
+    files = _files(spark, sf_dir)
+    ids = files.filter("doc_id % 2 = 0").select(F.lower(F.substring("name", 1, 11)).alias("lower_id"), F.upper(F.substring("name", 1, 11)).alias("real_id")).distinct()
+    return index.file_metadata(files, "raw_transcript", ids, "name").select("doc_id", "video_id", "video_url")
+
+
+@query
+def file_labels(spark, sf_dir):
+    label, date = meta.label_and_date(F.col("name"))
+    return _files(spark, sf_dir).select("doc_id", label.alias("label"), date.alias("date"))
+
+
+@query
+def prompt_contexts(spark, sf_dir):
+    return _files(spark, sf_dir).select("doc_id", meta.prompt_context(F.col("name")).alias("context"))
+
+
+@query
+def url_parts(spark, sf_dir):
+    return S.table(spark, sf_dir, "pages").select("page_id", policy.host_of(F.col("url")).alias("host"), meta.placeholder_id(F.col("url")).alias("page_key"))
+
+
+@query
+def placeholder_id(spark, sf_dir):
+    name = F.concat_ws("_", "source", F.col("doc_id").cast("string"))
+    return S.documents(spark, sf_dir).select("doc_id", meta.placeholder_id(name).alias("video_id"), meta.segment_id(F.col("source"), F.col("doc_id")).alias("segment_id"))
+
+
+@query
+def clean_names(spark, sf_dir):
+    name = F.concat(F.col("source"), F.lit(" — “Item” #"), (F.col("doc_id") % 7).cast("string"), F.lit(".MP3"))
+    rows = increment.clean_names(S.documents(spark, sf_dir).select("doc_id", name.alias("name")))
+    base = text.clean_file_name(F.col("name"))
+    return rows.groupBy(base.alias("clean")).agg(F.count(F.lit(1)).alias("n"), F.max("clean_name").alias("last_name"))
+
+
+def _scan(spark, sf_dir):
+    variants = spark.createDataFrame(S.VARIANTS, speakers.VARIANTS)
+    return speakers.scan_names(S.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), variants, ["conv_id", "turn"])
+
+
+QUERIES["name_scan"] = _scan
+
+
+@query
+def speaker_context(spark, sf_dir):
+    return speakers.speaker_context(_scan(spark, sf_dir), ["conv_id", "turn"])
+
+
+@query
+def name_variants(spark, sf_dir):
+    people = spark.createDataFrame(S.PEOPLE, "role string, person_key string, aliases array<string>")
+    return speakers.name_variants(people, spark.createDataFrame(S.TITLES, "role string, titles array<string>"))
+
+
+@query
+def hotwords(spark, sf_dir):
+    people = spark.createDataFrame(S.PEOPLE, "role string, person_key string, aliases array<string>")
+    return speakers.hotwords(people, spark.createDataFrame(S.TITLES, "role string, titles array<string>"))
+
+
+@query
+def classify_rules(spark, sf_dir):
+    n = F.col("doc_id") % 5
+    lead = F.when(n == 0, "Budget hearing.").when(n == 1, "Zoning appeal").when(n == 2, "The council met").when(n == 3, "Committee of the Whole:")
+    return S.documents(spark, sf_dir).select("doc_id", route.classify_rules(F.concat_ws(" ", lead, "text")).alias("label"))
+
+
+@query
+def route_prompts(spark, sf_dir):
+    label = F.when(F.col("doc_id") % 3 == 0, "finance").otherwise("unheard-of")
+    return S.documents(spark, sf_dir).select("doc_id", route.route_of(label, S.ROUTES).alias("r")).select("doc_id", "r.*")
+
+
+@query
+def price_runs(spark, sf_dir):
+    runs = F.array(*[F.struct(F.lit(p).alias("provider"), F.lit(m).alias("model")) for p, m in S.PRICED])
+    rows = S.documents(spark, sf_dir).select("doc_id", tokens.estimate(F.col("text")).alias("n"), F.explode(runs).alias("r")).select("doc_id", "n", "r.*")
+    spent = tokens.cost(F.col("provider"), F.col("model"), F.col("n"), F.floor(F.col("n") / 10))
+    return rows.select("doc_id", "provider", "model", F.round(spent, 9).alias("cost"))
+
+
+@query
+def cosine_topk(spark, sf_dir):
+    rows = S.table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "id")
+    return search.retrieve(rows, S.query_vector(spark, sf_dir), 250).select(F.col("id").alias("vec_id"), "similarity")
+
+
+@query
+def cosine_topk_by_label(spark, sf_dir):
+    vector = search.query_column(S.query_vector(spark, sf_dir))
+    rows = S.table(spark, sf_dir, "embeddings").select("label", "vec_id", F.round(search.cosine(F.col("embedding"), vector), 6).alias("similarity"))
+    rank = F.row_number().over(Window.partitionBy("label").orderBy(F.desc("similarity"), "vec_id"))
+    return rows.withColumn("n", rank).filter("n <= 5")
+
+
+@query
+def align_argmax(spark, sf_dir):
+    e = S.table(spark, sf_dir, "embeddings")
+    chunks = e.filter("vec_id % 4 = 0").select("label", F.col("vec_id").alias("chunk_index"), "embedding")
+    segments = e.filter("vec_id % 4 <> 0").select("label", F.col("vec_id").alias("segment_index"), (F.col("vec_id") * 10.0).alias("start_time"), "embedding")
+    return index.align(chunks, segments, "label").select(F.col("chunk_index").alias("vec_id"), "ts")
+
+
+def _near(spark, sf_dir):
+    rows, vector = S.index(spark, sf_dir), S.query_vector(spark, sf_dir)
+    return search.retrieve(rows, vector, search.N_SUMMARIES, "summary").unionByName(search.retrieve(rows, vector, search.N_TRANSCRIPTS, "raw_transcript"))
+
+
+@query
+def literal_boost(spark, sf_dir):
+    return _near(spark, sf_dir).select("id", F.round(search.literal_boost(F.col("similarity"), F.col("document"), S.QUERY), 9).alias("score"))
+
+
+def _hybrid(rows):
+    sim, doc = F.col("similarity"), F.col("document")
+    summary = search.hybrid_score(sim, doc, S.QUERY, search.ALPHA_SUMMARIES)
+    return rows.withColumn("score", F.when(F.col("category") == "summary", summary).otherwise(search.hybrid_score(sim, doc, S.QUERY, search.ALPHA_TRANSCRIPTS)))
+
+
+@query
+def hybrid_rerank(spark, sf_dir):
+    return _hybrid(_near(spark, sf_dir)).select("id", F.round("score", 9).alias("score"))
+
+
+@query
+def aggregate_dedup(spark, sf_dir):
+    return search.aggregate(_hybrid(_near(spark, sf_dir)), S.QUERY)
+
+
+@query
+def search_pipeline(spark, sf_dir):
+    return search.search(S.index(spark, sf_dir), S.files(spark, sf_dir), S.QUERY, S.query_vector(spark, sf_dir))
+
+
+@query
+def search_with_fallback(spark, sf_dir):
+    return search.search(S.index(spark, sf_dir), S.files(spark, sf_dir), S.QUERY, S.query_vector(spark, sf_dir), fallback_score=0.95)
+
+
+@query
+def literal_fallback(spark, sf_dir):
+    return search.literal_fallback(S.files(spark, sf_dir), S.QUERY).drop("chunk_index")
+
+
+@query
+def confidence(spark, sf_dir):
+    return search.confidence(search_pipeline(spark, sf_dir)).select("id", "rank", "confidence")
+
+
+@query
+def tracker_anti(spark, sf_dir):
+    docs = S.documents(spark, sf_dir).withColumn("sha", increment.content_key(F.col("text")))
+    return increment.pending(docs, docs.filter("doc_id % 3 = 0").select(F.col("sha").alias("key")), "sha").select("doc_id")
+
+
+@query
+def dedup_sha(spark, sf_dir):
+    return increment.first_by_content(S.documents(spark, sf_dir))
+
+
+@query
+def chunk_windows(spark, sf_dir):
+    total = S.table(spark, sf_dir, "events").groupBy("user_id").agg((F.count(F.lit(1)) * 97.0).alias("total"))
+    return total.select("user_id", F.explode(segment.window_spans(F.col("total"))).alias("w")).select("user_id", "w.*")
+
+
+@query
+def listing_cutoff(spark, sf_dir):
+    """Per user, newest first, up to the first event of low value."""
+    order = Window.partitionBy("user_id").orderBy(F.desc("ts"), "event_id")
+    old = F.sum(F.when(F.col("value") < 20, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    return S.table(spark, sf_dir, "events").withColumn("_old", old).filter("_old = 0").select("event_id")
+
+
+@query
+def stage_report(spark, sf_dir):
+    bought = F.col("event_type") == "purchase"
+    return increment.stage_report(S.table(spark, sf_dir, "events"), bought, ~bought)
+
+
+@query
+def ndjson_concat(spark, sf_dir):
+    """Stored stream answers, one JSON object per line, put together."""
+    line = F.concat(F.lit('{"response": "'), F.get_json_object("props", "$.k"), F.lit('"}'))
+    rows = S.table(spark, sf_dir, "events").select("user_id", F.struct("event_id", line.alias("line")).alias("l"))
+    body = F.array_join(F.transform(F.sort_array(F.collect_list("l")), lambda x: x["line"]), "\n")
+    return rows.groupBy("user_id").agg(body.alias("body")).select("user_id", summarize.response_text("ollama", F.col("body")).alias("said"))
+
+
+@query
+def event_windows(spark, sf_dir):
+    rows = S.table(spark, sf_dir, "events").groupBy(F.window("ts", "10 minutes").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select(F.col("w.start").alias("bucket"), "event_type", "n")
+
+
+@query
+def metadata_rollup(spark, sf_dir):
+    rows = _files(spark, sf_dir).select(F.when(F.col("doc_id") % 10 == 0, "summary").otherwise("raw_transcript").alias("category"), meta.document_type(F.col("name")).alias("type"))
+    return rows.rollup("category", "type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def upsert(spark, sf_dir):
+    docs = S.documents(spark, sf_dir).select(F.col("doc_id").alias("id"))
+    old, new = docs.filter("id % 3 = 0").withColumn("version", F.lit("old")), docs.filter("id % 2 = 0").withColumn("version", F.lit("new"))
+    return index.upsert(old, new)
+
+
+@query
+def provider_policy(spark, sf_dir):
+    rows = spark.createDataFrame(S.TARGETS, "provider string, target string")
+    return rows.select("provider", "target", policy.target_fault(F.col("provider"), F.col("target")).alias("fault"))
+
+
+def _meeting_files(spark, sf_dir):
+    return S.documents(spark, sf_dir).select(F.expr(S.FILE_NAME).alias("source"), "text")
+
+
+@query
+def index_transcripts(spark, sf_dir):
+    return index.index_transcripts(_meeting_files(spark, sf_dir)).drop("embedding")
+
+
+@query
+def index_summaries(spark, sf_dir):
+    return index.index_summaries(_meeting_files(spark, sf_dir)).drop("embedding")
+
+
+@query
+def summary_multipass(spark, sf_dir):
+    return summarize.summarize(S.documents(spark, sf_dir).select("doc_id", "text"), max_tokens=400)
