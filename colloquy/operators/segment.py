@@ -34,7 +34,7 @@ def parse_vtt(content: Column) -> Column:
         lambda b: F.struct(
             F.round(vtt_seconds(F.regexp_extract(b, timing, 1)), 3).alias("start"),
             F.round(vtt_seconds(F.regexp_extract(b, timing, 2)), 3).alias("end"),
-            clean_lines(F.regexp_replace(F.regexp_extract(b, r"(?s)-->[^\n]*\n(.*)$", 1), r"<[^>]*>", "")).alias("text"),
+            clean_lines(F.regexp_replace(F.regexp_extract(b, r"(?s)-->[^\n]*\n(.*?)\n*$", 1), r"<[^>]*>", "")).alias("text"),
         ),
     )
     return F.filter(cues, lambda c: strip(c["text"]) != "")

@@ -79,4 +79,4 @@ def live_segments(cues: DataFrame, max_window: float = 90.0, min_words: int = 1,
 
 def event_counts(events: DataFrame, window: str = "10 minutes", late: str = "10 minutes") -> DataFrame:
     """Counts and sums of events (ts, event_type, value) in windows, with late data within a watermark."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", window), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", window), "event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
