@@ -1,0 +1,48 @@
+from colloquy import cli
+from colloquy.functions import register
+from colloquy.plans import stages
+
+VTT = "WEBVTT\n\n00:00.000 --> 00:04.000\nThe council met today\n\n00:04.000 --> 00:09.000\nto approve the budget. and more\n\n00:09.000 --> 00:12.000\nThank you all.\n"
+
+
+def test_from_captions_to_search(spark, tmp_path):
+    at = lambda n: str(tmp_path / n)
+    for folder in ("vtt", "txt"):
+        (tmp_path / folder).mkdir()
+    (tmp_path / "vtt" / "AbCdEfGhIjK.council_2024-01-02.vtt").write_text(VTT)
+    (tmp_path / "txt" / "AbCdEfGhIjK.council_2024-01-02.txt").write_text("The council met  today , um to approve the budget. and more. Thank you all.")
+    ids = spark.createDataFrame([("abcdefghijk", "ABCDEFGHIJK")], "lower_id string, real_id string")
+    rows = stages.slice_captions(spark, at("vtt"), at("seg"), ids).collect()
+    assert [(r.start_time, r.end_time, r.video_id) for r in rows] == [(0.0, 12.0, "ABCDEFGHIJK")]
+    assert stages.slice_captions(spark, at("vtt"), at("seg"), ids).count() == 1
+    lines = stages.normalize_texts(spark, at("txt"), at("norm"), {"budget": "Budget"}, deep=True).first().text
+    assert lines == "The council met today, to approve the Budget. and more.\nThank you all.\n"
+    assert stages.normalize_texts(spark, at("txt"), at("norm")).count() == 1
+    assert stages.summarize_texts(spark, at("norm"), at("sum"), max_tokens=100).first().meeting_type == "finance"
+    assert {r.category for r in stages.build_index(spark, at("norm"), at("sum"), at("idx")).collect()} == {"raw_transcript", "summary"}
+    found = stages.search_index(spark, at("idx"), at("norm"), "budget").collect()
+    assert found and "**Budget**" in found[0].snippet
+
+
+def test_command_line(spark, tmp_path, capsys):
+    path = tmp_path / "c.toml"
+    path.write_text(f'[system]\nroot_data_dir = "{tmp_path}"\n')
+    run = lambda *a: cli.main(["--config", str(path), *a])
+    assert run("config", "add", "my_city_council", "--display-name", "My City", "--inputs", " YouTube, ,x") == 0
+    assert run("config", "init", "my_city_council") == 0 and (tmp_path / "my_city_council" / "config.toml").exists()
+    assert run("config", "validate") == 0 and run("config", "list") == 0 and run("config", "resolve", "my_city_council") == 0
+    assert "youtube" in capsys.readouterr().out
+    assert run("config", "purge", "my_city_council") == 0 and (tmp_path / "my_city_council").exists()
+    assert run("config", "purge", "my_city_council", "--yes") == 0 and not (tmp_path / "my_city_council").exists()
+    assert run("config", "remove", "my_city_council") == 1
+    assert run("intel", "run", "x", "y", "--print-prompts") == 0
+    (tmp_path / "txt").mkdir()
+    (tmp_path / "txt" / "a.txt").write_text("One. Two.")
+    assert run("transcript", "normalize", str(tmp_path / "txt"), str(tmp_path / "norm")) == 0
+    assert run("intel", "run", "x", "y", "--max-tokens", "9000") == 1
+
+
+def test_sql_functions(spark):
+    assert "cosine" in register.register(spark)
+    row = spark.sql("SELECT token_estimate('a  b c d e f g'), sentences_of('One. Two?  Three'), words_of(' a b '), round(cosine(array(1D, 0D), array(1D, 1D)), 4), placeholder_id('x')").first()
+    assert row[0] == 3 and row[1] == ["One.", "Two?", "Three"] and row[2] == ["a", "b"] and row[3] == 0.7071 and len(row[4]) == 11
