@@ -245,3 +245,73 @@ o AS (SELECT doc, chunk, COALESCE(sum(last) OVER (PARTITION BY doc ORDER BY chun
 SELECT doc, chunk, idx, st + off AS start, en + off AS "end" FROM s JOIN o USING (doc, chunk)""",
     "provider_policy": "SELECT * FROM (VALUES ('', 'https://localhost', 'provider missing'), ('codex_cli', 'codex', NULL), ('codex_cli', 'rm -rf', 'custom executable'), ('llamacpp', 'https://user@127.0.0.1.evil.com', 'off-box'), ('ollama', '', 'target missing'), ('ollama', 'ftp://localhost', 'scheme'), ('ollama', 'http://localhost:11434', 'insecure http'), ('ollama', 'https://127.0.0.1:8080/x', NULL), ('ollama', 'https://[::1]/', NULL), ('openai', 'http://api.example.com', 'insecure http'), ('openai', 'https://api.example.com/v1', 'off-box')) AS t(provider, target, fault)",
 }
+
+
+WORD = r"[\p{L}\p{M}\p{N}\p{Pc}]"
+
+
+def collapsed(source: str) -> str:
+    """(doc_id, t) with repeated words collapsed, from (doc_id, t): words and what is between them, put together again."""
+    same = "lower(a[i]) = lower(a[i - 2])"
+    return f"""SELECT doc_id, array_to_string(list_transform(range(1, len(a) + 1), lambda i: CASE
+  WHEN i > 2 AND regexp_matches(a[i], '^{WORD}') AND regexp_full_match(a[i - 1], '{U}+') AND {same} THEN ''
+  WHEN i > 1 AND regexp_full_match(a[i], '{U}+') AND lower(a[i - 1]) = lower(a[i + 1]) THEN '' ELSE a[i] END), '') AS t
+  FROM (SELECT doc_id, regexp_extract_all(t, '{WORD}+|{WORD.replace('[', '[^', 1)}+') AS a FROM {source})"""
+
+
+def patterns(first: str) -> str:
+    """CTEs ending in n5 (doc_id, t): the cleanups of spoken text in their order, over a first SELECT (doc_id, t)."""
+    punct = PUNCT.replace("(text,", "(t,")
+    return f"""n1 AS ({first}),
+n2 AS (SELECT doc_id, translate(t, '“”’‘—–', '""''''--') AS t FROM n1),
+n3 AS (SELECT doc_id, regexp_replace(regexp_replace({punct}, '\\({U}+', '(', 'g'), '{U}+\\)', ')', 'g') AS t FROM n2),
+n4 AS ({collapsed('n3')}),
+n5 AS (SELECT doc_id, {strip("regexp_replace(t, '\\n{3,}', chr(10) || chr(10), 'g')")} AS t FROM n4)"""
+
+
+def _indexed(kind: str, category: str, prefix_: str, size: int, overlap: int) -> str:
+    """Index rows without the embedding, over the chunks of documents under their meeting files' names."""
+    body = index_chunks(size, overlap).strip()
+    head, _, last = body.rpartition("\nSELECT")
+    amount = r"(?i)(\$\s?\d[\d,]*(?:\.\d+)?(?:\s?(?:million|billion|thousand))?)"
+    money = f"CASE WHEN len({words('chunk')}) > 10 THEN nullif(array_to_string(list_sort(list_distinct(regexp_extract_all(chunk, '{amount}', 1))), ', '), '') END"
+    return f"""{head},
+k AS (SELECT{last}), {FILES}
+SELECT '{kind}_' || name || '_' || i AS id, '{prefix_}' || chunk AS document, name AS source, '{category}' AS category,
+  CASE WHEN contains(name, 'finance') THEN 'finance' WHEN contains(name, 'zoning') THEN 'zoning' WHEN contains(name, 'council') THEN 'council' ELSE 'general' END AS type,
+  translate(COALESCE(nullif(regexp_extract(name, '(\\d{{4}}[-_]\\d{{1,2}}[-_]\\d{{1,2}})', 1), ''), nullif(regexp_extract(name, '(\\d{{1,2}}[-_]\\d{{1,2}}[-_]\\d{{2,4}})', 1), ''), 'unknown'), '_', '-') AS date,
+  'https://www.youtube.com/watch?v=' || substring(name, 1, 11) AS video_url, substring(name, 1, 11) AS video_id, i AS chunk_index, CAST(NULL AS DOUBLE) AS ts,
+  {money if kind == 'TRANSCRIPT' else 'CAST(NULL AS VARCHAR)'} AS money
+FROM k JOIN f USING (doc_id)"""
+
+
+ORACLES |= {
+    "collapse_repeats": f"WITH n AS (SELECT doc_id, text AS t FROM documents) SELECT doc_id, t AS clean FROM ({collapsed('n')})",
+    "normalize_patterns": f"WITH {patterns('SELECT doc_id, text AS t FROM documents')} SELECT doc_id, t AS clean FROM n5",
+    "normalized_transcripts": f"""
+WITH {patterns(ORACLES['ws_normalize'].replace(' AS clean', ' AS t'))},
+n6 AS (SELECT doc_id, {replaced('t')} AS t FROM n5),
+s AS ({numbered(strict('t'), 'line', 'n6')}),
+g AS (SELECT *, sum(CASE WHEN regexp_matches(line, '^\\p{{Ll}}') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM s),
+m AS (SELECT doc_id, min(i) AS i, string_agg(line, ' ' ORDER BY i) AS line FROM g GROUP BY doc_id, island)
+SELECT n6.doc_id, COALESCE(l, '') AS lines FROM n6 LEFT JOIN (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) || chr(10) AS l FROM m GROUP BY doc_id) USING (doc_id)""",
+    "deep_clean": f"SELECT doc_id, {strip(f'''regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\\[(music|applause|laughter|noise)\\]', '', 'gi'), '\\(.*?\\)', '', 'g'), '\\b(um|uh|erm)\\b', '', 'gi'), '{U}{{2,}}', ' ', 'g')''')} AS clean FROM documents",
+    "caption_round_trip": f"""
+WITH {CUES},
+c AS (SELECT doc, n, {strip(f"regexp_replace(said, '{U}+', ' ', 'g')")} AS text FROM q)
+SELECT doc, CAST(row_number() OVER (PARTITION BY doc ORDER BY n) - 1 AS INT) AS i, n * 20.0::DOUBLE AS start, n * 20.0::DOUBLE + 20 AS "end", text FROM c WHERE text <> ''""",
+    "prompt_contexts": f"""WITH {FILES}, b AS (SELECT doc_id, translate(replace(regexp_replace(name, '^[\\w\\-]+?\\.', ''), '.txt', ''), '_-', '  ') AS b FROM f),
+m AS (SELECT *, regexp_extract(b, '^(.*?) (\\d{{1,2}})[ -](\\d{{1,2}})[ -](\\d{{2,4}})', ['kind', 'm', 'd', 'y']) AS x FROM b),
+t AS (SELECT doc_id, x, x.y <> '' AS dated, CASE WHEN x.y <> '' THEN trim(x.kind) ELSE b END AS low FROM m),
+k AS (SELECT *, array_to_string(list_transform(string_split(low, ' '), lambda y: upper(y[1]) || lower(y[2:])), ' ') AS title FROM t)
+SELECT doc_id, CASE WHEN dated THEN title || ' - ' || lpad(CAST(CASE WHEN TRY_CAST(x.y AS INT) < 100 THEN TRY_CAST(x.y AS INT) + 2000 ELSE TRY_CAST(x.y AS INT) END AS VARCHAR), 4, '0') || '-' || lpad(x.m, 2, '0') || '-' || lpad(x.d, 2, '0') ELSE title END AS context FROM k""",
+    "hotwords": "SELECT 'Alderman, Ann, Chair, City Clerk, Leon, le on, the heed' AS hotwords",
+    "name_variants": """
+WITH p(role, person, first, last, aliases) AS (VALUES ('council', 'ann_and', 'ann', 'and', ['Ann']), ('council', 'heed', 'heed', '', ['the heed']), ('board', 'le_on', 'le', 'on', ['Leon', 'le on'])),
+t(role, title) AS (VALUES ('council', 'Alderman'), ('council', 'City Clerk'), ('council', 'City Clerk Director'), ('board', 'Chair')),
+v AS (SELECT person, unnest(aliases || [first, last, trim(first || ' ' || last)]) AS variant FROM p
+  UNION ALL SELECT person, unnest([trim(title || ' ' || last), trim(title || ' ' || first || ' ' || last)]) FROM p JOIN t USING (role))
+SELECT DISTINCT person, variant FROM v WHERE variant <> ''""",
+    "index_transcripts": _indexed("TRANSCRIPT", "raw_transcript", "Transcript excerpt: ", 150, 25),
+    "index_summaries": _indexed("SUMMARY", "summary", "Meeting summary: ", 300, 50),
+}

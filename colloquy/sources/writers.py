@@ -23,7 +23,7 @@ def segment_text(segments: Column) -> Column:
 
 def sentence_lines(sentences: Column) -> Column:
     """A normalized transcript: one sentence on a line, with a line break at the end."""
-    kept = F.filter(F.transform(sentences, F.trim), lambda s: s != "")
+    kept = F.filter(F.transform(sentences, lambda s: F.trim(s)), lambda s: s != "")
     return F.when(F.size(kept) > 0, F.concat(F.array_join(kept, "\n"), F.lit("\n"))).otherwise("")
 
 
