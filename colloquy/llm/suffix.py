@@ -156,29 +156,48 @@ def buckets(data: bytes, places: np.ndarray, length: int = LENGTH) -> dict[str,
     return dict(zip(("name", "left", "right", "place"), columns))
 
 
-def _signed(columns: dict[str, np.ndarray], **more) -> pd.DataFrame:
-    return pd.DataFrame({k: v.view(np.int64) for k, v in columns.items()} | more)
+#: Rows that a task gathers before it hands them on.
+_HANDED = 200_000
+
+
+class _Gathered:
+    """Columns of many texts, handed on in large frames."""
+
+    def __init__(self):
+        self.parts: list[dict[str, np.ndarray]] = []
+        self.rows = 0
+
+    def add(self, columns: dict[str, np.ndarray], digest: int) -> None:
+        n = len(columns["name"])
+        self.parts.append({k: v.view(np.int64) for k, v in columns.items()} | {"digest": np.full(n, digest, np.int64)})
+        self.rows += n
+
+    def frames(self, least: int = 1):
+        if self.rows >= least:
+            yield pd.DataFrame({k: np.concatenate([p[k] for p in self.parts]) for k in self.parts[0]})
+            self.parts, self.rows = [], 0
 
 
 def _anchor_rows(batches):
-    seen = set()
+    seen, out = set(), _Gathered()
     for batch in batches:
         for text, digest in zip(batch["text"], batch["digest"].tolist()):
             data = (text or "").encode("utf-8", "surrogatepass")
             # Copies that one task meets count once, as they do in what follows.
             if len(data) >= LENGTH and digest not in seen:
                 seen.add(digest)
-                rows = _signed(anchors(data))
-                rows["digest"] = digest
-                yield rows
+                out.add(anchors(data), digest)
+                yield from out.frames(_HANDED)
+    yield from out.frames()
 
 
 def _bucket_rows(batches):
+    out = _Gathered()
     for batch in batches:
         for text, digest, places in zip(batch["text"], batch["digest"].tolist(), batch["places"]):
-            rows = _signed(buckets(text.encode("utf-8", "surrogatepass"), np.sort(np.asarray(places, np.int64))))
-            rows["digest"] = digest
-            yield rows
+            out.add(buckets(text.encode("utf-8", "surrogatepass"), np.sort(np.asarray(places, np.int64))), digest)
+            yield from out.frames(_HANDED)
+    yield from out.frames()
 
 
 def _settle(rows: DataFrame, cover: list[str], store: Store) -> tuple[DataFrame, DataFrame]:
