@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 #: A word is a run of bytes other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,3 +18,15 @@ def word_count(text: Column) -> Column:
 def byte_count(text: Column) -> Column:
     """UTF-8 bytes of a text; 0 for null."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+def map_batches(rows: DataFrame, run, schema: StructType, key: str = "doc_id") -> DataFrame:
+    """rows.mapInPandas(run, schema) with the key carried as text and put back to its type.
+
+    pandas turns whole numbers beside nulls into floats, and large ids would
+    lose their last digits.
+    """
+    kind = rows.schema[key].dataType
+    carried = StructType([StructField(key, StringType()) if f.name == key else f for f in schema])
+    out = rows.withColumn(key, F.col(key).cast("string")).mapInPandas(run, carried)
+    return out.withColumn(key, F.col(key).cast(kind))

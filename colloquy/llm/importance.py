@@ -37,6 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import map_batches
 from .store import Store
 
 UNI, BI, TRI = 1 << 17, 1 << 15, 1 << 15
@@ -154,7 +155,7 @@ def score(docs: DataFrame, model: Model, seed: int = 11) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": batch["digest"], "n_features": [len(f) for f in found], "log_weight": [m.weight(f) if m.known else 1.0 * bool(len(f)) for f in found]})
 
     schema = docs.select("doc_id").schema.add("digest", "long").add("n_features", "long").add("log_weight", "double")
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("digest")).mapInPandas(run, schema)
+    rows = map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("digest")), run, schema)
     uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
     return rows.withColumn("key", F.when(F.col("n_features") > 0, F.col("log_weight") - F.log(-F.log(uniform))))
 

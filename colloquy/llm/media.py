@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from . import jpeg
+from .columns import map_batches
 
 
 def payload(text: str | None) -> tuple[bytes, int]:
@@ -32,7 +33,7 @@ def store_media(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": [n for _, n in rows], "media": [jpeg.encode(p) for p, _ in rows]})
 
     schema = docs.select("doc_id").schema.add("n_bytes", "long").add("media", "binary")
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 def read_media(media: DataFrame) -> DataFrame:
@@ -46,7 +47,7 @@ def read_media(media: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"doc_id": pd.Series([doc_id], dtype=batch["doc_id"].dtype), "height": [tensor.shape[0]], "width": [tensor.shape[1]], "rgb": [tensor.tobytes()], "payload": [jpeg.payload_of(file, n)]})
 
     schema = media.select("doc_id").schema.add("height", "integer").add("width", "integer").add("rgb", "binary").add("payload", "binary")
-    return media.select("doc_id", "n_bytes", "media").mapInPandas(run, schema)
+    return map_batches(media.select("doc_id", "n_bytes", "media"), run, schema)
 
 
 def features(tensor: np.ndarray) -> str:
@@ -75,4 +76,4 @@ def digests(media: DataFrame) -> DataFrame:
     schema = media.select("doc_id", "n_bytes").schema
     for name, kind in (("payload_bytes", "long"), ("payload_sha256", "string"), ("tail_crc32", "long"), ("media_bytes", "long"), ("media_sha256", "string"), ("feature", "string")):
         schema = schema.add(name, kind)
-    return media.select("doc_id", "n_bytes", "media").mapInPandas(run, schema)
+    return map_batches(media.select("doc_id", "n_bytes", "media"), run, schema)

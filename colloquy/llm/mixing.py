@@ -114,7 +114,7 @@ def mix(docs: DataFrame, weights=(1, 2, 3), share: float = 1.0, max_repeat: int
     open_rows = (
         sized.alias("d")
         .join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
-        .select("d.doc_id", "d.source", "d.size", "t.source_size", "t.target", F.col("t.n_docs").alias("n"), rate.alias("rate"))
+        .select(F.col("d.doc_id").cast("string").alias("doc_id"), "d.source", "d.size", "t.source_size", "t.target", F.col("t.n_docs").alias("n"), rate.alias("rate"))
         .withColumn("copies", F.when(F.col("size") > 0, F.floor("rate")).otherwise(F.lit(0)).cast("long"))
         .withColumn("mass", (F.col("rate") - F.floor("rate")) * F.col("size"))
         .drop("rate")
@@ -124,7 +124,7 @@ def mix(docs: DataFrame, weights=(1, 2, 3), share: float = 1.0, max_repeat: int
         last = largest <= FAN
         buckets = F.ceil(F.col("n") / F.lit(float(FAN))).cast("long")
         keyed = open_rows.withColumn("n", F.greatest(buckets, F.lit(1))).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", F.lit(level)), F.col("n")))
-        schema = "doc_id long, source string, size long, source_size long, target double, n long, copies long, mass double, bucket long, open boolean"
+        schema = "doc_id string, source string, size long, source_size long, target double, n long, copies long, mass double, bucket long, open boolean"
         done = keyed.groupBy("source", "bucket").applyInPandas(_reducer(level, last, seed), schema)
         if not last:
             done = store.save(done)
@@ -136,7 +136,7 @@ def mix(docs: DataFrame, weights=(1, 2, 3), share: float = 1.0, max_repeat: int
     result = settled[0]
     for more in settled[1:]:
         result = result.unionByName(more)
-    return result.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
+    return result.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
 
 
 def apply_mix(docs: DataFrame, plan: DataFrame) -> DataFrame:

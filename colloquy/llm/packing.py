@@ -29,7 +29,9 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from .columns import map_batches
 from .store import Store
 
 CAPACITY = 4096
@@ -111,9 +113,10 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> Da
             out.insert(1, "doc_id", batch["doc_id"].iloc[of].reset_index(drop=True))
             yield out
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"uid long, doc_id {kind}, piece int, start long, length long, ids_crc32 long"
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    schema = StructType().add("uid", "long").add(docs.schema["doc_id"])
+    for name, kind in (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids_crc32", "long")):
+        schema = schema.add(name, kind)
+    return map_batches(docs.select("doc_id", "text"), run, schema)
 
 
 # --- one shard ------------------------------------------------------------

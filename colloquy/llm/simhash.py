@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .columns import map_batches
 from .components import components
 from .store import Store
 
@@ -67,7 +68,7 @@ def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": batch["digest"], "fp": values.view(np.int64)})
 
     schema = docs.select("doc_id").schema.add("digest", "long").add("fp", "long")
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("digest")).mapInPandas(run, schema)
+    return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("digest")), run, schema)
 
 
 def block_plan(n: int, budget: int, target: int = 2048) -> list[list[tuple[int, int]]]:

@@ -42,6 +42,9 @@ class Store:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
         self._n = 0
+        # Gone when the application ends, if nothing frees the tables before.
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
         # Arrow batches are cut by bytes as well as rows, so very long texts don't pile up in one batch.
         spark.conf.set(_BATCH_BYTES, str(8 << 20))
 

@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import byte_count
+from .columns import map_batches
 from .store import Store
 
 LENGTH = 200
@@ -314,7 +314,7 @@ def removals(docs: DataFrame) -> DataFrame:
     schema = docs.select("doc_id").schema
     for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")):
         schema = schema.add(name, kind)
-    return _with_places(docs, ["doc_id", "text"]).mapInPandas(run, schema)
+    return map_batches(_with_places(docs, ["doc_id", "text"]), run, schema)
 
 
 def cut_texts(docs: DataFrame) -> DataFrame:

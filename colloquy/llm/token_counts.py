@@ -22,7 +22,8 @@ import math
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from .columns import map_batches
 
 MARK = "▁"
 OFFSET = 10
@@ -119,4 +120,4 @@ def count_tokens(docs: DataFrame, model_file: str) -> DataFrame:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_words": [r[0] for r in rows], "n_tokens": [r[1] for r in rows]})
 
     schema = docs.select("doc_id").schema.add("n_words", "long").add("n_tokens", "long")
-    return docs.select("doc_id", F.col("text")).mapInPandas(run, schema)
+    return map_batches(docs.select("doc_id", "text"), run, schema)
