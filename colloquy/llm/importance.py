@@ -12,9 +12,10 @@ well as the mixture or better (log weight above LEVEL).
 
 A rare n-gram moves the target's ratio to raw text by CLIP at most, so that
 what a few documents repeat, and no labelled one happens to hold, doesn't
-decide. The toxic model is the target model but for the unigrams that a
-significantly different share of its documents has, so that ordinary words
-don't add noise to a decision that few words make.
+decide. The toxic model is the target model but for the unigrams that far more
+of its documents have, significantly so, by both of two hashes, each counted
+once in a document; ordinary words don't add noise to a decision that few words
+make, and words that share a place with a telling one don't count for it.
 
 Labels are used up to `max_labels` rows, chosen by hash; corpus counts and
 scores cover every document.
@@ -40,21 +41,27 @@ from pyspark.sql import functions as F
 from .columns import map_batches
 from .store import Store
 
-UNI, BI, TRI = 1 << 17, 1 << 15, 1 << 15
-SIZE = UNI + BI + TRI
+UNI, BI, TRI = 1 << 16, 1 << 15, 1 << 15
+#: Places: unigrams by one hash and by another, bigrams, trigrams.
+STARTS = (0, UNI, 2 * UNI, 2 * UNI + BI, 2 * UNI + BI + TRI)
+SIZE = STARTS[-1]
 #: Labelled documents used at most.
 MAX_LABELS = 20_000
 #: Strength of the raw model as a prior of the others, in n-grams.
 PRIOR = 50_000.0
-#: Standard errors by which a unigram's rate has to differ to count for the toxic model.
+#: Standard errors by which a unigram's share of toxic documents has to exceed the target's to count.
 Z_TOXIC = 4.5
+#: Times that a unigram's share of toxic documents has to be its share of target ones.
+TIMES_TOXIC = 10.0
+#: Share of toxic documents that have to have it: what only copies of one document share is no sign.
+SHARE_TOXIC = 0.015
 #: Bound of an n-gram's log ratio of target to raw text, where fewer than COMMON are expected in the target's sample.
 CLIP, COMMON = 0.3, 500
 #: Log weight above which documents count towards k.
-LEVEL = -2.0
+LEVEL = -1.7
 _KINDS = ("raw", "target", "junk", "toxic", "target_docs", "toxic_docs")
-#: Log odds against a document being of either rejected kind, on top of their shares.
-MARGIN = 4.0
+#: Log odds against a document being of low quality or toxic, on top of their shares.
+MARGINS = (4.0, 2.0)
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _SHUFFLE = np.uint32(2654435761)
 
@@ -71,7 +78,8 @@ def features(text: str | None) -> np.ndarray:
     bi = np.where(a == b, np.uint32(0), (a * np.uint32(31) + b) * _SHUFFLE >> np.uint32(17)).astype(np.int64)
     raw = np.frombuffer(b" ".join(data.split()), np.uint8).astype(np.uint32)
     tri = (((raw[:-2] << np.uint32(16)) | (raw[1:-1] << np.uint32(8)) | raw[2:]) * _SHUFFLE) >> np.uint32(17)
-    return np.concatenate(((uni % UNI).astype(np.int64), UNI + bi, UNI + BI + tri.astype(np.int64)))
+    other = (uni * _SHUFFLE) >> np.uint32(16)
+    return np.concatenate(((uni % UNI).astype(np.int64), STARTS[1] + other.astype(np.int64), STARTS[2] + bi, STARTS[3] + tri.astype(np.int64)))
 
 
 def _counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -112,24 +120,32 @@ class Model:
         """counts: _KINDS by place; labelled: documents of target, low quality and toxic kind."""
         self.known = counts[1].sum() > 0
         self.target, self.junk, self.toxic = (np.zeros(SIZE) for _ in range(3))
-        for lo, hi in ((0, UNI), (UNI, UNI + BI), (UNI + BI, SIZE)):
+        for lo, hi in zip(STARTS, STARTS[1:]):
             raw, target, junk, _, target_docs, toxic_docs = counts[:, lo:hi].astype(np.float64)
             base = (raw + 0.5) / (raw.sum() + 0.5 * (hi - lo))
             rate = lambda c: (c + PRIOR * base) / (c.sum() + PRIOR)
             bound = np.where(base * target.sum() < COMMON, CLIP, np.inf)
             self.target[lo:hi] = np.clip(np.log(rate(target) / base), -bound, bound)
             self.junk[lo:hi] = np.log(rate(junk) / base)
-            if lo == 0:
+            if lo == UNI:
+                self.target[lo:hi] = self.junk[lo:hi] = 0.0
+            if lo <= UNI:
                 share = (target_docs + 0.5) / (labelled[0] + 1)
                 expected = share * labelled[2]
-                strange = np.abs(toxic_docs - expected) > Z_TOXIC * np.sqrt(expected + 0.5)
-                self.toxic[lo:hi] = np.where(strange, np.log((toxic_docs + 0.5) / (labelled[2] + 1) / share), 0.0)
-        self.log_shares = tuple(math.log(max(1e-6, n / max(1, sum(labelled)))) - MARGIN for n in labelled[1:])
+                times = (toxic_docs + 0.5) / (labelled[2] + 1) / share
+                strange = (toxic_docs - expected > Z_TOXIC * np.sqrt(expected + 0.5)) & (times > TIMES_TOXIC) & (toxic_docs >= SHARE_TOXIC * labelled[2])
+                self.toxic[lo:hi] = np.where(strange, np.log(times), 0.0)
+        self.log_shares = tuple(math.log(max(1e-6, n / max(1, sum(labelled)))) - margin for n, margin in zip(labelled[1:], MARGINS))
 
     def weight(self, places: np.ndarray) -> float:
         """Log importance weight."""
         target = self.target[places].sum()
-        toxic = target + self.toxic[places].sum() + self.log_shares[1]
+        n = np.count_nonzero(places < UNI)
+        words = np.unique(np.column_stack((places[:n], places[n : 2 * n])), axis=0) if n else places.reshape(0, 2)
+        a, b = self.toxic[words[:, 0]], self.toxic[words[:, 1]]
+        # What shares a place by one hash doesn't by the other: the two ratios are separate evidence.
+        signs = np.where((a > 0) & (b > 0), a + b, 0.0)
+        toxic = target + signs.sum() + self.log_shares[1]
         return float(target - np.logaddexp.reduce([0.0, self.junk[places].sum() + self.log_shares[0], toxic]))
 
 
