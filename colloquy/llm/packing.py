@@ -21,6 +21,7 @@ columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -44,7 +45,7 @@ POPULATION = 4
 #: Free tokens up to which a bin counts as full.
 SLACK = 32
 #: Words that a worker remembers.
-MEMO = 600_000
+MEMO = 1_000_000
 
 # --- tokens ---------------------------------------------------------------
 
@@ -53,6 +54,49 @@ _encoders: dict[str, "Encoder"] = {}
 _ODD = tuple(map(chr, range(0x1C, 0x20)))
 
 
+#: A byte as the tokenizer's alphabet writes it: visible Latin-1 as itself, the others as what follows 255, in order.
+_SHOWN = {b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173}
+_ALPHABET = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - _SHOWN))}
+#: Fixed value: how the tokenizer splits normalized text.
+_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+class Words(dict):
+    """Ids of words, as bytes, worked out when a word is first met.
+
+    A word of Latin characters, whose normal form is its lower case, is split
+    here and its parts go to the tokenizer's model, each once; other words go
+    through the whole tokenizer.
+    """
+
+    def __init__(self, tokenizer):
+        import regex
+
+        self.whole, self.model = tokenizer, tokenizer.model
+        self.latin = re.compile("[!-~\xa1-\xac\xae-\u012f\u0131-\u024f]+").fullmatch
+        self.split = regex.compile(_PARTS).findall
+        self.packed = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
+        self.parts: dict[str, bytes] = {}
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            shown = part if part.isascii() else part.encode().decode("latin-1").translate(_ALPHABET)
+            packed = self.packed
+            ids = self.parts[part] = b"".join([packed[t.id] for t in self.model.tokenize(shown)])
+        return ids
+
+    def __missing__(self, word: str) -> bytes:
+        if not self.latin(word) or "<|" in word:
+            ids = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        elif word.isalpha():
+            ids = self._part(word.lower())
+        else:
+            ids = b"".join(map(self._part, self.split(word.lower())))
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids of texts by a tokenizer that never joins across white space, word by word with a memo."""
 
@@ -61,23 +105,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.memo: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.words = Words(self.tokenizer)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text, with the end id."""
-        end = np.array([END_ID], "<u4").tobytes()
-        split = [None if any(c in t for c in _ODD) else t.split() for t in texts]
-        new = list({w for words in split if words for w in words if w not in self.memo})
-        if len(new) + len(self.memo) > MEMO:
-            self.memo.clear()
-            new = list({w for words in split if words for w in words})
-        self.memo.update(zip(new, self._ids(new)))
-        get = self.memo.__getitem__
-        return [(self._ids([t])[0] if words is None else b"".join(map(get, words))) + end for t, words in zip(texts, split)]
+    def encode(self, text: str) -> bytes:
+        """Little-endian 32-bit ids of a text, with the end id."""
+        end = END_ID.to_bytes(4, "little")
+        if any(c in text for c in _ODD):
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + end
+        if len(self.words) > MEMO:
+            self.words.clear()
+            self.words.parts.clear()
+        return b"".join(map(self.words.__getitem__, text.split())) + end
 
 
 def encoder(tokenizer_file: str) -> Encoder:
@@ -93,17 +131,9 @@ def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> Da
         tokens = encoder(tokenizer_file)
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"]]
-            ids, held, size = [], [], 0
-            for t in texts:
-                held.append(t)
-                size += len(t)
-                if size > 1_000_000:
-                    ids += tokens.encode(held)
-                    held, size = [], 0
-            ids += tokens.encode(held)
             rows, of = [], []
-            for k, data in enumerate(ids):
+            for k, text in enumerate(batch["text"]):
+                data = tokens.encode("" if text is None else text)
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
                     rows.append((uid, piece, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -37,7 +37,7 @@ def check(rows, docs, capacity=4096):
 @given(st.lists(st.text(max_size=60), max_size=6))
 @settings(max_examples=150, deadline=None)
 def test_ids_word_by_word(texts):
-    got = packing.encoder(FILE).encode(texts)
+    got = [packing.encoder(FILE).encode(t) for t in texts]
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [tokenizer.encode(t, add_special_tokens=False).ids + [1] for t in texts]
 
 
