@@ -1,8 +1,9 @@
 """Connected components of a graph by alternating large-star and small-star rounds.
 
 Both stars only ever point nodes at the smallest of their neighbours, found by
-a pre-aggregated minimum, so a node with very many edges is never gathered in
-one task: its edges meet the minimum in a join that Spark may split.
+a pre-aggregated minimum. The minimums are written before edges meet them: then
+both sides of that join are plain shuffles, which Spark may split where a node
+has very many edges, or the minimums are small enough to be sent to all tasks.
 """
 
 from __future__ import annotations
@@ -13,18 +14,14 @@ from pyspark.sql import functions as F
 from .store import Store
 
 
-def _minimum(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, store: Store) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _minimum(both).select("u", F.least("u", "m").alias("m"))
+    least = store.save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = _minimum(edges)
+def _small_star(edges: DataFrame, store: Store) -> DataFrame:
+    least = store.save(edges.groupBy("u").agg(F.min("v").alias("m")))
     moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
@@ -43,7 +40,7 @@ def components(edges: DataFrame, store: Store) -> DataFrame:
     now = store.save(pairs)
     seen = _state(now)
     while seen[0]:
-        after = store.save(_small_star(_large_star(now)).distinct())
+        after = store.save(_small_star(store.save(_large_star(now, store)), store).distinct())
         state = _state(after)
         store.free(now)
         now = after

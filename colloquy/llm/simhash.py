@@ -219,7 +219,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, seed: int
     rooted = store.save(
         classes.join(labels, classes["fp"] == labels["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Written first, so that the join may split a root that very many fingerprints have.
+    least = store.save(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
     named = store.save(rooted.join(least, "root").select("fp", "component_id"))
     return rows.join(named, "fp").select("doc_id", "digest", "fp", "component_id")
 
