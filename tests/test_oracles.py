@@ -52,8 +52,7 @@ def test_scores_fall_and_results_ignore_partitioning(spark, sf):
 
 
 def test_plans_push_filters_and_prune_columns(spark, sf):
-    plan = catalog.token_estimate(spark, sf) if hasattr(catalog, "token_estimate") else catalog.QUERIES["token_estimate"](spark, sf)
-    text = plan._jdf.queryExecution().executedPlan().toString()
+    text = catalog.QUERIES["token_estimate"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text and "Exchange" not in text
     listed = catalog.QUERIES["cosine_topk"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in listed and "Exchange" not in listed
