@@ -141,11 +141,11 @@ class Model:
         """Log importance weight."""
         target = self.target[places].sum()
         n = np.count_nonzero(places < UNI)
-        words = np.unique(np.column_stack((places[:n], places[n : 2 * n])), axis=0) if n else places.reshape(0, 2)
-        a, b = self.toxic[words[:, 0]], self.toxic[words[:, 1]]
+        a, b = self.toxic[places[:n]], self.toxic[places[n : 2 * n]]
         # What shares a place by one hash doesn't by the other: the two ratios are separate evidence.
-        signs = np.where((a > 0) & (b > 0), a + b, 0.0)
-        toxic = target + signs.sum() + self.log_shares[1]
+        telling = np.flatnonzero((a > 0) & (b > 0))
+        signs = {(places[i], places[n + i]): a[i] + b[i] for i in telling.tolist()}
+        toxic = target + sum(signs.values()) + self.log_shares[1]
         return float(target - np.logaddexp.reduce([0.0, self.junk[places].sum() + self.log_shares[0], toxic]))
 
 
