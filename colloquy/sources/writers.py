@@ -24,7 +24,8 @@ def segment_text(segments: Column) -> Column:
 def sentence_lines(sentences: Column) -> Column:
     """A normalized transcript: one sentence on a line, with a line break at the end."""
     kept = F.filter(F.transform(sentences, lambda s: F.trim(s)), lambda s: s != "")
-    return F.when(F.size(kept) > 0, F.concat(F.array_join(kept, "\n"), F.lit("\n"))).otherwise("")
+    # Read once, so that the plan doesn't work the sentences out twice.
+    return F.array_join(F.transform(kept, lambda s: F.concat(s, F.lit("\n"))), "")
 
 
 def summary_text(name: Column, summary: Column, form: str = "markdown") -> Column:
