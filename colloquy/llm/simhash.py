@@ -210,8 +210,8 @@ def trie_links(classes: DataFrame, budget: int, cell: int = 2048) -> DataFrame:
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, seed: int = 42) -> DataFrame:
-    """One row per document: doc_id, digest, fp (signed), component_id (smallest doc_id reachable by links)."""
+def _rooted(docs: DataFrame, width: int, budget: int, seed: int) -> DataFrame:
+    """One row per document: doc_id, digest, fp, component_id, and root, a fingerprint that no other component has."""
     store = Store(docs.sparkSession, "simhash")
     rows = store.save(fingerprints(docs, width, seed))
     classes = store.save(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
@@ -221,16 +221,25 @@ def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, seed: int
     )
     # Written first, so that the join may split a root that very many fingerprints have.
     least = store.save(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
-    named = store.save(rooted.join(least, "root").select("fp", "component_id"))
-    return rows.join(named, "fp").select("doc_id", "digest", "fp", "component_id")
+    named = store.save(rooted.join(least, "root").select("fp", "component_id", "root"))
+    return rows.join(named, "fp").select("doc_id", "digest", "fp", "component_id", "root")
 
 
-def keep_first(docs: DataFrame, width: int = 4, budget: int = 4) -> DataFrame:
-    """One document of each component, all columns: that with its smallest doc_id."""
-    found = near_duplicates(docs, width, budget)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    # Rows that share the doc_id may differ in text: one of them stays.
-    first = first.groupBy(F.col("doc_id").alias("_id")).agg(F.min("digest").alias("_digest"))
+def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, seed: int = 42) -> DataFrame:
+    """One row per document: doc_id, digest, fp (signed), component_id (smallest doc_id reachable by links)."""
+    return _rooted(docs, width, budget, seed).drop("root")
+
+
+def first_of_each(docs: DataFrame, rooted: DataFrame) -> DataFrame:
+    """One document of each root in rooted (doc_id, digest, root), all columns: smallest doc_id, nulls last, then digest."""
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("least")
+    # A digest has one root, so no two roots choose the same id and digest.
+    first = rooted.groupBy("root").agg(least).select(F.col("least.doc_id").alias("_id"), F.col("least.digest").alias("_digest"))
     rows = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest")))
     once = F.row_number().over(Window.partitionBy("_id", "_digest").orderBy(F.lit(0)))
     return rows.withColumn("_n", once).filter("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def keep_first(docs: DataFrame, width: int = 4, budget: int = 4) -> DataFrame:
+    """One document of each component, all columns: that with its smallest doc_id."""
+    return first_of_each(docs, _rooted(docs, width, budget, 42))

@@ -97,3 +97,11 @@ def test_edges(spark):
     got = simhash.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted((r.doc_id or -1, r.component_id) for r in got) == [(-1, 9), (3, 3), (5, 3), (7, 3), (9, 9), (9, 9), (11, 11)]
     assert simhash.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_keep_first_keeps_one_of_each_component(spark):
+    words = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcd"]
+    rows = [(None, words[0], "x", "s"), (None, words[1], "x", "s"), (1, words[2], "x", "s"), (1, words[3], "x", "s"), (7, words[2], "y", "s"), (7, words[3], "y", "s"), (None, words[3], "z", "s"), (1, words[2], "x", "s")]
+    kept = simhash.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(r.text for r in kept) == words
+    assert {r.text: r.doc_id for r in kept} == {words[0]: None, words[1]: None, words[2]: 1, words[3]: 1}
