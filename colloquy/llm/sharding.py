@@ -92,10 +92,22 @@ def shard(docs: DataFrame, limit: int = 8 << 20, key: str = "doc_id") -> DataFra
 
 
 def write_shards(docs: DataFrame, assignment: DataFrame, path: str) -> None:
-    """Write the documents as one Parquet directory per shard and part."""
-    where = assignment.select("doc_id", "shard", "part")
-    rows = docs.join(where, "doc_id").repartition("shard", "part")
-    rows.write.partitionBy("shard", "part").parquet(path)
+    """Write the documents as one Parquet directory per shard and part, each row once.
+
+    Rows that share doc_id and bytes fill the places that the assignment has for
+    them in any order: all their places are of one size. Where the key isn't
+    doc_id, such rows have to share the key too.
+    """
+    same = Window.partitionBy("_id", "_bytes")
+    where = assignment.select(F.col("doc_id").alias("_id"), F.col("bytes").alias("_bytes"), "shard", "part")
+    where = where.withColumn("_n", F.row_number().over(same.orderBy("shard", "part")))
+    keyed = docs.withColumn("_id", F.col("doc_id")).withColumn("_bytes", byte_count(F.col("text")))
+    # The table's own columns stay under one name, whatever they are called.
+    keyed = keyed.select("_id", "_bytes", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).withColumn("_k", F.row_number().over(same.orderBy(F.lit(0))))
+    where = where.withColumnsRenamed({"_id": "_wid", "_bytes": "_wbytes"})
+    rows = keyed.join(where, F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_bytes") == F.col("_wbytes")) & (F.col("_k") == F.col("_n")))
+    own = [F.col("_row").getField(c).alias(c) for c in docs.columns]
+    rows.select(*own, "shard", "part").repartition("shard", "part").write.partitionBy("shard", "part").parquet(path)
 
 
 ORACLE = f"""

@@ -57,3 +57,15 @@ def test_written_shards(spark, tmp_path):
 def test_no_python_in_the_plan(spark, sf):
     plan = sharding.shard(spark.read.parquet(f"{sf}/documents.parquet"), 10_000)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_written_shards_hold_null_and_repeated_ids_once(spark, tmp_path):
+    rows = [(7, "z" * 30)] * 20 + [(7, "y" * 30), (7, "z" * 90), (None, "n" * 40), (None, "m" * 40), (None, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sharding.write_shards(docs, sharding.shard(docs, 100), str(tmp_path / "out"))
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(rows, key=str)
+    total = {}
+    for r in got:
+        total[r.shard, r.part] = total.get((r.shard, r.part), 0) + len(r.text or "")
+    assert max(total.values()) <= 100
