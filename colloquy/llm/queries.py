@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, descent, importance, media, mixing, packing, sharding, simhash, suffix, token_counts
+from .store import Store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +28,8 @@ def op3_suffix(spark, sf_dir):
 
 
 def op4_media(spark, sf_dir):
-    return media.digests(media.store_media(_table(spark, sf_dir, "documents")))
+    stored = Store(spark, "media").save(media.store_media(_table(spark, sf_dir, "documents")))
+    return media.digests(stored)
 
 
 def op5_descent(spark, sf_dir):

@@ -157,3 +157,10 @@ def test_query_and_edges(spark):
     assert [len(t.rgb) for t in tensors] == [3 * t.height * t.width for t in tensors]
     assert bytes(tensors[4].payload) == media.payload("é" * 4000)[0]
     assert media.digests(media.store_media(spark.createDataFrame([], SCHEMA))).collect() == []
+
+
+def test_query_reads_the_files_back_from_a_table(spark, sf):
+    from colloquy.llm import queries
+
+    files = queries.op4_media(spark, sf).inputFiles()
+    assert files and all("/media-" in f for f in files)
