@@ -14,16 +14,17 @@ from pyspark.sql import functions as F
 from .store import Store
 
 
-def _large_star(edges: DataFrame, store: Store) -> DataFrame:
+def _round(edges: DataFrame, store: Store) -> DataFrame:
+    """One large star and one small star; frees edges and what it makes on the way."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = store.save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-    return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-
-
-def _small_star(edges: DataFrame, store: Store) -> DataFrame:
-    least = store.save(edges.groupBy("u").agg(F.min("v").alias("m")))
-    moved = edges.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v")))
+    large = store.save(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
+    store.free(edges, least)
+    least = store.save(large.groupBy("u").agg(F.min("v").alias("m")))
+    moved = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    small = store.save(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+    store.free(large, least)
+    return small
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -40,10 +41,8 @@ def components(edges: DataFrame, store: Store) -> DataFrame:
     now = store.save(pairs)
     seen = _state(now)
     while seen[0]:
-        after = store.save(_small_star(store.save(_large_star(now, store)), store).distinct())
-        state = _state(after)
-        store.free(now)
-        now = after
+        now = _round(now, store)
+        state = _state(now)
         if state == seen:
             break
         seen = state

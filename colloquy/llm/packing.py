@@ -2,16 +2,21 @@
 
 Texts become token ids followed by an end id. Only texts above the capacity
 are cut, into pieces of it; whole pieces are sequences of their own. The rest
-is dealt into shards of about SHARD pieces, and each shard is solved by
+is dealt into shards of SHARD pieces at most, and each shard is solved by
 ISLANDS populations side by side. A solution is a list of bins. Crossover
 injects whole well-filled bins of one parent into the other, takes out the
 bins that then hold a piece twice and best-fits the pieces displaced; mutation
-empties some of the poorest bins the same way. After each epoch an island's
-elite moves to the next island. A shard that reaches its lower bound stops.
-
-Bins of a solved shard that are not nearly full are emptied, and what was in
-them is dealt into fewer shards and packed again, level by level, until one
-shard holds it: poorly filled bins don't add up over the shards.
+empties some of the poorest bins the same way. Populations live through all
+epochs; after each an island's elite joins the next island. A shard that
+reaches its lower bound stops.
+
+A bin is settled if what it has free is below SLACK or below the smallest piece
+still about, or if it is another than the worst of a shard that reached its
+lower bound. What lies in the others is dealt anew into fewer shards and packed
+again, level by level: poorly filled bins don't add up over the shards. Levels
+end when nothing is left, when one shard was enough, or when less than a
+quarter of the pieces got settled; then bins stay as they are. No task ever
+holds more than the pieces of one shard at a time.
 
 Edge cases: a null text is empty and packs as the end id alone; repeated rows
 are documents of their own; an empty table gives an empty result; other
@@ -28,24 +33,29 @@ from bisect import bisect_left, insort
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .columns import map_batches
+from .columns import lean, map_batches
 from .store import Store
 
 CAPACITY = 4096
 END_ID = 1
-SHARD = 1024
+#: Pieces of a shard at most, and on average: pieces are dealt by hash, and ten deviations lie between the two.
+SHARD, DEALT = 1024, 3 / 4
 ISLANDS = 3
-EPOCHS = 2
-GENERATIONS = 5
-POPULATION = 4
+EPOCHS = 4
+GENERATIONS = 6
+POPULATION = 6
 #: Free tokens up to which a bin counts as full.
 SLACK = 32
-#: Words that a worker remembers.
-MEMO = 1_000_000
+#: Bytes that a worker's memos of words and of their parts may take.
+MEMO, PARTS_MEMO = 48 << 20, 16 << 20
+#: Bytes of an entry beside its key and value: a slot of the table, and what objects take themselves.
+_ENTRY = 190
+#: Rows that a task hands on together.
+_HANDED = 20_000
 
 # --- tokens ---------------------------------------------------------------
 
@@ -61,12 +71,35 @@ _ALPHABET = {b: 256 + k for k, b in enumerate(sorted(set(range(256)) - _SHOWN))}
 _PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-class Words(dict):
-    """Ids of words, as bytes, worked out when a word is first met.
+class Memo(dict):
+    """Values by key, worked out when a key is first met, in a bounded number of bytes.
+
+    Entries are held in two generations: when the young one has grown to half
+    the bound it becomes the old one, and what was old and hasn't been used
+    since is forgotten.
+    """
+
+    def __init__(self, work, limit: int):
+        self.work, self.half, self.bytes, self.old = work, limit // 2, 0, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.work(key)
+        self.bytes += _ENTRY + (1 if key.isascii() else 4) * len(key) + len(value)
+        if self.bytes > self.half:
+            self.old, self.bytes = dict(self), 0
+            self.clear()
+        self[key] = value
+        return value
+
+
+class Words:
+    """Ids of words, as bytes.
 
     A word of Latin characters, whose normal form is its lower case, is split
-    here and its parts go to the tokenizer's model, each once; other words go
-    through the whole tokenizer.
+    here and its parts go to the tokenizer's model; other words go through the
+    whole tokenizer.
     """
 
     def __init__(self, tokenizer):
@@ -76,25 +109,20 @@ class Words(dict):
         self.latin = re.compile("[!-~\xa1-\xac\xae-\u012f\u0131-\u024f]+").fullmatch
         self.split = regex.compile(_PARTS).findall
         self.packed = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
-        self.parts: dict[str, bytes] = {}
+        self.parts = Memo(self._part, PARTS_MEMO)
+        self.ids = Memo(self._word, MEMO)
 
     def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            shown = part if part.isascii() else part.encode().decode("latin-1").translate(_ALPHABET)
-            packed = self.packed
-            ids = self.parts[part] = b"".join([packed[t.id] for t in self.model.tokenize(shown)])
-        return ids
-
-    def __missing__(self, word: str) -> bytes:
+        shown = part if part.isascii() else part.encode().decode("latin-1").translate(_ALPHABET)
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(shown)])
+
+    def _word(self, word: str) -> bytes:
         if not self.latin(word) or "<|" in word:
-            ids = np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        elif word.isalpha():
-            ids = self._part(word.lower())
-        else:
-            ids = b"".join(map(self._part, self.split(word.lower())))
-        self[word] = ids
-        return ids
+            return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if word.isalpha():
+            return self.parts[word.lower()]
+        return b"".join(map(self.parts.__getitem__, self.split(word.lower())))
 
 
 class Encoder:
@@ -112,10 +140,7 @@ class Encoder:
         end = END_ID.to_bytes(4, "little")
         if any(c in text for c in _ODD):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + end
-        if len(self.words) > MEMO:
-            self.words.clear()
-            self.words.parts.clear()
-        return b"".join(map(self.words.__getitem__, text.split())) + end
+        return b"".join(map(self.words.ids.__getitem__, text.split())) + end
 
 
 def encoder(tokenizer_file: str) -> Encoder:
@@ -127,21 +152,22 @@ def encoder(tokenizer_file: str) -> Encoder:
 def pieces(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY) -> DataFrame:
     """Rows (uid, doc_id, piece, start, length, ids_crc32); uid is unique but not the same in every run."""
 
+    names = ["uid", "doc_id", "piece", "start", "length", "ids_crc32"]
+
     def run(batches):
         tokens = encoder(tokenizer_file)
-        uid = TaskContext.get().partitionId() << 33
+        uid, rows = TaskContext.get().partitionId() << 33, []
         for batch in batches:
-            rows, of = [], []
-            for k, text in enumerate(batch["text"]):
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 data = tokens.encode("" if text is None else text)
                 for piece, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
-                    rows.append((uid, piece, at // 4, len(part) // 4, zlib.crc32(part)))
-                    of.append(k)
+                    rows.append((uid, doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part)))
                     uid += 1
-            out = pd.DataFrame(rows, columns=["uid", "piece", "start", "length", "ids_crc32"])
-            out.insert(1, "doc_id", batch["doc_id"].iloc[of].reset_index(drop=True))
-            yield out
+                if len(rows) >= _HANDED:
+                    yield pd.DataFrame(rows, columns=names)
+                    rows = []
+        yield pd.DataFrame(rows, columns=names)
 
     schema = StructType().add("uid", "long").add(docs.schema["doc_id"])
     for name, kind in (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids_crc32", "long")):
@@ -212,15 +238,17 @@ class Shard:
         return self._refit([list(b) for k, b in enumerate(order) if k not in gone], displaced)
 
     def evolve(self, population: list[Bins], rng: np.random.Generator) -> list[Bins]:
-        """GENERATIONS of crossover and mutation; best first."""
+        """GENERATIONS of crossover and mutation; best first, none twice as good as another."""
         ranked = sorted(population, key=self.fitness, reverse=True)
         for _ in range(GENERATIONS):
             if len(ranked[0]) <= self.bound:
                 break
             a, b = rng.choice(len(ranked), 2, replace=False) if len(ranked) > 1 else (0, 0)
             children = [self.cross(ranked[a], ranked[b], rng), self.cross(ranked[b], ranked[a], rng)]
-            children.append(self.mutate(ranked[0], rng))
-            ranked = sorted(ranked + children, key=self.fitness, reverse=True)[:POPULATION]
+            children += [self.mutate(ranked[0], rng), self.mutate(ranked[int(rng.integers(len(ranked)))], rng)]
+            # Of equally fit solutions one stays: a population of copies has nothing to cross.
+            fit = {self.fitness(c): c for c in children + ranked}
+            ranked = [fit[f] for f in sorted(fit, reverse=True)[:POPULATION]]
         return ranked
 
 
@@ -236,55 +264,70 @@ def _bins(genome: np.ndarray) -> Bins:
     return [part.tolist() for part in np.split(order, np.flatnonzero(np.diff(genome[order])) + 1)]
 
 
+_STATE = "shard long, island int, lengths array<int>, population array<array<int>>, n_bins int, first_bins int, bound int"
+
+
 def _island(seed: int, capacity: int, epoch: int):
-    """One epoch of islands: rows (shard, island, lengths, elite, migrant) in, (…, elite, n_bins, bound) out."""
+    """One epoch of islands: rows of _STATE and a migrant in, rows of _STATE out, fittest of the population first."""
 
     def run(batches):
         for batch in batches:
             rows = []
-            for shard, island, lengths, elite, migrant in batch[["shard", "island", "lengths", "elite", "migrant"]].itertuples(index=False):
+            for shard, island, lengths, held, migrant, first in batch[["shard", "island", "lengths", "population", "migrant", "first_bins"]].itertuples(index=False):
                 work = Shard(np.asarray(lengths), capacity)
                 rng = np.random.default_rng([seed, epoch, island, shard & 0xFFFFFFFF])
-                if elite is None:
+                if epoch == 0:
                     population = [work.first(rng, 0.0 if island == 0 else 0.02)]
+                    if len(population[0]) > work.bound:
+                        population += [work.first(rng, 0.05 * (k + 1)) for k in range(POPULATION - 1)]
+                    first = min(map(len, population))
                 else:
-                    population = [_bins(np.asarray(elite))] + ([_bins(np.asarray(migrant))] if migrant is not None else [])
+                    population = [_bins(np.asarray(g)) for g in held] + [_bins(np.asarray(migrant))]
                 if min(map(len, population)) > work.bound:
-                    population += [work.first(rng, 0.05 * (k + 1)) for k in range(POPULATION - len(population))]
                     population = work.evolve(population, rng)
-                best = max(population, key=work.fitness)
-                rows.append((shard, island, lengths, _genome(best, len(lengths)), len(best), work.bound))
-            yield pd.DataFrame(rows, columns=["shard", "island", "lengths", "elite", "n_bins", "bound"])
+                population = sorted(population, key=work.fitness, reverse=True)
+                rows.append((shard, island, lengths, [_genome(p, len(lengths)) for p in population], len(population[0]), first, work.bound))
+            yield pd.DataFrame(rows, columns=["shard", "island", "lengths", "population", "n_bins", "first_bins", "bound"])
 
     return run
 
 
-_STATE = "shard long, island int, lengths array<int>, elite array<int>, n_bins int, bound int"
-
-
 def solve(shards: DataFrame, store: Store, capacity: int, seed: int = 3) -> DataFrame:
-    """Rows (shard, elite) for shards (shard, lengths): bin numbers by place, from the best island."""
-    islands = shards.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])))
-    nothing = F.lit(None).cast("array<int>")
-    state = islands.withColumn("elite", nothing).withColumn("migrant", nothing)
-    finished = None
+    """Rows (shard, elite, n_bins, first_bins, bound) for shards (shard, lengths).
+
+    elite holds bin numbers by place, from the best island; first_bins is the
+    best that best fit alone found. Shards at their bound leave the epochs.
+    """
+    columns = {"population": F.lit(None).cast("array<array<int>>"), "migrant": F.lit(None).cast("array<int>"), "first_bins": F.lit(0)}
+    state = shards.withColumn("island", F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)]))).withColumns(columns)
+    solved = None
     for epoch in range(EPOCHS):
-        state = store.save(state.repartition("shard", "island").mapInPandas(_island(seed, capacity, epoch), _STATE))
-        finished = state
-        if epoch == EPOCHS - 1 or state.filter("n_bins > bound").isEmpty():
+        # An island's population travels with it: the same number of small rows each time, whatever the input.
+        state = store.save(state.repartition("shard", "island").mapInPandas(lean(_island(seed, capacity, epoch)), _STATE))
+        best = state.groupBy("shard").agg(
+            F.min_by(F.get("population", F.lit(0)), F.struct("n_bins", "island")).alias("elite"),
+            F.min("n_bins").alias("n_bins"),
+            F.min("first_bins").alias("first_bins"),
+            F.min("bound").alias("bound"),
+        )
+        best = store.save(best)
+        done = best if epoch == EPOCHS - 1 else best.filter("n_bins <= bound")
+        solved = done if solved is None else solved.unionByName(done)
+        open_ = best.filter("n_bins > bound").select("shard")
+        if epoch == EPOCHS - 1 or open_.isEmpty():
             break
         # The elite of each island goes to the next one.
-        moved = state.select("shard", ((F.col("island") + 1) % ISLANDS).alias("island"), F.col("elite").alias("migrant"))
-        state = state.join(moved, ["shard", "island"])
-    return finished.groupBy("shard").agg(F.min_by("elite", F.struct("n_bins", "island")).alias("elite"))
+        moved = state.select("shard", ((F.col("island") + 1) % ISLANDS).alias("island"), F.get("population", F.lit(0)).alias("migrant"))
+        state = state.join(open_, "shard", "left_semi").join(moved, ["shard", "island"])
+    return solved
 
 
-def _explained(capacity: int, last: bool):
-    """Rows (uid, length, sequence_id, offset, full) of solved shards."""
+def _explained(capacity: int, least: int):
+    """Rows (uid, length, sequence_id, offset, settled) of solved shards; least is the smallest piece about."""
 
     def run(batches):
         for batch in batches:
-            for uids, lengths, elite in zip(batch["uids"], batch["lengths"], batch["elite"]):
+            for uids, lengths, elite, bound in zip(batch["uids"], batch["lengths"], batch["elite"], batch["bound"]):
                 uids, lengths, genome = np.asarray(uids), np.asarray(lengths, np.int64), np.asarray(elite)
                 order = np.argsort(genome, kind="stable")
                 sizes = lengths[order]
@@ -294,36 +337,40 @@ def _explained(capacity: int, last: bool):
                 which = np.cumsum(first) - 1
                 offset = ends - sizes - (ends - sizes)[begin][which]
                 fill = np.add.reduceat(sizes, begin)
-                full = (fill >= capacity - SLACK) | last
-                yield pd.DataFrame({"uid": uids[order], "length": sizes, "sequence_id": uids[order][begin][which], "offset": offset, "full": full[which]})
+                settled = (capacity - fill <= SLACK) | (capacity - fill < least)
+                if len(begin) <= bound:
+                    settled |= np.arange(len(begin)) != np.argmin(fill)
+                yield pd.DataFrame({"uid": uids[order], "length": sizes, "sequence_id": uids[order][begin][which], "offset": offset, "settled": settled[which]})
 
     return run
 
 
+def deal(items: DataFrame, n: int, level: int) -> DataFrame:
+    """Rows (shard, uids, lengths) that deal n items (uid, length) into shards of SHARD at most."""
+    count = 1 if n <= SHARD else -(-n // int(SHARD * DEALT))
+    shard: Column = F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(count)) if count > 1 else F.lit(0).cast("long")
+    members = F.sort_array(F.collect_list(F.struct("uid", F.col("length").cast("int").alias("length"))))
+    shards = items.groupBy(shard.alias("shard")).agg(members.alias("m"))
+    return shards.select("shard", F.col("m.uid").alias("uids"), F.col("m.length").alias("lengths"))
+
+
 def assign(items: DataFrame, store: Store, capacity: int = CAPACITY, seed: int = 3) -> DataFrame:
     """Rows (uid, sequence_id, offset) for items (uid, length), all below the capacity."""
     done, level = None, 0
     items = items.select("uid", "length")
-    n = items.count()
     while True:
-        count = max(1, -(-n // SHARD))
-        shard = F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(count)) if count > 1 else F.lit(0).cast("long")
-        members = F.sort_array(F.collect_list(F.struct("uid", F.col("length").cast("int").alias("length"))))
-        shards = items.groupBy(shard.alias("shard")).agg(members.alias("m"))
-        shards = store.save(shards.select("shard", F.col("m.uid").alias("uids"), F.col("m.length").alias("lengths")))
+        n, least = items.agg(F.count(F.lit(1)), F.min("length")).first()
+        shards = store.save(deal(items, n, level))
         solved = solve(shards.select("shard", "lengths"), store, capacity, seed + level)
-        rows = shards.join(solved, "shard").select("uids", "lengths", "elite")
-        rows = store.save(rows.mapInPandas(_explained(capacity, count == 1), "uid long, length long, sequence_id long, offset long, full boolean"))
-        some = rows.filter("full").select("uid", "sequence_id", "offset")
+        rows = shards.join(solved.select("shard", "elite", "bound"), "shard").select("uids", "lengths", "elite", "bound")
+        rows = store.save(rows.mapInPandas(lean(_explained(capacity, least or 0)), "uid long, length long, sequence_id long, offset long, settled boolean"))
+        left = rows.filter("NOT settled").count()
+        last = n <= SHARD or left == 0 or 4 * (n - left) < n
+        some = (rows if last else rows.filter("settled")).select("uid", "sequence_id", "offset")
         done = some if done is None else done.unionByName(some)
-        if count == 1:
-            return done
-        items = rows.filter("NOT full").select("uid", "length")
-        left = items.count()
-        if left == 0:
+        if last:
             return done
-        # Where little gets full, the next level is smaller all the same, so that levels end.
-        n, level = min(left, n // 2), level + 1
+        items, level = rows.filter("NOT settled").select("uid", "length"), level + 1
 
 
 def pack(docs: DataFrame, tokenizer_file: str, capacity: int = CAPACITY, seed: int = 3) -> DataFrame:

@@ -78,6 +78,38 @@ def test_migration_and_levels(spark, monkeypatch):
     assert len(bins) <= len(plain.first(rng, 0)) * 1.03
 
 
+def test_memo_forgets_within_its_bound():
+    made = []
+    memo = packing.Memo(lambda k: made.append(k) or k.encode(), 100 * (packing._ENTRY + 6))
+    for k in range(1000):
+        assert memo["hot"] == b"hot" and memo[f"{k:03d}"] == f"{k:03d}".encode()
+        assert len(memo) + len(memo.old) <= 104
+    assert made.count("hot") == 1 and len(made) == 1001
+
+
+def test_shards_stay_small_where_no_two_pieces_fit(spark):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(k, int(x)) for k, x in enumerate(rng.integers(2100, 4000, 20_000))], "uid long, length long")
+    sizes = [len(r.uids) for r in packing.deal(df, 20_000, 0).collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= packing.SHARD
+    store = Store(spark, "t")
+    got = packing.assign(df, store).collect()
+    assert len({r.sequence_id for r in got}) == 20_000
+    # All of it was settled at the first level: nothing was dealt again.
+    assert store._n <= 2 + 2 * packing.EPOCHS
+
+
+def test_evolution_gains_bins(spark):
+    lengths = np.random.default_rng(7).integers(1100, 2000, 900)
+    shards = spark.createDataFrame([(0, lengths.tolist())], "shard long, lengths array<int>")
+    row = packing.solve(shards, Store(spark, "t"), 4096).first()
+    assert row.bound <= row.n_bins < row.first_bins
+    plain = packing.Shard(lengths, 4096)
+    assert row.first_bins <= len(plain.first(np.random.default_rng(0), 0))
+    fill = np.bincount(np.asarray(row.elite), weights=lengths)
+    assert len(fill) == row.n_bins and fill.max() <= 4096
+
+
 def test_edges(spark):
     docs = [(1, None), (2, ""), (None, "nobody"), (3, "word " * 9000), (3, "word " * 9000), (4, "w " * 4095), (5, "w " * 4096)]
     df = spark.createDataFrame([(*d, "u", "l") for d in docs], SCHEMA)
