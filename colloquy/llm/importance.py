@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import map_batches
+from .columns import held, id_text, lean, map_batches, released
 from .store import Store
 
 UNI, BI, TRI = 1 << 16, 1 << 15, 1 << 15
@@ -101,7 +101,7 @@ def _counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     # At most MAX_LABELS ids of labelled rows: a bounded broadcast.
     kinds = docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id", "left").select("text", F.coalesce("kind", F.lit(0)).alias("kind"))
-    parts = kinds.mapInPandas(run, schema)
+    parts = kinds.mapInPandas(lean(run), schema)
     return parts.groupBy("place").agg(*[F.sum(n).alias(n) for n in _KINDS])
 
 
@@ -211,6 +211,7 @@ def resample(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, s
 
 
 def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, all columns, that the sample holds."""
-    kept = resample(docs, labels).filter("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest")), "left_semi")
+    """The documents, all columns, that the sample holds; rows of one id and text stay or go together."""
+    kept = resample(docs, labels).filter("kept").select(id_text(F.col("doc_id")).alias("id"), "digest").distinct()
+    rows = held(docs, id=id_text(F.col("doc_id")), digest=F.xxhash64("text"))
+    return released(rows.join(kept, ["id", "digest"], "left_semi"), docs.columns)

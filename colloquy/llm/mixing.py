@@ -8,7 +8,8 @@ other goes on. Each duel keeps the pair's words and every document's
 expectation, so a source misses its target by less than one document. Buckets
 of a source are reduced side by side, and what each leaves meets in a tree.
 
-Edge cases: a null text has size 0 and is never taken; a null source is a
+Edge cases: a null text has size 0 and is never taken (nor is any other text
+without words); a null source is a
 source, last in order; an empty table gives an empty result; repeated rows are
 documents of their own; columns other than those named are ignored.
 """
@@ -19,35 +20,52 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import word_count
+from .columns import held, id_text, released, row_hash, word_count
 from .store import Store
 
 #: Documents of one source that one task reduces at a time.
 FAN = 512
 
 
-def source_targets(stats: DataFrame, weights=(1, 2, 3), share: float = 1.0, max_repeat: int = 3) -> DataFrame:
-    """Targets of sources (source, source_size, n_docs), one row per source.
+def source_targets(stats: DataFrame, store: Store, weights=(1, 2, 3), share: float = 1.0, max_repeat: int = 3) -> DataFrame:
+    """Targets of sources (source, source_size, n_docs), one row per source, without bringing the sources together.
 
-    Weights repeat over the sources in code-point order, null last. A target
+    Weights repeat over the sources in code-point order, null last: places come
+    from a range partitioning and the row counts of its partitions. A target
     stops at max_repeat times its source; the excess goes to the others by
-    weight. With caps taken in order of cap / weight, the level that fills the
-    rest is the largest of the levels that each prefix of caps would leave.
+    weight. The level, a target per weight, rises from none capped: each step
+    caps the sources that it overflows and shares what they leave, and it ends
+    when a step caps no more, after a few steps. Sums are of whole numbers, so
+    reruns agree to the last bit.
     """
-    place = Window.orderBy(F.col("source").asc_nulls_last())
+    order = F.col("source").asc_nulls_last()
+    ranged = stats.repartitionByRange(order).sortWithinPartitions(order).withColumn("at", F.monotonically_increasing_id())
+    ranged = store.save(ranged)
+    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    before, offsets = 0, []
+    for r in ranged.groupBy(part.alias("part")).count().orderBy("part").collect():
+        offsets.append((r["part"], before))
+        before += r["count"]
+    # A row for each partition of the exchange, whatever the number of sources.
+    offsets = stats.sparkSession.createDataFrame(offsets, "part long, before long")
+    numbered = ranged.withColumn("part", part).join(F.broadcast(offsets), "part").withColumn("kind", ((F.col("before") + place) % len(weights)).cast("int"))
     listed = F.array(*[F.lit(float(w)) for w in weights])
-    ranked = stats.withColumn("weight", F.get(listed, ((F.row_number().over(place) - 1) % len(weights)).cast("int")))
-    ranked = ranked.withColumn("cap", F.col("source_size").cast("double") * max_repeat)
-    order = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    everything = Window.partitionBy()
-    before = F.coalesce(F.sum("cap").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    wanted = F.sum("source_size").over(everything) * F.lit(float(share))
-    levels = ranked.withColumn("level", (wanted - before) / F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)))
-    target = F.greatest(F.lit(0.0), F.least("cap", F.max("level").over(everything) * F.col("weight")))
-    return levels.withColumn("target", target).select("source", "source_size", "n_docs", "target")
+    ranked = store.save(numbered.select("source", "source_size", "n_docs", F.get(listed, "kind").alias("weight"), "kind"))
+    total = ranked.agg(F.sum("source_size")).first()[0] or 0
+    cap, wanted, level, seen = F.col("source_size").cast("double") * max_repeat, total * float(share), 0.0, -1
+    while True:
+        full = F.lit(False) if seen < 0 else (cap <= F.lit(level) * F.col("weight"))
+        sums = ranked.groupBy(full.alias("full"), "kind").agg(F.sum("source_size").alias("size"), F.count(F.lit(1)).alias("n")).collect()
+        capped, n_capped = (sum(r[c] for r in sums if r["full"]) for c in ("size", "n"))
+        free = sum(r["n"] * float(weights[r["kind"]]) for r in sums if not r["full"])
+        if n_capped == seen or not sums:
+            break
+        seen = n_capped
+        level = (wanted - capped * float(max_repeat)) / free if free else float("inf")
+    return ranked.select("source", "source_size", "n_docs", F.least(cap, F.lit(level) * F.col("weight")).alias("target"))
 
 
 def duel_all(sizes: np.ndarray, mass: np.ndarray, draws: np.ndarray) -> tuple[np.ndarray, int]:
@@ -83,7 +101,7 @@ def duel_all(sizes: np.ndarray, mass: np.ndarray, draws: np.ndarray) -> tuple[np
 
 def _reducer(level: int, last: bool, seed: int):
     def reduce(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "size", "mass"], kind="stable", na_position="last").reset_index(drop=True)
+        group = group.sort_values(["doc_id", "size", "own", "nth"], kind="stable", na_position="last").reset_index(drop=True)
         source = group["source"].iloc[0]
         name = zlib.crc32(b"-" if source is None else b"+" + source.encode())
         rng = np.random.default_rng([seed, level, int(group["bucket"].iloc[0]), name])
@@ -103,18 +121,21 @@ def _reducer(level: int, last: bool, seed: int):
 
 
 def mix(docs: DataFrame, weights=(1, 2, 3), share: float = 1.0, max_repeat: int = 3, seed: int = 17) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken, copies, source."""
+    """One row per document: doc_id, size, source_size, target, taken, copies, source, and own, the hash of its row."""
     store = Store(docs.sparkSession, "mix")
-    sized = store.save(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), row_hash(docs).alias("own"))
+    # Rows that are the same in every column are counted and numbered, so each has a name and reruns agree.
+    same = sized.groupBy("doc_id", "source", "size", "own").agg(F.count(F.lit(1)).alias("times"))
+    sized = store.save(same.withColumn("nth", F.explode(F.expr("sequence(1L, times)"))).drop("times"))
     stats = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
-    targets = store.save(source_targets(stats, weights, share, max_repeat))
+    targets = store.save(source_targets(stats, store, weights, share, max_repeat))
     largest = targets.agg(F.max("n_docs")).first()[0] or 0
 
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     open_rows = (
         sized.alias("d")
         .join(targets.alias("t"), F.col("d.source").eqNullSafe(F.col("t.source")))
-        .select(F.col("d.doc_id").cast("string").alias("doc_id"), "d.source", "d.size", "t.source_size", "t.target", F.col("t.n_docs").alias("n"), rate.alias("rate"))
+        .select(F.col("d.doc_id").cast("string").alias("doc_id"), "d.source", "d.size", "d.own", "d.nth", "t.source_size", "t.target", F.col("t.n_docs").alias("n"), rate.alias("rate"))
         .withColumn("copies", F.when(F.col("size") > 0, F.floor("rate")).otherwise(F.lit(0)).cast("long"))
         .withColumn("mass", (F.col("rate") - F.floor("rate")) * F.col("size"))
         .drop("rate")
@@ -123,8 +144,9 @@ def mix(docs: DataFrame, weights=(1, 2, 3), share: float = 1.0, max_repeat: int
     while True:
         last = largest <= FAN
         buckets = F.ceil(F.col("n") / F.lit(float(FAN))).cast("long")
-        keyed = open_rows.withColumn("n", F.greatest(buckets, F.lit(1))).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", F.lit(level)), F.col("n")))
-        schema = "doc_id string, source string, size long, source_size long, target double, n long, copies long, mass double, bucket long, open boolean"
+        spread = F.xxhash64("doc_id", "size", "own", "nth", F.lit(level))
+        keyed = open_rows.withColumn("n", F.greatest(buckets, F.lit(1))).withColumn("bucket", F.pmod(spread, F.col("n")))
+        schema = "doc_id string, source string, size long, own long, nth long, source_size long, target double, n long, copies long, mass double, bucket long, open boolean"
         done = keyed.groupBy("source", "bucket").applyInPandas(_reducer(level, last, seed), schema)
         if not last:
             done = store.save(done)
@@ -136,14 +158,16 @@ def mix(docs: DataFrame, weights=(1, 2, 3), share: float = 1.0, max_repeat: int
     result = settled[0]
     for more in settled[1:]:
         result = result.unionByName(more)
-    return result.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source")
+    return result.select(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "source", "own")
 
 
 def apply_mix(docs: DataFrame, plan: DataFrame) -> DataFrame:
-    """The documents of a plan, each as often as it is taken; rows that share a doc_id are matched in order of size."""
-    columns = docs.columns
-    nth = Window.partitionBy("_id").orderBy("_size")
-    left = docs.withColumn("_id", F.col("doc_id")).withColumn("_size", word_count(F.col("text"))).withColumn("_nth", F.row_number().over(nth))
-    right = plan.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("copies").alias("_copies")).withColumn("_nth", F.row_number().over(nth))
-    joined = left.alias("l").join(right.filter("_copies > 0").alias("r"), F.col("l._id").eqNullSafe(F.col("r._id")) & (F.col("l._nth") == F.col("r._nth")))
-    return joined.select(*[F.col(f"l.`{c}`") for c in columns], F.explode(F.sequence(F.lit(1), F.col("r._copies"))).alias("_copy")).drop("_copy")
+    """The documents, all columns, each as often as its plan takes it; plan is of mix() over the same documents.
+
+    Rows that are the same in every column go together: one of them is written
+    as often as the plan takes all of them.
+    """
+    taken = plan.groupBy(id_text(F.col("doc_id")).alias("id"), "own").agg(F.sum("copies").alias("times")).filter("times > 0")
+    rows = held(docs, id=id_text(F.col("doc_id")), own=row_hash(docs))
+    rows = rows.groupBy("id", "own").agg(F.first("row").alias("row")).join(taken, ["id", "own"])
+    return released(rows.select("row", F.explode(F.expr("sequence(1L, times)"))), docs.columns)

@@ -26,10 +26,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import map_batches
+from .columns import held, id_text, lean, map_batches, released, row_hash
 from .components import components
 from .store import Store
 
@@ -207,7 +207,7 @@ def trie_links(classes: DataFrame, budget: int, cell: int = 2048) -> DataFrame:
         if rest is not None and len(rest):
             yield _forest_of(rest, budget)
 
-    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(run, "a long, b long")
+    return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(lean(run), "a long, b long")
 
 
 def _rooted(docs: DataFrame, width: int, budget: int, seed: int) -> DataFrame:
@@ -231,13 +231,19 @@ def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, seed: int
 
 
 def first_of_each(docs: DataFrame, rooted: DataFrame) -> DataFrame:
-    """One document of each root in rooted (doc_id, digest, root), all columns: smallest doc_id, nulls last, then digest."""
+    """One document of each root in rooted (doc_id, digest, root), all columns.
+
+    It is the one with the smallest doc_id, nulls last, then the smallest
+    digest of its text, then the smallest hash of all its columns; of rows
+    that agree in all of these one stays.
+    """
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("least")
     # A digest has one root, so no two roots choose the same id and digest.
-    first = rooted.groupBy("root").agg(least).select(F.col("least.doc_id").alias("_id"), F.col("least.digest").alias("_digest"))
-    rows = docs.join(first, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest")))
-    once = F.row_number().over(Window.partitionBy("_id", "_digest").orderBy(F.lit(0)))
-    return rows.withColumn("_n", once).filter("_n = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    first = rooted.groupBy("root").agg(least).select(id_text(F.col("least.doc_id")).alias("id"), F.col("least.digest").alias("digest"))
+    rows = held(docs, id=id_text(F.col("doc_id")), digest=F.xxhash64("text"), own=row_hash(docs))
+    # Partial minimums meet before the shuffle, so a row that is repeated very often is no load.
+    chosen = rows.join(first, ["id", "digest"], "left_semi").groupBy("id", "digest").agg(F.min_by("row", "own").alias("row"))
+    return released(chosen, docs.columns)
 
 
 def keep_first(docs: DataFrame, width: int = 4, budget: int = 4) -> DataFrame:
