@@ -6,9 +6,9 @@ from pyspark.sql import SparkSession
 
 #: name(arguments) -> (type, SQL over the arguments).
 FUNCTIONS = {
-    "token_estimate(t STRING)": ("BIGINT", r"CAST(greatest(1, floor(length(regexp_replace(t, r'(?U)\s+', ' ')) / 4)) AS BIGINT)"),
-    "words_of(t STRING)": ("ARRAY<STRING>", r"filter(split(t, r'(?U)\s+'), w -> w <> '')"),
-    "sentences_of(t STRING)": ("ARRAY<STRING>", r"filter(transform(split(t, r'(?U)(?<=[.?!])\s+'), s -> regexp_replace(s, r'(?U)^\s+|\s+$', '')), s -> s <> '')"),
+    "token_estimate(t STRING)": ("BIGINT", r"CAST(greatest(1, floor(length(regexp_replace(t, r'(?U)[\s\x1C-\x1F]+', ' ')) / 4)) AS BIGINT)"),
+    "words_of(t STRING)": ("ARRAY<STRING>", r"filter(split(t, r'(?U)[\s\x1C-\x1F]+'), w -> w <> '')"),
+    "sentences_of(t STRING)": ("ARRAY<STRING>", r"filter(transform(split(t, r'(?U)(?<=[.?!])[\s\x1C-\x1F]+'), s -> regexp_replace(s, r'(?U)^[\s\x1C-\x1F]++|(?<![\s\x1C-\x1F])[\s\x1C-\x1F]++$', '')), s -> s <> '')"),
     "placeholder_id(t STRING)": ("STRING", "substring(sha2(t, 256), 1, 11)"),
     "cosine(a ARRAY<DOUBLE>, b ARRAY<DOUBLE>)": (
         "DOUBLE",

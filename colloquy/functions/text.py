@@ -10,17 +10,23 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE = r"(?U)\s+"
+#: A white-space character, to be put in patterns with (?U): Unicode's and the four separators U+001C to U+001F.
+WS, NOT_WS = r"[\s\x1C-\x1F]", r"[^\s\x1C-\x1F]"
+SPACE = rf"(?U){WS}+"
+#: What ends a line.
+LINE_BREAK = r"\r\n|[\n\x0B\x0C\r\x1C-\x1E\x85\u2028\u2029]"
+#: Notes of sounds in captions, and fillers.
+SOUNDS, FILLERS = "music|applause|laughter|noise", "um|uh|erm"
 
 
 def strip(text: Column) -> Column:
-    """Without white space of any kind around."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """Without white space of any kind around; in time linear in the text, blanks within it included."""
+    return F.regexp_replace(text, rf"(?U)^{WS}++|(?<!{WS}){WS}++$", "")
 
 
 def clean_lines(text: Column) -> Column:
     """White space collapsed and stripped within each line; line breaks stay."""
-    lines = F.transform(F.split(text, r"\R"), lambda line: strip(F.regexp_replace(line, SPACE, " ")))
+    lines = F.transform(F.split(text, LINE_BREAK), lambda line: strip(F.regexp_replace(line, SPACE, " ")))
     return F.array_join(lines, "\n")
 
 
@@ -38,15 +44,19 @@ def punctuation_spacing(text: Column, protect_numbers: bool = False) -> Column:
 
     protect_numbers leaves marks between digits alone, as in 3.5 or 10:30.
     """
-    text = F.regexp_replace(text, r"(?U)\s+([,.;:!?])", "$1")
-    behind = r"(?U)(?<!\d(?=[,.:]\d))([,.;:!?])([^\s])" if protect_numbers else r"(?U)([,.;:!?])([^\s])"
+    text = F.regexp_replace(text, rf"(?U)(?<!{WS}){WS}++([,.;:!?])", "$1")
+    behind = rf"(?U)(?<!\d(?=[,.:]\d))([,.;:!?])({NOT_WS})" if protect_numbers else rf"(?U)([,.;:!?])({NOT_WS})"
     text = F.regexp_replace(text, behind, "$1 $2")
-    return F.regexp_replace(F.regexp_replace(text, r"(?U)\(\s+", "("), r"(?U)\s+\)", ")")
+    return F.regexp_replace(F.regexp_replace(text, rf"(?U)\({WS}+", "("), rf"(?U)(?<!{WS}){WS}++\)", ")")
 
 
 def collapse_repeats(text: Column) -> Column:
-    """A word said several times in a row is kept once, in its first spelling."""
-    return F.regexp_replace(text, r"(?Ui)\b(\w+)(\s+\1\b)+", "$1")
+    """A word said several times in a row is kept once, in its first spelling.
+
+    The quantifiers give nothing back, so the matcher loops and doesn't recurse
+    however often a word is repeated.
+    """
+    return F.regexp_replace(text, rf"(?Ui)\b(\w++)(?:{WS}++\1\b)++", "$1")
 
 
 def limit_blank_lines(text: Column) -> Column:
@@ -68,11 +78,14 @@ def replace_terms(text: Column, terms: dict[str, str]) -> Column:
 
 
 def deep_clean(text: Column) -> Column:
-    """Without sound notes, parentheses and fillers, on one line."""
-    text = F.regexp_replace(text, r"(?Ui)\[(music|applause|laughter|noise)\]", "")
-    text = F.regexp_replace(text, r"\(.*?\)", "")
-    text = F.regexp_replace(text, r"(?Ui)\b(um|uh|erm)\b", "")
-    return strip(F.regexp_replace(text, r"(?U)\s{2,}", " "))
+    """Without sound notes in brackets or parentheses and without fillers; runs of white space are one space.
+
+    Other words in parentheses stay.
+    """
+    for opened, closed in (("\\[", "\\]"), ("\\(", "\\)")):
+        text = F.regexp_replace(text, rf"(?Ui){opened}(?:{SOUNDS}){closed}", "")
+    text = F.regexp_replace(text, rf"(?Ui)\b(?:{FILLERS})\b", "")
+    return strip(F.regexp_replace(text, rf"(?U){WS}{{2,}}", " "))
 
 
 def words(text: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import SPACE
+
 #: USD per million tokens, in and out, by provider and model, in order of lookup.
 PRICES = {
     "openai": {
@@ -24,7 +26,7 @@ LOCAL = ("ollama", "llamacpp", "codex_cli")
 
 def estimate(text: Column) -> Column:
     """A quarter of the characters after white space is collapsed; 1 at least."""
-    n = F.length(F.regexp_replace(text, r"(?U)\s+", " "))
+    n = F.length(F.regexp_replace(text, SPACE, " "))
     return F.greatest(F.lit(1), F.floor(n / F.lit(4.0))).cast("long")
 
 

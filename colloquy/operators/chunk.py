@@ -11,21 +11,11 @@ from pyspark.sql import functions as F
 
 from ..functions import tokens
 from ..functions.text import words
-from .segment import sentences_loose
+from .segment import let, sentences_loose
 
 RANGES = "array<struct<a:int,b:int>>"
 
 
-def let(value: Column, body) -> Column:
-    """body of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
-def prefix_sums(values: Column) -> Column:
-    """0 and the sums of each first n values."""
-    return F.aggregate(values, F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-
-
 def _range(a: Column, b: Column) -> Column:
     return F.array(F.struct(a.cast("int").alias("a"), b.cast("int").alias("b")))
 
@@ -60,29 +50,35 @@ def keyword_hits(text: Column, keywords: list[str]) -> Column:
 
 
 def _sentence_chunks(text: Column, max_tokens: int, overlap_tokens: int | None, keywords: list[str], limit) -> Column:
-    """Sentences as long as limit(density so far) allows; a chunk opens with the tail of the one before."""
+    """Sentences as long as limit(density so far) allows; a chunk opens with the tail of the one before.
+
+    The state is where the chunk began and its tokens and hits; a tail is found
+    by walking back from the chunk's end, so every sentence is looked at a
+    bounded number of times.
+    """
 
     def fold(v):
         n = F.size(v["s"])
-        init = F.struct(F.lit(0).alias("lo"), F.lit(0).cast("long").alias("ct"), F.lit(0).cast("long").alias("ad"), F.array().cast(RANGES).alias("out"))
+        zero = F.lit(0).cast("long")
+        init = F.struct(F.lit(0).alias("lo"), zero.alias("ct"), zero.alias("ad"), F.array().cast(RANGES).alias("out"))
 
         def take(acc, i):
             tk, dn = F.get(v["tk"], i), F.get(v["dn"], i)
             over = (acc["ct"] + tk > limit(acc["ad"] + dn)) & (i > acc["lo"])
             wanted = F.least((acc["ct"] * F.lit(0.1)).cast("int"), F.lit(600)) if overlap_tokens is None else F.lit(int(overlap_tokens))
-            tails = F.filter(F.sequence(acc["lo"], F.greatest(i - 1, acc["lo"])), lambda j: F.get(v["ct"], i) - F.get(v["ct"], j) >= wanted)
-            lo = F.when(F.size(tails) > 0, F.element_at(tails, -1)).otherwise(acc["lo"])
 
-            def opened(start):
-                return F.struct(
-                    start.cast("int").alias("lo"),
-                    (F.get(v["ct"], i + 1) - F.get(v["ct"], start)).alias("ct"),
-                    (F.get(v["cd"], i + 1) - F.get(v["cd"], start)).alias("ad"),
-                    F.concat(acc["out"], _range(acc["lo"], i)).alias("out"),
-                )
+            def back(tail, j):
+                more = F.struct(j.alias("lo"), (tail["ct"] + F.get(v["tk"], j)).alias("ct"), (tail["ad"] + F.get(v["dn"], j)).alias("ad"))
+                return F.when((tail["lo"] < i) & (tail["ct"] >= wanted), tail).otherwise(more)
+
+            # The shortest tail, of one sentence at least, that has the tokens wanted.
+            tail = F.aggregate(F.sequence(i - 1, F.least(acc["lo"], i - 1), F.lit(-1)), F.struct(i.alias("lo"), zero.alias("ct"), zero.alias("ad")), back)
+
+            def opened(t):
+                return F.struct(t["lo"].alias("lo"), (t["ct"] + tk).alias("ct"), (t["ad"] + dn).alias("ad"), F.concat(acc["out"], _range(acc["lo"], i)).alias("out"))
 
             grown = F.struct(acc["lo"].alias("lo"), (acc["ct"] + tk).alias("ct"), (acc["ad"] + dn).alias("ad"), acc["out"].alias("out"))
-            return F.when(over, let(lo, opened)).otherwise(grown)
+            return F.when(over, let(tail, opened)).otherwise(grown)
 
         ranges = F.aggregate(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), init, take, lambda a: F.concat(a["out"], _range(a["lo"], n)))
         return F.when(n > 0, _joined(v["s"], ranges)).otherwise(F.array().cast("array<string>"))
@@ -90,10 +86,7 @@ def _sentence_chunks(text: Column, max_tokens: int, overlap_tokens: int | None,
     def measured(s):
         return F.struct(s.alias("s"), F.transform(s, tokens.estimate).alias("tk"), F.transform(s, lambda x: keyword_hits(x, keywords)).alias("dn"))
 
-    def summed(m):
-        return F.struct(m["s"].alias("s"), m["tk"].alias("tk"), m["dn"].alias("dn"), prefix_sums(m["tk"]).alias("ct"), prefix_sums(m["dn"]).alias("cd"))
-
-    folded = let(sentences_loose(text), lambda s: let(measured(s), lambda m: let(summed(m), fold)))
+    folded = let(sentences_loose(text), lambda s: let(measured(s), fold))
     return F.when(tokens.estimate(text) <= max_tokens, F.array(text)).otherwise(folded)
 
 
@@ -140,20 +133,20 @@ def index_chunks(text: Column, size: int = 150, overlap: int = 25) -> Column:
 
     def fold(v):
         n = F.size(v["w"])
-        init = F.struct(F.lit(0).cast("long").alias("lo"), F.array().cast(RANGES).alias("out"))
+        zero = F.lit(0).cast("long")
+        init = F.struct(zero.alias("lo"), zero.alias("at"), F.array().cast(RANGES).alias("out"))
 
-        def take(acc, i):
-            at, after = F.get(v["wc"], i), F.get(v["wc"], i + 1)
+        def take(acc, count):
+            at, after = acc["at"], acc["at"] + count
             out = F.when(at > acc["lo"], F.concat(acc["out"], _range(acc["lo"], at))).otherwise(acc["out"])
             lo = at if overlap == 0 else F.when(at - acc["lo"] >= overlap, at - overlap).otherwise(acc["lo"])
-            return F.when(after - acc["lo"] > size, F.struct(lo.cast("long").alias("lo"), out.alias("out"))).otherwise(acc)
+            cut = F.struct(lo.cast("long").alias("lo"), after.alias("at"), out.alias("out"))
+            return F.when(after - acc["lo"] > size, cut).otherwise(F.struct(acc["lo"].alias("lo"), after.alias("at"), acc["out"].alias("out")))
 
-        places = F.sequence(F.lit(0), F.greatest(F.size(v["wc"]) - 2, F.lit(0)))
-        ranges = F.aggregate(places, init, take, lambda a: F.concat(a["out"], _range(a["lo"], n)))
+        ranges = F.aggregate(v["counts"], init, take, lambda a: F.concat(a["out"], _range(a["lo"], n)))
         return F.when(n > 0, _joined(v["w"], ranges)).otherwise(F.array().cast("array<string>"))
 
-    def measured(s):
-        split = F.transform(s, words)
-        return F.struct(F.flatten(split).alias("w"), prefix_sums(F.transform(split, lambda x: F.size(x).cast("long"))).alias("wc"))
+    def measured(split):
+        return F.struct(F.flatten(split).alias("w"), F.transform(split, lambda x: F.size(x).cast("long")).alias("counts"))
 
-    return let(sentences_loose(text), lambda s: let(measured(s), fold))
+    return let(F.transform(sentences_loose(text), words), lambda split: let(measured(split), fold))

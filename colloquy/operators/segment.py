@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_lines, strip, words
+from ..functions.text import LINE_BREAK, WS, clean_lines, strip, words
 
+#: Where a sentence ends, for loose splitting.
+SENTENCE_END = rf"(?U)(?<=[.?!]){WS}+"
 SEGMENT = "struct<start:double,end:double,text_raw:string>"
 
 
+def let(value: Column, body) -> Column:
+    """body of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def vtt_seconds(stamp: Column) -> Column:
     """Seconds of [HH:]MM:SS.mmm; an error otherwise."""
     parts = F.split(F.replace(F.trim(stamp), F.lit(","), F.lit(".")), ":")
@@ -55,7 +62,7 @@ def consolidate(cues: Column, max_window: float = 90.0, min_words: int = 1) -> C
         return (F.size(a["b"]) > 0) & (F.size(words(F.array_join(a["b"], " "))) >= min_words)
 
     def take(a, cue):
-        lines = F.filter(F.transform(F.split(cue["text"], r"\R"), strip), lambda line: line != "")
+        lines = F.filter(F.transform(F.split(cue["text"], LINE_BREAK), strip), lambda line: line != "")
         said = strip(F.array_join(lines, " "))
         held = F.coalesce(a["b"], F.array().cast(buffer))
         joined = F.struct(
@@ -71,32 +78,34 @@ def consolidate(cues: Column, max_window: float = 90.0, min_words: int = 1) -> C
             empty = F.struct(F.array().cast(buffer).alias("b"), F.lit(None).cast("double").alias("s"), F.lit(None).cast("double").alias("e"), F.concat(x["out"], F.array(segment(x))).alias("out"))
             return F.when(done, empty).otherwise(x)
 
-        # A one-element transform names the joined state, so that it is worked out once.
-        return F.get(F.transform(F.array(joined), flush), 0)
+        return let(joined, flush)
 
     return F.aggregate(cues, state, take, lambda a: F.when(a["s"].isNotNull() & enough(a), F.concat(a["out"], F.array(segment(a)))).otherwise(a["out"]))
 
 
 def sentences_strict(text: Column) -> Column:
     """Sentences that end in .!? before a capital, digit or quote."""
-    return F.filter(F.transform(F.split(text, "(?U)(?<=[.!?])\\s+(?=[A-Z0-9\\x22\\x27])"), strip), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, rf"(?U)(?<=[.!?]){WS}+(?=[A-Z0-9\x22\x27])"), strip), lambda s: s != "")
 
 
 def sentences_loose(text: Column) -> Column:
     """Sentences that end in .?! before white space."""
-    return F.filter(F.transform(F.split(text, r"(?U)(?<=[.?!])\s+"), strip), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, SENTENCE_END), strip), lambda s: s != "")
 
 
 def merge_fragments(lines: Column) -> Column:
     """Lines that begin in lower case go to the end of the line before."""
-    init = F.array().cast("array<string>")
 
-    def take(acc, line):
-        last = F.concat(F.element_at(acc, -1), F.lit(" "), line)
-        glue = line.rlike(r"^\p{Ll}") & (F.size(acc) > 0)
-        return F.when(glue, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(last))).otherwise(F.concat(acc, F.array(line)))
+    def joined(v):
+        # Each line that begins anew, with what follows up to the next such line: one pass, whatever the number of lines.
+        stop = lambda k: F.coalesce(F.get(v["first"], k + 1), F.size(v["lines"]))
+        return F.transform(v["first"], lambda i, k: F.array_join(F.slice(v["lines"], i + 1, stop(k) - i), " "))
+
+    def begun(all_):
+        places = F.transform(all_, lambda line, i: F.when((i == 0) | ~line.rlike(r"^\p{IsLowercase}"), i))
+        return F.struct(all_.alias("lines"), F.filter(places, lambda i: i.isNotNull()).alias("first"))
 
-    return F.aggregate(lines, init, take)
+    return let(lines, lambda all_: let(begun(all_), joined))
 
 
 def stitch(segments: DataFrame, nominal_step: float | None = None) -> DataFrame:

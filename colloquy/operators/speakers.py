@@ -62,9 +62,10 @@ def scan_names(chunks: DataFrame, variants: DataFrame, key: list[str], text: str
     first = lambda c: F.lower(F.regexp_extract(c, r"(?U)(\w+)", 1))
     wanted = variants.withColumn("_first", first(F.col("variant"))).filter("_first <> ''")
     words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"(?U)(\w+)"), 1))
-    exploded = chunks.select(*key, text, F.explode(words).alias("_first"))
+    met = chunks.select(*key, F.explode(words).alias("_first")).join(wanted, "_first")
     pattern = F.concat(F.lit(r"(?U)\b\Q"), F.lower("variant"), F.lit(r"\E\b"))
-    hits = exploded.join(wanted, "_first").filter(F.call_function("rlike", F.lower(F.col(text)), pattern))
+    # Texts are fetched for hits only; they don't travel with every word.
+    hits = met.join(chunks.select(*key, text), key).filter(F.call_function("rlike", F.lower(F.col(text)), pattern))
     return hits.select(*key, "person", "variant").distinct()
 
 
@@ -79,6 +80,7 @@ def speaker_context(matches: DataFrame, key: list[str]) -> DataFrame:
     people = people.select(*key, "person", F.get("vs", 0).alias("best"), F.filter(lines, lambda x: x.isNotNull()).alias("lines"))
     each = people.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("person", "best", "lines"))).alias("ps"))
     unclear = F.flatten(F.transform("ps", lambda p: p["lines"]))
+    # The sentences of the context.
     head = F.concat(F.lit("**Speakers detected in this segment: "), F.array_join(F.transform("ps", lambda p: p["best"]), ", "), F.lit(".**"))
     note = F.when(F.size(unclear) > 0, F.concat(F.array(F.lit("*Some mentions are ambiguous or used multiple name variants:*")), unclear)).otherwise(F.array().cast("array<string>"))
     tail = F.array(F.lit("*Mentions may refer to multiple individuals if only first names are used.*"))

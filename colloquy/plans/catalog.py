@@ -199,9 +199,9 @@ def route_prompts(spark, sf_dir):
 @query
 def price_runs(spark, sf_dir):
     runs = F.array(*[F.struct(F.lit(p).alias("provider"), F.lit(m).alias("model")) for p, m in S.PRICED])
-    rows = S.documents(spark, sf_dir).select("doc_id", tokens.estimate(F.col("text")).alias("n"), F.explode(runs).alias("r")).select("doc_id", "n", "r.*")
-    spent = tokens.cost(F.col("provider"), F.col("model"), F.col("n"), F.floor(F.col("n") / 10))
-    return rows.select("doc_id", "provider", "model", F.round(spent, 9).alias("cost"))
+    spent = lambda n: F.transform(runs, lambda r: F.struct(r["provider"], r["model"], F.round(tokens.cost(r["provider"], r["model"], n, F.floor(n / 10)), 9).alias("cost")))
+    # The estimate is taken before the rows of a document are dealt out, once.
+    return S.documents(spark, sf_dir).select("doc_id", F.explode(segment.let(tokens.estimate(F.col("text")), spent)).alias("r")).select("doc_id", "r.*")
 
 
 @query

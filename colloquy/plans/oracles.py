@@ -5,8 +5,8 @@ from __future__ import annotations
 from . import stand_ins as S
 
 #: White space as Unicode has it, for a regular-expression engine whose \s is ASCII.
-U = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-BREAK = r"\r\n|[\n\x0B\x0C\r\x{85}\x{2028}\x{2029}]"
+U = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+BREAK = r"\r\n|[\n\x0B\x0C\r\x{1C}-\x{1E}\x{85}\x{2028}\x{2029}]"
 NON_WORD = r"[^\p{L}\p{M}\p{N}\p{Pc}]+"
 
 
@@ -295,7 +295,7 @@ s AS ({numbered(strict('t'), 'line', 'n6')}),
 g AS (SELECT *, sum(CASE WHEN regexp_matches(line, '^\\p{{Ll}}') THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS island FROM s),
 m AS (SELECT doc_id, min(i) AS i, string_agg(line, ' ' ORDER BY i) AS line FROM g GROUP BY doc_id, island)
 SELECT n6.doc_id, COALESCE(l, '') AS lines FROM n6 LEFT JOIN (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) || chr(10) AS l FROM m GROUP BY doc_id) USING (doc_id)""",
-    "deep_clean": f"SELECT doc_id, {strip(f'''regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\\[(music|applause|laughter|noise)\\]', '', 'gi'), '\\(.*?\\)', '', 'g'), '\\b(um|uh|erm)\\b', '', 'gi'), '{U}{{2,}}', ' ', 'g')''')} AS clean FROM documents",
+    "deep_clean": f"SELECT doc_id, {strip(f'''regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '\\[(music|applause|laughter|noise)\\]', '', 'gi'), '\\((music|applause|laughter|noise)\\)', '', 'gi'), '\\b(um|uh|erm)\\b', '', 'gi'), '{U}{{2,}}', ' ', 'g')''')} AS clean FROM documents",
     "caption_round_trip": f"""
 WITH {CUES},
 c AS (SELECT doc, n, {strip(f"regexp_replace(said, '{U}+', ' ', 'g')")} AS text FROM q)

@@ -1,5 +1,6 @@
 import math
 import re
+import time
 
 import pytest
 from colloquy.functions import meta, policy, text, tokens
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 EDGES = [
     "", "   ", "one", "été été", "the The the end", "a b  c ", "3.5 and $1,200 at 10:30", 'He said "go." Then left.', "no end", "lower start. Then Next? yes! \"Quoted\" x",
-    "x (  y ) [Music] um, Uh (aside) erm done", "a\n\n\n\nb\r\nc", "“q” — ‘r’ – s", "word , word ;word", "Jr. Smith. 3 of them.\n\nnext line. And more",
+    "x (  y ) [Music] um, Uh (aside) erm done", "a\n\n\n\nb\r\nc", "one\x1ctwo \x1d three", "“q” — ‘r’ – s", "word , word ;word", "Jr. Smith. 3 of them.\n\nnext line. And more",
 ]
 
 
@@ -21,7 +22,7 @@ def both(spark, sf, column, rule, edges=EDGES):
 
 
 def ws(t):
-    return "\n".join(re.sub(r"\s+", " ", line).strip() for line in re.split(r"\r\n|[\n\x0b\x0c\r\x85  ]", t)).strip()
+    return "\n".join(re.sub(r"\s+", " ", line).strip() for line in re.split(r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85  ]", t)).strip()
 
 
 def patterns(t):
@@ -32,11 +33,6 @@ def patterns(t):
     return re.sub(r"\n{3,}", "\n\n", t).strip()
 
 
-def deep(t):
-    t = re.sub(r"\(.*?\)", "", re.sub(r"\[(music|applause|laughter|noise)\]", "", t, flags=re.I))
-    return re.sub(r"\s{2,}", " ", re.sub(r"\b(um|uh|erm)\b", "", t, flags=re.I)).strip()
-
-
 def replaced(t, terms):
     for k in sorted(terms, key=len, reverse=True):
         t = re.sub(re.escape(k), lambda _: terms[k], t, flags=re.I)
@@ -62,19 +58,56 @@ def shown(t, q="the", n=350):
     [
         (text.normalize_whitespace, ws),
         (text.normalize_patterns, patterns),
-        (text.deep_clean, deep),
         (lambda c: text.replace_terms(c, {"the": "t$1\\", "then": "x", "(": "["}), lambda t: replaced(t, {"the": "t$1\\", "then": "x", "(": "["})),
         (tokens.estimate, estimate),
         (lambda c: text.snippet(c, "the"), shown),
         (text.word_count, lambda t: len(t.split())),
         (text.read_minutes, lambda t: math.ceil(len(t.split()) / 230)),
     ],
-    ids=["whitespace", "patterns", "deep", "replace", "tokens", "snippet", "words", "minutes"],
+    ids=["whitespace", "patterns", "replace", "tokens", "snippet", "words", "minutes"],
 )
 def test_rules(spark, sf, column, rule):
     both(spark, sf, column, rule)
 
 
+@pytest.mark.parametrize(
+    "said, left",
+    [
+        ("the bill (as amended) passed", "the bill (as amended) passed"),
+        ("thanks (Applause) all [MUSIC] of you", "thanks all of you"),
+        ("um, so Uh we   erm\n\n\nleave", ", so we leave"),
+        ("umbrella (music and noise) [noises]", "umbrella (music and noise) [noises]"),
+        ("(laughter)", ""),
+    ],
+)
+def test_deep_clean(spark, said, left):
+    assert spark.createDataFrame([(said,)], "t string").select(text.deep_clean(F.col("t"))).first()[0] == left
+
+
+def timed(spark, column, value):
+    df = spark.createDataFrame([(value,)], "t string")
+    began = time.time()
+    got = df.select(column(F.col("t"))).first()[0]
+    assert time.time() - began < 30
+    return got
+
+
+def test_long_rows_take_linear_time(spark):
+    blanks = "a" + " " * 1_000_000 + "b"
+    assert timed(spark, text.strip, " " * 100_000 + blanks + " " * 100_000) == blanks
+    assert timed(spark, text.punctuation_spacing, blanks + " )") == blanks + ")"
+    assert timed(spark, text.collapse_repeats, "go " + "the The " * 100_000 + "end") == "go the end"
+    lines = ["Item one." if i % 3 == 0 else "and so on" for i in range(100_000)]
+    df = spark.createDataFrame([(lines,)], "t array<string>")
+    began = time.time()
+    got = df.select(segment.merge_fragments(F.col("t"))).first()[0]
+    assert got == ["Item one. and so on and so on"] * 33_333 + ["Item one."]
+    sentences = " ".join(f"Item number {i} passed." for i in range(100_000))
+    assert " ".join(timed(spark, lambda c: chunk.index_chunks(c, 150, 0), sentences)) == sentences
+    assert timed(spark, lambda c: chunk.sentence_chunks(c, 200, 0), sentences)[-1].endswith("Item number 99999 passed.")
+    assert time.time() - began < 60
+
+
 def strict(t):
     return [s.strip() for s in re.split(r"(?<=[.!?])\s+(?=[A-Z0-9\"'])", t) if s.strip()]
 
