@@ -1,24 +1,31 @@
 """Removal of repeated substrings by prefix doubling over sampled suffixes.
 
 Every byte goes that lies in a string of LENGTH bytes which also starts
-anywhere else, in the same document or another. Ranks are names: hashes of the
-bytes that follow a position, equal for equal strings, so a name for twice the
-length is the pair of two names, taken where the text is and sorted by Spark.
-
-Doubling starts from GRAM bytes at sampled positions only. Among the starts
-inside each window of LENGTH bytes the one with the smallest hash is the
-window's anchor (leftmost if equal); equal windows have equal anchors at equal
-offsets. Round one sorts the anchors' names and drops the unique ones, and with
-them all of their windows. Round two sorts the survivors by the name of all the
-bytes that their windows cover: where that repeats, all these windows do. Round
-three is left with anchors whose surroundings differ, at the edges of repeats:
-one position of each class sends the names of its windows at the full length.
-Exact copies of whole texts count once in these rounds and are removed as such.
+anywhere else, in the same document or another.
+
+Sampling thins the start. Among the starts inside each window of LENGTH bytes
+the one whose GRAM bytes have the smallest hash is the window's anchor
+(leftmost if equal); equal windows have equal anchors at equal offsets. Anchors
+with a unique gram drop out with all of their windows. Where all the bytes that
+an anchor's windows cover are found again (by 128 bits of hash), all these
+windows repeat. What is left are anchors whose surroundings differ, at the edges
+of repeats: one of each class goes on to the doubling.
+
+Doubling looks at a grid of positions, GRID bytes apart and aligned to the
+anchor, over all that its windows cover. Spark sorts the positions by a 128-bit
+name of their first START bytes and ranks them; a position's rank is the
+smallest position with the same name, and unique positions drop out. Then it
+sorts pairs of a rank and the rank an offset further on, and ranks the positions
+anew by these, from 64 to 128 to 176 bytes. With the bytes before and behind,
+that differ from window to window, these are windows of LENGTH bytes.
+
+Exact copies of whole texts count once in all this and are removed as such.
 
 Edge cases: a null text is empty; texts below LENGTH bytes lose nothing; equal
 texts of LENGTH bytes or more lose everything; repeated rows are documents of
 their own; long texts are read in overlapping segments; an empty table gives an
-empty result; other columns are ignored.
+empty result; other columns are ignored by removals() and kept by cut_texts(),
+whatever their names.
 """
 
 from __future__ import annotations
@@ -27,18 +34,23 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .columns import map_batches
+from .columns import held, id_text, lean, map_batches, released
 from .store import Store
 
 LENGTH = 200
 GRAM = 50
 #: Window starts looked at together; bounds memory for long texts.
 SEGMENT = 1 << 20
-#: Windows that round two looks at together.
-WIDE = 8
+#: Positions of the doubling are so many bytes apart, and as many windows share one.
+GRID = 16
+#: Bytes of the first ranks, and how much further on the second rank of a pair is in each round.
+START, STEPS = 64, (64, 48)
+#: Bytes that the last ranks stand for.
+CORE = START + sum(STEPS)
 _POS = np.uint64((1 << 22) - 1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -52,7 +64,8 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 class _Tables:
     def __init__(self):
-        self.bytes = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        #: Values of bytes, for two hashes that have nothing in common.
+        self.bytes = np.random.default_rng(20).integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.grow(1 << 14)
 
     def grow(self, n: int) -> None:
@@ -71,14 +84,14 @@ def _mix(h: np.ndarray) -> np.ndarray:
 class Names:
     """Names of any stretch of one text segment; they don't depend on where it lies."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, which: int = 0):
         if not _tables:
             _tables.append(_Tables())
         t = _tables[0]
         if len(t.up) <= len(data):
             t.grow(2 * len(data))
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(t.bytes[data] * t.up[: len(data)], out=self.sums[1:])
+        np.cumsum(t.bytes[which][data] * t.up[: len(data)], out=self.sums[1:])
         self.down = t.down
 
     def all(self, length: int) -> np.ndarray:
@@ -97,7 +110,7 @@ def _segments(data: bytes, length: int):
 
 
 def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
-    """Anchors of a text: name; cover, the name of all bytes under the windows it anchors; place.
+    """Anchors of a text: name; cover and cover2, two hashes of all bytes under the windows it anchors; place.
 
     A place is the first window's start, how far the anchor is from it, and the
     number of further windows, packed in 48, 8 and 8 bits.
@@ -116,44 +129,26 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> dict[str, np
         first = np.concatenate(([0], np.flatnonzero(owner[1:] != owner[:-1]) + 1))
         last = np.concatenate((first[1:] - 1, [len(owner) - 1]))
         anchor = owner[first]
-        cover = names.of(first, last + length) + _mix((anchor - first).astype(np.uint64))
-        found.append((grams[anchor], cover, (first + at) << 16 | (anchor - first) << 8 | (last - first)))
-    columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)]
-    return dict(zip(("name", "cover", "place"), columns))
-
-
-def buckets(data: bytes, places: np.ndarray, length: int = LENGTH) -> dict[str, np.ndarray]:
-    """The windows of some anchors, WIDE of them together: name of the bytes that all of them share, and the
-    bytes that the first have before and the last have after these.
-
-    Groups are aligned to the anchor, so equal windows meet in equal groups.
-    left and right hold up to WIDE - 1 bytes, nearest lowest, and their number
-    in the highest byte.
-    """
-    found = []
-    all_start = places >> 16
-    whole = np.frombuffer(data, np.uint8)
-    for at, part in _segments(data, length):
-        own = (all_start >= at) & (all_start < at + SEGMENT)
-        if not own.any():
-            continue
-        start, lead, span = all_start[own], places[own] >> 8 & 255, places[own] & 255
-        low, high = (lead - span) // WIDE, lead // WIDE
-        counts = high - low + 1
-        which = np.repeat(np.arange(len(start)), counts)
-        j = low[which] + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-        least = np.maximum(WIDE * j, (lead - span)[which]) - WIDE * j
-        most = np.minimum(WIDE * j + WIDE - 1, lead[which]) - WIDE * j
-        core = (start + lead)[which] - WIDE * j
-        stop = core + length - WIDE + 1
-        name = Names(part).of(core - at, stop - at)
-        left, right = most << 56, (WIDE - 1 - least) << 56
-        for t in range(WIDE - 1):
-            left |= np.where(t < most, whole[np.maximum(core - 1 - t, 0)].astype(np.int64) << 8 * t, 0)
-            right |= np.where(t < WIDE - 1 - least, whole[np.minimum(stop + t, len(whole) - 1)].astype(np.int64) << 8 * t, 0)
-        found.append((name, left, right, (core - most) << 16 | (most - least)))
-    columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.uint64)] + [np.zeros(0, np.int64)] * 3
-    return dict(zip(("name", "left", "right", "place"), columns))
+        lead = _mix((anchor - first).astype(np.uint64))
+        covers = [n.of(first, last + length) + lead for n in (names, Names(part, 1))]
+        found.append((grams[anchor], *covers, (first + at) << 16 | (anchor - first) << 8 | (last - first)))
+    columns = [np.concatenate(c) for c in zip(*found)] if found else [np.zeros(0, np.uint64)] * 3 + [np.zeros(0, np.int64)]
+    return dict(zip(("name", "cover", "cover2", "place"), columns))
+
+
+def grids(places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The grid of some anchors: of each position which anchor it is of, its number there, and its place in the text;
+    and the least and most bytes by which windows start before it (least > most where none does)."""
+    start, lead, span = places >> 16, places >> 8 & 255, places & 255
+    low, high = (lead - span) // GRID, lead // GRID
+    counts = high - low + 1 + (CORE - START) // GRID
+    which = np.repeat(np.arange(len(places)), counts)
+    number = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    before = GRID * (high[which] - number)
+    position = (start + lead)[which] - before
+    least = np.maximum((lead - span)[which] - before, 0)
+    most = np.where(number <= (high - low)[which], np.minimum(lead[which] - before, GRID - 1), -1)
+    return which, number, position, least, most
 
 
 #: Rows that a task gathers before it hands them on.
@@ -167,9 +162,10 @@ class _Gathered:
         self.parts: list[dict[str, np.ndarray]] = []
         self.rows = 0
 
-    def add(self, columns: dict[str, np.ndarray], digest: int) -> None:
-        n = len(columns["name"])
-        self.parts.append({k: v.view(np.int64) for k, v in columns.items()} | {"digest": np.full(n, digest, np.int64)})
+    def add(self, columns: dict[str, np.ndarray], **same: int) -> None:
+        n = len(columns["place"])
+        whole = {k: v.view(np.int64) if v.dtype != object else v for k, v in columns.items()}
+        self.parts.append(whole | {k: np.full(n, v, np.int64) for k, v in same.items()})
         self.rows += n
 
     def frames(self, least: int = 1):
@@ -178,85 +174,144 @@ class _Gathered:
             self.parts, self.rows = [], 0
 
 
+#: Texts that a task remembers as seen.
+_SEEN = 100_000
+
+
 def _anchor_rows(batches):
     seen, out = set(), _Gathered()
     for batch in batches:
-        for text, digest in zip(batch["text"], batch["digest"].tolist()):
+        for text, digest, check in zip(batch["text"], batch["digest"].tolist(), batch["check"].tolist()):
             data = (text or "").encode("utf-8", "surrogatepass")
             # Copies that one task meets count once, as they do in what follows.
-            if len(data) >= LENGTH and digest not in seen:
-                seen.add(digest)
-                out.add(anchors(data), digest)
+            if len(data) >= LENGTH and (digest, check) not in seen:
+                if len(seen) >= _SEEN:
+                    seen.clear()
+                seen.add((digest, check))
+                out.add(anchors(data), digest=digest, check=check)
                 yield from out.frames(_HANDED)
     yield from out.frames()
 
 
-def _bucket_rows(batches):
-    out = _Gathered()
+def _grid_rows(batches):
+    """Positions with their first bytes, and for those that windows share: the window starts, the bytes before and behind."""
+    out, named = _Gathered(), TaskContext.get().partitionId() << 33
     for batch in batches:
-        for text, digest, places in zip(batch["text"], batch["digest"].tolist(), batch["places"]):
-            out.add(buckets(text.encode("utf-8", "surrogatepass"), np.sort(np.asarray(places, np.int64))), digest)
-            yield from out.frames(_HANDED)
+        for text, digest, check, places in zip(batch["text"], batch["digest"].tolist(), batch["check"].tolist(), batch["places"]):
+            data = text.encode("utf-8", "surrogatepass")
+            places = np.sort(np.asarray(places, np.int64))
+            for at, part in _segments(data, LENGTH):
+                own = places[(places >> 16 >= at) & (places >> 16 < at + SEGMENT)]
+                names = [Names(part, k) for k in (0, 1)] if len(own) else []
+                for lo in range(0, len(own), 4096):
+                    which, number, position, least, most = grids(own[lo : lo + 4096])
+                    before, behind = np.full(len(which), None, object), np.full(len(which), None, object)
+                    for k in np.flatnonzero(most >= least).tolist():
+                        p = int(position[k])
+                        before[k] = data[p - int(most[k]) : p]
+                        behind[k] = data[p + CORE : p + LENGTH - int(least[k])]
+                    columns = {f"n{k}": n.of(position - at, position - at + START) for k, n in enumerate(names)}
+                    columns |= {"id": (named + which) << 6 | number, "place": position << 16 | least << 8 | (most & 255), "before": before, "behind": behind}
+                    out.add(columns, digest=digest, check=check)
+                    named += len(own[lo : lo + 4096])
+                    yield from out.frames(_HANDED)
     yield from out.frames()
 
 
-def _settle(rows: DataFrame, cover: list[str], store: Store) -> tuple[DataFrame, DataFrame]:
-    """One round over rows (name, cover columns, digest, place): drops unique names.
+_GRID_SCHEMA = "n0 long, n1 long, id long, place long, before binary, behind binary, digest long, check long"
+
 
-    Returns the members of repeated covers (digest, place), and of each cover
-    whose name has others too one row (name, cover, digest, place).
+def _settle(rows: DataFrame, name: list[str], cover: list[str], store: Store) -> tuple[DataFrame, DataFrame]:
+    """One round over rows (name and cover columns, digest, check, place): drops unique names.
+
+    Returns the members of repeated covers (digest, check, place), and of each
+    cover whose name has others too one row (name, cover, digest, check, place).
     """
-    it = F.xxhash64("digest", "place")
-    kind = F.xxhash64(*cover)
-    names = rows.groupBy("name").agg(F.min(it).alias("a"), F.max(it).alias("b"), F.min(kind).alias("c"), F.max(kind).alias("d"))
-    names = store.save(names.filter("a <> b").select("name", (F.col("c") != F.col("d")).alias("mixed")))
-    left = store.save(rows.join(names, "name"))
-    key = ["name", *cover, "mixed"]
-    classes = left.groupBy(*key).agg(
-        (F.min(it) != F.max(it)).alias("repeated"), F.min_by("digest", it).alias("digest"), F.min_by("place", it).alias("place")
-    )
-    classes = store.save(classes)
-    repeated = classes.filter("repeated").select("name", *cover)
-    members = store.save(left.join(repeated, ["name", *cover]).select("digest", "place"))
+    it = F.xxhash64("digest", "check", "place")
+    kind = F.xxhash64(*cover) if cover else F.lit(0)
+    names = rows.groupBy(*name).agg(F.min(it).alias("a"), F.max(it).alias("b"), F.min(kind).alias("c"), F.max(kind).alias("d"))
+    names = store.save(names.filter("a <> b").select(*name, (F.col("c") != F.col("d")).alias("mixed")))
+    left = store.save(rows.join(names, name))
+    key, one = [*name, *cover], F.struct("digest", "check", "place")
+    classes = left.groupBy(*key, "mixed").agg((F.min(it) != F.max(it)).alias("repeated"), F.min_by(one, it).alias("one"))
+    classes = store.save(classes.select(*key, "mixed", "repeated", "one.*"))
+    members = store.save(left.join(classes.filter("repeated").select(*key), key).select("digest", "check", "place"))
     store.free(left, names)
-    return members, classes.filter("mixed").select("name", *cover, "digest", "place")
-
+    return members, classes.filter("mixed").select(*key, "digest", "check", "place")
 
-def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What to remove: per distinct text (digest, places), places being packed windows; and digests of texts that
-    go whole (digest). docs needs doc_id and text."""
-    store = Store(docs.sparkSession, "suffix")
-    text = F.coalesce("text", F.lit(""))
-    with_digest = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("digest"))
-    distinct = store.save(
-        with_digest.filter(F.octet_length("text") >= LENGTH).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id"))
-    )
 
-    rows = store.save(with_digest.select("text", "digest").mapInPandas(_anchor_rows, "name long, cover long, place long, digest long"))
-    first, mixed = _settle(rows, ["cover"], store)
-    store.free(rows)
+def _ranked_pairs(rows: DataFrame, key: list[str], step: int, store: Store) -> DataFrame:
+    """One round of doubling over rows (key columns, id): positions with equal keys get one rank, unique ones drop out.
 
-    wanted = mixed.groupBy("digest").agg(F.collect_set("place").alias("places"))
-    wanted = store.save(wanted.join(distinct, "digest").select("digest", "doc_id", "places"))
-    carried = with_digest.alias("d").join(wanted.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.digest") == F.col("w.digest")))
-    carried = carried.select("d.text", "d.digest", "w.places")
-    rows = store.save(carried.mapInPandas(_bucket_rows, "name long, left long, right long, place long, digest long"))
-    second, mixed = _settle(rows, ["left", "right"], store)
+    Returns (first, second, id): the rank of a position and of that `step` grid
+    places further on around the same anchor, where both are left.
+    """
+    ranks = rows.groupBy(*key).agg(F.min("id").alias("rank"), F.max("id").alias("last")).filter("rank <> last")
+    ranks = store.save(ranks.select(*key, "rank"))
+    # The places of one anchor are some dozens at most.
+    ahead = Window.partitionBy(F.shiftright("id", 6)).orderBy("id").rangeBetween(step, step)
+    ranked = rows.select(*key, "id").join(ranks, key).select(F.col("rank").alias("first"), F.first("rank").over(ahead).alias("second"), "id")
+    pairs = store.save(ranked.filter("second IS NOT NULL"))
+    store.free(ranks)
+    return pairs
+
+
+def _doubled(rows: DataFrame, store: Store) -> DataFrame:
+    """Rows (first, second, place, before, behind, digest, check) of the shared positions whose CORE bytes may repeat."""
+    pairs, key = rows, ["n0", "n1"]
+    for step in STEPS:
+        more = _ranked_pairs(pairs, key, step // GRID, store)
+        if pairs is not rows:
+            store.free(pairs)
+        pairs, key = more, ["first", "second"]
+    shared = rows.filter("before IS NOT NULL").select("id", "place", "before", "behind", "digest", "check")
+    return store.save(pairs.join(shared, "id").drop("id"))
+
+
+def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What to remove from texts (id, text, digest, check): per distinct text (digest, check, places), places being packed
+    windows; and the texts that go whole (digest, check)."""
+    store = Store(texts.sparkSession, "suffix")
+    texts = texts.select("id", "text", "digest", "check")
+    long_ones = texts.filter(F.octet_length("text") >= LENGTH)
+    key = ["digest", "check"]
+    distinct = store.save(long_ones.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")))
+
+    rows = store.save(texts.drop("id").mapInPandas(lean(_anchor_rows), "name long, cover long, cover2 long, place long, digest long, check long"))
+    first, mixed = _settle(rows, ["name"], ["cover", "cover2"], store)
     store.free(rows)
 
-    # The windows that are left follow from the shared bytes and those around them.
-    before, after = F.expr("shiftrightunsigned(left, 56)"), F.expr("shiftrightunsigned(right, 56)")
-    rows = mixed.withColumn("u", F.explode(F.sequence(F.lit(WIDE - 1) - after, before)))
-    near = F.expr("CASE WHEN u = 0 THEN 0L ELSE left & (shiftleft(1L, CAST(8 * u AS INT)) - 1) END")
-    far = F.expr(f"CASE WHEN u = {WIDE - 1} THEN 0L ELSE right & (shiftleft(1L, CAST(8 * ({WIDE - 1} - u) AS INT)) - 1) END")
-    start = F.expr("shiftleft(shiftright(place, 16) + shiftrightunsigned(left, 56) - u, 16)")
-    rows = store.save(rows.select(F.xxhash64("name", "u", near, far).alias("name"), F.lit(0).cast("long").alias("cover"), "digest", start.alias("place")))
-    third, _ = _settle(rows, ["cover"], store)
+    wanted = mixed.groupBy(*key).agg(F.collect_set("place").alias("places"))
+    wanted = store.save(wanted.join(distinct.select(*key, "id"), key))
+    # One document of each text: the id keeps its copies, which may be very many, from meeting in one task.
+    carried = long_ones.join(wanted, [*key, "id"]).select("text", *key, "places").dropDuplicates(key)
+    rows = store.save(carried.mapInPandas(lean(_grid_rows), _GRID_SCHEMA))
+    doubled = _doubled(rows, store)
+    store.free(rows, wanted)
+    cores = doubled.withColumn("reach", F.col("place").bitwiseAND(F.lit(0xFFFF))).withColumn("place", _windows("place"))
+    second, mixed = _settle(cores, ["first", "second"], ["before", "behind", "reach"], store)
+    store.free(doubled)
+
+    # Windows whose group has no equal: each by itself, as the shared bytes and those around them.
+    least, most = F.shiftright("reach", 8), F.col("reach").bitwiseAND(F.lit(255))
+    each = mixed.withColumn("u", F.explode(F.sequence(least, most)))
+    near = F.expr("substring(before, length(before) - CAST(u AS INT) + 1, CAST(u AS INT))")
+    far = F.expr(f"substring(behind, 1, {LENGTH - CORE} - CAST(u AS INT))")
+    # place is that of the first window, which starts `most` bytes before the position.
+    start = F.shiftleft(F.shiftright("place", 16) + most - F.col("u"), 16)
+    rows = store.save(each.select("first", "second", "u", near.alias("near"), far.alias("far"), "digest", "check", start.alias("place")))
+    third, _ = _settle(rows, ["first", "second", "u", "near", "far"], [], store)
     store.free(rows)
 
     every = first.unionByName(second).unionByName(third)
-    spans = every.groupBy("digest").agg(F.collect_set("place").alias("places"))
-    return spans, distinct.filter("n > 1").select("digest")
+    spans = every.groupBy("digest", "check").agg(F.collect_set("place").alias("places"))
+    return spans, distinct.filter("n > 1").select(*key)
+
+
+def _windows(place: str) -> Column:
+    """The packed windows that share a grid position, from its place and their reach before it."""
+    most, least = F.col(place).bitwiseAND(F.lit(255)), F.shiftright(place, 8).bitwiseAND(F.lit(255))
+    return F.shiftleft(F.shiftright(place, 16) - most, 16).bitwiseOR(most - least)
 
 
 def merged(places: np.ndarray, length: int = LENGTH) -> np.ndarray:
@@ -280,15 +335,21 @@ def cut(data: bytes, runs: np.ndarray) -> bytes:
     return b"".join(kept)
 
 
-def _with_places(docs: DataFrame, columns: list[str]) -> DataFrame:
-    spans, whole = repeated_spans(docs)
-    store = Store(docs.sparkSession, "suffix-spans")
-    both = spans.join(whole.withColumn("whole", F.lit(True)), "digest", "full")
+def _with_places(rows: DataFrame) -> DataFrame:
+    """rows, which hold columns id, text, digest and check among others, with the places to cut and whether all goes."""
+    spans, gone = repeated_spans(rows)
+    store = Store(rows.sparkSession, "suffix-spans")
+    key = ["digest", "check"]
+    both = spans.join(gone.withColumn("whole", F.lit(True)), key, "full")
     # A text that goes whole needs no places.
-    both = store.save(both.select("digest", F.when(F.col("whole").isNull(), F.col("places")).alias("_places"), F.coalesce("whole", F.lit(False)).alias("_whole")))
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(*[F.col(f"`{c}`") for c in columns]).withColumn("_digest", F.xxhash64(text))
-    return rows.join(both.withColumnRenamed("digest", "_digest"), "_digest", "left").drop("_digest")
+    both = store.save(both.select(*key, F.when(F.col("whole").isNull(), F.col("places")).alias("places"), F.coalesce("whole", F.lit(False)).alias("whole")))
+    return rows.join(both, key, "left")
+
+
+def _keyed(doc_id: Column, text: Column) -> dict[str, Column]:
+    """The id as text, and the columns that name a text by 128 bits of hash."""
+    text = F.coalesce(text, F.lit(""))
+    return {"id": id_text(doc_id), "text": text, "digest": F.xxhash64(text), "check": F.xxhash64(F.lit(1), text)}
 
 
 def _runs(data: bytes, places, whole) -> np.ndarray:
@@ -303,7 +364,7 @@ def removals(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows = []
-            for text, places, whole in zip(batch["text"], batch["_places"], batch["_whole"]):
+            for text, places, whole in zip(batch["text"], batch["places"], batch["whole"]):
                 data = (text or "").encode("utf-8", "surrogatepass")
                 runs = _runs(data, places, whole)
                 rows.append((len(data), int((runs[:, 1] - runs[:, 0]).sum()), len(runs), hashlib.sha256(cut(data, runs)).hexdigest()))
@@ -314,7 +375,8 @@ def removals(docs: DataFrame) -> DataFrame:
     schema = docs.select("doc_id").schema
     for name, kind in (("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")):
         schema = schema.add(name, kind)
-    return map_batches(_with_places(docs, ["doc_id", "text"]), run, schema)
+    keyed = docs.select("doc_id", *[c.alias(n) for n, c in _keyed(F.col("doc_id"), F.col("text")).items()])
+    return map_batches(_with_places(keyed), run, schema)
 
 
 def cut_texts(docs: DataFrame) -> DataFrame:
@@ -322,11 +384,9 @@ def cut_texts(docs: DataFrame) -> DataFrame:
 
     @F.pandas_udf("string")
     def kept(text: pd.Series, places: pd.Series, whole: pd.Series) -> pd.Series:
-        out = []
-        for t, p, w in zip(text, places, whole):
-            data = (t or "").encode("utf-8", "surrogatepass")
-            out.append(None if t is None else cut(data, _runs(data, p, w)).decode("utf-8", "ignore"))
+        out = [cut(data, _runs(data, p, w)).decode("utf-8", "ignore") for data, p, w in zip((t.encode("utf-8", "surrogatepass") for t in text), places, whole)]
         return pd.Series(out, dtype=object)
 
-    rows = _with_places(docs, docs.columns)
-    return rows.withColumn("text", kept("text", "_places", "_whole")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = _with_places(held(docs, **_keyed(F.col("doc_id"), F.col("text"))))
+    new = F.when(F.col("row").getField("text").isNotNull(), kept("text", "places", "whole"))
+    return released(rows.withColumn("row", F.col("row").withField("text", new)), docs.columns)

@@ -71,8 +71,31 @@ def test_segments(spark, monkeypatch):
     assert at(whole) == at(parts)
     windows = lambda a: sorted((p >> 16) + k for p in a["place"].tolist() for k in range((p & 255) + 1))
     assert windows(parts) == windows(whole) == list(range(len(data) - 199))
-    got = suffix.buckets(data, parts["place"])
-    assert windows(got) == list(range(len(data) - 199))
+    which, number, position, least, most = suffix.grids(parts["place"])
+    starts = [p - u for p, a, b in zip(position.tolist(), least.tolist(), most.tolist()) for u in range(a, b + 1)]
+    assert sorted(starts) == list(range(len(data) - 199))
+    assert position.min() >= 0 and position.max() + suffix.START <= len(data)
+
+
+def test_doubling_ranks_by_names(spark):
+    # Positions 16 bytes apart in two strings that part after 100 bytes: pairs are left where 128 and 176 bytes may repeat.
+    from colloquy.llm.store import Store
+
+    rng = np.random.default_rng(3)
+    a = rng.integers(97, 123, 800).astype(np.uint8)
+    b = np.concatenate((a[:100], rng.integers(97, 123, 300).astype(np.uint8), a[400:]))
+    rows, last = [], (800 - 64) // 16
+    for anchor, data in enumerate((a, b)):
+        at = 16 * np.arange(last + 1)
+        names = [suffix.Names(data, k).of(at, at + 64).view(np.int64).tolist() for k in (0, 1)]
+        rows += [(x, y, anchor << 6 | i) for i, (x, y) in enumerate(zip(*names))]
+    pairs = spark.createDataFrame(rows, "n0 long, n1 long, id long")
+    key, store, same = ["n0", "n1"], Store(spark, "t"), lambda i, n: 16 * i + n <= 800 and (a[16 * i : 16 * i + n] == b[16 * i : 16 * i + n]).all()
+    for step, half in zip(suffix.STEPS, (64, 128)):
+        pairs, key = suffix._ranked_pairs(pairs, key, step // 16, store), ["first", "second"]
+        got = {(r.id & 63) for r in pairs.collect()}
+        # A pair is left where both of its halves repeat; it is ranked as a whole in the next round.
+        assert got == {i for i in range(last + 1) if same(i, half) and same(i + step // 16, half)}
 
 
 def test_whole_table(spark, sf):
