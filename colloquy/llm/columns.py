@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .store import bound_batches
+
 #: A word is a run of bytes other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -76,6 +78,7 @@ def map_batches(rows: DataFrame, run, schema: StructType, key: str = "doc_id") -
     lose their last digits.
     """
     kind = rows.schema[key].dataType
+    bound_batches(rows.sparkSession)
     carried = StructType([StructField(key, StringType()) if f.name == key else f for f in schema])
     out = rows.withColumn(key, F.col(key).cast("string")).mapInPandas(lean(run), carried)
     return out.withColumn(key, F.col(key).cast(kind))

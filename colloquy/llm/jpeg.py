@@ -6,9 +6,11 @@ their high bits and then one bit more in each refinement. An inverse transform
 in numpy and chroma upsampling give full-resolution RGB.
 
 The encoder writes 4:2:0 YCbCr whose quantized coefficients are payload bytes:
-the first of each block as DC, the others raised by 256, so that all have one
-size and no run. It uses 10 scans: DC, two bands of luma and one of each chroma
-component, then one refinement of each of these.
+the first of each block as DC, the others as the signed number of eight bits
+whose bits are the byte, so that all have one size and no run. It uses 10 scans:
+DC, two bands of luma and one of each chroma component, then one refinement of
+each of these. The first scan of a band takes a byte for a coefficient: one bit
+of Huffman code and seven of value.
 """
 
 from __future__ import annotations
@@ -57,10 +59,17 @@ class _Bits:
     """A scan's entropy-coded bits, as an array and, where single codes are read, as digits."""
 
     def __init__(self, data: bytes):
-        self.bits = np.unpackbits(np.frombuffer(data.replace(b"\xff\x00", b"\xff"), np.uint8))
+        self.bytes = np.frombuffer(data.replace(b"\xff\x00", b"\xff"), np.uint8)
         self.at = 0
+        self._bits: np.ndarray | None = None
         self._digits = ""
 
+    @property
+    def bits(self) -> np.ndarray:
+        if self._bits is None:
+            self._bits = np.unpackbits(self.bytes)
+        return self._bits
+
     def digits(self, n: int) -> str:
         if not self._digits:
             self._digits = (self.bits + 48).tobytes().decode("ascii")
@@ -105,12 +114,15 @@ def _ac_first(bits: _Bits, f: np.ndarray, table: dict, ss: int, se: int, al: int
         ((length, _), symbol), = table.items()
         size = symbol & 15
         if symbol >> 4 == 0 and size:
-            # One symbol without a run: all coefficients take the same number of bits.
-            rows = bits.take(n * band * (length + size)).reshape(n * band, length + size)[:, length:]
-            values = np.packbits(rows[:, :8], axis=1)[:, 0].astype(np.int32) >> max(0, 8 - size)
-            for k in range(8, size):
-                values = values << 1 | rows[:, k]
-            values = np.where(rows[:, 0] == 1, values, values - (1 << size) + 1)
+            # One symbol without a run: all coefficients take the same number of bits, eight where they are bytes.
+            if length + size == 8:
+                values = (bits.bytes[: n * band] & ((1 << size) - 1)).astype(np.int16)
+            else:
+                rows = bits.take(n * band * (length + size)).reshape(n * band, length + size)[:, length:]
+                values = np.packbits(rows[:, :8], axis=1)[:, 0].astype(np.int16) >> max(0, 8 - size)
+                for k in range(8, size):
+                    values = values << 1 | rows[:, k]
+            values -= np.where(values >> (size - 1), 0, (1 << size) - 1).astype(np.int16)
             f[:, ss : se + 1] = (values << al).reshape(n, band)
             return
     run = 0
@@ -135,6 +147,10 @@ def _ac_first(bits: _Bits, f: np.ndarray, table: dict, ss: int, se: int, al: int
 
 def _correct(bits: _Bits, part: np.ndarray, al: int) -> None:
     """One more bit for each nonzero coefficient of part, in order."""
+    if part.all():
+        more = bits.take(part.size).reshape(part.shape).astype(part.dtype) << al
+        part += np.where(part < 0, -more, more)
+        return
     nonzero = part != 0
     values = part[nonzero]
     more = bits.take(len(values)).astype(part.dtype) << al
@@ -248,7 +264,7 @@ def decode(data: bytes) -> Jpeg:
                 jpeg.tables.append(t)
             hmax, vmax = max(h for h, _ in jpeg.sampling), max(v for _, v in jpeg.sampling)
             across, down = -(-jpeg.width // (8 * hmax)), -(-jpeg.height // (8 * vmax))
-            jpeg.coefficients = [np.zeros((down * v, across * h, 64), np.int32) for h, v in jpeg.sampling]
+            jpeg.coefficients = [np.zeros((down * v, across * h, 64), np.int16) for h, v in jpeg.sampling]
         elif marker == 0xFFC4:
             while body:
                 n = sum(body[1:17])
@@ -271,15 +287,31 @@ def decode(data: bytes) -> Jpeg:
 
 def rgb(jpeg: Jpeg) -> np.ndarray:
     """Full-resolution RGB, (height, width, 3) uint8."""
+    return np.concatenate(list(strips(jpeg)))
+
+
+#: Pixels of a strip at most, if one row of MCUs is not more.
+STRIP = 1 << 18
+
+
+def strips(jpeg: Jpeg):
+    """RGB, a few rows of MCUs at a time, so that the memory of a large image's planes is bounded."""
     hmax, vmax = max(h for h, _ in jpeg.sampling), max(v for _, v in jpeg.sampling)
-    planes = []
-    for c, (h, v), t in zip(jpeg.coefficients, jpeg.sampling, jpeg.tables):
+    down, step = -(-jpeg.height // (8 * vmax)), max(1, STRIP // (8 * vmax * jpeg.width))
+    for top in range(0, down, step):
+        yield _strip(jpeg, top, min(step, down - top), hmax, vmax)
+
+
+def _strip(jpeg: Jpeg, top: int, rows: int, hmax: int, vmax: int) -> np.ndarray:
+    planes, height = [], min(jpeg.height - 8 * vmax * top, 8 * vmax * rows)
+    for whole, (h, v), t in zip(jpeg.coefficients, jpeg.sampling, jpeg.tables):
+        c = whole[top * v : (top + rows) * v]
         natural = np.empty(c.shape, np.float32)
         natural[..., ZIGZAG] = c * jpeg.quant[t]
         down, across = c.shape[:2]
         samples = (natural.reshape(-1, 64) @ INVERSE).reshape(down, across, 8, 8).swapaxes(1, 2).reshape(down * 8, across * 8)
         samples = np.clip(np.rint(samples) + 128, 0, 255)
-        planes.append(samples.repeat(vmax // v, 0).repeat(hmax // h, 1)[: jpeg.height, : jpeg.width])
+        planes.append(samples.repeat(vmax // v, 0).repeat(hmax // h, 1)[:height, : jpeg.width])
     if len(planes) == 1:
         return np.stack([planes[0]] * 3, -1).astype(np.uint8)
     y, cb, cr = planes[0], planes[1] - 128, planes[2] - 128
@@ -294,11 +326,14 @@ def _segment(marker: int, body: bytes) -> bytes:
     return struct.pack(">HH", marker, len(body) + 2) + body
 
 
+def _scan_head(parts, ss, se, ah, al) -> bytes:
+    return _segment(0xFFDA, bytes([len(parts)]) + b"".join(bytes([c, 0]) for c in parts) + bytes([ss, se, ah << 4 | al]))
+
+
 def _scan_bytes(parts, ss, se, ah, al, bits: np.ndarray) -> bytes:
-    body = bytes([len(parts)]) + b"".join(bytes([c, 0]) for c in parts) + bytes([ss, se, ah << 4 | al])
     packed = np.packbits(bits)
     packed[-1] |= (1 << -len(bits) % 8) - 1
-    return _segment(0xFFDA, body) + packed.tobytes().replace(b"\xff", b"\xff\x00")
+    return _scan_head(parts, ss, se, ah, al) + packed.tobytes().replace(b"\xff", b"\xff\x00")
 
 
 @lru_cache(8)
@@ -350,13 +385,12 @@ def encode(payload: bytes) -> bytes:
     extra = np.where(diff < 0, diff + (1 << size) - 1, diff)
     out.append(_table(0, 4, tuple(range(9))))
     out.append(_scan_bytes([1, 2, 3], 0, 0, 0, 1, _variable(size << size | extra, 4 + size)))
-    out.append(_table(1, 1, (8,)))
+    out.append(_table(1, 1, (7,)))
     for c, p in enumerate(planes, 1):
         for ss, se in BANDS[c - 1]:
             part = p[:, ss : se + 1].reshape(-1)
-            bits = np.zeros((len(part), 9), np.uint8)
-            bits[:, 1:] = np.unpackbits((part >> 1 | 128)[:, None], axis=1)
-            out.append(_scan_bytes([c], ss, se, 0, 1, bits.reshape(-1)))
+            # A zero for the code and the seven high bits, which are those of half the coefficient.
+            out.append(_scan_head([c], ss, se, 0, 1) + (part >> 1).tobytes())
     out.append(_scan_bytes([1, 2, 3], 0, 0, 1, 0, (dc & 1).astype(np.uint8)))
     out.append(_table(1, 4, tuple(r << 4 for r in range(15))))
     for c, p in enumerate(planes, 1):
@@ -366,7 +400,8 @@ def encode(payload: bytes) -> bytes:
                 part = p[lo : lo + 32767, ss : se + 1]
                 r = len(part).bit_length() - 1
                 bits.append(_variable(np.array([r, len(part) - (1 << r)]), np.array([4, r])))
-                bits.append((part & 1).reshape(-1))
+                # The low bit of the magnitude: negative ones count down to the byte.
+                bits.append(((part & 1) ^ (part < 128)).reshape(-1))
             out.append(_scan_bytes([c], ss, se, 1, 0, np.concatenate(bits)))
     out.append(b"\xff\xd9")
     return b"".join(out)
@@ -376,4 +411,4 @@ def payload_of(jpeg: Jpeg, n_bytes: int) -> bytes:
     """The payload, padding included, of a file that encode() made for a text of n_bytes."""
     blocks = max(1, -(-n_bytes // 64))
     flat = np.concatenate([c.reshape(-1, 64) for c in jpeg.coefficients])[:blocks]
-    return (flat & 255).astype(np.uint8).tobytes()
+    return (flat + np.where(flat < 0, 255, 0).astype(np.int16)).astype(np.uint8).tobytes()

@@ -50,11 +50,17 @@ def read_media(media: DataFrame) -> DataFrame:
     return map_batches(media.select("doc_id", "n_bytes", "media"), run, schema)
 
 
-def features(tensor: np.ndarray) -> str:
-    """Size, and mean and deviation of each channel."""
-    flat = tensor.reshape(-1, 3).astype(np.float64)
-    mean, std = flat.mean(0), flat.std(0)
-    return f"{tensor.shape[0]}x{tensor.shape[1]} mean " + " ".join(f"{x:.2f}" for x in mean) + " std " + " ".join(f"{x:.2f}" for x in std)
+def features(file: jpeg.Jpeg) -> str:
+    """Size, and mean and deviation of each channel, from strips of the RGB tensor; sums are of whole numbers."""
+    total, squares = np.zeros(3, np.int64), np.zeros(3, np.int64)
+    for strip in jpeg.strips(file):
+        flat = strip.reshape(-1, 3)
+        total += flat.sum(0, dtype=np.int64)
+        squares += np.array([np.dot(x, x) for x in flat.T.astype(np.float64)]).astype(np.int64)
+    n = file.height * file.width
+    mean = total / n
+    std = np.sqrt(np.maximum(squares / n - mean * mean, 0))
+    return f"{file.height}x{file.width} mean " + " ".join(f"{x:.2f}" for x in mean) + " std " + " ".join(f"{x:.2f}" for x in std)
 
 
 def digests(media: DataFrame) -> DataFrame:
@@ -66,7 +72,7 @@ def digests(media: DataFrame) -> DataFrame:
             for n, data in zip(batch["n_bytes"], batch["media"]):
                 file = jpeg.decode(data)
                 held = jpeg.payload_of(file, n)
-                rows.append((len(held), hashlib.sha256(held).hexdigest(), zlib.crc32(held[-64:]), len(data), hashlib.sha256(data).hexdigest(), features(jpeg.rgb(file))))
+                rows.append((len(held), hashlib.sha256(held).hexdigest(), zlib.crc32(held[-64:]), len(data), hashlib.sha256(data).hexdigest(), features(file)))
             names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
             out = pd.DataFrame(rows, columns=names)
             out.insert(0, "n_bytes", batch["n_bytes"].to_numpy())

@@ -28,7 +28,7 @@ def op3_suffix(spark, sf_dir):
 
 
 def op4_media(spark, sf_dir):
-    stored = Store(spark, "media").save(media.store_media(_table(spark, sf_dir, "documents")))
+    stored = Store(spark, "media").save(media.store_media(_table(spark, sf_dir, "documents")), compression="zstd")
     return media.digests(stored)
 
 

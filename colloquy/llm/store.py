@@ -64,14 +64,14 @@ class Store:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
         bound_batches(spark)
 
-    def save(self, df: DataFrame) -> DataFrame:
+    def save(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
         """Write df as Parquet and return the reread table; its shuffle files go at once."""
         self._n += 1
         path = f"{self.root}/t{self._n}"
         before = self.spark.conf.get(_CLEANUP, None)
         self.spark.conf.set(_CLEANUP, "true")
         try:
-            df.write.parquet(path)
+            df.write.parquet(path, compression=compression)
         finally:
             if before is None:
                 self.spark.conf.unset(_CLEANUP)

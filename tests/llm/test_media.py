@@ -23,6 +23,16 @@ def test_long_text():
     assert jpeg.payload_of(jpeg.decode(jpeg.encode(data)), n) == data
 
 
+def test_strips_give_the_whole(monkeypatch):
+    rng = np.random.default_rng(2)
+    file = jpeg.decode(jpeg.encode(rng.integers(0, 256, 64 * 3000, np.uint8).tobytes()))
+    whole, said = jpeg.rgb(file), media.features(file)
+    monkeypatch.setattr(jpeg, "STRIP", 3 * 16 * file.width)
+    assert len(list(jpeg.strips(file))) > 3 and np.array_equal(jpeg.rgb(file), whole) and media.features(file) == said
+    flat = whole.reshape(-1, 3).astype(float)
+    assert said.split(" mean ")[1] == " ".join(f"{x:.2f}" for x in flat.mean(0)) + " std " + " ".join(f"{x:.2f}" for x in flat.std(0))
+
+
 def bits_of(value, n):
     return [value >> i & 1 for i in reversed(range(n))]
 
