@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .columns import byte_count
+from .columns import byte_count, held
 from .store import Store
 
 BITS = 60
@@ -54,60 +54,80 @@ def _directory(rows: DataFrame, base: int, bits: int, limit: int) -> DataFrame:
     return fine.select("prefix").join(placed, "prefix", "left")
 
 
-def _parts(rows: DataFrame, limit: int) -> DataFrame:
-    """Numbers the parts of keys whose rows exceed the limit; every other row is part 0."""
-    half = limit // 2
-    order = Window.partitionBy("h", "large").orderBy("bytes")
-    many = (F.col("shard_bytes") > limit) & (F.col("shard_docs") > 1)
-    cut = rows.filter(many).withColumn("large", F.col("bytes") > half)
-    before = F.coalesce(F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    part = F.when(F.col("large"), -F.row_number().over(order)).otherwise(F.floor(before / F.lit(float(max(1, half)))))
-    cut = cut.withColumn("part", part.cast("long")).drop("large")
-    own = Window.partitionBy("h", "part")
-    cut = cut.withColumn("shard_bytes", F.sum("bytes").over(own)).withColumn("shard_docs", F.count(F.lit(1)).over(own))
-    return rows.filter(~many).withColumn("part", F.lit(0).cast("long")).unionByName(cut)
-
+def _parts(rows: DataFrame, limit: int, store: Store) -> DataFrame:
+    """Numbers the parts of keys whose rows exceed the limit; every other row is part 0.
 
-def shard(docs: DataFrame, limit: int = 8 << 20, key: str = "doc_id") -> DataFrame:
-    """One row per document: doc_id, bytes, shard (its bits), depth, part, shard_bytes, shard_docs."""
+    Such a key may have very many rows. They are sorted over all tasks by a
+    range partitioning, each task adds up its own, and a key's few totals, one
+    for each task, are added before them.
+    """
+    many = (F.col("shard_bytes") > limit) & (F.col("shard_docs") > 1)
+    whole = rows.filter(~many).withColumn("part", F.lit(0).cast("long"))
+    if rows.filter(many).isEmpty():
+        return whole
+    half, key = limit // 2, ["h", "large"]
+    cut = store.save(rows.filter(many).withColumn("large", F.col("bytes") > half).withColumn("salt", F.monotonically_increasing_id()))
+    order = [*key, "bytes", "salt"]
+    ranged = store.save(cut.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()))
+    ranged = ranged.withColumn("task", F.shiftright("at", 33))
+    own = Window.partitionBy("task", *key).orderBy("at")
+    ranged = ranged.withColumn("before", F.coalesce(F.sum("bytes").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("nth", F.row_number().over(own))
+    totals = ranged.groupBy("task", *key).agg(F.sum("bytes").alias("b"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*key).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("task", *key, F.coalesce(F.sum("b").over(earlier), F.lit(0)).alias("b0"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"))
+    placed = ranged.join(offsets, ["task", *key])
+    part = F.when(F.col("large"), -(F.col("n0") + F.col("nth"))).otherwise(F.floor((F.col("b0") + F.col("before")) / F.lit(float(max(1, half)))))
+    placed = store.save(placed.withColumn("part", part.cast("long")).select(*rows.columns, "part"))
+    # A part of empty documents may have very many rows: totals are joined, not windowed.
+    sums = store.save(placed.groupBy("h", "part").agg(F.sum("bytes").alias("b"), F.count(F.lit(1)).alias("n")))
+    summed = placed.join(sums, ["h", "part"]).withColumn("shard_bytes", F.col("b")).withColumn("shard_docs", F.col("n"))
+    return whole.unionByName(summed.select(*whole.columns))
+
+
+def _placed(docs: DataFrame, limit: int, key: str, carry: bool) -> DataFrame:
+    """Rows (doc_id, bytes, shard, depth, part, shard_bytes, shard_docs), and row, all columns of docs, if carried."""
     store = Store(docs.sparkSession, "shard")
-    keep = ["doc_id"] if key == "doc_id" else ["doc_id", key]
-    rows = docs.select(*keep, byte_count(F.col("text")).alias("bytes")).withColumn("h", key_hash(F.col(key))).select("doc_id", "bytes", "h")
-    rows = store.save(rows)
+    own = {"doc_id": F.col("doc_id"), "bytes": byte_count(F.col("text")), "h": key_hash(F.col(key))}
+    rows = held(docs, **own) if carry else docs.select(*[c.alias(n) for n, c in own.items()])
+    rest = ["row"] * carry + ["doc_id", "bytes", "h"]
+    rows = store.save(rows.select(*rest))
     total = rows.agg(F.sum("bytes")).first()[0] or 0
     base, bits = -1, min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + 3)
     placed = None
     while True:
         directory = store.save(_directory(rows, base, bits, limit))
+        # Some entries for each shard: Spark sends them to all tasks only while they are below its limit for that.
         joined = rows.withColumn("prefix", _prefix(F.col("h"), bits)).join(directory, "prefix")
-        done = joined.filter("shard IS NOT NULL").select("doc_id", "bytes", "h", "shard.*")
+        done = joined.filter("shard IS NOT NULL").select(*rest, "shard.*")
         placed = done if placed is None else placed.unionByName(done)
         if bits == BITS or directory.filter("shard IS NULL").isEmpty():
             break
-        rows = store.save(joined.filter("shard IS NULL").select("doc_id", "bytes", "h"))
+        rows = store.save(joined.filter("shard IS NULL").select(*rest))
         base, bits = bits, min(BITS, bits + STEP)
-    placed = _parts(placed, limit)
+    placed = _parts(placed, limit, store)
     name = F.when(F.col("depth") == 0, "").otherwise(F.expr("lpad(bin(node), depth, '0')"))
-    return placed.select("doc_id", "bytes", name.alias("shard"), F.col("depth").cast("int").alias("depth"), "part", "shard_bytes", "shard_docs")
+    return placed.select(*rest[:-1], name.alias("shard"), F.col("depth").cast("int").alias("depth"), "part", "shard_bytes", "shard_docs")
+
+
+def shard(docs: DataFrame, limit: int = 8 << 20, key: str = "doc_id") -> DataFrame:
+    """One row per document: doc_id, bytes, shard (its bits), depth, part, shard_bytes, shard_docs."""
+    return _placed(docs, limit, key, carry=False)
 
 
-def write_shards(docs: DataFrame, assignment: DataFrame, path: str) -> None:
+def write_shards(docs: DataFrame, path: str, limit: int = 8 << 20, key: str = "doc_id") -> None:
     """Write the documents as one Parquet directory per shard and part, each row once.
 
-    Rows that share doc_id and bytes fill the places that the assignment has for
-    them in any order: all their places are of one size. Where the key isn't
-    doc_id, such rows have to share the key too.
+    Rows keep their shard from the placing on: nothing is matched by ids. The
+    folders are shard=…/part=…; a name that the documents have is led by "_".
     """
-    same = Window.partitionBy("_id", "_bytes")
-    where = assignment.select(F.col("doc_id").alias("_id"), F.col("bytes").alias("_bytes"), "shard", "part")
-    where = where.withColumn("_n", F.row_number().over(same.orderBy("shard", "part")))
-    keyed = docs.withColumn("_id", F.col("doc_id")).withColumn("_bytes", byte_count(F.col("text")))
-    # The table's own columns stay under one name, whatever they are called.
-    keyed = keyed.select("_id", "_bytes", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")).withColumn("_k", F.row_number().over(same.orderBy(F.lit(0))))
-    where = where.withColumnsRenamed({"_id": "_wid", "_bytes": "_wbytes"})
-    rows = keyed.join(where, F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_bytes") == F.col("_wbytes")) & (F.col("_k") == F.col("_n")))
-    own = [F.col("_row").getField(c).alias(c) for c in docs.columns]
-    rows.select(*own, "shard", "part").repartition("shard", "part").write.partitionBy("shard", "part").parquet(path)
+    names = []
+    for name in ("shard", "part"):
+        while name in docs.columns:
+            name = "_" + name
+        names.append(name)
+    own = [F.col("row").getField(c).alias(c) for c in docs.columns]
+    rows = _placed(docs, limit, key, carry=True).select(*own, F.col("shard").alias(names[0]), F.col("part").alias(names[1]))
+    rows.repartition(*names).write.partitionBy(*names).parquet(path)
 
 
 ORACLE = f"""

@@ -50,7 +50,7 @@ def test_repeated_keys_are_cut_into_parts(spark):
 
 def test_written_shards(spark, tmp_path):
     docs = spark.createDataFrame([(i, "t" * i) for i in range(50)], "doc_id long, text string")
-    sharding.write_shards(docs, sharding.shard(docs, 200), str(tmp_path / "out"))
+    sharding.write_shards(docs, str(tmp_path / "out"), 200)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 50
 
 
@@ -62,10 +62,25 @@ def test_no_python_in_the_plan(spark, sf):
 def test_written_shards_hold_null_and_repeated_ids_once(spark, tmp_path):
     rows = [(7, "z" * 30)] * 20 + [(7, "y" * 30), (7, "z" * 90), (None, "n" * 40), (None, "m" * 40), (None, None), (8, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    sharding.write_shards(docs, sharding.shard(docs, 100), str(tmp_path / "out"))
+    sharding.write_shards(docs, str(tmp_path / "out"), 100)
     got = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(rows, key=str)
     total = {}
     for r in got:
         total[r.shard, r.part] = total.get((r.shard, r.part), 0) + len(r.text or "")
     assert max(total.values()) <= 100
+
+
+def test_hot_keys_and_clashing_names(spark, tmp_path):
+    # A third of all rows under one null id, some of them empty, over many partitions.
+    rows = [(None, "x" * (i % 7), "s", "b") for i in range(3000)] + [(i, "y" * 5, "s", "b") for i in range(6000)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(13)
+    got = sharding.shard(docs, 500).collect()
+    total = {}
+    for r in got:
+        total.setdefault((r.shard, r.part), []).append(r.bytes)
+    assert len(got) == 9000 and all(sum(v) <= 500 for v in total.values())
+    assert all((r.shard_bytes, r.shard_docs) == (sum(total[r.shard, r.part]), len(total[r.shard, r.part])) for r in got)
+    sharding.write_shards(docs.limit(200), str(tmp_path / "out"), 500)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 200 and set(back.columns) == {"doc_id", "text", "shard", "bytes", "_shard", "part"}
