@@ -7,8 +7,10 @@ labelled rejects. Raw text is the mixture of what all documents look like and
 of both kinds of rejects. A document's log importance weight is its log
 probability under the target model less that under the mixture. With Gumbel
 noise added, the top k keys are a sample without replacement in proportion to
-the weights; k is the number of documents that the target model explains nearly as
-well as the mixture or better (log weight above LEVEL).
+the weights; k is the number of documents whose log weight is above a level.
+One labelled document in TUNING is left out of the models, and the level is
+where these are told apart best: where the share of target ones above it and
+that of rejects below it add up to the most.
 
 A rare n-gram moves the target's ratio to raw text by CLIP at most, so that
 what a few documents repeat, and no labelled one happens to hold, doesn't
@@ -57,8 +59,10 @@ TIMES_TOXIC = 10.0
 SHARE_TOXIC = 0.015
 #: Bound of an n-gram's log ratio of target to raw text, where fewer than COMMON are expected in the target's sample.
 CLIP, COMMON = 0.3, 500
-#: Log weight above which documents count towards k.
-LEVEL = -1.7
+#: Log weight above which documents count towards k where labels don't tell: the mixture explains them no better.
+LEVEL = 0.0
+#: One labelled document in so many sets the level, and is not in the models.
+TUNING = 5
 _KINDS = ("raw", "target", "junk", "toxic", "target_docs", "toxic_docs")
 #: Log odds against a document being of low quality or toxic, on top of their shares.
 MARGINS = (4.0, 2.0)
@@ -113,6 +117,23 @@ def _label_kinds(labels: DataFrame, max_labels: int) -> DataFrame:
     return each.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels).select("doc_id", kind.alias("kind"))
 
 
+def _tuning(kinds: DataFrame):
+    return F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(TUNING)) == 0
+
+
+def best_level(weights: np.ndarray, target: np.ndarray) -> float:
+    """The smallest level that tells target documents from the others best; LEVEL where there are none of either."""
+    if target.all() or not target.any():
+        return LEVEL
+    order = np.argsort(weights, kind="stable")
+    w, good = weights[order], target[order]
+    # With the first n at or below the level: rejects among them, and target ones among the rest.
+    told = np.concatenate(([0.0], np.cumsum(~good) / (~good).sum())) + np.concatenate(([1.0], 1 - np.cumsum(good) / good.sum()))
+    ends = np.concatenate(([True], np.append(w[1:] != w[:-1], True)))
+    n = int(np.argmax(np.where(ends, told, -1)))
+    return float(w[0] - 1) if n == 0 else float(w[n - 1])
+
+
 class Model:
     """Log ratios to the raw model, per n-gram: of target, of low quality, and of toxic to target."""
 
@@ -151,9 +172,9 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, store: Store, max_labels: int = MAX_LABELS) -> Model:
     """Count all documents and make the model; SIZE rows at most come to the driver."""
-    kinds = store.save(_label_kinds(labels, max_labels))
+    kinds = _label_kinds(labels, max_labels)
+    kinds = store.save(kinds.filter(~_tuning(kinds)))
     n = {r["kind"]: r["count"] for r in kinds.groupBy("kind").count().collect()}
-    total = max(1, sum(n.values()))
     counts = np.zeros((len(_KINDS), SIZE), np.int64)
     found = _counts(docs, kinds).toPandas()
     counts[:, found["place"].to_numpy()] = found[list(_KINDS)].to_numpy().T
@@ -204,7 +225,11 @@ def resample(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS, s
     """One row per document: doc_id, digest, n_features, log_weight, kept."""
     store = Store(docs.sparkSession, "importance")
     rows = store.save(score(docs, fit(docs, labels, store, max_labels), seed))
-    k = rows.filter((F.col("n_features") > 0) & (F.col("log_weight") > LEVEL)).count()
+    kinds = _label_kinds(labels, max_labels)
+    # At most max_labels / TUNING ids are broadcast, and their documents' weights come to the driver.
+    tuned = rows.filter("n_features > 0").join(F.broadcast(kinds.filter(_tuning(kinds))), "doc_id").groupBy("doc_id", "kind").agg(F.min("log_weight").alias("w")).toPandas()
+    level = best_level(tuned["w"].to_numpy(np.float64), tuned["kind"].to_numpy() == 1)
+    k = rows.filter((F.col("n_features") > 0) & (F.col("log_weight") > level)).count()
     cut = kth_largest(rows.filter("key IS NOT NULL"), "key", k)
     kept = F.lit(False) if cut is None else F.coalesce(F.col("key") >= F.lit(cut), F.lit(False))
     return rows.select("doc_id", "digest", "n_features", "log_weight", kept.alias("kept"))
