@@ -3,8 +3,10 @@
 For every participant the whole dialogue is rendered with that speaker as the
 assistant, the others as users under their names and system turns as they are.
 The mask holds the character spans of the assistant's own words, those that a
-model would be trained on. Very long conversations are rendered in parts of
-`part_turns` turn numbers, so no task gathers an unbounded conversation.
+model would be trained on. A conversation is rendered whole, whatever its
+length; only where part_turns is given is it rendered in parts of so many turn
+numbers. A turn's text and name cannot open a turn of their own: "<|" in them is
+written "< |".
 
 Edge cases: a null role is the participant "unknown"; null and empty texts are
 empty turns; turns with equal numbers are ordered by role and text; repeated
@@ -15,19 +17,46 @@ an empty table; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SYSTEM = "system"
+#: Values that are added up together.
+BLOCK = 256
 
 
-def rotate(turns: DataFrame, part_turns: int = 512) -> DataFrame:
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _added(values: Column) -> Column:
+    """The sums of each first n values, n from 1; for few values."""
+    start = F.slice(values, 1, 1)
+    return F.aggregate(F.slice(values, 2, BLOCK), start, lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+
+
+def running_sums(values: Column) -> Column:
+    """The sums of each first n values of an array<long>, n from 1: in blocks, so that no array grows value by value."""
+
+    def joined(blocks):
+        # Block totals are added in blocks too, up to BLOCK ** 2 of them.
+        totals = F.transform(blocks, lambda b: F.element_at(b, -1))
+        outer = F.transform(_slices(totals), _added)
+        before = F.aggregate(outer, F.array(F.lit(0).cast("long")), lambda acc, b: F.concat(acc, F.transform(b, lambda x: x + F.element_at(acc, -1))))
+        return _let(before, lambda at: F.flatten(F.transform(blocks, lambda b, k: F.transform(b, lambda x: x + F.get(at, k)))))
+
+    return F.when(F.size(values) > 0, _let(F.transform(_slices(values), _added), joined)).otherwise(F.array().cast("array<long>"))
+
+
+def _slices(values: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.ceil(F.size(values) / F.lit(float(BLOCK))).cast("int") - 1), lambda k: F.slice(values, k * BLOCK + 1, BLOCK))
+
+
+def rotate(turns: DataFrame, part_turns: int | None = None) -> DataFrame:
     """Rows (conv_id, part, speaker, n_turns, rendered, mask): mask is "start-end" spans in code points, end exclusive."""
-    t = turns.select(
-        "conv_id",
-        F.coalesce(F.floor(F.col("turn") / F.lit(float(part_turns))), F.lit(0)).cast("long").alias("part"),
-        F.struct("turn", F.coalesce("role", F.lit("unknown")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("t"),
-    )
+    part = F.lit(0) if part_turns is None else F.coalesce(F.floor(F.col("turn") / F.lit(float(part_turns))), F.lit(0))
+    plain = lambda c, missing: F.replace(F.coalesce(c, F.lit(missing)), F.lit("<|"), F.lit("< |"))
+    t = turns.select("conv_id", part.cast("long").alias("part"), F.struct("turn", plain("role", "unknown").alias("role"), plain("text", "").alias("text")).alias("t"))
     speakers = (
         t.select("conv_id", F.col("t.role").alias("role"))
         .filter(F.col("role") != SYSTEM)
@@ -45,19 +74,12 @@ def rotate(turns: DataFrame, part_turns: int = 512) -> DataFrame:
     rows = rows.withColumn("heads", F.transform("ts", header))
     pieces = F.zip_with("heads", "ts", lambda h, x: F.concat(h, x["text"], F.lit("\n")))
     rows = rows.withColumn("pieces", pieces)
-    # Starts of the turns: a running sum of lengths, kept as an array.
-    start = F.array(F.lit(0))
-    starts = F.aggregate("pieces", start, lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(x))))
-    rows = rows.withColumn("starts", starts)
+    rows = rows.withColumn("ends", running_sums(F.transform("pieces", lambda p: F.length(p).cast("long"))))
     spans = F.transform(
         "ts",
         lambda x, i: F.when(
             x["role"] == F.col("speaker"),
-            F.concat(
-                (F.get("starts", i) + F.length(F.get("heads", i))).cast("string"),
-                F.lit("-"),
-                (F.get("starts", i + 1) - 1).cast("string"),
-            ),
+            F.concat((F.get("ends", i) - 1 - F.length(x["text"])).cast("string"), F.lit("-"), (F.get("ends", i) - 1).cast("string")),
         ),
     )
     return rows.select(
@@ -72,7 +94,7 @@ def rotate(turns: DataFrame, part_turns: int = 512) -> DataFrame:
 
 ORACLE = """
 WITH t AS (
-  SELECT conv_id, COALESCE(turn // 512, 0)::BIGINT AS part, turn, COALESCE(role, 'unknown') AS role, COALESCE(text, '') AS text
+  SELECT conv_id, 0::BIGINT AS part, turn, replace(COALESCE(role, 'unknown'), '<|', '< |') AS role, replace(COALESCE(text, ''), '<|', '< |') AS text
   FROM conversations),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
 r AS (
