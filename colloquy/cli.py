@@ -44,6 +44,9 @@ def parser() -> argparse.ArgumentParser:
         if name == "slice":
             p.add_argument("--max-window", type=float, default=90.0)
             p.add_argument("--min-words", type=int, default=1)
+            p.add_argument("--ids")
+            p.add_argument("--texts")
+            p.add_argument("--tracker")
         else:
             p.add_argument("--deep-clean", action="store_true")
             p.add_argument("--entity")
@@ -58,11 +61,23 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--max-pass", type=int, default=3)
     i.add_argument("--force", action="store_true")
     i.add_argument("--print-prompts", action="store_true")
+    i.add_argument("--entity")
+    i.add_argument("--job-profile")
+    i.add_argument("--prompts", action="append", default=[], help="a folder of prompt bundles, tried before those of the entity and of the project")
+    i.add_argument("--provider")
+    i.add_argument("--model")
+    i.add_argument("--target")
+    i.add_argument("--pricing-provider", default="")
+    i.add_argument("--pricing-model", default="")
+    i.add_argument("--files", help="a folder for the summaries as files")
+    i.add_argument("--output-format", choices=("markdown", "yaml"), default="markdown")
+    i.add_argument("--chunks", help="a folder for the first pass's chunks, for inspection")
 
     x = groups.add_parser("index")
     x.add_argument("transcripts")
     x.add_argument("output")
     x.add_argument("--summaries")
+    x.add_argument("--ids", help="a tracker file of ids, which restores their case")
     s = groups.add_parser("search")
     s.add_argument("index")
     s.add_argument("transcripts")
@@ -108,6 +123,26 @@ def _config(args) -> int:
     return 0
 
 
+def _summarize(spark, args):
+    """The summary stage; options come from the command line, the entity, the system, and defaults, in this order."""
+    from .plans import stages
+
+    settings = config.resolve(args.config, args.entity) if args.entity else {}
+    chosen = lambda name, given, default=None: config.first_given(given, settings.get(name), default)
+    model = chosen("default_model", args.model, "extractive")
+    known = settings.get("models", {})
+    entry = config.model_entry(known, model) if known and args.model else {}
+    budget = config.token_budget(config.first_given(args.max_tokens, entry.get("max_tokens"), 3000), args.max_words, config.first_given(entry.get("num_ctx"), args.num_ctx))
+    folders = [*args.prompts, *([os.path.join(config.entity_dir(settings, args.entity), "prompts")] if settings else []), "prompts"]
+    bundle = config.prompt_bundle(folders, chosen("job_profile", args.job_profile, "civic"))
+    if args.chunks:
+        stages.chunk_files(spark, args.transcripts, args.chunks, args.chunk_style, budget, keywords=bundle.keywords)
+    return stages.summarize_texts(
+        spark, args.transcripts, args.output, args.force, bundle, chosen("llm_provider", args.provider, "ollama"), model, chosen("llm_provider_url", args.target, "https://localhost"),
+        (args.pricing_provider, args.pricing_model), files=args.files, form=args.output_format, style=args.chunk_style, max_tokens=budget, max_pass=args.max_pass,
+    )
+
+
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     try:
@@ -121,21 +156,21 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         spark = _session()
         if args.group == "transcript" and args.command == "slice":
-            out = stages.slice_captions(spark, args.input, args.output, max_window=args.max_window, min_words=args.min_words, force=args.force)
+            ids = stages.id_map(spark, args.ids) if args.ids else None
+            out = stages.slice_captions(spark, args.input, args.output, ids, args.max_window, args.min_words, args.force, args.texts, args.tracker)
         elif args.group == "transcript":
             terms = config.resolve(args.config, args.entity).get("replacements", {}) if args.entity else {}
             out = stages.normalize_texts(spark, args.input, args.output, terms, args.deep_clean, args.force)
         elif args.group == "intel":
-            budget = config.token_budget(config.first_given(args.max_tokens, 3000), args.max_words, args.num_ctx)
-            out = stages.summarize_texts(spark, args.transcripts, args.output, args.force, style=args.chunk_style, max_tokens=budget, max_pass=args.max_pass)
+            out = _summarize(spark, args)
         elif args.group == "index":
-            out = stages.build_index(spark, args.transcripts, args.summaries, args.output)
+            out = stages.build_index(spark, args.transcripts, args.summaries, args.output, ids=stages.id_map(spark, args.ids) if args.ids else None)
         else:
             stages.search_index(spark, args.index, args.transcripts, args.query, args.strategy).show(25, 100)
             return 0
         print(f"{out.count()} rows")
         return 0
-    except config.ConfigError as e:
+    except (config.ConfigError, ValueError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 1
     except KeyboardInterrupt:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 CLAMP = 1e-10
 
 
@@ -22,15 +24,22 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def hashed_embedding(text: Column, dimensions: int = 64) -> Column:
-    """A model-free stand-in for a sentence embedding: hashed words with signs, of length one."""
-    places = F.transform(F.filter(F.split(F.lower(text), r"(?U)\W+"), lambda w: w != ""), lambda w: F.xxhash64(w))
-    sums = F.transform(
-        F.sequence(F.lit(0), F.lit(dimensions - 1)),
-        lambda d: F.aggregate(
-            places,
-            F.lit(0.0),
-            lambda s, h: s + F.when(F.pmod(h, F.lit(dimensions)) == d, F.when(h.bitwiseAND(F.lit(1 << 40)) == 0, 1.0).otherwise(-1.0)).otherwise(0.0),
-        ),
-    )
-    length = F.greatest(F.sqrt(F.aggregate(sums, F.lit(0.0), lambda s, x: s + x * x)), F.lit(CLAMP))
-    return F.transform(sums, lambda x: (x / length).cast("float"))
+    """A model-free stand-in for a sentence embedding: hashed words with signs, of length one.
+
+    A word is one of 2 * dimensions signs, written as one character each; how
+    often each occurs is how much shorter the text gets without it.
+    """
+    words = F.filter(F.split(F.lower(text), r"(?U)\W+"), lambda w: w != "")
+    sign = lambda n: F.char(F.lit(64) + n)
+    code = lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % (2 * dimensions)
+    signs = F.array_join(F.transform(words, lambda w: sign(code(w))), "")
+
+    def counted(s):
+        times = lambda n: F.length(s) - F.length(F.replace(s, sign(F.lit(n)), F.lit("")))
+        return F.array(*[(times(d) - times(d + dimensions)).cast("double") for d in range(dimensions)])
+
+    def scaled(sums):
+        length = F.greatest(F.sqrt(F.aggregate(sums, F.lit(0.0), lambda s, x: s + x * x)), F.lit(CLAMP))
+        return let(length, lambda n: F.transform(sums, lambda x: (x / n).cast("float")))
+
+    return let(signs, lambda s: let(counted(s), scaled))

@@ -10,8 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import tokens
-from ..functions.text import words
-from .segment import let, sentences_loose
+from ..functions.text import let, words
+from .segment import sentences_loose
 
 RANGES = "array<struct<a:int,b:int>>"
 

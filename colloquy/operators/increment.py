@@ -32,11 +32,19 @@ def id_map(lines: DataFrame, value: str = "value", order: str = "line") -> DataF
     return ids.groupBy(F.lower("_id").alias("lower_id")).agg(F.max_by("_id", order).alias("real_id"))
 
 
-def within_dates(listing: DataFrame, after: str, before: str, date: str = "upload_date", order: str = "position") -> DataFrame:
-    """Items of a listing, newest first, from after to before; reading stops at the first that is too old."""
-    old = F.when(F.col(date) < after, 1).otherwise(0)
-    seen = F.sum(old).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return listing.withColumn("_old", seen).filter((F.col("_old") == 0) & (F.col(date) <= before)).drop("_old")
+def within_dates(listing: DataFrame, after, before, date: str = "upload_date", order: str = "position", per: list[str] = ()) -> DataFrame:
+    """Items of a listing, newest first, from after to before; reading stops at the first that is too old.
+
+    per names the columns of several listings in one. The place to stop at is a
+    partial minimum, so no listing has to be sorted in one task.
+    """
+    old = listing.filter(F.col(date) < after)
+    young = F.col(date) <= before
+    if not per:
+        stop = old.agg(F.min(order)).scalar()
+        return listing.filter(young & F.coalesce(F.col(order) < stop, F.lit(True)))
+    stops = old.groupBy(*per).agg(F.min(order).alias("_stop"))
+    return listing.join(stops, list(per), "left").filter(young & F.coalesce(F.col(order) < F.col("_stop"), F.lit(True))).drop("_stop")
 
 
 def fresh_listing(cache: DataFrame, now: Column, max_age: int = 86_400) -> DataFrame:

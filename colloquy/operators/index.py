@@ -83,6 +83,18 @@ def index_transcripts(
     return rows.select(identity.alias("id"), F.concat(F.lit(prefix), F.col("chunk")).alias("document"), "embedding", "source", "category", "type", "date", "video_url", "video_id", "chunk_index", "ts", money(F.col("chunk")).alias("money"))
 
 
+def with_summary_flag(transcripts: DataFrame, summaries: DataFrame, name: str = "source") -> DataFrame:
+    """Adds has_summary: whether a transcript's summary file (name) is there."""
+    known = summaries.select(F.col(name).alias("_summary")).distinct().withColumn("_there", F.lit(True))
+    rows = transcripts.withColumn("_summary", meta.summary_name(F.col(name))).join(known, "_summary", "left")
+    return rows.withColumn("has_summary", F.coalesce("_there", F.lit(False))).drop("_summary", "_there")
+
+
+def embed_query(query: Column, embed: Embed = hashed_embedding) -> Column:
+    """The vector of a query, which carries its instruction into the embedding."""
+    return embed(F.concat(F.lit(QUERY_PREFIX), query))
+
+
 def upsert(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """old with rows of new put in by key; of several new rows with a key one stays."""
     fresh = new.dropDuplicates([key])

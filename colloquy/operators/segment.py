@@ -5,18 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import LINE_BREAK, WS, clean_lines, strip, words
+from ..functions.text import LINE_BREAK, WS, clean_lines, let, strip, words
 
 #: Where a sentence ends, for loose splitting.
 SENTENCE_END = rf"(?U)(?<=[.?!]){WS}+"
 SEGMENT = "struct<start:double,end:double,text_raw:string>"
 
 
-def let(value: Column, body) -> Column:
-    """body of a value that is worked out once."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def vtt_seconds(stamp: Column) -> Column:
     """Seconds of [HH:]MM:SS.mmm; an error otherwise."""
     parts = F.split(F.replace(F.trim(stamp), F.lit(","), F.lit(".")), ":")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,13 +44,6 @@ def hotwords(people: DataFrame, titles: DataFrame) -> DataFrame:
     return words.agg(F.nullif(F.array_join(F.array_sort(F.collect_set("w")), ", "), F.lit("")).alias("hotwords"))
 
 
-def mentioned(text: Column, variants: list[tuple[str, str]]) -> Column:
-    """array<struct<person,variant>> of the variants said in a text as whole words, for a short list."""
-    low = F.lower(text)
-    hits = [F.when(low.rlike(r"(?U)\b" + re.escape(v.lower()) + r"\b"), F.struct(F.lit(p).alias("person"), F.lit(v).alias("variant"))) for p, v in variants]
-    return F.filter(F.array(*hits), lambda h: h.isNotNull())
-
-
 def scan_names(chunks: DataFrame, variants: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     """Rows (key, person, variant) of the variants said in chunks as whole words.
 

@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import tokens
-from ..functions.text import render_prompt
+from ..functions.text import excerpt, render_prompt
 from .chunk import chunk_text, pass_threshold
-from .route import classify_rules, route_of
+from .route import classify_rules, label_of, route_of
 from .segment import sentences_loose
 
 Generate = Callable[[Column, Column], Column]
@@ -54,17 +54,23 @@ def summarize(
     keywords: list[str] = (),
     prompts: dict[str, str] = PROMPTS,
     routes: dict[str, dict[str, str]] = ROUTES,
+    classify: Generate | None = None,
+    classifier: str = "{text}",
 ) -> DataFrame:
     """Rows (doc_id, meeting_type, summary, passes, input_tokens, output_tokens, total_tokens) for (doc_id, text[, context]).
 
-    A document is finished at the first of: the last pass, or from the second
+    The kind of meeting is told by rules, or by classify, a model whose answer to
+    the classifier prompt is searched for the routes' labels. A document is finished at the first of: the last pass, or from the second
     pass on one chunk or a text within max_tokens. Finished documents leave the
     loop; lineage is cut by checkpoints between passes.
     """
     if max_pass < 1:
         raise ValueError("max_pass has to be 1 or more")
     context = F.col("context") if "context" in docs.columns else F.lit(None).cast("string")
-    label = classify_rules(F.col("text"))
+    if classify is None:
+        label = classify_rules(F.col("text"))
+    else:
+        label = label_of(classify(render_prompt(classifier, excerpt(F.col("text"))), excerpt(F.col("text"))), list(routes))
     work = docs.select("doc_id", F.col("text").alias("text"), context.alias("context"), label.alias("meeting_type"))
     work = work.withColumn("route", route_of(F.col("meeting_type"), routes)).withColumn("n_in", tokens.estimate(F.substring("text", 1, 2000))).withColumn("n_out", tokens.estimate(F.col("meeting_type")))
     finished = None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tomllib
 from dataclasses import dataclass, field
 
@@ -140,8 +141,6 @@ def dump(config: dict, prefix: str = "") -> str:
 
 def upsert_entity(path: str, entity: str, display_name: str, base: str = "", inputs: list[str] = ()) -> dict:
     """Register an entity, or replace its entry, in the file at path."""
-    import re
-
     if not re.fullmatch("[a-z0-9_]+", entity):
         raise ConfigError(f"not a handle: {entity}")
     config = load(path)

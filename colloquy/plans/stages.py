@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import meta, text
-from ..operators import increment, index, search, segment, summarize
+from ..functions import meta, policy, text, tokens
+from ..operators import chunk, increment, index, route, search, segment, summarize
 from ..sources import readers, writers
+from .config import PromptBundle
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -26,14 +27,40 @@ def _new(spark: SparkSession, rows: DataFrame, output: str, force: bool, key: st
     return increment.pending(rows, spark.read.parquet(output).select(F.col(key).alias("key")).distinct(), key)
 
 
-def slice_captions(spark: SparkSession, path: str, output: str, id_map: DataFrame | None = None, max_window: float = 90.0, min_words: int = 1, force: bool = False) -> DataFrame:
-    """Segments of a folder of WebVTT files, appended to output: id, source, place, times, text, video_id."""
+def id_map(spark: SparkSession, path: str) -> DataFrame:
+    """(lower_id, real_id) of a tracker file of ids."""
+    return increment.id_map(readers.lines(spark, path))
+
+
+def pending_uploads(spark: SparkSession, cache: str, dates: DataFrame, tracker: str, now: int, after: str, before: str) -> DataFrame:
+    """(channel, video_id, position, upload_date) that are still to be fetched.
+
+    From the fresh listings of a cache, newest first, those within the dates
+    (video_id, upload_date), less the ids of the tracker.
+    """
+    listed = increment.fresh_listing(readers.listings(spark, cache), F.lit(now))
+    rows = listed.select("channel", F.posexplode("video_ids").alias("position", "video_id")).join(dates, "video_id")
+    young = increment.within_dates(rows, after, before, per=["channel"])
+    return increment.pending(young, increment.tracker_keys(readers.lines(spark, tracker)), "video_id")
+
+
+def slice_captions(
+    spark: SparkSession, path: str, output: str, ids: DataFrame | None = None, max_window: float = 90.0, min_words: int = 1, force: bool = False, texts: str | None = None, tracker: str | None = None
+) -> DataFrame:
+    """Segments of a folder of WebVTT files, appended to output: id, source, place, times, text, video_id.
+
+    texts is a folder for readable transcripts, tracker a file that lists what was done.
+    """
     rows = _new(spark, readers.captions(spark, path), output, force)
     head = F.regexp_extract("source", "^[A-Za-z0-9_-]{11}", 0)
-    if id_map is not None:
-        rows = rows.join(id_map, F.lower(head) == F.col("lower_id"), "left")
-    known = F.col("real_id") if id_map is not None else F.lit(None).cast("string")
+    if ids is not None:
+        rows = rows.join(ids, F.lower(head) == F.col("lower_id"), "left")
+    known = F.col("real_id") if ids is not None else F.lit(None).cast("string")
     rows = rows.withColumn("video_id", F.coalesce(known, meta.placeholder_id(F.col("source")))).withColumn("segments", segment.consolidate(F.col("cues"), max_window, min_words))
+    if texts:
+        writers.write_texts(rows.select("source", writers.segment_text(F.col("segments")).alias("text")), texts)
+    if tracker:
+        writers.append_tracker(increment.pending(rows.select("source"), increment.tracker_keys(readers.lines(spark, tracker)), "source"), tracker, "source")
     segment.segment_rows(rows).write.mode("overwrite" if force else "append").parquet(output)
     return spark.read.parquet(output)
 
@@ -48,26 +75,86 @@ def normalize_texts(spark: SparkSession, path: str, output: str, replacements: d
     return spark.read.parquet(output)
 
 
-def summarize_texts(spark: SparkSession, transcripts: str, output: str, force: bool = False, **options) -> DataFrame:
-    """Summaries of normalized transcripts, appended to output."""
+def _refuse(spark: SparkSession, provider: str, model: str, target: str, allowed: dict) -> None:
+    """An error where a provider may not be called at its target, or with that model."""
+    faults = spark.range(1).select(policy.target_fault(F.lit(provider), F.lit(target), **allowed), policy.model_fault(F.lit(model))).first()
+    for fault in filter(None, faults):
+        raise ValueError(f"{provider} at {target}: {fault}")
+
+
+def summarize_texts(
+    spark: SparkSession,
+    transcripts: str,
+    output: str,
+    force: bool = False,
+    bundle: PromptBundle | None = None,
+    provider: str = "ollama",
+    model: str = "extractive",
+    target: str = "https://localhost",
+    reference: tuple[str, str] = ("", ""),
+    allowed: dict | None = None,
+    files: str | None = None,
+    form: str = "markdown",
+    **options,
+) -> DataFrame:
+    """Summaries of normalized transcripts with their prices, appended to output.
+
+    bundle holds prompts, routes and keywords. The provider's target is checked
+    before any call. reference is the provider and model whose prices count; files
+    is a folder for the summaries as Markdown or YAML.
+    """
+    _refuse(spark, provider, model, target, allowed or {})
     rows = _new(spark, spark.read.parquet(transcripts), output, force)
+    if bundle is not None:
+        options = {"prompts": bundle.prompts, "routes": bundle.routes, "keywords": bundle.keywords} | options
     found = summarize.summarize(rows.select(F.col("source").alias("doc_id"), "text", meta.prompt_context(F.col("source")).alias("context")), **options)
-    found.withColumnRenamed("doc_id", "source").write.mode("overwrite" if force else "append").parquet(output)
-    return spark.read.parquet(output)
-
-
-def build_index(spark: SparkSession, transcripts: str, summaries: str | None, output: str, segments: DataFrame | None = None, embed: index.Embed = index.hashed_embedding) -> DataFrame:
-    """The index of transcripts and summaries, partitioned by category so that retrieval reads one of them only."""
-    rows = index.index_transcripts(spark.read.parquet(transcripts), segments, embed=embed)
+    pricing = tokens.pricing_summary(F.lit(provider), F.lit(model), F.lit(reference[0]), F.lit(reference[1]), F.col("input_tokens"), F.col("output_tokens"))
+    found.withColumnRenamed("doc_id", "source").withColumn("pricing", pricing).write.mode("overwrite" if force else "append").parquet(output)
+    table = spark.read.parquet(output)
+    if files:
+        base = F.replace(F.col("source"), F.lit(".txt"), F.lit(""))
+        name = F.concat(base, F.lit(".summary.md" if form == "markdown" else ".summary.yaml"))
+        writers.write_texts(table.select(name.alias("source"), writers.summary_text(base, F.col("summary"), form).alias("text")), files)
+    return table
+
+
+def chunk_files(spark: SparkSession, transcripts: str, output: str, style: str = "word", max_tokens: int = 3000, number: int = 1, keywords: list[str] = ()) -> None:
+    """What a pass of summarizing would cut transcripts into, for inspection."""
+    rows = spark.read.parquet(transcripts)
+    pieces = chunk.chunk_text(F.col("text"), style, max_tokens, keywords, chunk.pass_threshold(number))
+    kind = route.classify_rules(F.col("text")).alias("meeting_type")
+    writers.write_chunks(rows.select(F.col("source").alias("doc"), kind, F.lit(number).alias("pass"), F.posexplode(pieces).alias("part", "chunk")), output)
+
+
+def build_index(
+    spark: SparkSession, transcripts: str, summaries: str | None, output: str, segments: DataFrame | None = None, embed: index.Embed = index.hashed_embedding, ids: DataFrame | None = None
+) -> DataFrame:
+    """The index of transcripts and summaries, partitioned by category so that retrieval reads one of them only.
+
+    Rows of an index that is there already are replaced by id, and others stay:
+    the new table is written beside the old one and then takes its place.
+    """
+    rows = index.index_transcripts(spark.read.parquet(transcripts), segments, ids, embed=embed)
     if summaries:
         files = spark.read.parquet(summaries).select(meta.summary_name(F.col("source")).alias("source"), F.col("summary").alias("text"))
-        rows = rows.unionByName(index.index_summaries(files, embed=embed))
-    rows.write.mode("overwrite").partitionBy("category").parquet(output)
+        rows = rows.unionByName(index.index_summaries(files, ids, embed=embed))
+    if not _exists(spark, output):
+        rows.write.partitionBy("category").parquet(output)
+        return spark.read.parquet(output)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fresh, gone, here = path(f"{output}.new"), path(f"{output}.old"), path(output)
+    system = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    index.upsert(spark.read.parquet(output).select(*rows.columns), rows).write.mode("overwrite").partitionBy("category").parquet(f"{output}.new")
+    system.delete(gone, True)
+    system.rename(here, gone)
+    system.rename(fresh, here)
+    system.delete(gone, True)
+    spark.catalog.refreshByPath(output)
     return spark.read.parquet(output)
 
 
 def search_index(spark: SparkSession, path: str, transcripts: str, query: str, strategy: str = "hybrid") -> DataFrame:
     """Ranked results of a query, its vector made by the built-in embedding with the query's instruction."""
-    vector = spark.range(1).select(index.hashed_embedding(F.lit(query))).first()[0]
+    vector = spark.range(1).select(index.embed_query(F.lit(query))).first()[0]
     files = spark.read.parquet(transcripts).select("source", F.lit("raw_transcript").alias("category"), F.col("text").alias("document"))
     return search.search(spark.read.parquet(path), files, query, list(vector), strategy)

@@ -39,7 +39,7 @@ def summary_text(name: Column, summary: Column, form: str = "markdown") -> Colum
 
 def write_texts(rows: DataFrame, path: str, name: str = "source", text: str = "text") -> None:
     """One folder per document, each with its text; the file ends in one line break at least."""
-    body = F.regexp_replace(F.col(text), "\n$", "")
+    body = F.regexp_replace(F.col(text), r"\n\z", "")
     rows.select(safe_path_part(F.col(name)).alias("document"), body.alias("value")).write.partitionBy("document").mode("overwrite").text(path)
 
 

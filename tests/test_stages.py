@@ -1,6 +1,10 @@
+import pytest
 from colloquy import cli
 from colloquy.functions import register
-from colloquy.plans import stages
+from colloquy.operators import summarize
+from colloquy.plans import config, stages
+from colloquy.sources import readers, writers
+from pyspark.sql import functions as F
 
 VTT = "WEBVTT\n\n00:00.000 --> 00:04.000\nThe council met today\n\n00:04.000 --> 00:09.000\nto approve the budget. and more\n\n00:09.000 --> 00:12.000\nThank you all.\n"
 
@@ -19,11 +23,51 @@ def test_from_captions_to_search(spark, tmp_path):
     assert lines == "The council met today, to approve the Budget. and more.\nThank you all.\n"
     assert stages.normalize_texts(spark, at("txt"), at("norm")).count() == 1
     assert stages.summarize_texts(spark, at("norm"), at("sum"), max_tokens=100).first().meeting_type == "finance"
-    assert {r.category for r in stages.build_index(spark, at("norm"), at("sum"), at("idx")).collect()} == {"raw_transcript", "summary"}
+    first = {r.id: r for r in stages.build_index(spark, at("norm"), at("sum"), at("idx")).collect()}
+    assert {r.category for r in first.values()} == {"raw_transcript", "summary"}
+    # A second run replaces rows by id and keeps the others.
+    spark.createDataFrame([("other.txt", "Something else. And more.")], "source string, text string").write.parquet(at("norm2"))
+    again = {r.id: r for r in stages.build_index(spark, at("norm2"), None, at("idx")).collect()}
+    assert set(first) < set(again) and all(again[k] == first[k] for k in first) and not (tmp_path / "idx.old").exists()
     found = stages.search_index(spark, at("idx"), at("norm"), "budget").collect()
     assert found and "**Budget**" in found[0].snippet
 
 
+def test_summaries_with_bundles_prices_and_files(spark, tmp_path):
+    at = lambda n: str(tmp_path / n)
+    spark.createDataFrame([("a.txt", "The budget was read. It was long. " * 60)], "source string, text string").write.parquet(at("norm"))
+    (tmp_path / "p" / "civic").mkdir(parents=True)
+    (tmp_path / "p" / "civic" / "prompts.toml").write_text('density_keywords = ["budget"]\n[prompts]\none = "{text}"\n[router.general]\nfirst = "one"\nmulti = "one"\nfinal = "one"\n')
+    bundle = config.prompt_bundle([at("none"), at("p")], "civic")
+    row = stages.summarize_texts(spark, at("norm"), at("sum"), bundle=bundle, reference=("anthropic", "claude-haiku"), files=at("files"), style="density", max_tokens=100).first()
+    assert row.pricing.reference_model == "claude-haiku" and abs(row.pricing.estimated_cost - (row.input_tokens + 5 * row.output_tokens) / 1e6) < 1e-12
+    assert next((tmp_path / "files" / "document=a.summary.md").glob("part*")).read_text().startswith("# Summary: a\n\nThe budget was read.")
+    for wrong in ({"target": "https://far.example.com"}, {"model": " "}):
+        with pytest.raises(ValueError):
+            stages.summarize_texts(spark, at("norm"), at("sum2"), **wrong)
+    answered = summarize.summarize(spark.createDataFrame([(1, "x")], "doc_id int, text string"), classify=lambda prompt, text: F.concat(prompt, F.lit(" is City_Council")), classifier="{text}").first()
+    assert answered.meeting_type == "city_council"
+    stages.chunk_files(spark, at("norm"), at("chunks"), "sentence", 100)
+    assert spark.read.json(at("chunks")).count() > 1
+
+
+def test_uploads_and_trackers(spark, tmp_path):
+    at = lambda n: str(tmp_path / n)
+    writers.write_listing(spark.createDataFrame([(100, "c", ["v1", "v2", "v3", "v4"]), (-10**6, "old", ["v9"])], readers.LISTING), at("cache"))
+    dates = spark.createDataFrame([("v1", "20240301"), ("v2", "20240215"), ("v3", "20230101"), ("v4", "20240220"), ("v9", "20240220")], "video_id string, upload_date string")
+    todo = lambda: sorted(r.video_id for r in stages.pending_uploads(spark, at("cache"), dates, at("done"), 200, "20240101", "20241231").collect())
+    assert todo() == ["v1", "v2"]
+    writers.append_tracker(spark.createDataFrame([("v1",)], "key string"), at("done"))
+    assert todo() == ["v2"]
+    (tmp_path / "vtt").mkdir()
+    (tmp_path / "vtt" / "AbCdEfGhIjK.x.vtt").write_text(VTT)
+    (tmp_path / "ids").write_text("ABCDEFGHIJK\nshort\n")
+    rows = stages.slice_captions(spark, at("vtt"), at("seg"), stages.id_map(spark, at("ids")), texts=at("texts"), tracker=at("sliced")).collect()
+    assert {r.video_id for r in rows} == {"ABCDEFGHIJK"}
+    assert next((tmp_path / "texts" / "document=AbCdEfGhIjK.x").glob("part*")).read_text().endswith("Thank you all.\n\n")
+    assert [r.value for r in readers.lines(spark, at("sliced")).collect()] == ["AbCdEfGhIjK.x"]
+
+
 def test_command_line(spark, tmp_path, capsys):
     path = tmp_path / "c.toml"
     path.write_text(f'[system]\nroot_data_dir = "{tmp_path}"\n')
