@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import meta, policy, text, tokens
 from ..operators import chunk, increment, index, route, search, segment, speakers, summarize
-from ..sources import writers
+from ..sources import readers, scratch, writers
 from . import stand_ins as S
 from .oracles import ORACLES
 
@@ -291,10 +291,10 @@ def chunk_windows(spark, sf_dir):
 
 @query
 def listing_cutoff(spark, sf_dir):
-    """Per user, newest first, up to the first event of low value."""
-    order = Window.partitionBy("user_id").orderBy(F.desc("ts"), "event_id")
-    old = F.sum(F.when(F.col("value") < 20, 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    return S.table(spark, sf_dir, "events").withColumn("_old", old).filter("_old = 0").select("event_id")
+    """Each user's listing, newest first, read up to the first item that is too old; values stand for dates."""
+    place = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), "event_id"))
+    rows = S.table(spark, sf_dir, "events").withColumn("position", place)
+    return increment.within_dates(rows, 20.0, 1e9, date="value", per=["user_id"]).select("event_id")
 
 
 @query
@@ -343,12 +343,139 @@ def _meeting_files(spark, sf_dir):
 
 @query
 def index_transcripts(spark, sf_dir):
-    return index.index_transcripts(_meeting_files(spark, sf_dir)).drop("embedding")
+    rows = index.index_transcripts(_meeting_files(spark, sf_dir))
+    return rows.withColumn("embedding", _shown(F.col("embedding")))
 
 
 @query
 def index_summaries(spark, sf_dir):
-    return index.index_summaries(_meeting_files(spark, sf_dir)).drop("embedding")
+    rows = index.index_summaries(_meeting_files(spark, sf_dir))
+    return rows.withColumn("embedding", _shown(F.col("embedding")))
+
+
+@query
+def index_transcripts_timed(spark, sf_dir):
+    """Index rows with the times of their documents' nearest segments, which are sentences ten seconds apart."""
+    files = _meeting_files(spark, sf_dir)
+    said = files.select("source", F.posexplode(segment.sentences_strict(F.col("text"))).alias("segment_index", "said"))
+    segments = said.select("source", "segment_index", (F.col("segment_index") * 10.0).alias("start_time"), index.hashed_embedding(F.col("said")).alias("embedding"))
+    return index.index_transcripts(files, segments).select("id", "ts")
+
+
+def _shown(vector):
+    """A vector as text, in millionths."""
+    return F.array_join(F.transform(vector, lambda x: F.round(x.cast("double") * 1e6).cast("long").cast("string")), ",")
+
+
+@query
+def query_embeddings(spark, sf_dir):
+    """Vectors of queries, the instruction before them; the heads of documents are the queries."""
+    return S.documents(spark, sf_dir).select("doc_id", _shown(index.embed_query(F.substring("text", 1, 80))).alias("embedding"))
+
+
+@query
+def summaries_present(spark, sf_dir):
+    files = _files(spark, sf_dir).withColumnRenamed("name", "source")
+    summaries = files.filter("doc_id % 10 = 0").select(meta.summary_name(F.col("source")).alias("source"))
+    return index.with_summary_flag(files, summaries).select("doc_id", meta.summary_name(F.col("source")).alias("summary"), "has_summary")
+
+
+@query
+def classifier_labels(spark, sf_dir):
+    n = F.col("doc_id") % 4
+    said = F.when(n == 0, "Finance, I think").when(n == 1, "It is CITY_COUNCIL rather than council").when(n == 2, "council?").otherwise(F.lit("no idea"))
+    return S.documents(spark, sf_dir).select("doc_id", route.label_of(said, ["finance", "council", "city_council"]).alias("label"))
+
+
+@query
+def pricing_summaries(spark, sf_dir):
+    n = tokens.estimate(F.col("text"))
+    named = F.when(F.col("doc_id") % 2 == 0, "anthropic").otherwise(" ")
+    price = tokens.pricing_summary(F.lit("openai"), F.lit("gpt-4.1-nano"), named, F.when(F.col("doc_id") % 2 == 0, "claude-haiku-9").otherwise(""), F.col("n"), F.floor(F.col("n") / 10))
+    rows = S.documents(spark, sf_dir).select("doc_id", n.alias("n")).select("doc_id", price.alias("p"))
+    return rows.select("doc_id", "p.reference_provider", "p.reference_model", F.round("p.estimated_cost", 9).alias("cost"), "p.input_tokens", "p.output_tokens")
+
+
+@query
+def id_maps(spark, sf_dir):
+    """Ids of 11 characters from lines, the last spelling of each."""
+    name = F.substring(F.md5(F.floor(F.col("doc_id") / 2).cast("string")), 1, 11 + (F.col("doc_id") % 5 == 0).cast("int"))
+    lines = S.documents(spark, sf_dir).select(F.concat(F.lit(" "), F.when(F.col("doc_id") % 2 == 0, F.upper(name)).otherwise(name), F.lit(" ")).alias("value"), F.col("doc_id").alias("line"))
+    return increment.id_map(lines)
+
+
+@query
+def handles(spark, sf_dir):
+    given = F.concat(F.upper("source"), F.lit(" , ,"), F.col("lang"), F.lit("-"), F.col("source"), F.lit(","))
+    rows = S.table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.comma_list(given)).alias("i", "item"))
+    return rows.select("doc_id", "i", "item", text.is_handle(F.col("item")).alias("handle"))
+
+
+@query
+def rendered_prompts(spark, sf_dir):
+    context = F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise("")
+    return S.documents(spark, sf_dir).select("doc_id", text.render_prompt(S.TEMPLATE, F.col("text"), context).alias("prompt"))
+
+
+@query
+def model_names(spark, sf_dir):
+    rows = spark.createDataFrame([(m,) for m in S.MODELS], "model string")
+    return rows.select("model", policy.model_fault(F.col("model")).alias("fault"))
+
+
+@query
+def missing_prompts(spark, sf_dir):
+    r = route.route_of(F.when(F.col("doc_id") % 3 == 0, "finance").otherwise("unheard-of"), S.ROUTES)
+    return S.documents(spark, sf_dir).select("doc_id", F.array_join(route.missing_prompts(r, ["overview", "condense"]), ",").alias("missing"))
+
+
+@query
+def segment_files(spark, sf_dir):
+    """Segments with ids, places and durations, written as JSON lines and read again."""
+    source = F.col("doc").cast("string")
+    docs = S.cues(spark, sf_dir).select(source.alias("source"), meta.placeholder_id(source).alias("video_id"), segment.consolidate(F.col("cues")).alias("segments"))
+    at = scratch.folder(spark, "segments")
+    writers.write_segments(segment.segment_rows(docs), at)
+    return readers.segments(spark, at).drop("embedding")
+
+
+@query
+def segment_texts(spark, sf_dir):
+    return S.cues(spark, sf_dir).select("doc", writers.segment_text(segment.consolidate(F.col("cues"))).alias("text"))
+
+
+@query
+def summary_texts(spark, sf_dir):
+    t = F.concat(F.lit("\n"), F.substring("text", 1, 300), F.lit("\n\n"))
+    name = text.safe_path_part(F.concat(F.lit(" "), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit("\\x ")))
+    return S.documents(spark, sf_dir).select("doc_id", name.alias("name"), writers.summary_text(F.col("source"), t).alias("markdown"))
+
+
+@query
+def fresh_listings(spark, sf_dir):
+    """Listings of each user's events, written as a cache and read again; those that are a day old at most."""
+    events = S.table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("event_id").alias("fetched_at"), F.sort_array(F.collect_list(F.col("event_id").cast("string"))).alias("video_ids"))
+    at = scratch.folder(spark, "listings")
+    writers.write_listing(events.select("fetched_at", F.col("user_id").cast("string").alias("channel"), "video_ids"), at)
+    fresh = increment.fresh_listing(readers.listings(spark, at), F.lit(200), 150)
+    return fresh.select("channel", "fetched_at", F.size("video_ids").cast("long").alias("n"))
+
+
+@query
+def tracker_files(spark, sf_dir):
+    """Documents that a tracker file, written in two runs, doesn't list."""
+    docs = S.documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("key"))
+    at = scratch.folder(spark, "tracker")
+    for n in (3, 5):
+        writers.append_tracker(docs.filter(F.col("key").cast("long") % n == 0), at)
+    return increment.pending(docs, increment.tracker_keys(readers.lines(spark, at)), "key")
+
+
+@query
+def chunk_styles(spark, sf_dir):
+    """Chunks in the style and with the threshold of each of three passes."""
+    parts = [F.size(chunk.chunk_text(F.col("text"), style, 200, S.KEYWORDS, chunk.pass_threshold(n))).cast("long").alias(style) for n, style in enumerate(("word", "sentence", "density"), 1)]
+    return S.documents(spark, sf_dir).select("doc_id", *parts)
 
 
 @query

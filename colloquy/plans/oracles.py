@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ..operators.index import QUERY_PREFIX
+from ..operators.summarize import PROMPTS
 from . import stand_ins as S
 
 #: White space as Unicode has it, for a regular-expression engine whose \s is ASCII.
@@ -269,18 +271,31 @@ n4 AS ({collapsed('n3')}),
 n5 AS (SELECT doc_id, {strip("regexp_replace(t, '\\n{3,}', chr(10) || chr(10), 'g')")} AS t FROM n4)"""
 
 
+def embedding(x: str) -> str:
+    """Hashed words with signs, of length one, as floats."""
+    codes = f"list_transform(list_filter(string_split_regex(lower({x}), '{NON_WORD}'), lambda w: w <> ''), lambda w: CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 128)"
+    sums = f"list_transform([{codes}], lambda c: list_transform(range(0, 64), lambda d: CAST(len(list_filter(c, lambda y: y = d)) - len(list_filter(c, lambda y: y = d + 64)) AS DOUBLE)))[1]"
+    return f"list_transform([{sums}], lambda s: list_transform(s, lambda y: CAST(y / greatest(sqrt(list_sum(list_transform(s, lambda z: z * z))), 1e-10::DOUBLE) AS FLOAT)))[1]"
+
+
+def shown(x: str) -> str:
+    return f"array_to_string(list_transform({x}, lambda y: CAST(round(CAST(y AS DOUBLE) * 1e6) AS BIGINT)), ',')"
+
+
 def _indexed(kind: str, category: str, prefix_: str, size: int, overlap: int) -> str:
-    """Index rows without the embedding, over the chunks of documents under their meeting files' names."""
+    """Index rows over the chunks of documents under their meeting files' names."""
     body = index_chunks(size, overlap).strip()
     head, _, last = body.rpartition("\nSELECT")
     amount = r"(?i)(\$\s?\d[\d,]*(?:\.\d+)?(?:\s?(?:million|billion|thousand))?)"
     money = f"CASE WHEN len({words('chunk')}) > 10 THEN nullif(array_to_string(list_sort(list_distinct(regexp_extract_all(chunk, '{amount}', 1))), ', '), '') END"
+    # A summary's prefix is part of what is embedded, a transcript's is not.
+    embedded = f"'{prefix_}' || chunk" if kind == "SUMMARY" else "chunk"
     return f"""{head},
 k AS (SELECT{last}), {FILES}
 SELECT '{kind}_' || name || '_' || i AS id, '{prefix_}' || chunk AS document, name AS source, '{category}' AS category,
   CASE WHEN contains(name, 'finance') THEN 'finance' WHEN contains(name, 'zoning') THEN 'zoning' WHEN contains(name, 'council') THEN 'council' ELSE 'general' END AS type,
   translate(COALESCE(nullif(regexp_extract(name, '(\\d{{4}}[-_]\\d{{1,2}}[-_]\\d{{1,2}})', 1), ''), nullif(regexp_extract(name, '(\\d{{1,2}}[-_]\\d{{1,2}}[-_]\\d{{2,4}})', 1), ''), 'unknown'), '_', '-') AS date,
-  'https://www.youtube.com/watch?v=' || substring(name, 1, 11) AS video_url, substring(name, 1, 11) AS video_id, i AS chunk_index, CAST(NULL AS DOUBLE) AS ts,
+  'https://www.youtube.com/watch?v=' || substring(name, 1, 11) AS video_url, substring(name, 1, 11) AS video_id, i AS chunk_index, CAST(NULL AS DOUBLE) AS ts, {shown(embedding(embedded))} AS embedding,
   {money if kind == 'TRANSCRIPT' else 'CAST(NULL AS VARCHAR)'} AS money
 FROM k JOIN f USING (doc_id)"""
 
@@ -315,3 +330,79 @@ SELECT DISTINCT person, variant FROM v WHERE variant <> ''""",
     "index_transcripts": _indexed("TRANSCRIPT", "raw_transcript", "Transcript excerpt: ", 150, 25),
     "index_summaries": _indexed("SUMMARY", "summary", "Meeting summary: ", 300, 50),
 }
+
+
+def _timed() -> str:
+    body = index_chunks(150, 25).strip()
+    head, _, last = body.rpartition("\nSELECT")
+    return f"""{head},
+k AS (SELECT{last}), {FILES},
+cv AS (SELECT doc_id, i, CAST({embedding('chunk')} AS DOUBLE[]) AS x FROM k),
+sv AS (SELECT doc_id, i, CAST({embedding('line')} AS DOUBLE[]) AS y FROM ({numbered(strict('text'), 'line')})),
+mv AS (SELECT cv.doc_id, cv.i, sv.i * 10.0::DOUBLE AS ts, row_number() OVER (PARTITION BY cv.doc_id, cv.i ORDER BY
+  round(CASE WHEN list_sum(list_transform(x, lambda z: z * z)) = 0 OR list_sum(list_transform(y, lambda z: z * z)) = 0 THEN 0 ELSE list_cosine_similarity(x, y) END, 9) DESC, sv.i) AS n FROM cv JOIN sv USING (doc_id))
+SELECT 'TRANSCRIPT_' || name || '_' || k.i AS id, ts FROM k JOIN f USING (doc_id) LEFT JOIN (SELECT * FROM mv WHERE n = 1) USING (doc_id, i)"""
+
+
+def _multipass(max_tokens: int = 400) -> str:
+    """Two passes, a third where the text is still large, and the final prompt; the built-in generator."""
+    size = int(max_tokens * 0.75)
+    step = size - min(int(size * 0.1), 600)
+    said = lambda x: f"array_to_string(({loose(x)})[1:2], ' ')"
+    w = words("t")
+    chunks = f"CASE WHEN len({w}) <= {size} THEN [t] ELSE list_transform(range(0, 1 + CAST(ceil((len({w}) - {size}) / {step}.0) AS BIGINT)), lambda i: array_to_string(({w})[i * {step} + 1:i * {step} + {size}], ' ')) END"
+
+    def prompt(name: str, x: str) -> str:
+        before, after = PROMPTS[name].replace("{context}", "No context provided.").split("{text}")
+        return f"('{before}' || {x} || '{after}')"
+
+    def step_of(name: str, source: str, out: str) -> str:
+        return f"""{out}c AS (SELECT *, {chunks} AS c FROM {source}),
+{out}s AS (SELECT *, list_transform(c, lambda q: {said('q')}) AS s FROM {out}c),
+{out} AS (SELECT doc_id, meeting_type, array_to_string(s, chr(10) || chr(10)) AS t, len(c) AS k,
+  n_in + list_sum(list_transform(c, lambda q: {tokens(prompt(name, 'q'))})) AS n_in, n_out + list_sum(list_transform(s, lambda q: {tokens('q')})) AS n_out FROM {out}s)"""
+
+    head = f"' ' || regexp_replace(lower(substring(text, 1, 2000)), '{NON_WORD}', ' ', 'g') || ' '"
+    label = f"CASE WHEN regexp_matches({head}, ' (finance|budget) ') THEN 'finance' WHEN contains({head}, ' committee of the whole ') THEN 'committee_of_the_whole' WHEN regexp_matches({head}, ' (zoning|planning) ') THEN 'zoning' WHEN contains({head}, ' council ') THEN 'city_council' ELSE 'general' END"
+    small = f"({tokens('t')} <= {max_tokens} OR k <= 1)"
+    return f"""
+WITH l AS (SELECT doc_id, text, {label} AS meeting_type FROM documents),
+d AS (SELECT doc_id, meeting_type, text AS t, {tokens('substring(text, 1, 2000)')} AS n_in, {tokens('meeting_type')} AS n_out FROM l),
+{step_of('overview', 'd', 'p1')},
+{step_of('condense', 'p1', 'p2')},
+o AS (SELECT * FROM p2 WHERE NOT {small}),
+{step_of('condense', 'o', 'p3')},
+e AS (SELECT *, 2 AS passes FROM p2 WHERE {small} UNION ALL SELECT *, 3 FROM p3),
+g AS (SELECT *, {said('t')} AS summary FROM e),
+h AS (SELECT *, CAST(n_in + {tokens(prompt('minutes', 't'))} AS BIGINT) AS input_tokens, CAST(n_out + {tokens('summary')} AS BIGINT) AS output_tokens FROM g)
+SELECT doc_id, meeting_type, summary, CAST(passes AS INT) AS passes, input_tokens, output_tokens, input_tokens + output_tokens AS total_tokens FROM h"""
+
+
+SEGMENTS = consolidate(90, 1)
+ORACLES |= {
+    "index_transcripts_timed": _timed(),
+    "summary_multipass": _multipass(),
+    "query_embeddings": f"SELECT doc_id, {shown(embedding(f"'{QUERY_PREFIX}' || substring(text, 1, 80)"))} AS embedding FROM documents",
+    "summaries_present": f"WITH {FILES}, s AS (SELECT DISTINCT replace(name, '.txt', '.summary.md') AS summary FROM f WHERE doc_id % 10 = 0) SELECT doc_id, replace(name, '.txt', '.summary.md') AS summary, replace(name, '.txt', '.summary.md') IN (SELECT summary FROM s) AS has_summary FROM f",
+    "classifier_labels": "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'finance' WHEN 1 THEN 'city_council' WHEN 2 THEN 'council' ELSE 'general' END AS label FROM documents",
+    "pricing_summaries": f"""WITH n AS (SELECT doc_id, {tokens('text')} AS n, doc_id % 2 = 0 AS even FROM documents)
+SELECT doc_id, CASE WHEN even THEN 'anthropic' ELSE 'openai' END AS reference_provider, CASE WHEN even THEN 'claude-haiku-9' ELSE 'gpt-4.1-nano' END AS reference_model,
+  round(n / 1e6 * CASE WHEN even THEN 1.0 ELSE 2.0 END + (n // 10) / 1e6 * CASE WHEN even THEN 5.0 ELSE 8.0 END, 9) AS cost, n AS input_tokens, n // 10 AS output_tokens FROM n""",
+    "id_maps": """WITH l AS (SELECT doc_id, substring(md5(CAST(doc_id // 2 AS VARCHAR)), 1, 11 + CAST(doc_id % 5 = 0 AS INT)) AS name FROM documents)
+SELECT lower(name) AS lower_id, arg_max(CASE WHEN doc_id % 2 = 0 THEN upper(name) ELSE name END, doc_id) AS real_id FROM l WHERE length(name) = 11 GROUP BY 1""",
+    "handles": """WITH g AS (SELECT doc_id, lower(source) AS a, lower(lang) || '-' || lower(source) AS b FROM documents)
+SELECT doc_id, CAST(0 AS INT) AS i, a AS item, regexp_full_match(a, '[a-z0-9_]+') AS handle FROM g UNION ALL SELECT doc_id, 1, b, regexp_full_match(b, '[a-z0-9_]+') FROM g""",
+    "rendered_prompts": "SELECT doc_id, '{as is} ' || CASE WHEN doc_id % 2 = 0 THEN source ELSE 'No context provided.' END || ': ' || text || ' {end}' AS prompt FROM documents",
+    "model_names": "SELECT * FROM (VALUES ('m', NULL), (' ', 'model missing'), ('', 'model missing'), ('a' || chr(9) || 'b', 'control characters'), ('llama3:8b', NULL)) AS t(model, fault)",
+    "missing_prompts": "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'figures,minutes' ELSE 'minutes' END AS missing FROM documents",
+    "segment_files": f"SELECT doc || '_' || lpad(CAST(i AS VARCHAR), 5, '0') AS id, CAST(doc AS VARCHAR) AS source, i AS segment_index, start AS start_time, \"end\" AS end_time, round(\"end\" - start, 3) AS duration, text_raw, substring(sha256(CAST(doc AS VARCHAR)), 1, 11) AS video_id FROM ({SEGMENTS})",
+    "segment_texts": f"SELECT c.doc, COALESCE(text, '') AS text FROM (SELECT DISTINCT conv_id AS doc FROM conversations) c LEFT JOIN (SELECT doc, string_agg(text_raw || chr(10) || chr(10), '' ORDER BY i) AS text FROM ({SEGMENTS}) GROUP BY doc) s ON s.doc = c.doc",
+    "summary_texts": "SELECT doc_id, source || '_' || doc_id || '_x' AS name, '# Summary: ' || source || chr(10) || chr(10) || trim(chr(10) || substring(text, 1, 300) || chr(10) || chr(10), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) || chr(10) AS markdown FROM documents",
+    "fresh_listings": "SELECT CAST(user_id AS VARCHAR) AS channel, min(event_id) AS fetched_at, count(*) AS n FROM events GROUP BY user_id HAVING 200 - min(event_id) <= 150",
+    "tracker_files": "SELECT CAST(doc_id AS VARCHAR) AS key FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 5 <> 0",
+    "chunk_styles": f"""WITH w AS (SELECT doc_id, len({words('text')}) AS n FROM documents),
+s AS (SELECT doc_id, count(*) AS n FROM ({ORACLES['sentence_chunks']}) GROUP BY doc_id),
+d AS (SELECT doc_id, count(*) AS n FROM ({sentence_chunks(200, "greatest(1, CAST(trunc(200 * CASE WHEN @ = 0 THEN 1.0::DOUBLE ELSE greatest(500.0::DOUBLE / @, 0.1::DOUBLE) END) AS BIGINT))")}) GROUP BY doc_id)
+SELECT w.doc_id, CAST(CASE WHEN w.n <= 150 THEN 1 ELSE 1 + ceil((w.n - 150) / 135.0) END AS BIGINT) AS word, COALESCE(s.n, 0) AS sentence, COALESCE(d.n, 0) AS density
+FROM w LEFT JOIN s USING (doc_id) LEFT JOIN d USING (doc_id)""",
+}

@@ -21,6 +21,9 @@ TARGETS = [
     ("ollama", "https://[::1]/"), ("ollama", "ftp://localhost"), ("ollama", ""), ("", "https://localhost"), ("codex_cli", "codex"), ("codex_cli", "rm -rf"), ("llamacpp", "https://user@127.0.0.1.evil.com"),
 ]
 
+TEMPLATE = "{{as is}} {context}: {text} {{end}}"
+MODELS = ["m", " ", "", "a\tb", "llama3:8b"]
+
 #: A meeting file's name for each document; the same in Spark and DuckDB.
 FILE_NAME = """concat(substring(md5(CAST(doc_id AS STRING)), 1, 11), '.',
   CASE doc_id % 4 WHEN 0 THEN 'finance_committee' WHEN 1 THEN 'zoning_board' WHEN 2 THEN 'city_council' ELSE 'town_hall' END, '_',

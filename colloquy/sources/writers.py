@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import safe_path_part
+from ..functions.text import safe_path_part, strip
 from ..operators.segment import vtt_stamp
 
 
 def vtt_text(segments: Column) -> Column:
     """A WebVTT file's text from array<struct<start,end,text>>, in order of start."""
     ordered = F.array_sort(segments, lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(0))
-    cues = F.transform(ordered, lambda s: F.concat(vtt_stamp(s["start"]), F.lit(" --> "), vtt_stamp(s["end"]), F.lit("\n"), F.trim(s["text"]), F.lit("\n")))
+    cues = F.transform(ordered, lambda s: F.concat(vtt_stamp(s["start"]), F.lit(" --> "), vtt_stamp(s["end"]), F.lit("\n"), strip(s["text"]), F.lit("\n")))
     return F.concat(F.lit("WEBVTT\n\n"), F.array_join(cues, "\n"))
 
 
@@ -31,9 +31,9 @@ def sentence_lines(sentences: Column) -> Column:
 def summary_text(name: Column, summary: Column, form: str = "markdown") -> Column:
     """A summary as Markdown under a title, or as YAML."""
     if form == "markdown":
-        return F.concat(F.lit("# Summary: "), name, F.lit("\n\n"), F.trim(summary), F.lit("\n"))
+        return F.concat(F.lit("# Summary: "), name, F.lit("\n\n"), strip(summary), F.lit("\n"))
     if form == "yaml":
-        return F.concat(F.lit("summary: |-\n  "), F.regexp_replace(F.trim(summary), "\n", "\n  "), F.lit("\n"))
+        return F.concat(F.lit("summary: |-\n  "), F.regexp_replace(strip(summary), "\n", "\n  "), F.lit("\n"))
     raise ValueError(f"unknown summary format: {form}")
 
 
