@@ -8,8 +8,9 @@ least one whole, so each block in turn leads a trie in which the leading block
 has no budget: its subtries are joined with themselves, node pair by node pair,
 adding up differing bits and dropping a pair once they exceed the budget. More
 and shorter blocks, several of them leading at once, keep subtries small when
-there are very many fingerprints. A subtrie over `cell` fingerprints is dealt
-out as pairs of cells. Each task returns a spanning forest of its links, never
+there are very many fingerprints. A subtrie over `cell` fingerprints goes down
+further levels of the trie, and what is still larger is dealt out as pairs of
+cells. Each task returns a spanning forest of its links, never
 the pairs themselves, and the forests meet in the components.
 
 Edge cases: null and empty texts, and texts without words, have fingerprint 0
@@ -26,7 +27,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import held, id_text, lean, map_batches, released, row_hash
@@ -175,21 +176,54 @@ def _forest_of(groups: pd.DataFrame, budget: int) -> pd.DataFrame:
     return pd.DataFrame({"a": fp[moved], "b": fp[label[moved]]})
 
 
+def _bits_at(spans: list[tuple[int, int]]) -> Column:
+    """The bits of fp in some spans (shift, width), put together."""
+    value, placed = F.lit(0).cast("long"), 0
+    for shift, width in spans:
+        part = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
+        value, placed = value.bitwiseOR(F.shiftleft(part, placed)), placed + width
+    return value
+
+
+def _rest_in_blocks(lead: list[tuple[int, int]], blocks: int) -> list[list[tuple[int, int]]]:
+    """The bits that are not in a lead, dealt into blocks of spans."""
+    taken = {shift + i for shift, width in lead for i in range(width)}
+    rest = [i for i in range(64) if i not in taken]
+    out = []
+    for k in range(blocks):
+        some, spans = rest[len(rest) * k // blocks : len(rest) * (k + 1) // blocks], []
+        for i in some:
+            if spans and spans[-1][0] + spans[-1][1] == i:
+                spans[-1] = (spans[-1][0], spans[-1][1] + 1)
+            else:
+                spans.append((i, 1))
+        out.append(spans)
+    return out
+
+
+def _large(rows: DataFrame, cell: int) -> DataFrame:
+    """(trie, lead, cells) of subtries with more than a cell's fingerprints."""
+    large = rows.groupBy("trie", "lead").count().filter(F.col("count") > cell)
+    return large.select("trie", "lead", F.ceil(F.col("count") / F.lit(float(cell))).cast("long").alias("cells"))
+
+
 def trie_links(classes: DataFrame, budget: int, cell: int = 2048) -> DataFrame:
     """Edges (a, b) that span the links within budget between distinct fingerprints (column fp)."""
     n = classes.count()
     tries = block_plan(n, budget)
-    leads = []
-    for k, spans in enumerate(tries):
-        lead, placed = F.lit(0).cast("long"), 0
-        for shift, width in spans:
-            part = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1).cast("long"))
-            lead, placed = lead.bitwiseOR(F.shiftleft(part, placed)), placed + width
-        leads.append(F.struct(F.lit(k).alias("trie"), lead.alias("lead")))
+    leads = [F.struct(F.lit(k).alias("trie"), _bits_at(spans).alias("lead")) for k, spans in enumerate(tries)]
     rows = classes.select("fp", F.explode(F.array(*leads)).alias("k")).select("fp", "k.trie", "k.lead")
-    large = rows.groupBy("trie", "lead").count().filter(F.col("count") > cell)
-    large = large.select("trie", "lead", F.ceil(F.col("count") / F.lit(float(cell))).cast("long").alias("cells"))
-    dealt = rows.join(large, ["trie", "lead"], "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+    first = rows.join(_large(rows, cell), ["trie", "lead"], "left")
+    # A subtrie that very many fingerprints share goes down further levels: of the bits below its lead, dealt into
+    # budget + 1 blocks, two linked fingerprints share one.
+    deeper = None
+    for k, spans in enumerate(tries):
+        blocks = [F.struct(F.lit((k + 1) * 64 + j).alias("trie"), F.xxhash64("lead", _bits_at(block)).alias("lead")) for j, block in enumerate(_rest_in_blocks(spans, budget + 1))]
+        own = F.array(*blocks)
+        deeper = F.when(F.col("trie") == k, own) if deeper is None else deeper.when(F.col("trie") == k, own)
+    below = first.filter("cells IS NOT NULL").select("fp", F.explode(deeper).alias("k")).select("fp", "k.trie", "k.lead")
+    rows = first.filter("cells IS NULL").select("fp", "trie", "lead").unionByName(below)
+    dealt = rows.join(_large(rows, cell), ["trie", "lead"], "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
     dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("cells"))).withColumn("other", F.explode(F.expr("sequence(0L, cells - 1)")))
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
     dealt = dealt.select("fp", "trie", "lead", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), side.cast("long").alias("side"))

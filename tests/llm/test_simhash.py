@@ -105,3 +105,42 @@ def test_keep_first_keeps_one_of_each_component(spark):
     kept = simhash.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(r.text for r in kept) == words
     assert {r.text: r.doc_id for r in kept} == {words[0]: None, words[1]: None, words[2]: 1, words[3]: 1}
+
+
+def test_hot_subtries_go_down_further_levels(spark):
+    # Fingerprints that agree in their upper half fill a few leads; a small cell sends them down and into cells.
+    rng = np.random.default_rng(6)
+    low = rng.integers(0, 1 << 32, 500, dtype=np.uint64)
+    fps = np.unique(np.concatenate((low, low[:200] ^ (np.uint64(1) << rng.integers(0, 32, 200).astype(np.uint64)), rng.integers(0, 1 << 63, 300, dtype=np.uint64))))
+    classes = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
+    names = [int(x) for x in fps.view(np.int64)]
+    want = plain_groups(fps, 4)
+    for cell in (8, 2048):
+        label = {x: x for x in names}
+
+        def root(x):
+            while label[x] != x:
+                x = label[x]
+            return x
+
+        for r in simhash.trie_links(classes, 4, cell).collect():
+            assert bin((r.a ^ r.b) & (2**64 - 1)).count("1") <= 64
+            a, b = sorted((root(r.a), root(r.b)))
+            label[b] = a
+        groups = {}
+        for x in names:
+            groups.setdefault(root(x), set()).add(x)
+        assert {frozenset(g) for g in groups.values()} == want
+
+
+def plain_groups(fps, budget):
+    """Sets of fingerprints, as signed numbers, that links within budget join."""
+    label = np.arange(len(fps))
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= budget
+    while True:
+        least = np.array([label[row].min() for row in near])
+        if np.array_equal(least, label):
+            break
+        label = least
+    signed = fps.view(np.int64)
+    return {frozenset(int(x) for x in signed[label == k]) for k in set(label.tolist())}
