@@ -224,8 +224,8 @@ _GRID_SCHEMA = "n0 long, n1 long, id long, place long, before binary, behind bin
 def _settle(rows: DataFrame, name: list[str], cover: list[str], store: Store) -> tuple[DataFrame, DataFrame]:
     """One round over rows (name and cover columns, digest, check, place): drops unique names.
 
-    Returns the members of repeated covers (digest, check, place), and of each
-    cover whose name has others too one row (name, cover, digest, check, place).
+    Returns (digest, check, place), place being null but for members of repeated
+    covers, and of each cover whose name has others too one row (name, cover, digest, check, place).
     """
     it = F.xxhash64("digest", "check", "place")
     kind = F.xxhash64(*cover) if cover else F.lit(0)
@@ -235,7 +235,9 @@ def _settle(rows: DataFrame, name: list[str], cover: list[str], store: Store) ->
     key, one = [*name, *cover], F.struct("digest", "check", "place")
     classes = left.groupBy(*key, "mixed").agg((F.min(it) != F.max(it)).alias("repeated"), F.min_by(one, it).alias("one"))
     classes = store.save(classes.select(*key, "mixed", "repeated", "one.*"))
-    members = store.save(left.join(classes.filter("repeated").select(*key), key).select("digest", "check", "place"))
+    # Every row is met with its class, so what the join makes grows with the rows and not with how often covers repeat.
+    members = left.join(classes.select(*key, "repeated"), key).select("digest", "check", F.when(F.col("repeated"), F.col("place")).alias("place"))
+    members = store.save(members)
     store.free(left, names)
     return members, classes.filter("mixed").select(*key, "digest", "check", "place")
 
@@ -304,6 +306,7 @@ def repeated_spans(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     store.free(rows)
 
     every = first.unionByName(second).unionByName(third)
+    # Null places are not collected.
     spans = every.groupBy("digest", "check").agg(F.collect_set("place").alias("places"))
     return spans, distinct.filter("n > 1").select(*key)
 
