@@ -51,9 +51,11 @@ POPULATION = 6
 #: Free tokens up to which a bin counts as full.
 SLACK = 32
 #: Bytes that a worker's memos of words and of their parts may take.
-MEMO, PARTS_MEMO = 48 << 20, 16 << 20
+MEMO, PARTS_MEMO = 160 << 20, 24 << 20
 #: Bytes of an entry beside its key and value: a slot of the table, and what objects take themselves.
-_ENTRY = 190
+_ENTRY = 140
+#: Times that later keys are forgotten before all are.
+TURNS = 32
 #: Rows that a task hands on together.
 _HANDED = 20_000
 
@@ -74,23 +76,34 @@ _PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 class Memo(dict):
     """Values by key, worked out when a key is first met, in a bounded number of bytes.
 
-    Entries are held in two generations: when the young one has grown to half
-    the bound it becomes the old one, and what was old and hasn't been used
-    since is forgotten.
+    Three quarters of the bound are for the keys met first, frequent ones among
+    them; the rest is for later keys, which are forgotten when it is full. After
+    TURNS of that all is forgotten, so that a memo follows texts that change.
     """
 
     def __init__(self, work, limit: int):
-        self.work, self.half, self.bytes, self.old = work, limit // 2, 0, {}
+        self.work, self.most, self.few = work, limit * 3 // 4, limit // 4
+        self.young: dict = {}
+        self.bytes = self.young_bytes = self.turns = 0
 
     def __missing__(self, key: str) -> bytes:
-        value = self.old.get(key)
-        if value is None:
-            value = self.work(key)
-        self.bytes += _ENTRY + (1 if key.isascii() else 4) * len(key) + len(value)
-        if self.bytes > self.half:
-            self.old, self.bytes = dict(self), 0
-            self.clear()
-        self[key] = value
+        value = self.young.get(key)
+        if value is not None:
+            return value
+        value = self.work(key)
+        size = _ENTRY + 4 * len(key) + len(value)
+        if self.bytes + size <= self.most:
+            self.bytes += size
+            self[key] = value
+            return value
+        if self.young_bytes + size > self.few:
+            self.young.clear()
+            self.young_bytes, self.turns = 0, self.turns + 1
+            if self.turns == TURNS:
+                self.clear()
+                self.bytes = self.turns = 0
+        self.young_bytes += size
+        self.young[key] = value
         return value
 
 
@@ -121,7 +134,8 @@ class Words:
         if not self.latin(word) or "<|" in word:
             return np.array(self.whole.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if word.isalpha():
-            return self.parts[word.lower()]
+            # One part, and as many entries as words: it is remembered as a word only.
+            return self._part(word.lower())
         return b"".join(map(self.parts.__getitem__, self.split(word.lower())))
 
 

@@ -78,13 +78,19 @@ def test_migration_and_levels(spark, monkeypatch):
     assert len(bins) <= len(plain.first(rng, 0)) * 1.03
 
 
-def test_memo_forgets_within_its_bound():
-    made = []
-    memo = packing.Memo(lambda k: made.append(k) or k.encode(), 100 * (packing._ENTRY + 6))
-    for k in range(1000):
+def test_memo_stays_within_its_bound(monkeypatch):
+    monkeypatch.setattr(packing, "TURNS", 5)
+    made, size = [], packing._ENTRY + 5 * 3
+    memo = packing.Memo(lambda k: made.append(k) or k.encode(), 100 * size)
+    for k in range(150):
         assert memo["hot"] == b"hot" and memo[f"{k:03d}"] == f"{k:03d}".encode()
-        assert len(memo) + len(memo.old) <= 104
-    assert made.count("hot") == 1 and len(made) == 1001
+        assert len(memo) + len(memo.young) <= 100 and memo.bytes + memo.young_bytes <= 100 * size
+    # What came first stays, later keys come and go, and at last all is forgotten once.
+    assert len(memo) == 75 and made.count("hot") == made.count("000") == 1 and made.count("149") == 1
+    assert memo["080"] == b"080" and made.count("080") == 2
+    for k in range(150, 400):
+        memo[f"{k:03d}"]
+    assert memo["000"] == b"000" and made.count("000") == 2
 
 
 def test_shards_stay_small_where_no_two_pieces_fit(spark):
