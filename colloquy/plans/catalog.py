@@ -327,7 +327,7 @@ def metadata_rollup(spark, sf_dir):
 @query
 def upsert(spark, sf_dir):
     docs = S.documents(spark, sf_dir).select(F.col("doc_id").alias("id"))
-    old, new = docs.filter("id % 3 = 0").withColumn("version", F.lit("old")), docs.filter("id % 2 = 0").withColumn("version", F.lit("new"))
+    old, new = docs.filter("id % 2 = 1 OR id % 3 = 0").withColumn("version", F.lit("old")), docs.filter("id % 2 = 0").withColumn("version", F.lit("new"))
     return index.upsert(old, new)
 
 

@@ -123,7 +123,7 @@ def snippet(t: str, q: str = S.QUERY) -> str:
 
 INDEX = """
 x AS (SELECT lpad(CAST(doc_id AS VARCHAR), 9, '0') AS id, text AS document, CAST(embedding AS DOUBLE[]) AS embedding, 'doc_' || doc_id AS source,
-      CASE WHEN doc_id % 10 = 0 THEN 'summary' ELSE 'raw_transcript' END AS category, CAST(0 AS INT) AS chunk_index FROM documents JOIN embeddings ON vec_id = doc_id),
+      CASE WHEN doc_id % 10 = 0 THEN 'summary' ELSE 'raw_transcript' END AS category, CAST(0 AS INT) AS chunk_index FROM documents JOIN embeddings ON vec_id = doc_id % (SELECT max(vec_id) + 1 FROM embeddings)),
 v AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = 0),
 sim AS (SELECT x.*, round(list_cosine_similarity(embedding, q), 6) AS similarity FROM x, v),
 top AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY similarity DESC, id) AS n FROM sim),
@@ -240,7 +240,7 @@ SELECT event_id FROM c WHERE old = 0""",
     "ndjson_concat": "SELECT user_id, string_agg(json_extract_string(props, '$.k'), '' ORDER BY event_id) AS said FROM events GROUP BY user_id",
     "event_windows": "SELECT time_bucket(INTERVAL '10 minutes', ts) AS bucket, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "metadata_rollup": f"WITH {FILES}, m AS (SELECT CASE WHEN doc_id % 10 = 0 THEN 'summary' ELSE 'raw_transcript' END AS category, CASE WHEN contains(name, 'finance') THEN 'finance' WHEN contains(name, 'zoning') THEN 'zoning' WHEN contains(name, 'council') THEN 'council' ELSE 'general' END AS type FROM f) SELECT category, type, count(*) AS n FROM m GROUP BY ROLLUP (category, type)",
-    "upsert": "SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'new' ELSE 'old' END AS version FROM documents WHERE doc_id % 3 = 0 OR doc_id % 2 = 0",
+    "upsert": "SELECT doc_id AS id, CASE WHEN doc_id % 2 = 0 THEN 'new' ELSE 'old' END AS version FROM documents",
     "stitched": """WITH s AS (SELECT conv_id AS doc, turn // 2 AS chunk, turn % 2 AS idx, (turn % 2) * 30.0::DOUBLE AS st, (turn % 2) * 30.0::DOUBLE + length(text) % 30 AS en FROM conversations),
 l AS (SELECT doc, chunk, arg_max(en, idx) AS last FROM s GROUP BY ALL),
 o AS (SELECT doc, chunk, COALESCE(sum(last) OVER (PARTITION BY doc ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM l)

@@ -40,11 +40,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with the embedding of the same number; every tenth is a summary."""
-    docs = documents(spark, sf_dir)
-    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    """Every document with the embedding of its number, counted round the embeddings; every tenth is a summary."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    turn = vectors.agg(F.max("vec_id") + 1).scalar()
     category = F.when(F.col("doc_id") % 10 == 0, "summary").otherwise("raw_transcript")
-    rows = docs.join(vectors, "doc_id")
+    rows = documents(spark, sf_dir).withColumn("vec_id", F.col("doc_id") % turn).join(vectors, "vec_id")
     return rows.select(
         F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("id"), F.col("text").alias("document"), "embedding", F.concat(F.lit("doc_"), F.col("doc_id").cast("string")).alias("source"),
         category.alias("category"), F.lit(0).alias("chunk_index"),
