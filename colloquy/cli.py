@@ -28,19 +28,24 @@ def parser() -> argparse.ArgumentParser:
     add.add_argument("entity")
     add.add_argument("--display-name", required=True)
     add.add_argument("--inputs", default="")
-    for name in ("remove", "resolve", "init"):
+    for name in ("remove", "resolve", "init", "inspect"):
         c.add_parser(name).add_argument("entity")
     purge = c.add_parser("purge")
     purge.add_argument("entity")
     purge.add_argument("--yes", action="store_true", help="delete; without it, only tell what would go")
     c.add_parser("validate").add_argument("entity", nargs="?")
 
+    f = groups.add_parser("source").add_subparsers(dest="command", required=True).add_parser("fetch")
+    f.add_argument("entity")
+    f.add_argument("--source", help="one source only; by default all that the entity declares")
+
     t = groups.add_parser("transcript").add_subparsers(dest="command", required=True)
     for name in ("slice", "normalize"):
         p = t.add_parser(name)
         p.add_argument("input")
         p.add_argument("output")
         p.add_argument("--force", action="store_true")
+        p.add_argument("--dry-run", action="store_true", help="only count what would be done")
         if name == "slice":
             p.add_argument("--max-window", type=float, default=90.0)
             p.add_argument("--min-words", type=int, default=1)
@@ -60,6 +65,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--num-ctx", type=int, default=8192)
     i.add_argument("--max-pass", type=int, default=3)
     i.add_argument("--force", action="store_true")
+    i.add_argument("--dry-run", action="store_true", help="only count what would be done")
     i.add_argument("--print-prompts", action="store_true")
     i.add_argument("--entity")
     i.add_argument("--job-profile")
@@ -97,6 +103,8 @@ def _config(args) -> int:
         config.remove_entity(args.config, args.entity)
     elif args.command == "resolve":
         print(json.dumps(config.resolve(args.config, args.entity), indent=2))
+    elif args.command == "inspect":
+        print(json.dumps(config.storage(config.load(args.config), args.entity), indent=2))
     elif args.command == "list":
         print("\n".join(sorted(config.load(args.config).get("entities", {}))))
     elif args.command == "validate":
@@ -135,11 +143,11 @@ def _summarize(spark, args):
     budget = config.token_budget(config.first_given(args.max_tokens, entry.get("max_tokens"), 3000), args.max_words, config.first_given(entry.get("num_ctx"), args.num_ctx))
     folders = [*args.prompts, *([os.path.join(config.entity_dir(settings, args.entity), "prompts")] if settings else []), "prompts"]
     bundle = config.prompt_bundle(folders, chosen("job_profile", args.job_profile, "civic"))
-    if args.chunks:
+    if args.chunks and not args.dry_run:
         stages.chunk_files(spark, args.transcripts, args.chunks, args.chunk_style, budget, keywords=bundle.keywords)
     return stages.summarize_texts(
         spark, args.transcripts, args.output, args.force, bundle, chosen("llm_provider", args.provider, "ollama"), model, chosen("llm_provider_url", args.target, "https://localhost"),
-        (args.pricing_provider, args.pricing_model), files=args.files, form=args.output_format, style=args.chunk_style, max_tokens=budget, max_pass=args.max_pass,
+        (args.pricing_provider, args.pricing_model), files=args.files, form=args.output_format, dry_run=args.dry_run, style=args.chunk_style, max_tokens=budget, max_pass=args.max_pass,
     )
 
 
@@ -155,12 +163,14 @@ def main(argv: list[str] | None = None) -> int:
             print("\n\n".join(f"[{k}]\n{v}" for k, v in PROMPTS.items()))
             return 0
         spark = _session()
-        if args.group == "transcript" and args.command == "slice":
+        if args.group == "source":
+            out = stages.fetch_sources(spark, config.resolve(args.config, args.entity), args.source)
+        elif args.group == "transcript" and args.command == "slice":
             ids = stages.id_map(spark, args.ids) if args.ids else None
-            out = stages.slice_captions(spark, args.input, args.output, ids, args.max_window, args.min_words, args.force, args.texts, args.tracker)
+            out = stages.slice_captions(spark, args.input, args.output, ids, args.max_window, args.min_words, args.force, args.texts, args.tracker, args.dry_run)
         elif args.group == "transcript":
             terms = config.resolve(args.config, args.entity).get("replacements", {}) if args.entity else {}
-            out = stages.normalize_texts(spark, args.input, args.output, terms, args.deep_clean, args.force)
+            out = stages.normalize_texts(spark, args.input, args.output, terms, args.deep_clean, args.force, dry_run=args.dry_run)
         elif args.group == "intel":
             out = _summarize(spark, args)
         elif args.group == "index":

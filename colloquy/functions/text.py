@@ -164,6 +164,6 @@ def is_handle(text: Column) -> Column:
 
 
 def safe_path_part(text: Column) -> Column:
-    """One component of a path: stripped, slashes as underscores, no NUL; null where nothing is left."""
-    safe = F.replace(F.translate(strip(text), "/\\", "__"), F.lit("\0"), F.lit(""))
+    """One component of a path: stripped of blanks, then of dots, slashes as underscores, no NUL; null where nothing is left."""
+    safe = F.replace(F.translate(F.btrim(strip(text), F.lit(".")), "/\\", "__"), F.lit("\0"), F.lit(""))
     return F.when(~safe.isin("", ".", ".."), safe)

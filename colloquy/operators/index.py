@@ -12,6 +12,7 @@ from ..functions.text import strip, word_count
 from ..functions.vectors import cosine, hashed_embedding
 from .chunk import index_chunks
 
+#: A model as a function of a text column.
 Embed = Callable[[Column], Column]
 #: Instruction that queries, and queries only, carry into the embedding.
 QUERY_PREFIX = "Represent this sentence for searching relevant passages: "
@@ -35,9 +36,14 @@ def file_metadata(files: DataFrame, category: str, id_map: DataFrame | None = No
     return rows.withColumn("video_url", meta.watch_url(F.col("video_id"))).drop("_file_id")
 
 
-def money(text: Column) -> Column:
-    """Amounts of money, distinct, sorted and joined; null for short texts and where there are none."""
-    found = F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(MONEY), 1))), ", ")
+def amounts(text: Column) -> Column:
+    """Amounts of money as an array."""
+    return F.regexp_extract_all(text, F.lit(MONEY), 1)
+
+
+def entities(text: Column, find: Embed = amounts) -> Column:
+    """What find returns of a text as an array, distinct, sorted and joined; null for short texts and where there is nothing."""
+    found = F.array_join(F.array_sort(F.array_distinct(find(text))), ", ")
     return F.when(word_count(text) > 10, F.nullif(found, F.lit("")))
 
 
@@ -67,20 +73,30 @@ def align(chunks: DataFrame, segments: DataFrame, key: str, chunk: str = "chunk_
 
 
 def index_transcripts(
-    files: DataFrame, segments: DataFrame | None = None, id_map: DataFrame | None = None, embed: Embed = hashed_embedding, size: int = 150, overlap: int = 25, prefix: str = TRANSCRIPT_PREFIX
+    files: DataFrame,
+    segments: DataFrame | None = None,
+    id_map: DataFrame | None = None,
+    embed: Embed = hashed_embedding,
+    size: int = 150,
+    overlap: int = 25,
+    prefix: str = TRANSCRIPT_PREFIX,
+    finders: dict[str, Embed] | None = None,
 ) -> DataFrame:
     """Index rows of transcript files (source, text); the prefix is shown but not embedded.
 
     Chunks get the time of the nearest of their document's segments (source,
-    segment_index, start_time, embedding); null without segments.
+    segment_index, start_time, embedding); null without segments. finders name
+    further columns of entities, such as orgs and persons, and the functions of
+    the chunk that find them, which may be pandas UDFs around a model.
     """
+    found = [entities(F.col("chunk"), find).alias(name) for name, find in ({"money": amounts} | (finders or {})).items()]
     rows = _chunks(file_metadata(files, "raw_transcript", id_map), size, overlap).withColumn("embedding", embed(F.col("chunk")))
     if segments is None:
         rows = rows.withColumn("ts", F.lit(None).cast("double"))
     else:
         rows = rows.join(align(rows, segments, "source"), ["source", "chunk_index"], "left")
     identity = F.concat_ws("_", F.lit("TRANSCRIPT"), "source", F.col("chunk_index").cast("string"))
-    return rows.select(identity.alias("id"), F.concat(F.lit(prefix), F.col("chunk")).alias("document"), "embedding", "source", "category", "type", "date", "video_url", "video_id", "chunk_index", "ts", money(F.col("chunk")).alias("money"))
+    return rows.select(identity.alias("id"), F.concat(F.lit(prefix), F.col("chunk")).alias("document"), "embedding", "source", "category", "type", "date", "video_url", "video_id", "chunk_index", "ts", *found)
 
 
 def with_summary_flag(transcripts: DataFrame, summaries: DataFrame, name: str = "source") -> DataFrame:

@@ -37,6 +37,21 @@ def extractive(prompt: Column, text: Column, sentences: int = 2) -> Column:
     return F.array_join(F.slice(sentences_loose(text), 1, sentences), " ")
 
 
+#: Generators by provider. The built-in one stands for each until a model is put in its place.
+PROVIDERS: dict[str, Generate] = dict.fromkeys(("ollama", "openai", "llamacpp", "anthropic", "codex_cli"), extractive)
+
+
+def generator(provider: str, providers: dict[str, Generate] | None = None) -> Generate:
+    """The generator of a provider, its name taken regardless of case and blanks around."""
+    known = PROVIDERS | (providers or {})
+    name = (provider or "").strip().lower()
+    if not name:
+        raise ValueError("no provider is named")
+    if name not in known:
+        raise ValueError(f"unknown provider: {provider}; there are {', '.join(sorted(known))}")
+    return known[name]
+
+
 def _prompt(name: Column, prompts: dict[str, str], text: Column, context: Column) -> Column:
     made = None
     for key, template in prompts.items():

@@ -59,6 +59,32 @@ def first_given(*values):
     return next((v for v in values if v is not None), None)
 
 
+def storage(config: dict, entity: str) -> dict:
+    """What an entity has on disk; nothing is changed."""
+    folder = entity_dir(config, entity)
+    walked = list(os.walk(folder))
+    return {
+        "entity": entity,
+        "entity_dir": folder,
+        "exists": os.path.isdir(folder),
+        "config_exists": os.path.isfile(os.path.join(folder, "config.toml")),
+        "file_count": sum(len(files) for _, _, files in walked),
+        "dir_count": sum(len(folders) for _, folders, _ in walked),
+    }
+
+
+def wanted_sources(settings: dict, only: str | None = None) -> list[str]:
+    """The sources to fetch for an entity: the one asked for, or all that it declares."""
+    declared = settings.get("inputs", [])
+    if not isinstance(declared, list):
+        raise ConfigError(f"inputs of {settings.get('entity')} are not a list")
+    wanted = [only] if only else declared
+    names = [name for name in (str(w).strip().lower() for w in wanted) if name]
+    if not names:
+        raise ConfigError(f"{settings.get('entity')} declares no inputs")
+    return names
+
+
 def faults(config: dict, entity: str | None = None) -> list[str]:
     """What a configuration lacks."""
     out = [f"system.{k} is missing" for k in REQUIRED_SYSTEM if k not in config.get("system", {})]

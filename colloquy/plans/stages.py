@@ -6,13 +6,15 @@ what it did. Nothing is collected but the small reports.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import meta, policy, text, tokens
 from ..operators import chunk, increment, index, route, search, segment, summarize
 from ..sources import readers, writers
-from .config import PromptBundle
+from .config import ConfigError, PromptBundle, entity_dir, wanted_sources
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -44,14 +46,47 @@ def pending_uploads(spark: SparkSession, cache: str, dates: DataFrame, tracker:
     return increment.pending(young, increment.tracker_keys(readers.lines(spark, tracker)), "video_id")
 
 
+def cached_listing(spark: SparkSession, settings: dict) -> DataFrame:
+    """(channel, video_id, position) of the listing table in an entity's folder, which stands for the network."""
+    folder = entity_dir({"system": settings}, settings["entity"])
+    return readers.listings(spark, f"{folder}/listing").select("channel", F.posexplode("video_ids").alias("position", "video_id"))
+
+
+#: Readers of (channel, video_id, position) by the source's name.
+SOURCES: dict[str, Callable[[SparkSession, dict], DataFrame]] = {"youtube": cached_listing}
+
+
+def fetch_sources(spark: SparkSession, settings: dict, only: str | None = None, adapters: dict | None = None) -> DataFrame:
+    """(source, channel, video_id, position) of an entity's declared sources, or of one; a source without an adapter is an error."""
+    known, found = SOURCES | (adapters or {}), None
+    for name in wanted_sources(settings, only):
+        if name not in known:
+            raise ConfigError(f"{settings.get('entity')}: no adapter for source {name}")
+        rows = known[name](spark, settings).select(F.lit(name).alias("source"), "channel", "video_id", "position")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 def slice_captions(
-    spark: SparkSession, path: str, output: str, ids: DataFrame | None = None, max_window: float = 90.0, min_words: int = 1, force: bool = False, texts: str | None = None, tracker: str | None = None
+    spark: SparkSession,
+    path: str,
+    output: str,
+    ids: DataFrame | None = None,
+    max_window: float = 90.0,
+    min_words: int = 1,
+    force: bool = False,
+    texts: str | None = None,
+    tracker: str | None = None,
+    dry_run: bool = False,
 ) -> DataFrame:
     """Segments of a folder of WebVTT files, appended to output: id, source, place, times, text, video_id.
 
     texts is a folder for readable transcripts, tracker a file that lists what was done.
+    A dry run returns the sources that would be sliced and writes nothing.
     """
     rows = _new(spark, readers.captions(spark, path), output, force)
+    if dry_run:
+        return rows.select("source")
     head = F.regexp_extract("source", "^[A-Za-z0-9_-]{11}", 0)
     if ids is not None:
         rows = rows.join(ids, F.lower(head) == F.col("lower_id"), "left")
@@ -65,12 +100,27 @@ def slice_captions(
     return spark.read.parquet(output)
 
 
-def normalize_texts(spark: SparkSession, path: str, output: str, replacements: dict[str, str] | None = None, deep: bool = False, force: bool = False) -> DataFrame:
-    """Normalized transcripts (source, text), one sentence on a line, of a folder of text files, appended to output."""
+def normalize_texts(
+    spark: SparkSession,
+    path: str,
+    output: str,
+    replacements: dict[str, str] | None = None,
+    deep: bool = False,
+    force: bool = False,
+    split: Callable[[Column], Column] = segment.sentences_strict,
+    dry_run: bool = False,
+) -> DataFrame:
+    """Normalized transcripts (source, text), one sentence on a line, of a folder of text files, appended to output.
+
+    split gives a text's sentences as an array; a model goes in as a pandas UDF.
+    A dry run returns the sources that would be normalized and writes nothing.
+    """
     rows = _new(spark, readers.texts(spark, path, ".txt", "punct.txt"), output, force)
+    if dry_run:
+        return rows.select("source")
     clean = text.normalize_patterns(text.normalize_whitespace(F.col("text")))
     clean = text.replace_terms(text.deep_clean(clean) if deep else clean, replacements or {})
-    lines = writers.sentence_lines(segment.merge_fragments(segment.sentences_strict(clean)))
+    lines = writers.sentence_lines(segment.merge_fragments(split(clean)))
     rows.select("source", lines.alias("text")).write.mode("overwrite" if force else "append").parquet(output)
     return spark.read.parquet(output)
 
@@ -95,16 +145,23 @@ def summarize_texts(
     allowed: dict | None = None,
     files: str | None = None,
     form: str = "markdown",
+    providers: dict[str, summarize.Generate] | None = None,
+    dry_run: bool = False,
     **options,
 ) -> DataFrame:
     """Summaries of normalized transcripts with their prices, appended to output.
 
     bundle holds prompts, routes and keywords. The provider's target is checked
     before any call. reference is the provider and model whose prices count; files
-    is a folder for the summaries as Markdown or YAML.
+    is a folder for the summaries as Markdown or YAML. providers puts generators
+    in the place of the built-in one. A dry run returns the sources that would be
+    summarized; nothing is called or written.
     """
+    options = {"generate": summarize.generator(provider, providers)} | options
     _refuse(spark, provider, model, target, allowed or {})
     rows = _new(spark, spark.read.parquet(transcripts), output, force)
+    if dry_run:
+        return rows.select("source")
     if bundle is not None:
         options = {"prompts": bundle.prompts, "routes": bundle.routes, "keywords": bundle.keywords} | options
     found = summarize.summarize(rows.select(F.col("source").alias("doc_id"), "text", meta.prompt_context(F.col("source")).alias("context")), **options)
@@ -127,17 +184,24 @@ def chunk_files(spark: SparkSession, transcripts: str, output: str, style: str =
 
 
 def build_index(
-    spark: SparkSession, transcripts: str, summaries: str | None, output: str, segments: DataFrame | None = None, embed: index.Embed = index.hashed_embedding, ids: DataFrame | None = None
+    spark: SparkSession,
+    transcripts: str,
+    summaries: str | None,
+    output: str,
+    segments: DataFrame | None = None,
+    embed: index.Embed = index.hashed_embedding,
+    ids: DataFrame | None = None,
+    finders: dict[str, index.Embed] | None = None,
 ) -> DataFrame:
     """The index of transcripts and summaries, partitioned by category so that retrieval reads one of them only.
 
     Rows of an index that is there already are replaced by id, and others stay:
     the new table is written beside the old one and then takes its place.
     """
-    rows = index.index_transcripts(spark.read.parquet(transcripts), segments, ids, embed=embed)
+    rows = index.index_transcripts(spark.read.parquet(transcripts), segments, ids, embed=embed, finders=finders)
     if summaries:
         files = spark.read.parquet(summaries).select(meta.summary_name(F.col("source")).alias("source"), F.col("summary").alias("text"))
-        rows = rows.unionByName(index.index_summaries(files, ids, embed=embed))
+        rows = rows.unionByName(index.index_summaries(files, ids, embed=embed), allowMissingColumns=True)
     if not _exists(spark, output):
         rows.write.partitionBy("category").parquet(output)
         return spark.read.parquet(output)

@@ -17,7 +17,16 @@ def _path() -> Column:
 
 
 def discover(spark: SparkSession, path: str, suffixes: list[str], exclude_suffix: str | None = None) -> DataFrame:
-    """(path, name, length) of a folder's files with one of the suffixes, case aside, in order of path."""
+    """(path, name, length) of a file, or of a folder's own files with one of the suffixes, case aside, in order of path.
+
+    A path that isn't there and a single file with another suffix are errors.
+    """
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(location):
+        raise FileNotFoundError(f"no file or folder at {path}")
+    if system.getFileStatus(location).isFile() and not path.lower().endswith(tuple(s.lower() for s in suffixes)):
+        raise ValueError(f"{path} ends with none of {', '.join(suffixes)}")
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path).select("path", "length")
     rows = rows.withColumn("name", meta.base_name(F.col("path")))
     ends = F.lit(False)

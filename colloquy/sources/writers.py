@@ -48,9 +48,10 @@ def write_segments(rows: DataFrame, path: str) -> None:
 
 
 def write_chunks(rows: DataFrame, path: str) -> None:
-    """Chunks (doc, meeting_type, pass, part, chunk) in folders by document, type and pass."""
+    """Chunks (doc, meeting_type, pass, part, chunk) in folders by document, type and pass, each under its name; parts count from 0, names from 1."""
     safe = rows.withColumn("doc", safe_path_part(F.col("doc"))).withColumn("meeting_type", safe_path_part(F.col("meeting_type")))
-    safe.write.partitionBy("doc", "meeting_type", "pass").mode("overwrite").json(path)
+    named = safe.withColumn("file", F.format_string("%s_part%02d.txt", "doc", F.col("part") + 1))
+    named.write.partitionBy("doc", "meeting_type", "pass").mode("overwrite").json(path)
 
 
 def append_tracker(keys: DataFrame, path: str, key: str = "key") -> None:

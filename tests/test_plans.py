@@ -43,6 +43,9 @@ def test_index_aligns_upserts_and_finds_money(spark):
     segments = files.select("source", F.posexplode(F.split("text", r"(?<=\.) (?=T)")).alias("segment_index", "t")).select("source", "segment_index", (F.col("segment_index") * 10.0).alias("start_time"), index.hashed_embedding(F.col("t")).alias("embedding"))
     rows = index.index_transcripts(files, segments, ids, size=12, overlap=0).orderBy("chunk_index").collect()
     assert [(r.id[:10], r.ts, r.money, r.video_id, r.date, r.type) for r in rows] == [("TRANSCRIPT", 0.0, None, "ABCDEFGHIJK", "2024-01-02", "council"), ("TRANSCRIPT", 10.0, "$1,200.50, $5 million", "ABCDEFGHIJK", "2024-01-02", "council")]
+    capitals = lambda t: F.regexp_extract_all(t, F.lit("[A-Z][a-z]+"), 0)
+    named = index.index_transcripts(files, finders={"persons": capitals}).first()
+    assert (named.persons, named.money) == ("First, Then", "$1,200.50, $5 million")
     old = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, v string")
     new = spark.createDataFrame([("2", "c"), ("3", "d"), ("3", "d")], "id string, v string")
     assert sorted(map(tuple, index.upsert(old, new).collect())) == [("1", "a"), ("2", "c"), ("3", "d")]
@@ -66,6 +69,10 @@ def test_responses(spark):
         "llamacpp": '{"choices":[{"text":"ab"}]}',
         "codex_cli": " ab ",
     }
+    assert summarize.generator(" OpenAI ") is summarize.extractive and summarize.generator("own", {"own": max}) is max
+    for unknown in ("", "nobody"):
+        with pytest.raises(ValueError):
+            summarize.generator(unknown)
     for name, body in bodies.items():
         assert spark.range(1).select(summarize.response_text(name, F.lit(body))).first()[0] == "ab", name
     with pytest.raises(ValueError):
@@ -98,6 +105,11 @@ def test_files(spark, tmp_path):
         (tmp_path / name).write_text(body)
     at = str(tmp_path)
     assert [r.name for r in readers.discover(spark, at, [".txt"], "punct.txt").collect()] == ["a.TXT", "b.txt"]
+    assert [r.name for r in readers.discover(spark, f"{at}/a.TXT", [".txt"]).collect()] == ["a.TXT"]
+    with pytest.raises(FileNotFoundError):
+        readers.discover(spark, f"{at}/none", [".txt"])
+    with pytest.raises(ValueError):
+        readers.discover(spark, f"{at}/v.vtt", [".txt"])
     assert sorted((r.source, r.text) for r in readers.texts(spark, at, ".txt", "punct.txt").collect()) == [("b.txt", "two")]
     assert [tuple(c) for c in readers.captions(spark, at).first().cues] == [(1.0, 2.0, "Hi")]
     assert [(r.label, r.date) for r in readers.summaries(spark, at).collect()] == [("Council | 2024-01-02", "2024-01-02")]
@@ -114,6 +126,7 @@ def test_files(spark, tmp_path):
     assert next((tmp_path / "out" / "document=a_b").glob("part*")).read_text() == "line1\nline2\n"
     writers.write_chunks(spark.createDataFrame([("d", "t", 1, 0, "c")], "doc string, meeting_type string, pass int, part int, chunk string"), str(tmp_path / "ch"))
     assert (tmp_path / "ch/doc=d/meeting_type=t/pass=1").is_dir()
+    assert spark.read.json(str(tmp_path / "ch")).first().file == "d_part01.txt"
 
 
 def test_nominal_stitching(spark):

@@ -16,12 +16,20 @@ def test_from_captions_to_search(spark, tmp_path):
     (tmp_path / "vtt" / "AbCdEfGhIjK.council_2024-01-02.vtt").write_text(VTT)
     (tmp_path / "txt" / "AbCdEfGhIjK.council_2024-01-02.txt").write_text("The council met  today , um to approve the budget. and more. Thank you all.")
     ids = spark.createDataFrame([("abcdefghijk", "ABCDEFGHIJK")], "lower_id string, real_id string")
+    for dry in (stages.slice_captions(spark, at("vtt"), at("seg"), dry_run=True), stages.normalize_texts(spark, at("txt"), at("norm"), dry_run=True)):
+        assert dry.columns == ["source"] and dry.count() == 1
+    assert not (tmp_path / "seg").exists() and not (tmp_path / "norm").exists()
     rows = stages.slice_captions(spark, at("vtt"), at("seg"), ids).collect()
     assert [(r.start_time, r.end_time, r.video_id) for r in rows] == [(0.0, 12.0, "ABCDEFGHIJK")]
     assert stages.slice_captions(spark, at("vtt"), at("seg"), ids).count() == 1
     lines = stages.normalize_texts(spark, at("txt"), at("norm"), {"budget": "Budget"}, deep=True).first().text
     assert lines == "The council met today, to approve the Budget. and more.\nThank you all.\n"
     assert stages.normalize_texts(spark, at("txt"), at("norm")).count() == 1
+    by_and = lambda t: F.split(t, "(?<=\\.) (?=T)")
+    assert stages.normalize_texts(spark, at("txt"), at("norm3"), split=by_and).first().text.count("\n") == 2
+    assert stages.summarize_texts(spark, at("norm"), at("sum"), dry_run=True).columns == ["source"] and not (tmp_path / "sum").exists()
+    loud = stages.summarize_texts(spark, at("norm"), at("sum3"), providers={"ollama": lambda prompt, text: F.upper(text)}, max_tokens=100).first()
+    assert loud.summary.startswith("THE COUNCIL MET TODAY")
     assert stages.summarize_texts(spark, at("norm"), at("sum"), max_tokens=100).first().meeting_type == "finance"
     first = {r.id: r for r in stages.build_index(spark, at("norm"), at("sum"), at("idx")).collect()}
     assert {r.category for r in first.values()} == {"raw_transcript", "summary"}
@@ -42,7 +50,7 @@ def test_summaries_with_bundles_prices_and_files(spark, tmp_path):
     row = stages.summarize_texts(spark, at("norm"), at("sum"), bundle=bundle, reference=("anthropic", "claude-haiku"), files=at("files"), style="density", max_tokens=100).first()
     assert row.pricing.reference_model == "claude-haiku" and abs(row.pricing.estimated_cost - (row.input_tokens + 5 * row.output_tokens) / 1e6) < 1e-12
     assert next((tmp_path / "files" / "document=a.summary.md").glob("part*")).read_text().startswith("# Summary: a\n\nThe budget was read.")
-    for wrong in ({"target": "https://far.example.com"}, {"model": " "}):
+    for wrong in ({"target": "https://far.example.com"}, {"model": " "}, {"provider": "nobody"}):
         with pytest.raises(ValueError):
             stages.summarize_texts(spark, at("norm"), at("sum2"), **wrong)
     answered = summarize.summarize(spark.createDataFrame([(1, "x")], "doc_id int, text string"), classify=lambda prompt, text: F.concat(prompt, F.lit(" is City_Council")), classifier="{text}").first()
@@ -76,6 +84,17 @@ def test_command_line(spark, tmp_path, capsys):
     assert run("config", "init", "my_city_council") == 0 and (tmp_path / "my_city_council" / "config.toml").exists()
     assert run("config", "validate") == 0 and run("config", "list") == 0 and run("config", "resolve", "my_city_council") == 0
     assert "youtube" in capsys.readouterr().out
+    assert run("config", "inspect", "my_city_council") == 0
+    assert '"file_count": 1' in capsys.readouterr().out
+    writers.write_listing(spark.createDataFrame([(100, "c", ["v1", "v2"])], readers.LISTING), str(tmp_path / "my_city_council" / "listing"))
+    assert run("source", "fetch", "my_city_council", "--source", "YouTube") == 0 and "2 rows" in capsys.readouterr().out
+    # x is declared and has no adapter.
+    assert run("source", "fetch", "my_city_council") == 1
+    settings = config.resolve(str(path), "my_city_council")
+    own = {"x": lambda s, _: s.createDataFrame([("d", "w1", 0)], "channel string, video_id string, position int")}
+    assert sorted(r.video_id for r in stages.fetch_sources(spark, settings, adapters=own).collect()) == ["v1", "v2", "w1"]
+    with pytest.raises(config.ConfigError):
+        config.wanted_sources({"entity": "e", "inputs": [" "]})
     assert run("config", "purge", "my_city_council") == 0 and (tmp_path / "my_city_council").exists()
     assert run("config", "purge", "my_city_council", "--yes") == 0 and not (tmp_path / "my_city_council").exists()
     assert run("config", "remove", "my_city_council") == 1
