@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .text import strip
 
+#: The dates that are looked for in names, and the address of a video.
 ISO_DATE = r"(\d{4}[-_]\d{1,2}[-_]\d{1,2})"
 US_DATE = r"(\d{1,2}[-_]\d{1,2}[-_]\d{2,4})"
 WATCH = "https://www.youtube.com/watch?v="
