@@ -1,11 +1,11 @@
-"""The ten operators and the pipeline as registered queries, each over its whole table."""
+"""The operators and the pipeline as registered queries, each over its whole table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, descent, importance, media, mixing, packing, sharding, simhash, suffix, token_counts
+from . import chat, descent, importance, media, mixing, packing, runs, sharding, simhash, suffix, token_counts
 from .store import Store
 
 
@@ -60,6 +60,10 @@ def op9_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_runs(spark, sf_dir):
+    return runs.document_runs(_table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -77,6 +81,7 @@ QUERIES = {
     "op8_importance": op8_importance,
     "op9_simhash": op9_simhash,
     "op10_chat": op10_chat,
+    "op12_runs": op12_runs,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {"op6_sharding": sharding.oracle(), "op10_chat": chat.ORACLE}
