@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, descent, importance, media, mixing, packing, runs, sharding, simhash, suffix, token_counts
+from . import chat, descent, importance, media, mixing, packing, pages, runs, sharding, simhash, suffix, token_counts, variants
 from .store import Store
 
 
@@ -60,10 +60,18 @@ def op9_simhash(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_variants(spark, sf_dir):
+    return variants.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def op12_runs(spark, sf_dir):
     return runs.document_runs(_table(spark, sf_dir, "documents"))
 
 
+def op13_pages(spark, sf_dir):
+    return pages.main_text(_table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -81,7 +89,9 @@ QUERIES = {
     "op8_importance": op8_importance,
     "op9_simhash": op9_simhash,
     "op10_chat": op10_chat,
+    "op11_variants": op11_variants,
     "op12_runs": op12_runs,
+    "op13_pages": op13_pages,
     "pipeline": pipeline,
 }
 ORACLES: dict[str, str] = {"op6_sharding": sharding.oracle(), "op10_chat": chat.ORACLE}
