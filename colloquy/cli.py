@@ -70,6 +70,9 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--entity")
     i.add_argument("--job-profile")
     i.add_argument("--prompts", action="append", default=[], help="a folder of prompt bundles, tried before those of the entity and of the project")
+    for step in ("first", "multi", "final"):
+        i.add_argument(f"--{step}-prompt", help="a prompt of the bundle in place of the route's")
+    i.add_argument("--ledger", help="a folder of answers that were paid for, looked up before any call")
     i.add_argument("--provider")
     i.add_argument("--model")
     i.add_argument("--target")
@@ -84,11 +87,14 @@ def parser() -> argparse.ArgumentParser:
     x.add_argument("output")
     x.add_argument("--summaries")
     x.add_argument("--ids", help="a tracker file of ids, which restores their case")
+    x.add_argument("--cells", type=int, help="build an inverted file with so many cells; 0 chooses")
+    x.add_argument("--texts", action="store_true", help="build a trigram index of the transcripts")
     s = groups.add_parser("search")
     s.add_argument("index")
     s.add_argument("transcripts")
     s.add_argument("query")
     s.add_argument("--strategy", choices=("hybrid", "literal"), default="hybrid")
+    s.add_argument("--nprobe", type=int, help="cells of the inverted file that are searched; by default as many as exact results take")
     return top
 
 
@@ -131,6 +137,12 @@ def _config(args) -> int:
     return 0
 
 
+def _bundle(args, settings: dict) -> config.PromptBundle:
+    """The bundle of the job's profile: from the folders given, the entity's, the project's, or the built-in one."""
+    own = [os.path.join(config.entity_dir({"system": settings}, args.entity), "prompts")] if settings else []
+    return config.prompt_bundle([*args.prompts, *own, "prompts"], config.first_given(args.job_profile, settings.get("job_profile"), "civic"))
+
+
 def _summarize(spark, args):
     """The summary stage; options come from the command line, the entity, the system, and defaults, in this order."""
     from .plans import stages
@@ -141,13 +153,13 @@ def _summarize(spark, args):
     known = settings.get("models", {})
     entry = config.model_entry(known, model) if known and args.model else {}
     budget = config.token_budget(config.first_given(args.max_tokens, entry.get("max_tokens"), 3000), args.max_words, config.first_given(entry.get("num_ctx"), args.num_ctx))
-    folders = [*args.prompts, *([os.path.join(config.entity_dir(settings, args.entity), "prompts")] if settings else []), "prompts"]
-    bundle = config.prompt_bundle(folders, chosen("job_profile", args.job_profile, "civic"))
+    bundle = _bundle(args, settings)
     if args.chunks and not args.dry_run:
         stages.chunk_files(spark, args.transcripts, args.chunks, args.chunk_style, budget, keywords=bundle.keywords)
     return stages.summarize_texts(
         spark, args.transcripts, args.output, args.force, bundle, chosen("llm_provider", args.provider, "ollama"), model, chosen("llm_provider_url", args.target, "https://localhost"),
         (args.pricing_provider, args.pricing_model), files=args.files, form=args.output_format, dry_run=args.dry_run, style=args.chunk_style, max_tokens=budget, max_pass=args.max_pass,
+        ledger=args.ledger, first=args.first_prompt, multi=args.multi_prompt, final=args.final_prompt,
     )
 
 
@@ -156,11 +168,11 @@ def main(argv: list[str] | None = None) -> int:
     try:
         if args.group == "config":
             return _config(args)
-        from .operators.summarize import PROMPTS
         from .plans import stages
 
         if args.group == "intel" and args.print_prompts:
-            print("\n\n".join(f"[{k}]\n{v}" for k, v in PROMPTS.items()))
+            bundle = _bundle(args, config.resolve(args.config, args.entity) if args.entity else {})
+            print("\n\n".join(f"[{k}]\n{v}" for k, v in bundle.prompts.items()))
             return 0
         spark = _session()
         if args.group == "source":
@@ -174,9 +186,11 @@ def main(argv: list[str] | None = None) -> int:
         elif args.group == "intel":
             out = _summarize(spark, args)
         elif args.group == "index":
-            out = stages.build_index(spark, args.transcripts, args.summaries, args.output, ids=stages.id_map(spark, args.ids) if args.ids else None)
+            out = stages.build_index(spark, args.transcripts, args.summaries, args.output, ids=stages.id_map(spark, args.ids) if args.ids else None, cells=args.cells)
+            if args.texts:
+                stages.index_texts(spark, args.transcripts, args.output)
         else:
-            stages.search_index(spark, args.index, args.transcripts, args.query, args.strategy).show(25, 100)
+            stages.search_index(spark, args.index, args.transcripts, args.query, args.strategy, args.nprobe).show(25, 100)
             return 0
         print(f"{out.count()} rows")
         return 0

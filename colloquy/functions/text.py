@@ -160,7 +160,8 @@ def comma_list(text: Column) -> Column:
 
 
 def is_handle(text: Column) -> Column:
-    return text.rlike("^[a-z0-9_]+$")
+    """Whether a name, less the white space around it, has lower-case letters, digits and underscores only."""
+    return strip(text).rlike(r"^[a-z0-9_]+\z")
 
 
 def safe_path_part(text: Column) -> Column:

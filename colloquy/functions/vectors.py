@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import let
-
 CLAMP = 1e-10
 
 
@@ -23,23 +25,24 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (norm(a) * norm(b))
 
 
-def hashed_embedding(text: Column, dimensions: int = 64) -> Column:
-    """A model-free stand-in for a sentence embedding: hashed words with signs, of length one.
+@lru_cache
+def _signed_counts(dimensions: int):
+    """Numbers below 2 * dimensions as a vector: how often each below dimensions occurs, less the one that far above it; of length one."""
 
-    A word is one of 2 * dimensions signs, written as one character each; how
-    often each occurs is how much shorter the text gets without it.
-    """
-    words = F.filter(F.split(F.lower(text), r"(?U)\W+"), lambda w: w != "")
-    sign = lambda n: F.char(F.lit(64) + n)
-    code = lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % (2 * dimensions)
-    signs = F.array_join(F.transform(words, lambda w: sign(code(w))), "")
+    @F.pandas_udf("array<float>")
+    def counts(codes: pd.Series) -> pd.Series:
+        def scaled(own) -> np.ndarray:
+            n = np.bincount(own, minlength=2 * dimensions) if len(own) else np.zeros(2 * dimensions, np.int64)
+            sums = (n[:dimensions] - n[dimensions:]).astype(np.float64)
+            return (sums / max(np.sqrt(sums @ sums), CLAMP)).astype(np.float32)
 
-    def counted(s):
-        times = lambda n: F.length(s) - F.length(F.replace(s, sign(F.lit(n)), F.lit("")))
-        return F.array(*[(times(d) - times(d + dimensions)).cast("double") for d in range(dimensions)])
+        return codes.map(scaled, na_action="ignore")
 
-    def scaled(sums):
-        length = F.greatest(F.sqrt(F.aggregate(sums, F.lit(0.0), lambda s, x: s + x * x)), F.lit(CLAMP))
-        return let(length, lambda n: F.transform(sums, lambda x: (x / n).cast("float")))
+    return counts
 
-    return let(signs, lambda s: let(counted(s), scaled))
+
+def hashed_embedding(text: Column, dimensions: int = 64) -> Column:
+    """A model-free stand-in for a sentence embedding: hashed words with signs, counted in one pass, of length one."""
+    words = F.filter(F.split(F.lower(text), r"(?U)\W+"), lambda w: w != "")
+    code = lambda w: (F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long") % (2 * dimensions)).cast("int")
+    return _signed_counts(dimensions)(F.transform(words, code))

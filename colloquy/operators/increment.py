@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_file_name, strip
+from ..sources.scratch import written
 
 
 def tracker_keys(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -52,14 +53,29 @@ def fresh_listing(cache: DataFrame, now: Column, max_age: int = 86_400) -> DataF
     return cache.filter(F.col("video_ids").isNotNull() & F.col("fetched_at").isNotNull() & (now - F.col("fetched_at") <= max_age))
 
 
-def clean_names(files: DataFrame, name: str = "name") -> DataFrame:
-    """Adds clean_name; later files of a folder whose names clean alike get _1, _2 and so on."""
-    cleaned = clean_file_name(F.col(name))
-    rank = F.row_number().over(Window.partitionBy("_c").orderBy(name)) - 1
-    rows = files.withColumn("_c", cleaned).withColumn("_r", rank)
-    base, ext = F.regexp_extract("_c", r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract("_c", r"^(.*?)(\.[^.]*)?$", 2)
-    numbered = F.concat(base, F.lit("_"), F.col("_r").cast("string"), ext)
-    return rows.withColumn("clean_name", F.when(F.col("_r") == 0, F.col("_c")).otherwise(numbered)).drop("_c", "_r")
+def clean_names(files: DataFrame, name: str = "name", per: list[str] = ()) -> DataFrame:
+    """Adds clean_name, which no two rows of a folder (the columns per) share.
+
+    A name that is clean already stays; of the others with one clean name the
+    first takes it, if it is free, and each further one the next _1, _2 and so on
+    that is no file's clean name.
+    """
+    row, folder = F.struct(*[F.col(f"`{c}`") for c in files.columns]).alias("_row"), [F.col(c).alias(f"_p{i}") for i, c in enumerate(per)]
+    keys = [f"_p{i}" for i in range(len(per))]
+    cleaned = files.select(row, *folder, F.col(name).alias("_name"), clean_file_name(F.col(name)).alias("_c"))
+    ranked = written(cleaned.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_c").orderBy(F.col("_name") != F.col("_c"), "_name", F.xxhash64("_row"))) - 1), "names")
+    parts = lambda c, pattern: [F.regexp_extract(c, pattern, i) for i in (1, 2, 3)]
+    # Clean names that read like a numbered one of another take that number from it.
+    base, number, ext = parts("_c", r"^(.*)_([1-9][0-9]{0,17})(\.[^.]*)?$")
+    taken = ranked.select(*keys, F.concat(base, ext).alias("_c"), number.try_cast("long").alias("_k")).filter("_k IS NOT NULL").distinct()
+    wanted = ranked.groupBy(*keys, "_c").agg(F.max("_r").cast("long").alias("_most")).filter("_most > 0")
+    held = taken.groupBy(*keys, "_c").agg(F.count(F.lit(1)).alias("_held"))
+    tried = wanted.join(held, [*keys, "_c"], "left").withColumn("_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_most") + F.coalesce("_held", F.lit(0)))))
+    free = tried.join(taken, [*keys, "_c", "_k"], "left_anti").withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_c").orderBy("_k")))
+    given = ranked.join(free.select(*keys, "_c", "_r", "_k"), [*keys, "_c", "_r"], "left")
+    stem, ext = F.regexp_extract("_c", r"^(.*?)(\.[^.]*)?$", 1), F.regexp_extract("_c", r"^(.*?)(\.[^.]*)?$", 2)
+    numbered = F.concat(stem, F.lit("_"), F.col("_k").cast("string"), ext)
+    return given.select("_row.*", F.when(F.col("_r") == 0, F.col("_c")).otherwise(numbered).alias("clean_name"))
 
 
 def stage_report(items: DataFrame, processed: Column, skipped: Column) -> DataFrame:

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import meta
 from ..functions.text import strip, word_count
-from ..functions.vectors import cosine, hashed_embedding
+from ..functions.vectors import CLAMP, hashed_embedding
+from ..sources.versions import one_of_each
 from .chunk import index_chunks
 
 #: A model as a function of a text column.
@@ -60,16 +63,75 @@ def index_summaries(files: DataFrame, id_map: DataFrame | None = None, embed: Em
     return rows.select(identity.alias("id"), "document", embed(F.col("document")).alias("embedding"), "source", "category", "type", "date", "video_url", "video_id", "chunk_index", none.cast("double").alias("ts"), none.cast("string").alias("money"))
 
 
-def align(chunks: DataFrame, segments: DataFrame, key: str, chunk: str = "chunk_index") -> DataFrame:
+#: Chunks and segments of a cell: one task compares so many with each other at a time.
+CELL = 2048
+
+
+def _units(vectors) -> np.ndarray:
+    """Vectors as rows of length one, as cosine() takes them."""
+    width = max((len(v) for v in vectors), default=0)
+    m = np.zeros((len(vectors), width))
+    for i, v in enumerate(vectors):
+        m[i, : len(v)] = v
+    return m / np.maximum(np.sqrt((m * m).sum(axis=1, keepdims=True)), CLAMP)
+
+
+def align(chunks: DataFrame, segments: DataFrame, key: str, chunk: str = "chunk_index", cell: int = CELL) -> DataFrame:
     """Rows (key, chunk, ts): the start of the segment most similar to each chunk of the same document.
 
     chunks: (key, chunk, embedding); segments: (key, segment_index, start_time,
-    embedding). The lowest segment wins a tie. Both sides meet by document only,
-    and the best is kept by a partial aggregate.
+    embedding). The lowest segment wins a tie, to nine decimals. Both sides are
+    dealt into cells by their numbers; a pair of cells of one document is one
+    matrix product, of which each chunk's best stays, so a document of any length
+    is many tasks' work and no pair of vectors is a row.
     """
-    pairs = chunks.select(key, chunk, F.col("embedding").alias("_c")).join(segments.select(key, "segment_index", "start_time", F.col("embedding").alias("_s")), key)
-    sim = F.round(cosine(F.col("_c"), F.col("_s")), 9)
-    return pairs.select(key, chunk, "start_time", F.struct(sim, -F.col("segment_index")).alias("_o")).groupBy(key, chunk).agg(F.max_by("start_time", "_o").alias("ts"))
+    spark_cells = lambda rows, name: rows.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.count(F.lit(1)) / F.lit(float(cell))).cast("long").alias(name))
+    cells = spark_cells(chunks, "_down").join(spark_cells(segments, "_across"), "_k")
+    vector = F.col("embedding").cast("array<double>")
+    mine = chunks.select(F.col(key).alias("_k"), F.lit(0).alias("_side"), F.col(chunk).cast("long").alias("_i"), F.lit(None).cast("double").alias("_at"), vector.alias("_v"))
+    theirs = segments.select(F.col(key).alias("_k"), F.lit(1).alias("_side"), F.col("segment_index").cast("long").alias("_i"), F.col("start_time").cast("double").alias("_at"), vector.alias("_v"))
+    down, across = F.pmod(F.xxhash64("_i"), F.col("_down")), F.pmod(F.xxhash64("_i"), F.col("_across"))
+    other = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    mine = mine.join(cells, "_k").withColumn("_a", down).withColumn("_b", other(F.col("_across")))
+    theirs = theirs.join(cells, "_k").withColumn("_b", across).withColumn("_a", other(F.col("_down")))
+    names = ["_k", "_a", "_b", "_side", "_i", "_at", "_v"]
+    dealt = mine.select(*names).unionByName(theirs.select(*names)).withColumn("_g", F.xxhash64("_k", "_a", "_b"))
+    dealt = dealt.repartition("_g").sortWithinPartitions("_g", "_k", "_a", "_b", "_side", "_i")
+
+    def best(group: pd.DataFrame) -> pd.DataFrame:
+        split = int((group["_side"].to_numpy() == 0).sum())
+        if not split or split == len(group):
+            return None
+        m = _units(group["_v"].tolist())
+        found = []
+        for lo in range(0, split, 256):
+            sims = np.round(m[lo : min(split, lo + 256)] @ m[split:].T, 9)
+            top = sims.argmax(axis=1)  # the first, and segments are in order
+            rows = group.iloc[lo : min(split, lo + 256)]
+            found.append(pd.DataFrame({"_k": rows["_k"], "_i": rows["_i"], "sim": sims[np.arange(len(top)), top], "seg": group["_i"].to_numpy()[split + top], "at": group["_at"].to_numpy()[split + top]}))
+        return pd.concat(found)
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            last = (rows[["_g", "_a", "_b"]] == rows[["_g", "_a", "_b"]].iloc[-1]).all(axis=1).to_numpy() & (rows["_k"] == rows["_k"].iloc[-1]).to_numpy()
+            done = rows[~last]
+            for _, one in done.groupby(["_g", "_k", "_a", "_b"], sort=False):
+                out = best(one)
+                if out is not None:
+                    yield out
+            held = rows[last]
+        if held is not None:
+            out = best(held)
+            if out is not None:
+                yield out
+
+    schema = dealt.select("_k", "_i").schema.add("sim", "double").add("seg", "long").add("at", "double")
+    met = dealt.mapInPandas(run, schema)
+    order = F.struct(F.col("sim"), -F.col("seg"))
+    found = met.groupBy("_k", "_i").agg(F.max_by("at", order).alias("ts"))
+    return found.select(F.col("_k").alias(key), F.col("_i").cast(chunks.schema[chunk].dataType).alias(chunk), "ts")
 
 
 def index_transcripts(
@@ -111,7 +173,7 @@ def embed_query(query: Column, embed: Embed = hashed_embedding) -> Column:
     return embed(F.concat(F.lit(QUERY_PREFIX), query))
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
-    """old with rows of new put in by key; of several new rows with a key one stays."""
-    fresh = new.dropDuplicates([key])
+def upsert(old: DataFrame, new: DataFrame, key: str = "id", order: list[str] = ()) -> DataFrame:
+    """old with rows of new put in by key; of several new rows with a key the one with the largest order, then the largest hash, stays."""
+    fresh = one_of_each(new, key, order)
     return old.join(fresh.select(key), key, "left_anti").unionByName(fresh)

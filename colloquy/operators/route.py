@@ -17,12 +17,23 @@ def label_of(response: Column, labels: list[str]) -> Column:
     return F.lit(GENERAL) if found is None else found.otherwise(GENERAL)
 
 
-def classify_rules(text: Column, chars: int = 2000) -> Column:
-    """A label without a model, from the head of a text: finance, committee of the whole, zoning, council, general."""
+#: Labels of meetings in the order in which rules look for them, and the words that tell them.
+RULES = {
+    "finance_committee": ("finance", "budget", "appropriation"),
+    "committee_of_the_whole": ("committee of the whole",),
+    "zoning_committee": ("zoning", "planning"),
+    "city_council": ("council",),
+}
+
+
+def classify_rules(text: Column, chars: int = 2000, labels: list[str] | None = None) -> Column:
+    """A label without a model, from the head of a text, by RULES; general where no rule holds or its label isn't among labels."""
     head = F.lower(F.substring(text, 1, chars))
     held = lambda *ws: head.rlike("|".join(r"(?U)\b" + w + r"\b" for w in ws))
-    label = F.when(held("finance", "budget"), "finance").when(held("committee of the whole"), "committee_of_the_whole")
-    return F.coalesce(label.when(held("zoning", "planning"), "zoning").when(held("council"), "city_council"), F.lit(GENERAL))
+    label = F.when(F.lit(False), GENERAL)
+    for name, said in RULES.items():
+        label = label.when(held(*said), name if labels is None or name in labels else GENERAL)
+    return label.otherwise(GENERAL)
 
 
 def route_of(label: Column, routes: dict[str, dict[str, str]], first: str | None = None, multi: str | None = None, final: str | None = None) -> Column:

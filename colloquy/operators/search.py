@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,9 +15,7 @@ N_SUMMARIES, N_TRANSCRIPTS = 5, 250
 ALPHA_SUMMARIES, ALPHA_TRANSCRIPTS = 0.2, 0.7
 FALLBACK_SCORE = 0.2
 SUMMARY, TRANSCRIPT = "summary", "raw_transcript"
-#: Decimals that scores keep, so that sums of products compare alike everywhere.
-DECIMALS = 6
-#: Decimals of scores, which are sums of products of rounded similarities.
+#: Decimals of scores, which are sums of products.
 SCORE_DECIMALS = 9
 
 
@@ -27,7 +27,7 @@ def retrieve(index: DataFrame, vector: list[float] | Column, n: int, category: s
     """The n rows of an index (id, embedding, category, …) nearest to a vector by cosine: exact, without a shuffle of the index."""
     rows = index if category is None else index.filter(F.col("category") == category)
     query = vector if isinstance(vector, Column) else query_column(vector)
-    scored = rows.withColumn("similarity", F.round(cosine(F.col("embedding"), query), DECIMALS)).drop("embedding")
+    scored = rows.withColumn("similarity", cosine(F.col("embedding"), query)).drop("embedding")
     if min_similarity is not None:
         scored = scored.filter(F.col("similarity") >= min_similarity)
     return scored.orderBy(F.desc("similarity"), "id").limit(n)
@@ -70,16 +70,19 @@ def literal_fallback(files: DataFrame, query: str, score: float = FALLBACK_SCORE
 
 
 def search(
-    index: DataFrame, files: DataFrame, query: str, vector: list[float] | Column, strategy: str = "hybrid", top_k: int = TOP_K, min_score: float = MIN_SCORE, fallback_score: float = FALLBACK_SCORE
+    index: DataFrame, files: DataFrame, query: str, vector: list[float] | Column, strategy: str = "hybrid", top_k: int = TOP_K, min_score: float = MIN_SCORE, fallback_score: float = FALLBACK_SCORE,
+    near: Callable[[int, str], DataFrame] | None = None,
 ) -> DataFrame:
     """The ranked results of a query, as one plan; an empty query has none.
 
     index: (id, document, embedding, source, category, chunk_index); files:
     (source, category, document), searched literally for what retrieval missed.
+    near(n, category) gives the n nearest rows in place of a scan of the index.
     """
+    near = near or (lambda n, category: retrieve(index, vector, n, category))
     found = []
     for category, n, alpha in ((SUMMARY, N_SUMMARIES, ALPHA_SUMMARIES), (TRANSCRIPT, N_TRANSCRIPTS, ALPHA_TRANSCRIPTS)):
-        hits = retrieve(index, vector, n, category)
+        hits = near(n, category)
         text, sim = F.col("document"), F.col("similarity")
         score = hybrid_score(sim, text, query, alpha) if strategy == "hybrid" else literal_boost(sim, text, query)
         found.append(hits.withColumn("score", score))

@@ -21,9 +21,9 @@ def vtt_seconds(stamp: Column) -> Column:
 
 
 def vtt_stamp(seconds: Column) -> Column:
-    """HH:MM:SS.mmm, milliseconds cut off rather than rounded."""
-    ms = F.floor(seconds * 1000).cast("long")
-    return F.format_string("%02d:%02d:%02d.%03d", F.floor(ms / 3600000), F.floor(ms / 60000) % 60, F.floor(ms / 1000) % 60, ms % 1000)
+    """HH:MM:SS.mmm, milliseconds cut off rather than rounded, from what is left beside whole seconds."""
+    whole = F.floor(seconds).cast("long")
+    return F.format_string("%02d:%02d:%02d.%03d", F.floor(whole / 3600), F.floor(whole / 60) % 60, whole % 60, F.floor((seconds - whole) * 1000).cast("long"))
 
 
 def parse_vtt(content: Column) -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..sources import scratch
 
 VARIANTS = "person string, variant string"
 
@@ -44,20 +46,93 @@ def hotwords(people: DataFrame, titles: DataFrame) -> DataFrame:
     return words.agg(F.nullif(F.array_join(F.array_sort(F.collect_set("w")), ", "), F.lit("")).alias("hotwords"))
 
 
+#: Words and what stands between them, in turn.
+_TOKENS = r"(?U)\w+|\W+"
+#: Variants whose hashes are sent to all tasks at most: 8 bytes each. With more, all windows meet the variants in a join.
+SENT = 1_000_000
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _windows(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hash of each stretch of `size` tokens, from sums of their hashes times powers of a base."""
+    if len(hashes) < size:
+        return np.zeros(0, np.int64)
+    with np.errstate(over="ignore"):
+        powers = np.multiply.accumulate(np.append(np.uint64(1), np.full(len(hashes), _BASE, np.uint64)))
+        back = np.multiply.accumulate(np.append(np.uint64(1), np.full(len(hashes), pow(_BASE, -1, 1 << 64), np.uint64)))
+        sums = np.append(np.uint64(0), np.cumsum(hashes * powers[:-1], dtype=np.uint64))
+        n = len(hashes) - size + 1
+        found = (sums[size:] - sums[: len(sums) - size])[:n] * back[:n]
+        found = (found ^ (found >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(size)
+        return (found ^ (found >> np.uint64(32))).view(np.int64)
+
+
+def _tokens(text: Column) -> Column:
+    """Hashes of a lower-cased text's tokens."""
+    return F.transform(F.regexp_extract_all(text, F.lit(_TOKENS), 0), lambda t: F.xxhash64(t))
+
+
+def _lengths(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(_TOKENS), 0), lambda t: F.length(t))
+
+
 def scan_names(chunks: DataFrame, variants: DataFrame, key: list[str], text: str = "text") -> DataFrame:
     """Rows (key, person, variant) of the variants said in chunks as whole words.
 
-    Variants meet chunks by their first word, so no chunk is tried against all
-    variants; the whole variant is then looked for.
+    Variants are grouped by their number of tokens. For each such number a text's
+    windows get rolling hashes, and those that some variant has go on with their
+    own characters, which decide; so a text is read once, is tried against no
+    variant by itself, and isn't fetched again. The variants' hashes are sent to
+    all tasks up to SENT of them; with more, every window goes to the join, which
+    Spark splits where a window is very common.
     """
-    first = lambda c: F.lower(F.regexp_extract(c, r"(?U)(\w+)", 1))
-    wanted = variants.withColumn("_first", first(F.col("variant"))).filter("_first <> ''")
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"(?U)(\w+)"), 1))
-    met = chunks.select(*key, F.explode(words).alias("_first")).join(wanted, "_first")
-    pattern = F.concat(F.lit(r"(?U)\b\Q"), F.lower("variant"), F.lit(r"\E\b"))
-    # Texts are fetched for hits only; they don't travel with every word.
-    hits = met.join(chunks.select(*key, text), key).filter(F.call_function("rlike", F.lower(F.col(text)), pattern))
-    return hits.select(*key, "person", "variant").distinct()
+    spark = chunks.sparkSession
+    low = F.lower("variant")
+    named = variants.filter(low.rlike(r"(?U)\w")).select("person", "variant", low.alias("said"), _tokens(low).alias("_t"))
+
+    def name(batches):
+        for batch in batches:
+            out = batch[["person", "variant", "said"]].copy()
+            out["tokens"] = [len(t) for t in batch["_t"]]
+            out["hash"] = [int(_windows(np.asarray(t, np.int64).view(np.uint64), len(t))[0]) for t in batch["_t"]]
+            yield out
+
+    wanted = named.mapInPandas(name, "person string, variant string, said string, tokens int, hash long")
+    at = scratch.folder(spark, "variants")
+    wanted.write.parquet(at)
+    wanted = spark.read.schema(wanted.schema).parquet(at)
+    sizes = [r[0] for r in wanted.select("tokens").distinct().collect()]
+    sent = None
+    if wanted.count() <= SENT:
+        sent = spark.sparkContext.broadcast(np.array(sorted({r[0] for r in wanted.select("hash").distinct().collect()}), np.int64))
+
+    def find(batches):
+        for batch in batches:
+            rows, hashes, said = [], [], []
+            for i, (body, tokens, lengths, word) in enumerate(zip(batch["_low"], batch["_t"], batch["_n"], batch["_w"])):
+                tokens, ends = np.asarray(tokens, np.int64).view(np.uint64), np.append(0, np.cumsum(np.asarray(lengths, np.int64)))
+                # A window that begins or ends between words has to have a word beyond.
+                begin, end = int(not word), len(tokens) - int((len(tokens) % 2 == 0) == word)
+                for size in sizes:
+                    own = _windows(tokens, size)
+                    first = np.arange(begin, max(begin, end - size + 1))
+                    if sent is not None:
+                        place = np.minimum(np.searchsorted(sent.value, own[first]), len(sent.value) - 1)
+                        first = first[sent.value[place] == own[first]]
+                    own, once = np.unique(own[first], return_index=True)
+                    rows += [i] * len(own)
+                    hashes += own.tolist()
+                    said += [body[ends[k] : ends[k + size]] for k in first[once].tolist()]
+            out = batch.iloc[rows][["_key"]].reset_index(drop=True)
+            out["hash"], out["said"] = np.array(hashes, np.int64), said
+            yield out
+
+    body = F.lower(F.col(text))
+    read = chunks.filter(body != "").select(F.struct(*key).alias("_key"), body.alias("_low"))
+    read = read.select("*", _tokens(F.col("_low")).alias("_t"), _lengths(F.col("_low")).alias("_n"), F.col("_low").rlike(r"(?U)^\w").alias("_w"))
+    schema = read.select("_key").schema.add("hash", "long").add("said", "string")
+    met = read.mapInPandas(find, schema).join(wanted, ["hash", "said"])
+    return met.select(*[F.col("_key").getField(k).alias(k) for k in key], "person", "variant").distinct()
 
 
 def speaker_context(matches: DataFrame, key: list[str]) -> DataFrame:

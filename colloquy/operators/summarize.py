@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from ..functions import tokens
 from ..functions.text import excerpt, render_prompt
+from ..sources.scratch import written
 from .chunk import chunk_text, pass_threshold
-from .route import classify_rules, label_of, route_of
+from .ledger import Ledger
+from .route import GENERAL, RULES, classify_rules, label_of, route_of
 from .segment import sentences_loose
 
 Generate = Callable[[Column, Column], Column]
@@ -25,11 +27,7 @@ PROMPTS = {
     "condense": "Shorten these notes; keep names, votes and amounts.\nContext: {context}\n\n{text}",
     "minutes": "Turn these notes into minutes under headings.\nContext: {context}\n\n{text}",
 }
-ROUTES = {
-    "general": {"first": "overview", "multi": "condense", "final": "minutes"},
-    "city_council": {"first": "overview", "multi": "condense", "final": "minutes"},
-    "finance": {"first": "overview", "multi": "condense", "final": "minutes"},
-}
+ROUTES = {label: {"first": "overview", "multi": "condense", "final": "minutes"} for label in (GENERAL, *RULES)}
 
 
 def extractive(prompt: Column, text: Column, sentences: int = 2) -> Column:
@@ -71,48 +69,66 @@ def summarize(
     routes: dict[str, dict[str, str]] = ROUTES,
     classify: Generate | None = None,
     classifier: str = "{text}",
+    labels: list[str] | None = None,
+    first: str | None = None,
+    multi: str | None = None,
+    final: str | None = None,
+    ledger: Ledger | None = None,
 ) -> DataFrame:
     """Rows (doc_id, meeting_type, summary, passes, input_tokens, output_tokens, total_tokens) for (doc_id, text[, context]).
 
     The kind of meeting is told by rules, or by classify, a model whose answer to
-    the classifier prompt is searched for the routes' labels. A document is finished at the first of: the last pass, or from the second
-    pass on one chunk or a text within max_tokens. Finished documents leave the
-    loop; lineage is cut by checkpoints between passes.
+    the classifier prompt is searched for the labels, by default the routes'.
+    first, multi and final name prompts that take the place of the routes'. A
+    document is finished at the first of: the last pass, or from the second pass
+    on one chunk or a text within max_tokens. Finished documents leave the loop.
+    Each pass is written and read again, so no call is made twice; with a ledger
+    no run calls for what an earlier one was answered. A row is a document,
+    whatever its id: ids may repeat and be null.
     """
     if max_pass < 1:
         raise ValueError("max_pass has to be 1 or more")
+    for name in (first, multi, final):
+        if name is not None and name not in prompts:
+            raise ValueError(f"unknown prompt: {name}")
+
+    def said_to(rows: DataFrame, model: Generate, prompt: str, text: str, into: str) -> DataFrame:
+        return ledger.ask(rows, model, prompt, text, into) if ledger else rows.withColumn(into, model(F.col(prompt), F.col(text)))
+
     context = F.col("context") if "context" in docs.columns else F.lit(None).cast("string")
     if classify is None:
-        label = classify_rules(F.col("text"))
+        label = classify_rules(F.col("text"), labels=list(routes))
     else:
-        label = label_of(classify(render_prompt(classifier, excerpt(F.col("text"))), excerpt(F.col("text"))), list(routes))
-    work = docs.select("doc_id", F.col("text").alias("text"), context.alias("context"), label.alias("meeting_type"))
-    work = work.withColumn("route", route_of(F.col("meeting_type"), routes)).withColumn("n_in", tokens.estimate(F.substring("text", 1, 2000))).withColumn("n_out", tokens.estimate(F.col("meeting_type")))
+        docs = docs.withColumn("_prompt", render_prompt(classifier, excerpt(F.col("text")), context)).withColumn("_excerpt", excerpt(F.col("text")))
+        docs = said_to(docs, classify, "_prompt", "_excerpt", "_said")
+        label = label_of(F.col("_said"), list(routes) if labels is None else labels)
+    work = docs.select(F.monotonically_increasing_id().alias("_row"), "doc_id", F.coalesce("text", F.lit("")).alias("text"), context.alias("context"), label.alias("meeting_type"))
+    route = route_of(F.col("meeting_type"), routes, first, multi, final)
+    work = work.withColumn("route", route).withColumn("n_in", tokens.estimate(F.substring("text", 1, 2000))).withColumn("n_out", tokens.estimate(F.col("meeting_type")))
+    work = written(work, "meetings")
     finished = None
     for number in range(1, max_pass + 1):
-        chunks = work.select("doc_id", "context", F.col("route." + ("first" if number == 1 else "multi")).alias("name"), F.posexplode(chunk_text(F.col("text"), style, max_tokens, keywords, pass_threshold(number))).alias("part", "chunk"))
+        chunks = work.select("_row", "context", F.col("route." + ("first" if number == 1 else "multi")).alias("name"), F.posexplode(chunk_text(F.col("text"), style, max_tokens, keywords, pass_threshold(number))).alias("part", "chunk"))
         chunks = chunks.withColumn("prompt", _prompt(F.col("name"), prompts, F.col("chunk"), F.col("context")))
-        chunks = chunks.withColumn("said", generate(F.col("prompt"), F.col("chunk")))
-        joined = chunks.groupBy("doc_id").agg(
+        chunks = said_to(chunks, generate, "prompt", "chunk", "said")
+        joined = chunks.groupBy("_row").agg(
             F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "said"))), lambda x: x["said"]), "\n\n").alias("next"),
             F.count(F.lit(1)).alias("chunks"),
             F.sum(tokens.estimate(F.col("prompt"))).alias("add_in"),
             F.sum(tokens.estimate(F.col("said"))).alias("add_out"),
         )
-        work = work.join(joined, "doc_id", "left")
+        work = work.join(joined, "_row", "left")
         work = work.withColumn("text", F.coalesce("next", F.lit(""))).withColumn("n_in", F.col("n_in") + F.coalesce("add_in", F.lit(0))).withColumn("n_out", F.col("n_out") + F.coalesce("add_out", F.lit(0)))
         small = (tokens.estimate(F.col("text")) <= max_tokens) | (F.coalesce("chunks", F.lit(0)) <= 1)
         work = work.withColumn("done", F.lit(True) if number == max_pass else (small if number >= 2 else F.lit(False)))
-        work = work.drop("next", "chunks", "add_in", "add_out")
-        if number < max_pass and docs.sparkSession.sparkContext.getCheckpointDir():
-            work = work.checkpoint()
+        work = written(work.drop("next", "chunks", "add_in", "add_out"), "meetings")
         done = work.filter("done").withColumn("passes", F.lit(number))
         finished = done if finished is None else finished.unionByName(done)
         work = work.filter(~F.col("done")).drop("done")
-    final = finished.withColumn("prompt", _prompt(F.col("route.final"), prompts, F.col("text"), F.col("context")))
-    final = final.withColumn("summary", generate(F.col("prompt"), F.col("text")))
+    last = finished.withColumn("prompt", _prompt(F.col("route.final"), prompts, F.col("text"), F.col("context")))
+    last = said_to(last, generate, "prompt", "text", "summary")
     n_in, n_out = F.col("n_in") + tokens.estimate(F.col("prompt")), F.col("n_out") + tokens.estimate(F.col("summary"))
-    return final.select("doc_id", "meeting_type", "summary", "passes", n_in.alias("input_tokens"), n_out.alias("output_tokens"), (n_in + n_out).alias("total_tokens"))
+    return last.select("doc_id", "meeting_type", "summary", "passes", n_in.alias("input_tokens"), n_out.alias("output_tokens"), (n_in + n_out).alias("total_tokens"))
 
 
 def response_text(provider: str, body: Column) -> Column:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import tomllib
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import meta, policy, text, tokens
-from ..operators import chunk, increment, index, route, search, segment, speakers, summarize
-from ..sources import readers, scratch, writers
+from ..functions import meta, policy, register, text, tokens
+from ..operators import chunk, increment, index, inverted, literal, route, search, segment, speakers, summarize
+from ..sources import readers, scratch, versions, writers
+from . import config
 from . import stand_ins as S
 from .oracles import ORACLES
 
@@ -32,7 +35,7 @@ def _exploded(expr, name: str):
     """A query of the elements of one array of each document."""
 
     def run(spark, sf_dir) -> DataFrame:
-        return S.documents(spark, sf_dir).select("doc_id", F.posexplode(expr(F.col("text"))).alias("i", name))
+        return S.dealt_documents(spark, sf_dir).select("doc_id", F.posexplode(expr(F.col("text"))).alias("i", name))
 
     return run
 
@@ -59,6 +62,28 @@ QUERIES |= {
 }
 
 
+def _in_sql(name: str, element: str):
+    """A query in SQL text, by a table function of the session."""
+
+    def run(spark, sf_dir) -> DataFrame:
+        register.register(spark)
+        S.dealt_documents(spark, sf_dir).createOrReplaceTempView("spoken")
+        return spark.sql(f"SELECT doc_id, f.i, f.{element} FROM spoken, LATERAL {name}(text) AS f")
+
+    return run
+
+
+QUERIES |= {"index_chunks_sql": _in_sql("index_chunks", "chunk"), "sentence_chunks_sql": _in_sql("sentence_chunks", "chunk"), "sentences_sql": _in_sql("strict_sentences", "sentence")}
+
+
+@query
+def caption_round_trip_sql(spark, sf_dir):
+    """caption_round_trip with its second half in SQL text."""
+    register.register(spark)
+    S.cues(spark, sf_dir).select("doc", writers.vtt_text(F.col("cues")).alias("body")).createOrReplaceTempView("captions")
+    return spark.sql("SELECT doc, f.i, f.cue.* FROM captions, LATERAL cues(body) AS f")
+
+
 @query
 def text_stats(spark, sf_dir):
     t = F.col("text")
@@ -69,7 +94,7 @@ def text_stats(spark, sf_dir):
 def normalized_transcripts(spark, sf_dir):
     """The whole normalization stage: cleanup, replacements, sentences, fragments, lines."""
     t = text.replace_terms(text.normalize_patterns(text.normalize_whitespace(F.col("text"))), S.TERMS)
-    return S.documents(spark, sf_dir).select("doc_id", writers.sentence_lines(segment.merge_fragments(segment.sentences_strict(t))).alias("lines"))
+    return S.dealt_documents(spark, sf_dir).select("doc_id", writers.sentence_lines(segment.merge_fragments(segment.sentences_strict(t))).alias("lines"))
 
 
 def _consolidated(window: float, least: int):
@@ -152,10 +177,13 @@ def placeholder_id(spark, sf_dir):
 
 @query
 def clean_names(spark, sf_dir):
-    name = F.concat(F.col("source"), F.lit(" — “Item” #"), (F.col("doc_id") % 7).cast("string"), F.lit(".MP3"))
+    """Names of a folder's files made clean: some are clean already, some read like numbered ones, many are alike."""
+    n = F.col("doc_id") % 7
+    name = F.when(n == 0, F.concat("source", F.lit("_item.mp3"))).when(n == 1, F.concat("source", F.lit("_item_"), (F.col("doc_id") % 5).cast("string"), F.lit(".mp3")))
+    name = name.otherwise(F.concat(F.lit("“"), "source", F.lit("” — Item.MP3")))
     rows = increment.clean_names(S.documents(spark, sf_dir).select("doc_id", name.alias("name")))
-    base = text.clean_file_name(F.col("name"))
-    return rows.groupBy(base.alias("clean")).agg(F.count(F.lit(1)).alias("n"), F.max("clean_name").alias("last_name"))
+    number = F.coalesce(F.try_to_number(F.regexp_extract("clean_name", r"_([0-9]+)\.mp3$", 1), F.lit("999999999")).cast("long"), F.lit(0))
+    return rows.groupBy(text.clean_file_name(F.col("name")).alias("clean")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("clean_name").alias("names"), F.sum(number).alias("numbers"), F.count_if(F.col("name") == F.col("clean_name")).alias("kept"))
 
 
 def _scan(spark, sf_dir):
@@ -171,16 +199,23 @@ def speaker_context(spark, sf_dir):
     return speakers.speaker_context(_scan(spark, sf_dir), ["conv_id", "turn"])
 
 
+@query
+def names_of_documents(spark, sf_dir):
+    """Every pair of words that stands in a document, looked for in conversations."""
+    words = F.filter(F.split(F.lower("text"), r"(?U)\W+"), lambda w: w != "")
+    pairs = S.documents(spark, sf_dir).select(words.alias("w")).filter("size(w) > 1").select(F.explode(F.zip_with(F.expr("slice(w, 1, size(w) - 1)"), F.expr("slice(w, 2, size(w) - 1)"), lambda a, b: F.struct(a.alias("person"), F.concat(a, F.lit(" "), b).alias("variant")))).alias("p"))
+    variants = pairs.select("p.*").distinct()
+    return speakers.scan_names(S.table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), variants, ["conv_id", "turn"])
+
+
 @query
 def name_variants(spark, sf_dir):
-    people = spark.createDataFrame(S.PEOPLE, "role string, person_key string, aliases array<string>")
-    return speakers.name_variants(people, spark.createDataFrame(S.TITLES, "role string, titles array<string>"))
+    return speakers.name_variants(S.people(spark, sf_dir), S.titles(spark, sf_dir))
 
 
 @query
 def hotwords(spark, sf_dir):
-    people = spark.createDataFrame(S.PEOPLE, "role string, person_key string, aliases array<string>")
-    return speakers.hotwords(people, spark.createDataFrame(S.TITLES, "role string, titles array<string>"))
+    return speakers.hotwords(S.people(spark, sf_dir), S.titles(spark, sf_dir))
 
 
 @query
@@ -190,6 +225,17 @@ def classify_rules(spark, sf_dir):
     return S.documents(spark, sf_dir).select("doc_id", route.classify_rules(F.concat_ws(" ", lead, "text")).alias("label"))
 
 
+@query
+def bundle_routes(spark, sf_dir):
+    """The kind of meeting, prompts and keywords that a bundle has for each document."""
+    bundle = config.bundle_of(tomllib.loads(S.BUNDLE))
+    n = F.col("doc_id") % 5
+    lead = F.when(n == 0, "Budget hearing.").when(n == 1, "Zoning appeal").when(n == 2, "The council met").when(n == 3, "Committee of the Whole:")
+    label = route.classify_rules(F.concat_ws(" ", lead, "text"), labels=bundle.labels)
+    rows = S.documents(spark, sf_dir).select("doc_id", label.alias("label"), chunk.keyword_hits(F.col("text"), bundle.keywords).alias("hits"))
+    return rows.select("*", route.route_of(F.col("label"), bundle.routes).alias("r")).select("doc_id", "label", "hits", "r.*")
+
+
 @query
 def route_prompts(spark, sf_dir):
     label = F.when(F.col("doc_id") % 3 == 0, "finance").otherwise("unheard-of")
@@ -207,7 +253,28 @@ def price_runs(spark, sf_dir):
 @query
 def cosine_topk(spark, sf_dir):
     rows = S.table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "id")
-    return search.retrieve(rows, S.query_vector(spark, sf_dir), 250).select(F.col("id").alias("vec_id"), "similarity")
+    return search.retrieve(rows, S.query_vector(spark, sf_dir), 250).select(F.col("id").alias("vec_id"), F.round("similarity", 6).alias("similarity"))
+
+
+def _inverted(spark, sf_dir) -> inverted.InvertedFile:
+    """All embeddings by coarse centroid, in a folder of the session's."""
+    held = inverted.InvertedFile(spark, scratch.folder(spark, "inverted"))
+    held.build(S.table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "id"))
+    return held
+
+
+@query
+def inverted_topk(spark, sf_dir):
+    """cosine_topk by an inverted file, exact by the bounds of its cells."""
+    found = _inverted(spark, sf_dir).search(S.query_vector(spark, sf_dir), 250, nprobe=4, exact=True)
+    return found.select(F.col("id").alias("vec_id"), F.round("similarity", 6).alias("similarity"))
+
+
+@query
+def inverted_many(spark, sf_dir):
+    """The ten vectors nearest to every fiftieth one, from all cells."""
+    asked = S.table(spark, sf_dir, "embeddings").filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("vector"))
+    return _inverted(spark, sf_dir).search_many(asked, 10, nprobe=None).select("query_id", F.col("id").alias("vec_id"), F.round("similarity", 6).alias("similarity"))
 
 
 @query
@@ -267,6 +334,21 @@ def literal_fallback(spark, sf_dir):
     return search.literal_fallback(S.files(spark, sf_dir), S.QUERY).drop("chunk_index")
 
 
+@query
+def literal_indexed(spark, sf_dir):
+    """literal_fallback by a trigram index."""
+    held = literal.LiteralIndex(spark, scratch.folder(spark, "literal")).build(S.files(spark, sf_dir))
+    return search.literal_fallback(held.search(S.QUERY), S.QUERY).drop("chunk_index")
+
+
+@query
+def literal_matches(spark, sf_dir):
+    """Every document that holds the first 24 characters of a benchmark item, by a trigram index."""
+    held = literal.LiteralIndex(spark, scratch.folder(spark, "literal")).build(S.files(spark, sf_dir))
+    asked = S.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.substring("text", 1, 24).alias("literal"))
+    return held.search_many(asked)
+
+
 @query
 def confidence(spark, sf_dir):
     return search.confidence(search_pipeline(spark, sf_dir)).select("id", "rank", "confidence")
@@ -312,6 +394,27 @@ def ndjson_concat(spark, sf_dir):
     return rows.groupBy("user_id").agg(body.alias("body")).select("user_id", summarize.response_text("ollama", F.col("body")).alias("said"))
 
 
+@query
+def stored_answers(spark, sf_dir):
+    """Turns of conversations as the five providers would have answered them, and their texts read back."""
+    turns = S.table(spark, sf_dir, "conversations")
+    halves = [F.substring("text", 1, 40), F.substring(F.col("text"), F.lit(41), F.length("text"))]
+    json = lambda **fields: F.to_json(F.struct(*[value.alias(name) for name, value in fields.items()]))
+    block = lambda value: F.struct(F.lit("text").alias("type"), value.alias("text"))
+    bodies = {
+        "ollama": F.array_join(F.array(*[json(response=h) for h in halves], F.lit('{"done":true}')), "\n\n"),
+        "openai": json(output=F.array(F.struct(F.array(*map(block, halves)).alias("content")))),
+        "anthropic": json(content=F.array(block(halves[0]), F.struct(F.lit("tool").alias("type"), F.lit("-").alias("text")), block(halves[1]))),
+        "llamacpp": json(choices=F.array(F.struct(F.col("text").alias("text")))),
+        "codex_cli": F.concat(F.lit("  "), F.col("text"), F.lit(" ")),
+    }
+    said = None
+    for n, (provider, body) in enumerate(bodies.items()):
+        text_ = summarize.response_text(provider, body)
+        said = F.when(F.col("turn") % 5 == n, text_) if said is None else said.when(F.col("turn") % 5 == n, text_)
+    return turns.select("conv_id", "turn", said.alias("said"))
+
+
 @query
 def event_windows(spark, sf_dir):
     rows = S.table(spark, sf_dir, "events").groupBy(F.window("ts", "10 minutes").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
@@ -331,14 +434,33 @@ def upsert(spark, sf_dir):
     return index.upsert(old, new)
 
 
+@query
+def versioned_upsert(spark, sf_dir):
+    """Chunks of all documents, then of every third one again, which has but its first chunk now: what is there, and what went."""
+    docs = S.documents(spark, sf_dir)
+    chunks = docs.select(F.col("doc_id").alias("source"), F.posexplode(chunk.word_chunks(F.col("text"), 200)).alias("i", "chunk"))
+    rows = chunks.select(F.concat_ws("_", "source", "i").alias("id"), "source", "i")
+    table, place = versions.VersionedTable(spark, scratch.folder(spark, "versions")), F.pmod(F.xxhash64("source"), F.lit(8))
+    versions.upsert(table, rows.withColumn("state", F.lit("old")), place, scope="source")
+    versions.upsert(table, rows.filter("source % 3 = 0 AND i = 0").withColumn("state", F.lit("new")), place, scope="source")
+    gone = table.tombstones(since=1).select(F.col("key").alias("id"), F.lit("gone").alias("state"))
+    return table.read().select("id", "state").unionByName(gone)
+
+
 @query
 def provider_policy(spark, sf_dir):
-    rows = spark.createDataFrame(S.TARGETS, "provider string, target string")
-    return rows.select("provider", "target", policy.target_fault(F.col("provider"), F.col("target")).alias("fault"))
+    """Why providers may not be called at the addresses of pages, at paths on this machine, or as programs."""
+    url = F.col("url")
+    here = F.regexp_replace(url, "^([a-z]+://)[^/]*", "$1127.0.0.1:8080")
+    n = F.col("page_id") % 5
+    provider = F.when(n == 0, "openai").when(n == 1, "ollama").when(n == 2, "codex_cli").when(n == 3, " ").otherwise("llamacpp")
+    target = F.when(n == 1, here).when(n == 2, F.when(F.col("page_id") % 2 == 0, "codex").otherwise(url)).when(F.col("page_id") % 7 == 0, "").otherwise(url)
+    rows = S.table(spark, sf_dir, "pages").select("page_id", provider.alias("provider"), target.alias("target"))
+    return rows.select("page_id", policy.target_fault(F.col("provider"), F.col("target")).alias("fault"))
 
 
 def _meeting_files(spark, sf_dir):
-    return S.documents(spark, sf_dir).select(F.expr(S.FILE_NAME).alias("source"), "text")
+    return S.dealt_documents(spark, sf_dir).select(F.expr(S.FILE_NAME).alias("source"), "text")
 
 
 @query
@@ -369,8 +491,8 @@ def _shown(vector):
 
 @query
 def query_embeddings(spark, sf_dir):
-    """Vectors of queries, the instruction before them; the heads of documents are the queries."""
-    return S.documents(spark, sf_dir).select("doc_id", _shown(index.embed_query(F.substring("text", 1, 80))).alias("embedding"))
+    """Vectors of queries, the instruction before them; documents are the queries."""
+    return S.documents(spark, sf_dir).select("doc_id", _shown(index.embed_query(F.col("text"))).alias("embedding"))
 
 
 @query
@@ -419,8 +541,10 @@ def rendered_prompts(spark, sf_dir):
 
 @query
 def model_names(spark, sf_dir):
-    rows = spark.createDataFrame([(m,) for m in S.MODELS], "model string")
-    return rows.select("model", policy.model_fault(F.col("model")).alias("fault"))
+    """Names of models made of events' types and numbers, some blank or broken."""
+    n = F.col("event_id") % 4
+    model = F.when(n == 0, F.concat("event_type", F.lit(":"), F.get_json_object("props", "$.k"))).when(n == 1, F.concat("event_type", F.lit("\t"))).when(n == 2, F.repeat(F.lit(" "), F.col("event_id") % 3)).otherwise(F.lit(None))
+    return S.table(spark, sf_dir, "events").select("event_id", policy.model_fault(model).alias("fault"))
 
 
 @query
@@ -446,7 +570,7 @@ def segment_texts(spark, sf_dir):
 
 @query
 def summary_texts(spark, sf_dir):
-    t = F.concat(F.lit("\n"), F.substring("text", 1, 300), F.lit("\n\n"))
+    t = F.concat(F.lit("\n"), "text", F.lit("\n\n"))
     name = text.safe_path_part(F.concat(F.lit(" "), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit("\\x ")))
     return S.documents(spark, sf_dir).select("doc_id", name.alias("name"), writers.summary_text(F.col("source"), t).alias("markdown"))
 
@@ -480,4 +604,4 @@ def chunk_styles(spark, sf_dir):
 
 @query
 def summary_multipass(spark, sf_dir):
-    return summarize.summarize(S.documents(spark, sf_dir).select("doc_id", "text"), max_tokens=400)
+    return summarize.summarize(S.dealt_documents(spark, sf_dir).select("doc_id", "text"), max_tokens=400)

@@ -120,6 +120,8 @@ class PromptBundle:
     routes: dict[str, dict[str, str]] = field(default_factory=lambda: dict(ROUTES))
     keywords: list[str] = field(default_factory=list)
     classifier: str | None = None
+    #: What a classifier may answer.
+    labels: list[str] = field(default_factory=lambda: list(ROUTES))
 
     def check(self) -> None:
         for label, route in self.routes.items():
@@ -130,16 +132,47 @@ class PromptBundle:
             raise ConfigError("there is no general route")
 
 
+def bundle_of(raw: dict, place: str = "bundle") -> PromptBundle:
+    """A bundle from the tables of its file.
+
+    [prompts.<name>] has each prompt's text, [prompt_router] a route of three
+    prompts for each label, [classifier_prompt] the text that asks for a label,
+    [classifier_types] the labels allowed, [density_keywords] the keywords.
+    """
+
+    def table(name: str) -> dict:
+        found = raw.get(name, {})
+        if not isinstance(found, dict):
+            raise ConfigError(f"{place}: {name} is not a table")
+        return found
+
+    prompts = {}
+    for name, entry in table("prompts").items():
+        said = entry.get("text") if isinstance(entry, dict) else None
+        if not isinstance(said, str) or not said.strip():
+            raise ConfigError(f"{place}: prompt {name} has no text")
+        prompts[name] = said
+    routes, asked = table("prompt_router"), table("classifier_prompt").get("text", "")
+    if not isinstance(asked, str):
+        raise ConfigError(f"{place}: the classifier's prompt is not a text")
+    labels, keywords = table("classifier_types").get("allowed", []), table("density_keywords").get("keywords", [])
+    for name, listed in (("classifier_types.allowed", labels), ("density_keywords.keywords", keywords)):
+        if not isinstance(listed, list) or not all(isinstance(x, str) for x in listed):
+            raise ConfigError(f"{place}: {name} is not a list of texts")
+    for label, route in routes.items():
+        if not isinstance(route, dict):
+            raise ConfigError(f"{place}: route {label} is not a table")
+    bundle = PromptBundle(prompts, routes, keywords, asked if asked.strip() else None, labels)
+    bundle.check()
+    return bundle
+
+
 def prompt_bundle(folders: list[str], profile: str) -> PromptBundle:
     """The bundle <folder>/<profile>/prompts.toml of the first folder that has one, else the built-in one."""
     for folder in folders:
         path = os.path.join(folder, profile, "prompts.toml")
         if os.path.exists(path):
-            raw = load(path)
-            prompts = {k: v["text"] if isinstance(v, dict) else v for k, v in raw.get("prompts", {}).items()}
-            bundle = PromptBundle(prompts, raw.get("router", {}), raw.get("density_keywords", []), raw.get("classifier"))
-            bundle.check()
-            return bundle
+            return bundle_of(load(path), path)
     return PromptBundle()
 
 

@@ -125,7 +125,7 @@ INDEX = """
 x AS (SELECT lpad(CAST(doc_id AS VARCHAR), 9, '0') AS id, text AS document, CAST(embedding AS DOUBLE[]) AS embedding, 'doc_' || doc_id AS source,
       CASE WHEN doc_id % 10 = 0 THEN 'summary' ELSE 'raw_transcript' END AS category, CAST(0 AS INT) AS chunk_index FROM documents JOIN embeddings ON vec_id = doc_id % (SELECT max(vec_id) + 1 FROM embeddings)),
 v AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = 0),
-sim AS (SELECT x.*, round(list_cosine_similarity(embedding, q), 6) AS similarity FROM x, v),
+sim AS (SELECT x.*, list_cosine_similarity(embedding, q) AS similarity FROM x, v),
 top AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY similarity DESC, id) AS n FROM sim),
 near AS (SELECT * FROM top WHERE n <= CASE WHEN category = 'summary' THEN 5 ELSE 250 END)"""
 HIT = f"contains(lower(document), '{S.QUERY}')"
@@ -194,10 +194,14 @@ b AS (SELECT doc_id, trim(regexp_replace(translate(regexp_replace(CASE WHEN raw
 SELECT doc_id, array_to_string(list_transform(string_split(low, ' '), lambda y: upper(y[1]) || lower(y[2:])), ' ') || ' | ' || date AS label, date FROM b""",
     "url_parts": "SELECT page_id, lower(nullif(regexp_replace(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://([^/?#]*)', 1), '^.*@', ''), ':.*$', ''), '')) AS host, substring(sha256(url), 1, 11) AS page_key FROM pages",
     "placeholder_id": "SELECT doc_id, substring(sha256(source || '_' || doc_id), 1, 11) AS video_id, source || '_' || lpad(CAST(doc_id AS VARCHAR), 5, '0') AS segment_id FROM documents",
-    "clean_names": f"""WITH c AS (SELECT doc_id, source || ' — “Item” #' || (doc_id % 7) || '.MP3' AS name FROM documents),
-d AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(name), '["''‘’“”⧸]', '_', 'g'), '[^a-z0-9._-]', '_', 'g'), '_-_', '_', 'g'), '__+', '_', 'g') AS k FROM c),
-e AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY name, doc_id) - 1 AS r FROM d)
-SELECT k AS clean, count(*) AS n, max(CASE WHEN r = 0 THEN k ELSE regexp_replace(k, '(\\.[^.]*)$', '_' || r || '\\1') END) AS last_name FROM e GROUP BY k""",
+    "clean_names": f"""WITH c AS (SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN source || '_item.mp3' WHEN 1 THEN source || '_item_' || (doc_id % 5) || '.mp3' ELSE '“' || source || '” — Item.MP3' END AS name FROM documents),
+d AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(name), '["\'\'‘’“”⧸]', '_', 'g'), '[^a-z0-9._-]', '_', 'g'), '_-_', '_', 'g'), '__+', '_', 'g') AS k FROM c),
+e AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY name <> k, name) - 1 AS r FROM d),
+t AS (SELECT DISTINCT k AS taken FROM e),
+m AS (SELECT k, max(r) AS most FROM e GROUP BY k),
+f AS (SELECT k, j, row_number() OVER (PARTITION BY k ORDER BY j) AS r FROM (SELECT k, unnest(range(1, most + 1 + (SELECT count(*) FROM t))) AS j FROM m) WHERE regexp_replace(k, '(\\.[^.]*)$', '_' || j || '\\1') NOT IN (SELECT taken FROM t)),
+g AS (SELECT e.*, CASE WHEN e.r = 0 THEN e.k ELSE regexp_replace(e.k, '(\\.[^.]*)$', '_' || f.j || '\\1') END AS clean_name FROM e LEFT JOIN f ON f.k = e.k AND f.r = e.r)
+SELECT k AS clean, count(*) AS n, count(DISTINCT clean_name) AS names, CAST(sum(COALESCE(TRY_CAST(regexp_extract(clean_name, '_([0-9]+)\\.mp3$', 1) AS BIGINT), 0)) AS BIGINT) AS numbers, count_if(name = clean_name) AS kept FROM g GROUP BY k""",
     "snippets": f"SELECT doc_id, {snippet('text')} AS snippet FROM documents",
     "density_count": f"SELECT doc_id, {hits('text')} AS hits FROM documents",
     "name_scan": f"WITH {SCAN} SELECT conv_id, turn, person, variant FROM n",
@@ -210,12 +214,12 @@ SELECT conv_id, turn, '**Speakers detected in this segment: ' || string_agg(vs[1
   || '*Mentions may refer to multiple individuals if only first names are used.*' AS context
 FROM k GROUP BY conv_id, turn""",
     "classify_rules": """WITH w AS (SELECT doc_id, ' ' || regexp_replace(lower(substring(concat_ws(' ', CASE doc_id % 5 WHEN 0 THEN 'Budget hearing.' WHEN 1 THEN 'Zoning appeal' WHEN 2 THEN 'The council met' WHEN 3 THEN 'Committee of the Whole:' END, text), 1, 2000)), '[^\\p{L}\\p{M}\\p{N}\\p{Pc}]+', ' ', 'g') || ' ' AS t FROM documents)
-SELECT doc_id, CASE WHEN regexp_matches(t, ' (finance|budget) ') THEN 'finance' WHEN contains(t, ' committee of the whole ') THEN 'committee_of_the_whole' WHEN regexp_matches(t, ' (zoning|planning) ') THEN 'zoning' WHEN contains(t, ' council ') THEN 'city_council' ELSE 'general' END AS label FROM w""",
+SELECT doc_id, CASE WHEN regexp_matches(t, ' (finance|budget|appropriation) ') THEN 'finance_committee' WHEN contains(t, ' committee of the whole ') THEN 'committee_of_the_whole' WHEN regexp_matches(t, ' (zoning|planning) ') THEN 'zoning_committee' WHEN contains(t, ' council ') THEN 'city_council' ELSE 'general' END AS label FROM w""",
     "route_prompts": "SELECT doc_id, 'overview' AS first, CASE WHEN doc_id % 3 = 0 THEN 'figures' ELSE 'condense' END AS multi, 'minutes' AS final FROM documents",
     "price_runs": f"""WITH r AS (SELECT doc_id, provider, model, {tokens('text')} AS n FROM documents, {values(S.PRICED, 'provider, model')})
 SELECT doc_id, provider, model, round(CASE WHEN provider = 'openai' AND contains(lower(model), 'gpt-4.1') THEN n / 1e6 * 2.0 + (n // 10) / 1e6 * 8.0 WHEN provider = 'anthropic' THEN n / 1e6 * 1.0 + (n // 10) / 1e6 * 5.0 END, 9) AS cost FROM r""",
     "output_budget": f"SELECT doc_id, CAST(greatest(1, least(2048, 8192 - {tokens('text')} - 1)) AS BIGINT) AS budget FROM documents",
-    "cosine_topk": "WITH v AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = 0) SELECT vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), q), 6) AS similarity FROM embeddings, v ORDER BY similarity DESC, vec_id LIMIT 250",
+    "cosine_topk": "WITH v AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = 0) SELECT vec_id, round(s, 6) AS similarity FROM (SELECT vec_id, list_cosine_similarity(CAST(embedding AS DOUBLE[]), q) AS s FROM embeddings, v ORDER BY s DESC, vec_id LIMIT 250)",
     "cosine_topk_by_label": "WITH v AS (SELECT CAST(embedding AS DOUBLE[]) AS q FROM embeddings WHERE vec_id = 0), s AS (SELECT label, vec_id, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), q), 6) AS similarity FROM embeddings, v) SELECT * FROM (SELECT label, vec_id, similarity, CAST(row_number() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id) AS INT) AS n FROM s) WHERE n <= 5",
     "align_argmax": """WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
 c AS (SELECT * FROM e WHERE vec_id % 4 = 0), s AS (SELECT * FROM e WHERE vec_id % 4 <> 0)
@@ -245,7 +249,6 @@ SELECT event_id FROM c WHERE old = 0""",
 l AS (SELECT doc, chunk, arg_max(en, idx) AS last FROM s GROUP BY ALL),
 o AS (SELECT doc, chunk, COALESCE(sum(last) OVER (PARTITION BY doc ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM l)
 SELECT doc, chunk, idx, st + off AS start, en + off AS "end" FROM s JOIN o USING (doc, chunk)""",
-    "provider_policy": "SELECT * FROM (VALUES ('', 'https://localhost', 'provider missing'), ('codex_cli', 'codex', NULL), ('codex_cli', 'rm -rf', 'custom executable'), ('llamacpp', 'https://user@127.0.0.1.evil.com', 'off-box'), ('ollama', '', 'target missing'), ('ollama', 'ftp://localhost', 'scheme'), ('ollama', 'http://localhost:11434', 'insecure http'), ('ollama', 'https://127.0.0.1:8080/x', NULL), ('ollama', 'https://[::1]/', NULL), ('openai', 'http://api.example.com', 'insecure http'), ('openai', 'https://api.example.com/v1', 'off-box')) AS t(provider, target, fault)",
 }
 
 
@@ -320,13 +323,6 @@ m AS (SELECT *, regexp_extract(b, '^(.*?) (\\d{{1,2}})[ -](\\d{{1,2}})[ -](\\d{{
 t AS (SELECT doc_id, x, x.y <> '' AS dated, CASE WHEN x.y <> '' THEN trim(x.kind) ELSE b END AS low FROM m),
 k AS (SELECT *, array_to_string(list_transform(string_split(low, ' '), lambda y: upper(y[1]) || lower(y[2:])), ' ') AS title FROM t)
 SELECT doc_id, CASE WHEN dated THEN title || ' - ' || lpad(CAST(CASE WHEN TRY_CAST(x.y AS INT) < 100 THEN TRY_CAST(x.y AS INT) + 2000 ELSE TRY_CAST(x.y AS INT) END AS VARCHAR), 4, '0') || '-' || lpad(x.m, 2, '0') || '-' || lpad(x.d, 2, '0') ELSE title END AS context FROM k""",
-    "hotwords": "SELECT 'Alderman, Ann, Chair, City Clerk, Leon, le on, the heed' AS hotwords",
-    "name_variants": """
-WITH p(role, person, first, last, aliases) AS (VALUES ('council', 'ann_and', 'ann', 'and', ['Ann']), ('council', 'heed', 'heed', '', ['the heed']), ('board', 'le_on', 'le', 'on', ['Leon', 'le on'])),
-t(role, title) AS (VALUES ('council', 'Alderman'), ('council', 'City Clerk'), ('council', 'City Clerk Director'), ('board', 'Chair')),
-v AS (SELECT person, unnest(aliases || [first, last, trim(first || ' ' || last)]) AS variant FROM p
-  UNION ALL SELECT person, unnest([trim(title || ' ' || last), trim(title || ' ' || first || ' ' || last)]) FROM p JOIN t USING (role))
-SELECT DISTINCT person, variant FROM v WHERE variant <> ''""",
     "index_transcripts": _indexed("TRANSCRIPT", "raw_transcript", "Transcript excerpt: ", 150, 25),
     "index_summaries": _indexed("SUMMARY", "summary", "Meeting summary: ", 300, 50),
 }
@@ -363,7 +359,7 @@ def _multipass(max_tokens: int = 400) -> str:
   n_in + list_sum(list_transform(c, lambda q: {tokens(prompt(name, 'q'))})) AS n_in, n_out + list_sum(list_transform(s, lambda q: {tokens('q')})) AS n_out FROM {out}s)"""
 
     head = f"' ' || regexp_replace(lower(substring(text, 1, 2000)), '{NON_WORD}', ' ', 'g') || ' '"
-    label = f"CASE WHEN regexp_matches({head}, ' (finance|budget) ') THEN 'finance' WHEN contains({head}, ' committee of the whole ') THEN 'committee_of_the_whole' WHEN regexp_matches({head}, ' (zoning|planning) ') THEN 'zoning' WHEN contains({head}, ' council ') THEN 'city_council' ELSE 'general' END"
+    label = f"CASE WHEN regexp_matches({head}, ' (finance|budget|appropriation) ') THEN 'finance_committee' WHEN contains({head}, ' committee of the whole ') THEN 'committee_of_the_whole' WHEN regexp_matches({head}, ' (zoning|planning) ') THEN 'zoning_committee' WHEN contains({head}, ' council ') THEN 'city_council' ELSE 'general' END"
     small = f"({tokens('t')} <= {max_tokens} OR k <= 1)"
     return f"""
 WITH l AS (SELECT doc_id, text, {label} AS meeting_type FROM documents),
@@ -382,7 +378,7 @@ SEGMENTS = consolidate(90, 1)
 ORACLES |= {
     "index_transcripts_timed": _timed(),
     "summary_multipass": _multipass(),
-    "query_embeddings": f"SELECT doc_id, {shown(embedding(f"'{QUERY_PREFIX}' || substring(text, 1, 80)"))} AS embedding FROM documents",
+    "query_embeddings": f"SELECT doc_id, {shown(embedding(f"'{QUERY_PREFIX}' || text"))} AS embedding FROM documents",
     "summaries_present": f"WITH {FILES}, s AS (SELECT DISTINCT replace(name, '.txt', '.summary.md') AS summary FROM f WHERE doc_id % 10 = 0) SELECT doc_id, replace(name, '.txt', '.summary.md') AS summary, replace(name, '.txt', '.summary.md') IN (SELECT summary FROM s) AS has_summary FROM f",
     "classifier_labels": "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'finance' WHEN 1 THEN 'city_council' WHEN 2 THEN 'council' ELSE 'general' END AS label FROM documents",
     "pricing_summaries": f"""WITH n AS (SELECT doc_id, {tokens('text')} AS n, doc_id % 2 = 0 AS even FROM documents)
@@ -393,11 +389,10 @@ SELECT lower(name) AS lower_id, arg_max(CASE WHEN doc_id % 2 = 0 THEN upper(name
     "handles": """WITH g AS (SELECT doc_id, lower(source) AS a, lower(lang) || '-' || lower(source) AS b FROM documents)
 SELECT doc_id, CAST(0 AS INT) AS i, a AS item, regexp_full_match(a, '[a-z0-9_]+') AS handle FROM g UNION ALL SELECT doc_id, 1, b, regexp_full_match(b, '[a-z0-9_]+') FROM g""",
     "rendered_prompts": "SELECT doc_id, '{as is} ' || CASE WHEN doc_id % 2 = 0 THEN source ELSE 'No context provided.' END || ': ' || text || ' {end}' AS prompt FROM documents",
-    "model_names": "SELECT * FROM (VALUES ('m', NULL), (' ', 'model missing'), ('', 'model missing'), ('a' || chr(9) || 'b', 'control characters'), ('llama3:8b', NULL)) AS t(model, fault)",
     "missing_prompts": "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'figures,minutes' ELSE 'minutes' END AS missing FROM documents",
     "segment_files": f"SELECT doc || '_' || lpad(CAST(i AS VARCHAR), 5, '0') AS id, CAST(doc AS VARCHAR) AS source, i AS segment_index, start AS start_time, \"end\" AS end_time, round(\"end\" - start, 3) AS duration, text_raw, substring(sha256(CAST(doc AS VARCHAR)), 1, 11) AS video_id FROM ({SEGMENTS})",
     "segment_texts": f"SELECT c.doc, COALESCE(text, '') AS text FROM (SELECT DISTINCT conv_id AS doc FROM conversations) c LEFT JOIN (SELECT doc, string_agg(text_raw || chr(10) || chr(10), '' ORDER BY i) AS text FROM ({SEGMENTS}) GROUP BY doc) s ON s.doc = c.doc",
-    "summary_texts": "SELECT doc_id, source || '_' || doc_id || '_x' AS name, '# Summary: ' || source || chr(10) || chr(10) || trim(chr(10) || substring(text, 1, 300) || chr(10) || chr(10), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) || chr(10) AS markdown FROM documents",
+    "summary_texts": "SELECT doc_id, source || '_' || doc_id || '_x' AS name, '# Summary: ' || source || chr(10) || chr(10) || trim(chr(10) || text || chr(10) || chr(10), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) || chr(10) AS markdown FROM documents",
     "fresh_listings": "SELECT CAST(user_id AS VARCHAR) AS channel, min(event_id) AS fetched_at, count(*) AS n FROM events GROUP BY user_id HAVING 200 - min(event_id) <= 150",
     "tracker_files": "SELECT CAST(doc_id AS VARCHAR) AS key FROM documents WHERE doc_id % 3 <> 0 AND doc_id % 5 <> 0",
     "chunk_styles": f"""WITH w AS (SELECT doc_id, len({words('text')}) AS n FROM documents),
@@ -406,3 +401,44 @@ d AS (SELECT doc_id, count(*) AS n FROM ({sentence_chunks(200, "greatest(1, CAST
 SELECT w.doc_id, CAST(CASE WHEN w.n <= 150 THEN 1 ELSE 1 + ceil((w.n - 150) / 135.0) END AS BIGINT) AS word, COALESCE(s.n, 0) AS sentence, COALESCE(d.n, 0) AS density
 FROM w LEFT JOIN s USING (doc_id) LEFT JOIN d USING (doc_id)""",
 }
+
+PEOPLE = """
+p AS (SELECT DISTINCT role, conv_id % 40 AS n FROM conversations),
+q AS (SELECT role, CASE WHEN n % 4 = 0 THEN role || n ELSE role || '_of' || n END AS person, CASE WHEN n % 4 = 0 THEN role || n ELSE role END AS first, CASE WHEN n % 4 = 0 THEN '' ELSE 'of' || n END AS last, 'No. ' || n AS alias FROM p),
+r AS (SELECT *, trim(first || ' ' || last) AS whole FROM q),
+t AS (SELECT r.*, unnest([upper(role), 'Chief ' || role]) AS title FROM r WHERE role <> 'system')"""
+TOKENS = r"[\p{L}\p{M}\p{N}\p{Pc}]+|[^\p{L}\p{M}\p{N}\p{Pc}]+"
+
+ORACLES |= {
+    "inverted_many": """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+s AS (SELECT q.vec_id AS query_id, e.vec_id, round(list_cosine_similarity(e.x, q.x), 12) AS s FROM e, e AS q WHERE q.vec_id % 50 = 0)
+SELECT query_id, vec_id, round(s, 6) AS similarity FROM s QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) <= 10""",
+    "inverted_topk": ORACLES["cosine_topk"],
+    "literal_indexed": ORACLES["literal_fallback"],
+    "literal_matches": "SELECT item_id AS query_id, 'doc_' || doc_id AS source FROM benchmark b, documents d WHERE substring(b.text, 1, 24) <> '' AND contains(lower(d.text), lower(substring(b.text, 1, 24)))",
+    "versioned_upsert": f"SELECT doc_id || '_' || i AS id, CASE WHEN doc_id % 3 <> 0 THEN 'old' WHEN i = 0 THEN 'new' ELSE 'gone' END AS state FROM ({ORACLES['word_chunks']})",
+    "provider_policy": """WITH u AS (SELECT page_id, page_id % 5 AS n, page_id % 2 AS odd, page_id % 7 AS w, url FROM pages)
+SELECT page_id, CASE WHEN n = 3 THEN 'provider missing' WHEN n = 2 THEN CASE WHEN odd = 1 THEN 'custom executable' END WHEN n <> 1 AND w = 0 THEN 'target missing'
+  WHEN starts_with(url, 'http:') THEN 'insecure http' WHEN n <> 1 THEN 'off-box' END AS fault FROM u""",
+    "model_names": "SELECT event_id, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'control characters' ELSE 'model missing' END AS fault FROM events",
+    "names_of_documents": f"""WITH w AS (SELECT list_filter({WORDS_OF}, lambda x: x <> '') AS w FROM documents),
+v AS (SELECT DISTINCT unnest(list_zip(w[:-2], w[2:])) AS p FROM w WHERE len(w) > 1),
+c AS (SELECT conv_id, turn, regexp_extract_all(lower(text), '{TOKENS}') AS t FROM conversations),
+k AS (SELECT conv_id, turn, t, unnest(range(1, len(t) - 1)) AS i FROM c)
+SELECT DISTINCT conv_id, turn, t[i] AS person, t[i] || ' ' || t[i + 2] AS variant FROM k JOIN v ON p[1] = t[i] AND p[2] = t[i + 2] WHERE t[i + 1] = ' '""",
+    "stored_answers": "SELECT conv_id, turn, CASE WHEN turn % 5 = 4 THEN trim(text, ' ') ELSE text END AS said FROM conversations",
+    "hotwords": """WITH p AS (SELECT DISTINCT role, conv_id % 40 AS n FROM conversations),
+w AS (SELECT 'No. ' || n AS w FROM p UNION SELECT upper(role) FROM p WHERE role <> 'system' UNION SELECT 'Chief ' || role FROM p WHERE role <> 'system')
+SELECT string_agg(w, ', ' ORDER BY w) AS hotwords FROM w""",
+    "name_variants": f"""WITH {PEOPLE}
+SELECT DISTINCT person, variant FROM (SELECT person, unnest([alias, first, last, whole]) AS variant FROM r
+  UNION SELECT person, unnest([trim(title || ' ' || last), title || ' ' || whole] || CASE WHEN contains(title, ' ') THEN [trim(title || ' Director ' || last), title || ' Director ' || whole] ELSE [] END) FROM t) WHERE variant <> ''""",
+    "bundle_routes": f"""WITH l AS (SELECT doc_id, label FROM ({ORACLES['classify_rules']})), h AS (SELECT doc_id, hits FROM ({ORACLES['density_count']}))
+SELECT doc_id, label, hits, CASE label WHEN 'city_council' THEN 'council_notes' WHEN 'finance_committee' THEN 'money_notes' WHEN 'zoning_committee' THEN 'zoning_notes' ELSE 'overview' END AS first,
+  CASE label WHEN 'finance_committee' THEN 'figures' ELSE 'condense' END AS multi,
+  CASE label WHEN 'finance_committee' THEN 'budget_minutes' WHEN 'committee_of_the_whole' THEN 'committee_minutes' WHEN 'zoning_committee' THEN 'committee_minutes' ELSE 'minutes' END AS final FROM l JOIN h USING (doc_id)""",
+    "index_chunks_sql": ORACLES["index_chunks"],
+    "sentence_chunks_sql": ORACLES["sentence_chunks"],
+    "sentences_sql": ORACLES["sentences_strict"],
+    "caption_round_trip_sql": ORACLES["caption_round_trip"],
+}

@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import meta, policy, text, tokens
-from ..operators import chunk, increment, index, route, search, segment, summarize
-from ..sources import readers, writers
+from ..operators import chunk, increment, index, inverted, literal, route, search, segment, summarize
+from ..operators.ledger import Ledger
+from ..sources import readers, scratch, versions, writers
 from .config import ConfigError, PromptBundle, entity_dir, wanted_sources
 
 
@@ -115,7 +116,7 @@ def normalize_texts(
     split gives a text's sentences as an array; a model goes in as a pandas UDF.
     A dry run returns the sources that would be normalized and writes nothing.
     """
-    rows = _new(spark, readers.texts(spark, path, ".txt", "punct.txt"), output, force)
+    rows = _new(spark, scratch.spread(readers.texts(spark, path, ".txt", "punct.txt"), path), output, force)
     if dry_run:
         return rows.select("source")
     clean = text.normalize_patterns(text.normalize_whitespace(F.col("text")))
@@ -147,14 +148,17 @@ def summarize_texts(
     form: str = "markdown",
     providers: dict[str, summarize.Generate] | None = None,
     dry_run: bool = False,
+    ledger: str | None = None,
     **options,
 ) -> DataFrame:
     """Summaries of normalized transcripts with their prices, appended to output.
 
-    bundle holds prompts, routes and keywords. The provider's target is checked
+    bundle holds prompts, routes, keywords, and the classifier's prompt and labels,
+    which a generator other than the built-in one is asked. The provider's target is checked
     before any call. reference is the provider and model whose prices count; files
     is a folder for the summaries as Markdown or YAML. providers puts generators
-    in the place of the built-in one. A dry run returns the sources that would be
+    in the place of the built-in one; ledger is a folder for their answers, which
+    later runs take from there. A dry run returns the sources that would be
     summarized; nothing is called or written.
     """
     options = {"generate": summarize.generator(provider, providers)} | options
@@ -162,8 +166,13 @@ def summarize_texts(
     rows = _new(spark, spark.read.parquet(transcripts), output, force)
     if dry_run:
         return rows.select("source")
+    if ledger:
+        options["ledger"] = Ledger(spark, ledger, provider, model)
     if bundle is not None:
         options = {"prompts": bundle.prompts, "routes": bundle.routes, "keywords": bundle.keywords} | options
+        # A model that answers prompts tells the kind of meeting; the built-in generator can't.
+        if bundle.classifier and bundle.labels and options["generate"] is not summarize.extractive:
+            options = {"classify": options["generate"], "classifier": bundle.classifier, "labels": bundle.labels} | options
     found = summarize.summarize(rows.select(F.col("source").alias("doc_id"), "text", meta.prompt_context(F.col("source")).alias("context")), **options)
     pricing = tokens.pricing_summary(F.lit(provider), F.lit(model), F.lit(reference[0]), F.lit(reference[1]), F.col("input_tokens"), F.col("output_tokens"))
     found.withColumnRenamed("doc_id", "source").withColumn("pricing", pricing).write.mode("overwrite" if force else "append").parquet(output)
@@ -183,6 +192,10 @@ def chunk_files(spark: SparkSession, transcripts: str, output: str, style: str =
     writers.write_chunks(rows.select(F.col("source").alias("doc"), kind, F.lit(number).alias("pass"), F.posexplode(pieces).alias("part", "chunk")), output)
 
 
+#: Buckets of an index by source.
+BUCKETS = 64
+
+
 def build_index(
     spark: SparkSession,
     transcripts: str,
@@ -192,33 +205,51 @@ def build_index(
     embed: index.Embed = index.hashed_embedding,
     ids: DataFrame | None = None,
     finders: dict[str, index.Embed] | None = None,
+    cells: int | None = None,
 ) -> DataFrame:
-    """The index of transcripts and summaries, partitioned by category so that retrieval reads one of them only.
+    """The index of transcripts and summaries, a versioned table in buckets of sources.
 
-    Rows of an index that is there already are replaced by id, and others stay:
-    the new table is written beside the old one and then takes its place.
+    Rows of an index that is there already are replaced source by source, and
+    others stay; only buckets that new sources fall in are written, and the new
+    version is there at once or not at all. cells asks for an inverted file
+    beside it with so many coarse centroids, 0 for a number of its own choice;
+    one that is there is kept up to date.
     """
     rows = index.index_transcripts(spark.read.parquet(transcripts), segments, ids, embed=embed, finders=finders)
     if summaries:
         files = spark.read.parquet(summaries).select(meta.summary_name(F.col("source")).alias("source"), F.col("summary").alias("text"))
         rows = rows.unionByName(index.index_summaries(files, ids, embed=embed), allowMissingColumns=True)
-    if not _exists(spark, output):
-        rows.write.partitionBy("category").parquet(output)
-        return spark.read.parquet(output)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fresh, gone, here = path(f"{output}.new"), path(f"{output}.old"), path(output)
-    system = here.getFileSystem(spark._jsc.hadoopConfiguration())
-    index.upsert(spark.read.parquet(output).select(*rows.columns), rows).write.mode("overwrite").partitionBy("category").parquet(f"{output}.new")
-    system.delete(gone, True)
-    system.rename(here, gone)
-    system.rename(fresh, here)
-    system.delete(gone, True)
-    spark.catalog.refreshByPath(output)
-    return spark.read.parquet(output)
+    rows = scratch.written(rows.withColumn("scope", F.concat_ws(":", "category", "source")), "index")
+    table = versions.VersionedTable(spark, output)
+    before = table.version()
+    versions.upsert(table, rows, F.pmod(F.xxhash64("scope"), F.lit(BUCKETS)), scope="scope")
+    held = inverted.InvertedFile(spark, f"{output}/cells")
+    if held.table.version():
+        held.add(rows.drop("scope"), table.tombstones(since=before))
+    elif cells is not None:
+        held.build(table.read().drop("scope", "bucket"), cells or None)
+    return table.read().drop("scope", "bucket")
+
 
+def index_texts(spark: SparkSession, transcripts: str, output: str) -> literal.LiteralIndex:
+    """The trigram index of an index's transcripts, for literal search; search_index takes it where it is there."""
+    files = spark.read.parquet(transcripts).select("source", F.lit(search.TRANSCRIPT).alias("category"), F.col("text").alias("document"))
+    return literal.LiteralIndex(spark, f"{output}/texts").build(files)
 
-def search_index(spark: SparkSession, path: str, transcripts: str, query: str, strategy: str = "hybrid") -> DataFrame:
-    """Ranked results of a query, its vector made by the built-in embedding with the query's instruction."""
-    vector = spark.range(1).select(index.embed_query(F.lit(query))).first()[0]
-    files = spark.read.parquet(transcripts).select("source", F.lit("raw_transcript").alias("category"), F.col("text").alias("document"))
-    return search.search(spark.read.parquet(path), files, query, list(vector), strategy)
+
+def search_index(spark: SparkSession, path: str, transcripts: str, query: str, strategy: str = "hybrid", nprobe: int | None = None) -> DataFrame:
+    """Ranked results of a query, its vector made by the built-in embedding with the query's instruction.
+
+    Where the index has an inverted file it is searched: in the nprobe nearest
+    cells, or, by default, in as many as exact results take.
+    """
+    vector = list(spark.range(1).select(index.embed_query(F.lit(query))).first()[0])
+    cells = inverted.InvertedFile(spark, f"{path}/cells")
+    near = None
+    if cells.table.version():
+        near = lambda n, category: cells.search(vector, n, nprobe or 8, category, exact=nprobe is None)
+    if _exists(spark, f"{path}/texts/grams"):
+        files = literal.LiteralIndex(spark, f"{path}/texts").search(query)
+    else:
+        files = spark.read.parquet(transcripts).select("source", F.lit(search.TRANSCRIPT).alias("category"), F.col("text").alias("document"))
+    return search.search(versions.VersionedTable(spark, path).read(), files, query, vector, strategy, near=near)

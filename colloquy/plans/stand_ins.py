@@ -5,24 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import spread
+
 QUERY = "the"
 KEYWORDS = ["the", "on", "la", "de"]
 TERMS = {"the": "THE", "then": "next", "la": "LA", "and": "&"}
-PEOPLE = [("council", "ann_and", ["Ann"]), ("council", "heed", ["the heed"]), ("board", "le_on", ["Leon", "le on"])]
-TITLES = [("council", ["Alderman", "City Clerk"]), ("board", ["Chair"])]
 VARIANTS = [("ann_and", "and"), ("ann_and", "ann and"), ("heed", "heed"), ("heed", "the heed"), ("leon", "la"), ("leon", "de la")]
 PRICED = [("openai", "gpt-4.1-mini"), ("anthropic", "Claude-Haiku"), ("ollama", "mistral"), ("openai", "unheard-of")]
+#: A bundle in the layout of its files.
+BUNDLE = """
+[prompt_router]
+city_council = { first = "council_notes", multi = "condense", final = "minutes" }
+finance_committee = { first = "money_notes", multi = "figures", final = "budget_minutes" }
+committee_of_the_whole = { first = "overview", multi = "condense", final = "committee_minutes" }
+zoning_committee = { first = "zoning_notes", multi = "condense", final = "committee_minutes" }
+general = { first = "overview", multi = "condense", final = "minutes" }
+
+[classifier_types]
+allowed = ["city_council", "finance_committee", "committee_of_the_whole", "zoning_committee", "general"]
+
+[classifier_prompt]
+text = "What kind of meeting is this? Context: {context} Text: {text}"
+
+[density_keywords]
+keywords = ["the", "on", "la", "de"]
+""" + "".join(f'\n[prompts.{name}]\ntext = "{name}: {{text}}"\n' for name in "overview council_notes money_notes zoning_notes condense figures minutes budget_minutes committee_minutes".split())
 ROUTES = {
     "general": {"first": "overview", "multi": "condense", "final": "minutes"},
     "finance": {"first": "overview", "multi": "figures", "final": "minutes"},
 }
-TARGETS = [
-    ("openai", "https://api.example.com/v1"), ("openai", "http://api.example.com"), ("ollama", "http://localhost:11434"), ("ollama", "https://127.0.0.1:8080/x"),
-    ("ollama", "https://[::1]/"), ("ollama", "ftp://localhost"), ("ollama", ""), ("", "https://localhost"), ("codex_cli", "codex"), ("codex_cli", "rm -rf"), ("llamacpp", "https://user@127.0.0.1.evil.com"),
-]
-
 TEMPLATE = "{{as is}} {context}: {text} {{end}}"
-MODELS = ["m", " ", "", "a\tb", "llama3:8b"]
 
 #: A meeting file's name for each document; the same in Spark and DuckDB.
 FILE_NAME = """concat(substring(md5(CAST(doc_id AS STRING)), 1, 11), '.',
@@ -39,6 +51,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text", "source")
 
 
+def dealt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents, dealt out to all cores where the table is small."""
+    return spread(documents(spark, sf_dir), f"{sf_dir}/documents.parquet")
+
+
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the embedding of its number, counted round the embeddings; every tenth is a summary."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -62,6 +79,19 @@ def query_vector(spark: SparkSession, sf_dir: str) -> list[float]:
     return table(spark, sf_dir, "embeddings").filter("vec_id = 0").select("embedding").first()[0]
 
 
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(role, person_key, aliases): one person for each of 40 conversations' numbers and roles."""
+    turns = table(spark, sf_dir, "conversations").select("role", (F.col("conv_id") % 40).alias("n")).distinct()
+    key = F.when(F.col("n") % 4 == 0, F.concat("role", F.col("n").cast("string"))).otherwise(F.concat_ws("_", "role", F.concat(F.lit("of"), F.col("n").cast("string"))))
+    return turns.select("role", key.alias("person_key"), F.array(F.concat(F.lit(" No. "), F.col("n").cast("string")), F.lit(" ")).alias("aliases"))
+
+
+def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(role, titles) of all roles but one."""
+    roles = table(spark, sf_dir, "conversations").select("role").distinct().filter("role <> 'system'")
+    return roles.select("role", F.array(F.upper("role"), F.concat(F.lit("Chief "), "role")).alias("titles"))
+
+
 def cues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc, cues) of conversations: a line is a cue of 20 s; every other one loses its last full stop."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.posexplode(F.split("text", "\n")).alias("line", "said"))

@@ -58,11 +58,13 @@ def segments(spark: SparkSession, path: str, with_embedding: bool = False) -> Da
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """(value, line) of text files, numbered in reading order; none where the path is missing."""
+    """(value, line) of text files; line orders them by file and place. None where the path is missing."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
-        return spark.createDataFrame([], "value string, line long")
-    return spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+        return spark.createDataFrame([], "value string, line struct<file:string,start:long,row:long>")
+    # Rows of one stretch of a file are numbered as they are read.
+    place = F.struct(_path().alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    return spark.read.text(path).select("value", place.alias("line"))
 
 
 def listings(spark: SparkSession, path: str) -> DataFrame:

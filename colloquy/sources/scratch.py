@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -19,3 +19,27 @@ def folder(spark: SparkSession, name: str) -> str:
     path = spark._jvm.org.apache.hadoop.fs.Path(made)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return made
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written to a folder and read again: what comes after does not work them out twice, and a lost executor costs a reread."""
+    at = folder(rows.sparkSession, name)
+    rows.write.parquet(at)
+    return rows.sparkSession.read.schema(rows.schema).parquet(at)
+
+
+#: Bytes of input for each core below which rows are dealt out anew.
+SPREAD = 16 << 20
+
+
+def spread(rows: DataFrame, path: str) -> DataFrame:
+    """Rows of a table at path, dealt out to all cores where it is so small that a few row groups hold it.
+
+    A file of one row group is one task's work however many cores there are. A
+    table of SPREAD bytes a core or more has row groups enough and stays as it is.
+    """
+    spark = rows.sparkSession
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    size = location.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(location).getLength()
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if size < SPREAD * cores else rows

@@ -54,13 +54,70 @@ def test_index_aligns_upserts_and_finds_money(spark):
 def test_summaries(spark):
     docs = spark.createDataFrame([(1, "One. Two. Three."), (2, "Budget item. " * 900), (3, "")], "doc_id long, text string")
     rows = {r.doc_id: r for r in summarize.summarize(docs, max_tokens=200).collect()}
-    assert rows[1].summary == "One. Two." and rows[1].passes == 2 and rows[2].meeting_type == "finance"
+    assert rows[1].summary == "One. Two." and rows[1].passes == 2 and rows[2].meeting_type == "finance_committee"
     assert all(r.total_tokens == r.input_tokens + r.output_tokens for r in rows.values())
     assert summarize.summarize(docs, max_tokens=200, max_pass=1).filter("passes <> 1").count() == 0
     with pytest.raises(ValueError):
         summarize.summarize(docs, max_pass=0)
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    docs = spark.createDataFrame([(1, "Left here. And there."), (1, "Right now. And then."), (None, "No id. At all."), (2, None)], "doc_id long, text string")
+    rows = sorted(((r.doc_id, r.summary) for r in summarize.summarize(docs, max_tokens=100).collect()), key=str)
+    assert rows == sorted([(1, "Left here. And there."), (1, "Right now. And then."), (None, "No id. At all."), (2, "")], key=str)
+
+
+def test_clean_names_are_all_different(spark):
+    def cleaned(*names):
+        rows = increment.clean_names(spark.createDataFrame([(n,) for n in names], "name string")).collect()
+        assert len({r.clean_name for r in rows}) == len(rows)
+        return {r.name: r.clean_name for r in rows}
+
+    assert cleaned("A.txt", "a.txt", "a_1.txt") == {"a.txt": "a.txt", "a_1.txt": "a_1.txt", "A.txt": "a_2.txt"}
+    assert cleaned("B.mp3", "b!.mp3", "b?.mp3", "b_.mp3") == {"B.mp3": "b.mp3", "b_.mp3": "b_.mp3", "b!.mp3": "b__1.mp3", "b?.mp3": "b__2.mp3"}
+    assert cleaned("X", "x", "X_1", "x_01") == {"x": "x", "X_1": "x_1", "X": "x_2", "x_01": "x_01"}
+    folders = spark.createDataFrame([("f", "A"), ("f", "a"), ("g", "A")], "folder string, name string")
+    assert {(r.folder, r.name): r.clean_name for r in increment.clean_names(folders, per=["folder"]).collect()} == {("f", "A"): "a_1", ("f", "a"): "a", ("g", "A"): "a"}
+
+
+def test_stamps_handles_and_lines(spark, tmp_path):
+    from colloquy.functions import text
+    from colloquy.operators import segment
+
+    stamps = spark.createDataFrame([(4.35,), (0.0,), (3661.5,), (59.999,), (360000.25,)], "s double").select(segment.vtt_stamp(F.col("s"))).collect()
+    assert [r[0] for r in stamps] == ["00:00:04.349", "00:00:00.000", "01:01:01.500", "00:00:59.999", "100:00:00.250"]
+    names = ["abc", " abc_1\n", "abc\nd", "a b", "", "Abc", "é"]
+    assert [r[0] for r in spark.createDataFrame([(n,) for n in names], "n string").select(text.is_handle(F.col("n"))).collect()] == [True, True, False, False, False, False, False]
+    (tmp_path / "ids").mkdir()
+    for name, ids in (("b", "ABCDEFGHIJk\nlast_line_1\n"), ("a", "ABCDEFGHIJK\n"), ("c", "abcdefghijk\n")):
+        (tmp_path / "ids" / name).write_text(ids)
+    got = {r.lower_id: r.real_id for r in increment.id_map(readers.lines(spark, str(tmp_path / "ids"))).collect()}
+    assert got == {"abcdefghijk": "abcdefghijk", "last_line_1": "last_line_1"}
+    rows = spark.createDataFrame([("1", "a", 1), ("1", "c", 2), ("1", "b", 3)], "id string, v string, at int")
+    assert {index.upsert(rows.limit(0), rows.repartition(n), order=["at"]).first().v for n in (1, 2, 3)} == {"b"}
+
+
+def test_alignment_in_cells(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    sizes = {"a": (70, 110), "b": (1, 3), "c": (4, 0), "d": (0, 2)}
+    chunks, segments, want = [], [], {}
+    for key, (n, m) in sizes.items():
+        left, right = np.round(rng.standard_normal((n, 3)), 1), np.round(rng.standard_normal((m, 3)), 1)
+        left[:1], right[1:2] = 0, right[:1]  # a vector without direction, and a tie
+        chunks += [(key, i, left[i].tolist()) for i in range(n)]
+        segments += [(key, j, j * 10.0, right[j].tolist()) for j in range(m)]
+        unit = lambda x: x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-10)
+        if m:
+            want |= {(key, i): 10.0 * int(j) for i, j in enumerate(np.round(unit(left) @ unit(right).T, 9).argmax(axis=1))}
+    c = spark.createDataFrame(chunks, "source string, chunk_index int, embedding array<double>")
+    s = spark.createDataFrame(segments, "source string, segment_index int, start_time double, embedding array<double>")
+    for cell in (2048, 16):
+        aligned = index.align(c, s, "source", cell=cell)
+        assert {(r.source, r.chunk_index): r.ts for r in aligned.collect()} == want and aligned.schema["chunk_index"].dataType.simpleString() == "int"
+
+
 def test_responses(spark):
     bodies = {
         "ollama": '{"response":"a"}\n\n{"response":"b"}\n{"done":true}',
@@ -157,7 +214,7 @@ def test_config(tmp_path):
     assert config.token_budget(None, 750, 8192) == 1000 and config.model_entry({"A": {"x": 1}}, "a") == {"x": 1} and config.first_given(None, 0, 1) == 0
     assert config.prompt_bundle([str(tmp_path)], "civic").routes
     (tmp_path / "civic").mkdir()
-    (tmp_path / "civic" / "prompts.toml").write_text('[prompts]\na = "x {text}"\n[router.general]\nfirst = "a"\nmulti = "a"\nfinal = "zz"\n')
+    (tmp_path / "civic" / "prompts.toml").write_text('[prompts.a]\ntext = "x {text}"\n[prompt_router.general]\nfirst = "a"\nmulti = "a"\nfinal = "zz"\n')
     with pytest.raises(config.ConfigError, match="zz"):
         config.prompt_bundle([str(tmp_path)], "civic")
 

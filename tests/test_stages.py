@@ -1,7 +1,7 @@
 import pytest
 from colloquy import cli
 from colloquy.functions import register
-from colloquy.operators import summarize
+from colloquy.operators import index, ledger, summarize
 from colloquy.plans import config, stages
 from colloquy.sources import readers, writers
 from pyspark.sql import functions as F
@@ -30,22 +30,35 @@ def test_from_captions_to_search(spark, tmp_path):
     assert stages.summarize_texts(spark, at("norm"), at("sum"), dry_run=True).columns == ["source"] and not (tmp_path / "sum").exists()
     loud = stages.summarize_texts(spark, at("norm"), at("sum3"), providers={"ollama": lambda prompt, text: F.upper(text)}, max_tokens=100).first()
     assert loud.summary.startswith("THE COUNCIL MET TODAY")
-    assert stages.summarize_texts(spark, at("norm"), at("sum"), max_tokens=100).first().meeting_type == "finance"
+    assert stages.summarize_texts(spark, at("norm"), at("sum"), max_tokens=100).first().meeting_type == "finance_committee"
     first = {r.id: r for r in stages.build_index(spark, at("norm"), at("sum"), at("idx")).collect()}
     assert {r.category for r in first.values()} == {"raw_transcript", "summary"}
     # A second run replaces rows by id and keeps the others.
     spark.createDataFrame([("other.txt", "Something else. And more.")], "source string, text string").write.parquet(at("norm2"))
     again = {r.id: r for r in stages.build_index(spark, at("norm2"), None, at("idx")).collect()}
-    assert set(first) < set(again) and all(again[k] == first[k] for k in first) and not (tmp_path / "idx.old").exists()
+    assert set(first) < set(again) and all(again[k] == first[k] for k in first)
     found = stages.search_index(spark, at("idx"), at("norm"), "budget").collect()
     assert found and "**Budget**" in found[0].snippet
+    # An inverted file and a trigram index beside it change no result, and follow it.
+    stages.build_index(spark, at("norm2"), None, at("idx"), cells=2)
+    stages.index_texts(spark, at("norm"), at("idx"))
+    assert stages.search_index(spark, at("idx"), at("norm"), "budget").collect() == found
+    spark.createDataFrame([("other.txt", "A zebra came. And more.")], "source string, text string").write.parquet(at("norm4"))
+    stages.build_index(spark, at("norm4"), None, at("idx"))
+    shown = stages.search_index(spark, at("idx"), at("norm"), "zebra").collect()
+    assert shown == stages.search_index(spark, at("idx"), at("norm"), "zebra", nprobe=2).collect() and "zebra" in shown[0].snippet
+    register.register(spark)
+    register.register_index(spark, "near", at("idx"))
+    v = spark.range(1).select(index.embed_query(F.lit("zebra")).cast("array<double>").alias("v"))
+    v.createOrReplaceTempView("asked")
+    assert spark.sql("SELECT f.id FROM asked, LATERAL near(v) AS f ORDER BY f.similarity DESC, f.id").first().id == shown[0].id
 
 
 def test_summaries_with_bundles_prices_and_files(spark, tmp_path):
     at = lambda n: str(tmp_path / n)
     spark.createDataFrame([("a.txt", "The budget was read. It was long. " * 60)], "source string, text string").write.parquet(at("norm"))
     (tmp_path / "p" / "civic").mkdir(parents=True)
-    (tmp_path / "p" / "civic" / "prompts.toml").write_text('density_keywords = ["budget"]\n[prompts]\none = "{text}"\n[router.general]\nfirst = "one"\nmulti = "one"\nfinal = "one"\n')
+    (tmp_path / "p" / "civic" / "prompts.toml").write_text('[density_keywords]\nkeywords = ["budget"]\n[prompts.one]\ntext = "{text}"\n[prompt_router]\ngeneral = { first = "one", multi = "one", final = "one" }\n')
     bundle = config.prompt_bundle([at("none"), at("p")], "civic")
     row = stages.summarize_texts(spark, at("norm"), at("sum"), bundle=bundle, reference=("anthropic", "claude-haiku"), files=at("files"), style="density", max_tokens=100).first()
     assert row.pricing.reference_model == "claude-haiku" and abs(row.pricing.estimated_cost - (row.input_tokens + 5 * row.output_tokens) / 1e6) < 1e-12
@@ -59,6 +72,116 @@ def test_summaries_with_bundles_prices_and_files(spark, tmp_path):
     assert spark.read.json(at("chunks")).count() > 1
 
 
+CIVIC = """
+[prompt_router]
+city_council = { first = "notes", multi = "shorter", final = "minutes" }
+finance_committee = { first = "money", multi = "shorter", final = "minutes" }
+general = { first = "notes", multi = "shorter", final = "minutes" }
+[classifier_types]
+allowed = ["city_council", "finance_committee", "general"]
+[classifier_prompt]
+text = '''
+Which kind is it? {context}
+{text}
+'''
+[density_keywords]
+keywords = [
+    # votes
+    "motion", "vote",
+]
+[prompts.notes]
+text = "NOTES {text}"
+[prompts.money]
+text = "MONEY {text}"
+[prompts.shorter]
+text = "SHORTER {text}"
+[prompts.minutes]
+text = "MINUTES {text}"
+"""
+
+
+def test_bundles_in_their_files_layout(spark, tmp_path, capsys):
+    at = lambda n: str(tmp_path / n)
+    (tmp_path / "p" / "civic").mkdir(parents=True)
+    (tmp_path / "p" / "civic" / "prompts.toml").write_text(CIVIC)
+    bundle = config.prompt_bundle([at("p")], "civic")
+    assert bundle.labels == ["city_council", "finance_committee", "general"] and bundle.keywords == ["motion", "vote"] and bundle.classifier.strip().startswith("Which kind")
+    assert bundle.routes["finance_committee"]["first"] == "money" and set(bundle.prompts) == {"notes", "money", "shorter", "minutes"}
+    texts = [("a.txt", "The budget hearing. Aye."), ("b.txt", "Zoning came up."), ("c.txt", "The council met. Aye.")]
+    spark.createDataFrame(texts, "source string, text string").write.parquet(at("norm"))
+    ruled = {r.source: r for r in stages.summarize_texts(spark, at("norm"), at("sum"), bundle=bundle).collect()}
+    assert {k: r.meeting_type for k, r in ruled.items()} == {"a.txt": "finance_committee", "b.txt": "general", "c.txt": "city_council"}
+    # A model is asked by the bundle's prompt, and may answer with its labels only; prompts can be put in the place of routes'.
+    said = lambda prompt, text: F.when(prompt.startswith("Which kind"), F.lit("I say CITY_COUNCIL or zoning_committee")).otherwise(prompt)
+    asked = {r.source: r for r in stages.summarize_texts(spark, at("norm"), at("sum2"), bundle=bundle, providers={"ollama": said}, final="money").collect()}
+    assert {r.meeting_type for r in asked.values()} == {"city_council"} and asked["b.txt"].summary.startswith("MONEY SHORTER NOTES Zoning")
+    with pytest.raises(ValueError):
+        stages.summarize_texts(spark, at("norm"), at("sum3"), bundle=bundle, multi="unheard-of")
+    assert cli.main(["intel", "run", "x", "y", "--print-prompts", "--prompts", at("p")]) == 0 and "SHORTER {text}" in capsys.readouterr().out
+    assert cli.main(["intel", "run", at("norm"), at("sum4"), "--prompts", at("p"), "--final-prompt", "money"]) == 0
+    for wrong in (CIVIC.replace("[prompts.notes]\ntext", "[prompts.notes]\nsaid"), CIVIC.replace('final = "minutes" }\ngeneral', 'final = "none" }\ngeneral'), CIVIC.replace("general = {", "other = {"), CIVIC.replace('"motion", "vote",', "1,"), "prompt_router = 3"):
+        (tmp_path / "p" / "civic" / "prompts.toml").write_text(wrong)
+        with pytest.raises(config.ConfigError):
+            config.prompt_bundle([at("p")], "civic")
+
+
+def counting(folder, fail=None):
+    """A model that leaves a file for each call, and breaks down at one prompt as long as a file says so."""
+
+    def call(prompt):
+        import os
+        import uuid
+
+        if fail and fail in prompt and os.path.exists(f"{folder}/broken"):
+            raise OSError("gone")
+        with open(f"{folder}/call-{uuid.uuid4().hex}", "w") as f:
+            f.write(prompt)
+        return prompt.upper()
+
+    return call
+
+
+def calls(folder):
+    return sorted(p.read_text() for p in folder.glob("call-*"))
+
+
+def test_no_call_is_paid_for_twice(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "TASK", 2)
+    folder = tmp_path / "calls"
+    folder.mkdir()
+    prompts = [f"prompt {i:02d}" for i in range(20)] + ["prompt 03", None, ""]
+    rows = spark.createDataFrame([(i, p, "t") for i, p in enumerate(prompts)], "n long, prompt string, chunk string")
+    book = ledger.Ledger(spark, str(tmp_path / "ledger"), "ollama", "m")
+    model = ledger.limited(counting(str(folder), "prompt 07"), retries=1, wait=0.01)
+    (folder / "broken").touch()
+    with pytest.raises(Exception, match="no answer after 2 calls"):
+        book.ask(rows, model).collect()
+    before = calls(folder)
+    # What other tasks were answered is kept, though the job failed.
+    kept = book.answers().count()
+    assert 0 < kept < 21 and "prompt 07" not in before
+    (folder / "broken").unlink()
+    got = {r.n: r.said for r in book.ask(rows, model).collect()}
+    assert got == {i: None if p is None else p.upper() for i, p in enumerate(prompts)}
+    after = calls(folder)
+    assert set(after) == {p for p in prompts if p is not None} and len(after) - len(set(after)) <= len(before) - kept
+    assert {r.n: r.said for r in book.ask(rows, model).collect()} == got and calls(folder) == after
+    other = ledger.Ledger(spark, str(tmp_path / "ledger"), "ollama", "m2")
+    other.ask(rows.limit(1), model).collect()
+    assert len(calls(folder)) == len(after) + 1
+
+
+def test_summaries_with_a_ledger(spark, tmp_path):
+    folder = tmp_path / "calls"
+    folder.mkdir()
+    docs = spark.createDataFrame([(1, "One. Two."), (1, "Other. Words."), (None, "Third. Text."), (None, None)], "doc_id long, text string")
+    book = ledger.Ledger(spark, str(tmp_path / "ledger"), "own", "m")
+    model = ledger.limited(counting(str(folder)))
+    first = sorted(map(str, summarize.summarize(docs, model, ledger=book).collect()))
+    n = len(calls(folder))
+    assert n == len(set(calls(folder))) and sorted(map(str, summarize.summarize(docs, model, ledger=book).collect())) == first and len(calls(folder)) == n
+
+
 def test_uploads_and_trackers(spark, tmp_path):
     at = lambda n: str(tmp_path / n)
     writers.write_listing(spark.createDataFrame([(100, "c", ["v1", "v2", "v3", "v4"]), (-10**6, "old", ["v9"])], readers.LISTING), at("cache"))
@@ -108,4 +231,6 @@ def test_command_line(spark, tmp_path, capsys):
 def test_sql_functions(spark):
     assert "cosine" in register.register(spark)
     row = spark.sql("SELECT token_estimate('a  b c d e f g'), sentences_of('One. Two?  Three'), words_of(' a b '), round(cosine(array(1D, 0D), array(1D, 1D)), 4), placeholder_id('x')").first()
+    rows = spark.sql("SELECT d.n, f.i, f.sentence FROM VALUES (1, 'One. Two? Three.'), (2, ''), (3, NULL) AS d(n, t), LATERAL strict_sentences(d.t) AS f").collect()
+    assert [tuple(r) for r in rows] == [(1, 0, "One."), (1, 1, "Two?"), (1, 2, "Three.")]
     assert row[0] == 3 and row[1] == ["One.", "Two?", "Three"] and row[2] == ["a", "b"] and row[3] == 0.7071 and len(row[4]) == 11
