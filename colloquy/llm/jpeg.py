@@ -25,8 +25,12 @@ import numpy as np
 ZIGZAG = np.array(sorted(range(64), key=lambda p: (p // 8 + p % 8, (p // 8 if (p // 8 + p % 8) % 2 else p % 8))), np.int64)
 _k = np.arange(8)
 _DCT = np.sqrt(np.where(_k == 0, 1, 2) / 8)[:, None] * np.cos((2 * _k[None, :] + 1) * _k[:, None] * np.pi / 16)
-#: Natural-order coefficients times this matrix are the block's samples.
-INVERSE = np.kron(_DCT, _DCT).astype(np.float32)
+#: Natural-order coefficients times this matrix are the block's samples times SCALE. Its entries are whole numbers, and
+#: with coefficients up to LARGEST no sum reaches 2 ** 53: products are exact, in whatever order a machine adds them.
+SCALE, LARGEST = 1 << 22, 1 << 20
+INVERSE = np.rint(np.kron(_DCT, _DCT) * SCALE)
+#: Red by Cr, green by Cb and Cr, and blue by Cb, in 65536ths.
+CHROMA = (91881, 22553, 46802, 116130)
 _ONES = (1 << np.arange(15, -1, -1)).astype(np.int64)
 #: Bands of each component that encode() sends in scans of their own.
 BANDS = (((1, 5), (6, 63)), ((1, 63),), ((1, 63),))
@@ -306,20 +310,20 @@ def _strip(jpeg: Jpeg, top: int, rows: int, hmax: int, vmax: int) -> np.ndarray:
     planes, height = [], min(jpeg.height - 8 * vmax * top, 8 * vmax * rows)
     for whole, (h, v), t in zip(jpeg.coefficients, jpeg.sampling, jpeg.tables):
         c = whole[top * v : (top + rows) * v]
-        natural = np.empty(c.shape, np.float32)
-        natural[..., ZIGZAG] = c * jpeg.quant[t]
+        natural = np.empty(c.shape, np.float64)
+        natural[..., ZIGZAG] = np.clip(c * jpeg.quant[t].astype(np.int64), -LARGEST, LARGEST)
         down, across = c.shape[:2]
-        samples = (natural.reshape(-1, 64) @ INVERSE).reshape(down, across, 8, 8).swapaxes(1, 2).reshape(down * 8, across * 8)
-        samples = np.clip(np.rint(samples) + 128, 0, 255)
+        samples = np.floor((natural.reshape(-1, 64) @ INVERSE + SCALE // 2) / SCALE)
+        samples = np.clip(samples + 128, 0, 255).astype(np.uint8).reshape(down, across, 8, 8).swapaxes(1, 2).reshape(down * 8, across * 8)
         planes.append(samples.repeat(vmax // v, 0).repeat(hmax // h, 1)[:height, : jpeg.width])
     if len(planes) == 1:
-        return np.stack([planes[0]] * 3, -1).astype(np.uint8)
-    y, cb, cr = planes[0], planes[1] - 128, planes[2] - 128
-    out = np.empty(y.shape + (3,), np.float32)
-    out[..., 0] = y + 1.402 * cr
-    out[..., 1] = y - 0.344136 * cb - 0.714136 * cr
-    out[..., 2] = y + 1.772 * cb
-    return np.clip(np.rint(out), 0, 255).astype(np.uint8)
+        return np.stack([planes[0]] * 3, -1)
+    y, cb, cr = (p.astype(np.int32) for p in planes)
+    y, cb, cr = (y << 16) + (1 << 15), cb - 128, cr - 128
+    out = np.empty(y.shape + (3,), np.uint8)
+    for k, sum_ in enumerate((y + CHROMA[0] * cr, y - CHROMA[1] * cb - CHROMA[2] * cr, y + CHROMA[3] * cb)):
+        out[..., k] = np.clip(sum_ >> 16, 0, 255)
+    return out
 
 
 def _segment(marker: int, body: bytes) -> bytes:

@@ -151,6 +151,58 @@ def test_inverse_and_chroma():
     assert np.abs(jpeg.rgb(f).astype(int) - np.clip(np.rint(want), 0, 255)).max() <= 1
 
 
+def plain_feature(data):
+    """Size, means and deviations of the image that holds a payload, block by block in whole numbers."""
+    blocks = np.frombuffer(data, np.uint8).reshape(-1, 64).astype(np.int64)
+    across, down = jpeg.grid(len(blocks))
+    mcus = across * down
+    held = np.zeros((6 * mcus, 64), np.int64)
+    held[: len(blocks)] = blocks
+    held[:, 1:] -= np.where(held[:, 1:] < 128, 255, 0)
+    at = np.arange(8)
+    wave = np.cos((2 * at[None, :] + 1) * at[:, None] * np.pi / 16) * np.where(at == 0, np.sqrt(1 / 8), 0.5)[:, None]
+    basis = np.rint(np.einsum("vy,ux->vuyx", wave, wave) * 2**22).astype(np.int64)
+    natural = np.zeros((6 * mcus, 8, 8), np.int64)
+    for k in range(64):
+        natural[:, jpeg.ZIGZAG[k] // 8, jpeg.ZIGZAG[k] % 8] = held[:, k]
+    samples = np.zeros((6 * mcus, 8, 8), np.int64)
+    for v in range(8):
+        for u in range(8):
+            samples += natural[:, v, u, None, None] * basis[v, u]
+    samples = np.clip((samples + 2**21 >> 22) + 128, 0, 255)
+    lay = lambda p, h, w: p.reshape(h, w, 8, 8).transpose(0, 2, 1, 3).reshape(8 * h, 8 * w)
+    y = lay(samples[: 4 * mcus], 2 * down, 2 * across)
+    cb, cr = (np.kron(lay(p, down, across), np.ones((2, 2), np.int64)) - 128 for p in (samples[4 * mcus : 5 * mcus], samples[5 * mcus :]))
+    red, green, blue = (np.clip((y * 65536 + 32768 + more) // 65536, 0, 255) for more in (91881 * cr, -22553 * cb - 46802 * cr, 116130 * cb))
+    flat = np.stack([red, green, blue], -1).reshape(-1, 3).astype(float)
+    mean, mean_of_squares = flat.sum(0) / len(flat), (flat * flat).sum(0) / len(flat)
+    std = np.sqrt(np.maximum(mean_of_squares - mean * mean, 0))
+    return f"{16 * down}x{16 * across} mean " + " ".join(f"{x:.2f}" for x in mean) + " std " + " ".join(f"{x:.2f}" for x in std)
+
+
+def test_whole_table(spark, sf):
+    """All columns of the query, files and features, against texts and a decoder that adds whole numbers."""
+    from colloquy.llm import queries
+
+    texts = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
+    got = sorted(queries.op4_media(spark, sf).collect(), key=lambda r: r.doc_id)
+    assert [r.doc_id for r in got] == [i for i, _ in texts]
+    for r, (_, text) in zip(got, texts):
+        data, n = media.payload(text)
+        held = jpeg.encode(data)
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (n, len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-64:]))
+        assert (r.media_bytes, r.media_sha256) == (len(held), hashlib.sha256(held).hexdigest())
+        assert r.feature == plain_feature(data)
+
+
+def test_sums_do_not_depend_on_their_order():
+    rng = np.random.default_rng(7)
+    c = rng.integers(-jpeg.LARGEST, jpeg.LARGEST, (50, 64)).astype(np.float64)
+    whole = c @ jpeg.INVERSE
+    by = rng.permutation(64)
+    assert np.array_equal(c[:, by] @ jpeg.INVERSE[by], whole) and np.array_equal(whole, (c.astype(np.int64) @ jpeg.INVERSE.astype(np.int64)).astype(float))
+
+
 def test_query_and_edges(spark):
     rows = [(1, None, "x", "y"), (2, "", "x", "y"), (3, "a" * 64, "x", "y"), (3, "a" * 64, "x", "y"), (None, "é" * 4000, None, "y")]
     df = spark.createDataFrame(rows, SCHEMA)
