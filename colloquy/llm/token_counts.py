@@ -9,8 +9,9 @@ number of words that share it; a word's terminal keeps its token count, and a
 document's count is the sum over its words. Characters outside the vocabulary
 cost one byte token for each UTF-8 byte.
 
-Each worker keeps counts of words that it has met, up to MEMO of them, and then
-starts afresh: memory is bounded and results are the same.
+Each worker keeps counts of words that it has met, up to MEMO of them or
+MEMO_CHARS characters, and then starts afresh: memory is bounded by that and by
+the texts that are counted together, and results are the same.
 
 Edge cases: null, empty and white-space texts count 0; repeated rows count each;
 an empty table gives an empty result; other columns are ignored.
@@ -27,8 +28,8 @@ from .columns import map_batches
 
 MARK = "▁"
 OFFSET = 10
-#: Words that a worker remembers.
-MEMO = 400_000
+#: Words that a worker remembers, and their characters.
+MEMO, MEMO_CHARS = 400_000, 16_000_000
 _models: dict[str, "Unigram"] = {}
 
 
@@ -50,6 +51,7 @@ class Unigram:
                 node = node.setdefault(c, {})
             node[""] = -math.log(i + OFFSET)
         self.memo: dict[str, int] = {}
+        self.chars = 0
 
     def learn(self, words: list[str]) -> None:
         """Add words, in order, to the trie's walk and store the counts at their terminals.
@@ -89,9 +91,11 @@ class Unigram:
     def count(self, texts: list[list[str]]) -> list[int]:
         """Tokens of each list of words."""
         new = {w for words in texts for w in words if w not in self.memo}
-        if len(new) + len(self.memo) > MEMO:
+        if len(new) + len(self.memo) > MEMO or self.chars > MEMO_CHARS:
             self.memo.clear()
+            self.chars = 0
             new = {w for words in texts for w in words}
+        self.chars += sum(map(len, new))
         self.learn(sorted(new))
         get = self.memo.__getitem__
         return [sum(map(get, words)) for words in texts]
