@@ -81,6 +81,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--files", help="a folder for the summaries as files")
     i.add_argument("--output-format", choices=("markdown", "yaml"), default="markdown")
     i.add_argument("--chunks", help="a folder for the first pass's chunks, for inspection")
+    i.add_argument("--chunk-format", choices=("json", "text"), default="json")
 
     x = groups.add_parser("index")
     x.add_argument("transcripts")
@@ -155,7 +156,7 @@ def _summarize(spark, args):
     budget = config.token_budget(config.first_given(args.max_tokens, entry.get("max_tokens"), 3000), args.max_words, config.first_given(entry.get("num_ctx"), args.num_ctx))
     bundle = _bundle(args, settings)
     if args.chunks and not args.dry_run:
-        stages.chunk_files(spark, args.transcripts, args.chunks, args.chunk_style, budget, keywords=bundle.keywords)
+        stages.chunk_files(spark, args.transcripts, args.chunks, args.chunk_style, budget, keywords=bundle.keywords, form=args.chunk_format)
     return stages.summarize_texts(
         spark, args.transcripts, args.output, args.force, bundle, chosen("llm_provider", args.provider, "ollama"), model, chosen("llm_provider_url", args.target, "https://localhost"),
         (args.pricing_provider, args.pricing_model), files=args.files, form=args.output_format, dry_run=args.dry_run, style=args.chunk_style, max_tokens=budget, max_pass=args.max_pass,

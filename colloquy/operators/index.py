@@ -14,6 +14,7 @@ from ..functions.text import strip, word_count
 from ..functions.vectors import CLAMP, hashed_embedding
 from ..sources.versions import one_of_each
 from .chunk import index_chunks
+from .speakers import scan_names
 
 #: A model as a function of a text column.
 Embed = Callable[[Column], Column]
@@ -134,6 +135,13 @@ def align(chunks: DataFrame, segments: DataFrame, key: str, chunk: str = "chunk_
     return found.select(F.col("_k").alias(key), F.col("_i").cast(chunks.schema[chunk].dataType).alias(chunk), "ts")
 
 
+def with_names(chunks: DataFrame, name: str, variants: DataFrame) -> DataFrame:
+    """Adds a column of those of a gazetteer (person, variant) whom a chunk says, distinct, sorted and joined; null where nobody is said."""
+    said = scan_names(chunks.filter(word_count(F.col("chunk")) > 10).select("source", "chunk_index", "chunk"), variants, ["source", "chunk_index"], "chunk")
+    listed = said.groupBy("source", "chunk_index").agg(F.array_join(F.array_sort(F.collect_set("person")), ", ").alias(name))
+    return chunks.join(listed, ["source", "chunk_index"], "left")
+
+
 def index_transcripts(
     files: DataFrame,
     segments: DataFrame | None = None,
@@ -143,13 +151,16 @@ def index_transcripts(
     overlap: int = 25,
     prefix: str = TRANSCRIPT_PREFIX,
     finders: dict[str, Embed] | None = None,
+    names: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Index rows of transcript files (source, text); the prefix is shown but not embedded.
 
     Chunks get the time of the nearest of their document's segments (source,
     segment_index, start_time, embedding); null without segments. finders name
     further columns of entities, such as orgs and persons, and the functions of
-    the chunk that find them, which may be pandas UDFs around a model.
+    the chunk that find them, which may be pandas UDFs around a model. names
+    names columns, such as persons and orgs, and their gazetteers (person,
+    variant): whom a chunk of more than ten words says by one of the variants.
     """
     found = [entities(F.col("chunk"), find).alias(name) for name, find in ({"money": amounts} | (finders or {})).items()]
     rows = _chunks(file_metadata(files, "raw_transcript", id_map), size, overlap).withColumn("embedding", embed(F.col("chunk")))
@@ -157,6 +168,9 @@ def index_transcripts(
         rows = rows.withColumn("ts", F.lit(None).cast("double"))
     else:
         rows = rows.join(align(rows, segments, "source"), ["source", "chunk_index"], "left")
+    for name, variants in (names or {}).items():
+        rows = with_names(rows, name, variants)
+        found.append(F.col(name))
     identity = F.concat_ws("_", F.lit("TRANSCRIPT"), "source", F.col("chunk_index").cast("string"))
     return rows.select(identity.alias("id"), F.concat(F.lit(prefix), F.col("chunk")).alias("document"), "embedding", "source", "category", "type", "date", "video_url", "video_id", "chunk_index", "ts", *found)
 

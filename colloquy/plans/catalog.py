@@ -475,6 +475,22 @@ def index_summaries(spark, sf_dir):
     return rows.withColumn("embedding", _shown(F.col("embedding")))
 
 
+@query
+def index_persons(spark, sf_dir):
+    """Whom each chunk of the index says, by a gazetteer of names."""
+    people = spark.createDataFrame(S.VARIANTS, speakers.VARIANTS)
+    return index.index_transcripts(_meeting_files(spark, sf_dir), names={"persons": people}).select("id", "persons")
+
+
+@query
+def caption_blocks(spark, sf_dir):
+    """caption_round_trip through files, which are read block by block."""
+    at = scratch.folder(spark, "captions")
+    S.cues(spark, sf_dir).select("doc", writers.vtt_text(F.col("cues")).alias("value")).write.partitionBy("doc").text(at)
+    cues = readers.cue_rows(spark, at, suffix="").select("doc", "place", "start", "end", "text")
+    return readers.gathered(cues, "doc").select(F.col("doc").cast("long").alias("doc"), F.posexplode("cues").alias("i", "c")).select("doc", "i", "c.*")
+
+
 @query
 def index_transcripts_timed(spark, sf_dir):
     """Index rows with the times of their documents' nearest segments, which are sentences ten seconds apart."""

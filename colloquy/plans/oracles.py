@@ -340,6 +340,15 @@ mv AS (SELECT cv.doc_id, cv.i, sv.i * 10.0::DOUBLE AS ts, row_number() OVER (PAR
 SELECT 'TRANSCRIPT_' || name || '_' || k.i AS id, ts FROM k JOIN f USING (doc_id) LEFT JOIN (SELECT * FROM mv WHERE n = 1) USING (doc_id, i)"""
 
 
+def _persons() -> str:
+    head, _, last = index_chunks(150, 25).strip().rpartition("\nSELECT")
+    return f"""{head},
+k AS (SELECT{last}), {FILES},
+zw AS (SELECT doc_id, i, len({words('chunk')}) AS n, ' ' || array_to_string(string_split_regex(lower(chunk), '{NON_WORD}'), ' ') || ' ' AS flat, lower(chunk) AS low FROM k),
+zp AS (SELECT DISTINCT zw.doc_id, zw.i, t.person FROM zw, {values(S.VARIANTS, 'person, variant')} WHERE n > 10 AND contains(flat, ' ' || variant || ' ') AND contains(low, variant))
+SELECT 'TRANSCRIPT_' || name || '_' || k.i AS id, persons FROM k JOIN f USING (doc_id) LEFT JOIN (SELECT doc_id, i, string_agg(person, ', ' ORDER BY person) AS persons FROM zp GROUP BY ALL) USING (doc_id, i)"""
+
+
 def _multipass(max_tokens: int = 400) -> str:
     """Two passes, a third where the text is still large, and the final prompt; the built-in generator."""
     size = int(max_tokens * 0.75)
@@ -441,4 +450,6 @@ SELECT doc_id, label, hits, CASE label WHEN 'city_council' THEN 'council_notes'
     "sentence_chunks_sql": ORACLES["sentence_chunks"],
     "sentences_sql": ORACLES["sentences_strict"],
     "caption_round_trip_sql": ORACLES["caption_round_trip"],
+    "caption_blocks": ORACLES["caption_round_trip"],
+    "index_persons": _persons(),
 }

@@ -184,12 +184,12 @@ def summarize_texts(
     return table
 
 
-def chunk_files(spark: SparkSession, transcripts: str, output: str, style: str = "word", max_tokens: int = 3000, number: int = 1, keywords: list[str] = ()) -> None:
-    """What a pass of summarizing would cut transcripts into, for inspection."""
+def chunk_files(spark: SparkSession, transcripts: str, output: str, style: str = "word", max_tokens: int = 3000, number: int = 1, keywords: list[str] = (), form: str = "json") -> None:
+    """What a pass of summarizing would cut transcripts into, for inspection: as rows of JSON, or each chunk as a text."""
     rows = spark.read.parquet(transcripts)
     pieces = chunk.chunk_text(F.col("text"), style, max_tokens, keywords, chunk.pass_threshold(number))
     kind = route.classify_rules(F.col("text")).alias("meeting_type")
-    writers.write_chunks(rows.select(F.col("source").alias("doc"), kind, F.lit(number).alias("pass"), F.posexplode(pieces).alias("part", "chunk")), output)
+    (writers.write_chunk_texts if form == "text" else writers.write_chunks)(rows.select(F.col("source").alias("doc"), kind, F.lit(number).alias("pass"), F.posexplode(pieces).alias("part", "chunk")), output)
 
 
 #: Buckets of an index by source.
@@ -206,6 +206,7 @@ def build_index(
     ids: DataFrame | None = None,
     finders: dict[str, index.Embed] | None = None,
     cells: int | None = None,
+    names: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """The index of transcripts and summaries, a versioned table in buckets of sources.
 
@@ -215,7 +216,7 @@ def build_index(
     beside it with so many coarse centroids, 0 for a number of its own choice;
     one that is there is kept up to date.
     """
-    rows = index.index_transcripts(spark.read.parquet(transcripts), segments, ids, embed=embed, finders=finders)
+    rows = index.index_transcripts(spark.read.parquet(transcripts), segments, ids, embed=embed, finders=finders, names=names)
     if summaries:
         files = spark.read.parquet(summaries).select(meta.summary_name(F.col("source")).alias("source"), F.col("summary").alias("text"))
         rows = rows.unionByName(index.index_summaries(files, ids, embed=embed), allowMissingColumns=True)

@@ -54,6 +54,12 @@ def write_chunks(rows: DataFrame, path: str) -> None:
     named.write.partitionBy("doc", "meeting_type", "pass").mode("overwrite").json(path)
 
 
+def write_chunk_texts(rows: DataFrame, path: str) -> None:
+    """Chunks (doc, meeting_type, pass, part, chunk) as texts: a folder for each, named <doc>_partNN.txt, below its type and pass."""
+    name = F.format_string("%s_part%02d.txt", safe_path_part(F.col("doc")), F.col("part") + 1)
+    rows.select(safe_path_part(F.col("meeting_type")).alias("meeting_type"), "pass", name.alias("file"), F.col("chunk").alias("value")).write.partitionBy("meeting_type", "pass", "file").mode("overwrite").text(path)
+
+
 def append_tracker(keys: DataFrame, path: str, key: str = "key") -> None:
     keys.select(F.col(key).cast("string").alias("value")).distinct().write.mode("append").text(path)
 

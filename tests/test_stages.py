@@ -182,6 +182,52 @@ def test_summaries_with_a_ledger(spark, tmp_path):
     assert n == len(set(calls(folder))) and sorted(map(str, summarize.summarize(docs, model, ledger=book).collect())) == first and len(calls(folder)) == n
 
 
+def test_captions_are_read_in_splits(spark, tmp_path):
+    cues = [(round(2 * i + 0.25, 3), round(2 * i + 1.5, 3), f"Line {i} of it.\nAnd more" if i % 3 else f"Line {i}") for i in range(4000)]
+    stamp = lambda s: f"{int(s // 3600):02}:{int(s // 60) % 60:02}:{s % 60:06.3f}"
+    body = "WEBVTT\n\n" + "\n\n".join(f"{i}\n{stamp(a)} --> {stamp(b)}\n{t}" for i, (a, b, t) in enumerate(cues)) + "\n"
+    (tmp_path / "long.VTT").write_text(body)
+    (tmp_path / "dos.vtt").write_bytes(body.replace("\n", "\r\n").encode())
+    (tmp_path / "gaps.vtt").write_text("WEBVTT\n\n\n\n00:01.000 --> 00:02.000\n\nfirst\n \n00:03.000 --> 00:04.000\nsecond\n\n\n")
+    (tmp_path / "notes.txt").write_text("00:01.000 --> 00:02.000\nno")
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = readers.cue_rows(spark, str(tmp_path))
+        split = rows.filter("source = 'long'").groupBy(F.spark_partition_id()).count().count()
+        got = {r.source: r.cues for r in readers.gathered(rows).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert split > 3
+    whole = {r.source: r.cues for r in readers.captions(spark, str(tmp_path)).collect()}
+    assert set(whole) == {"long", "dos", "gaps"} and got == {k: v for k, v in whole.items() if v} and len(got["long"]) == 4000
+    assert readers.cue_rows(spark, str(tmp_path), since="2100-01-01 00:00:00").count() == 0
+    stream = readers.cue_rows(spark, str(tmp_path), stream=True).drop("place")
+    query = stream.writeStream.format("memory").queryName("cues_of_files").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    assert spark.table("cues_of_files").filter("source = 'long'").count() == 4000
+    for wrong, error in ((str(tmp_path / "none"), FileNotFoundError), (str(tmp_path / "notes.txt"), ValueError)):
+        with pytest.raises(error):
+            readers.cue_rows(spark, wrong)
+        with pytest.raises(error):
+            readers.captions(spark, wrong)
+
+
+def test_chunks_as_texts_and_names_of_chunks(spark, tmp_path):
+    at = lambda n: str(tmp_path / n)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "A.TXT").write_text("The council met. " * 300)
+    assert stages.normalize_texts(spark, at("in"), at("norm")).count() == 1
+    stages.chunk_files(spark, at("norm"), at("chunks"), "word", 200, form="text")
+    files = sorted((tmp_path / "chunks" / "meeting_type=city_council" / "pass=1").glob("file=A.TXT_part*.txt"))
+    assert len(files) > 3 and files[0].name.endswith("_part01.txt") and next(files[0].glob("part*")).read_text().startswith("The council met.")
+    said = spark.createDataFrame([("a.txt", "Then Ann Lee rose and said that Bob and the Water Board had not paid for it. " * 30), ("b.txt", "Ann Lee.")], "source string, text string")
+    people = spark.createDataFrame([("ann_lee", "Ann"), ("ann_lee", "Ann Lee"), ("bob", "bob"), ("cy", "Cy")], "person string, variant string")
+    boards = spark.createDataFrame([("Water Board", "water board")], "person string, variant string")
+    rows = index.index_transcripts(said, names={"persons": people, "orgs": boards}).collect()
+    assert {(r.source, r.persons, r.orgs) for r in rows} == {("a.txt", "ann_lee, bob", "Water Board"), ("b.txt", None, None)}
+
+
 def test_uploads_and_trackers(spark, tmp_path):
     at = lambda n: str(tmp_path / n)
     writers.write_listing(spark.createDataFrame([(100, "c", ["v1", "v2", "v3", "v4"]), (-10**6, "old", ["v9"])], readers.LISTING), at("cache"))
