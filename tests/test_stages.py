@@ -213,6 +213,36 @@ def test_captions_are_read_in_splits(spark, tmp_path):
             readers.captions(spark, wrong)
 
 
+def test_captions_stream_into_the_index(spark, tmp_path):
+    from colloquy.sources import versions
+    from colloquy.streaming import live
+
+    at = lambda n: str(tmp_path / n)
+    (tmp_path / "in").mkdir()
+    run = lambda: live.index_captions(spark, at("in"), at("cues"), at("idx"), at("check")).awaitTermination(120)
+    rows = lambda: {r.id: (r.document, r.ts) for r in versions.VersionedTable(spark, at("idx")).read().collect()}
+    (tmp_path / "in" / "a.vtt").write_text(VTT)
+    (tmp_path / "in" / "b.vtt").write_text("WEBVTT\n\n00:01.000 --> 00:02.000\nAnother one.\n")
+    run()
+    first = rows()
+    assert set(first) == {"TRANSCRIPT_a_0", "TRANSCRIPT_b_0"} and first["TRANSCRIPT_a_0"][0].endswith("The council met today to approve the budget. and more Thank you all.")
+    # The last batch is replayed, as after a crash before its commit.
+    commits = sorted(p for p in (tmp_path / "check" / "commits").iterdir() if p.name.isdigit())
+    for p in (tmp_path / "check" / "commits").glob(f"*{commits[-1].name}*"):
+        p.unlink()
+    before = versions.VersionedTable(spark, at("idx")).version()
+    run()
+    assert versions.VersionedTable(spark, at("idx")).version() > before and rows() == first
+    # A late cue goes to its place, one that comes again replaces the first, and b stays.
+    (tmp_path / "in" / "a.VTT").write_text("WEBVTT\n\n00:04.000 --> 00:09.000\nto refuse the budget. and more\n\n00:12.000 --> 00:13.000\nGood night.\n")
+    run()
+    last = rows()
+    assert last["TRANSCRIPT_b_0"] == first["TRANSCRIPT_b_0"] and len(last) == 2
+    assert last["TRANSCRIPT_a_0"][0].endswith("The council met today to refuse the budget. and more Thank you all. Good night.")
+    run()
+    assert rows() == last
+
+
 def test_chunks_as_texts_and_names_of_chunks(spark, tmp_path):
     at = lambda n: str(tmp_path / n)
     (tmp_path / "in").mkdir()
