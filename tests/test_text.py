@@ -25,14 +25,6 @@ def ws(t):
     return "\n".join(re.sub(r"\s+", " ", line).strip() for line in re.split(r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85  ]", t)).strip()
 
 
-def patterns(t):
-    t = t.translate(str.maketrans("“”’‘—–", "\"\"''--"))
-    t = re.sub(r"([,.;:!?])([^\s\n])", r"\1 \2", re.sub(r"\s+([,.;:!?])", r"\1", t))
-    t = re.sub(r"\s+\)", ")", re.sub(r"\(\s+", "(", t))
-    t = re.sub(r"\b(\w+)(\s+\1\b)+", r"\1", t, flags=re.I)
-    return re.sub(r"\n{3,}", "\n\n", t).strip()
-
-
 def replaced(t, terms):
     for k in sorted(terms, key=len, reverse=True):
         t = re.sub(re.escape(k), lambda _: terms[k], t, flags=re.I)
@@ -57,14 +49,13 @@ def shown(t, q="the", n=350):
     "column, rule",
     [
         (text.normalize_whitespace, ws),
-        (text.normalize_patterns, patterns),
         (lambda c: text.replace_terms(c, {"the": "t$1\\", "then": "x", "(": "["}), lambda t: replaced(t, {"the": "t$1\\", "then": "x", "(": "["})),
         (tokens.estimate, estimate),
         (lambda c: text.snippet(c, "the"), shown),
         (text.word_count, lambda t: len(t.split())),
         (text.read_minutes, lambda t: math.ceil(len(t.split()) / 230)),
     ],
-    ids=["whitespace", "patterns", "replace", "tokens", "snippet", "words", "minutes"],
+    ids=["whitespace", "replace", "tokens", "snippet", "words", "minutes"],
 )
 def test_rules(spark, sf, column, rule):
     both(spark, sf, column, rule)
@@ -108,103 +99,105 @@ def test_long_rows_take_linear_time(spark):
     assert time.time() - began < 60
 
 
-def strict(t):
-    return [s.strip() for s in re.split(r"(?<=[.!?])\s+(?=[A-Z0-9\"'])", t) if s.strip()]
-
-
-def loose(t):
-    return [s.strip() for s in re.split(r"(?<=[.?!])\s+", t) if s.strip()]
-
-
-def merged(lines):
-    out = []
-    for line in lines:
-        if out and line[:1].islower():
-            out[-1] += " " + line
-        else:
-            out.append(line)
-    return out
-
-
-def by_sentence(t, most, keywords=(), threshold=None):
-    if estimate(t) <= most:
-        return [t]
-    hits = lambda s: len(re.findall(r"(?<!\w)(" + "|".join(map(re.escape, keywords)) + r")(?!\w)", s, re.I)) if keywords else 0
-    out, held = [], []
-    for s in loose(t):
-        d = sum(map(hits, held)) + hits(s)
-        limit = most if threshold is None or d == 0 else max(1, int(most * max(threshold / d, 0.1)))
-        used = sum(map(estimate, held))
-        if held and used + estimate(s) > limit:
-            out.append(" ".join(held))
-            tail, seen = [], 0
-            while len(tail) < len(held):
-                tail.insert(0, held[-1 - len(tail)])
-                seen += estimate(tail[0])
-                if seen >= min(int(used * 0.1), 600):
-                    break
-            held = tail
-        held = held + [s]
-    return out + [" ".join(held)] * bool(held)
-
-
-def by_word(t, most):
-    w, size = t.split(), int(most * 0.75)
-    if len(w) <= size:
-        return [t]
-    step = size - min(int(size * 0.1), 600)
-    out, at = [], 0
-    while True:
-        out.append(" ".join(w[at : at + size]))
-        if at + size >= len(w):
-            return out
-        at += step
-
-
-def by_index(t, size, overlap):
-    out, held = [], []
-    for s in loose(t):
-        w = s.split()
-        if len(held) + len(w) > size:
-            if held:
-                out.append(" ".join(held))
-            held = ([] if not overlap else held[-overlap:] if len(held) >= overlap else held) + w
-        else:
-            held = held + w
-    return out + [" ".join(held)] * bool(held)
-
-
 @pytest.mark.parametrize(
-    "column, rule",
+    "said, clean",
     [
-        (segment.sentences_strict, strict),
-        (segment.sentences_loose, loose),
-        (lambda c: segment.merge_fragments(segment.sentences_strict(c)), lambda t: merged(strict(t))),
-        (lambda c: chunk.word_chunks(c, 60), lambda t: by_word(t, 60)),
-        (lambda c: chunk.sentence_chunks(c, 90), lambda t: by_sentence(t, 90)),
-        (lambda c: chunk.density_chunks(c, 90, ["the", "of"], 3), lambda t: by_sentence(t, 90, ["the", "of"], 3)),
-        (lambda c: chunk.index_chunks(c, 40, 12), lambda t: by_index(t, 40, 12)),
-        (lambda c: chunk.index_chunks(c, 40, 0), lambda t: by_index(t, 40, 0)),
+        ("", ""), ("   ", ""), ("one", "one"), ("été été", "été"), ("the The the end", "the end"), ("a b  c ", "a b  c"),
+        ("3.5 and $1,200 at 10:30", "3. 5 and $1, 200 at 10: 30"), ("x (  y ) [Music] um, Uh (aside) erm done", "x (y) [Music] um, Uh (aside) erm done"),
+        ("a\n\n\n\nb\r\nc", "a\n\nb\r\nc"), ("“q” — ‘r’ – s", "\"q\" - 'r' - s"), ("word , word ;word", "word, word; word"),
     ],
-    ids=["strict", "loose", "merged", "word", "sentence", "density", "index", "index0"],
-)
-def test_splits(spark, sf, column, rule):
-    both(spark, sf, column, rule)
-
-
-def consolidated(cues, window, least):
-    out, held, start, end = [], [], None, None
-    for a, b, t in cues:
-        start, end = a if start is None else start, b
-        said = " ".join(p.strip() for p in t.splitlines() if p.strip())
-        held += [said] if said else []
-        joined = " ".join(held)
-        if (re.search(r"[.!?]['\"]?$", said) or b - start >= window) and joined and len(joined.split()) >= least:
-            out.append((start, end, joined))
-            held, start, end = [], None, None
-    if held and start is not None and len(" ".join(held).split()) >= least:
-        out.append((start, end, " ".join(held)))
-    return out
+)
+def test_patterns(spark, said, clean):
+    assert spark.createDataFrame([(said,)], "t string").select(text.normalize_patterns(F.col("t"))).first()[0] == clean
+
+
+def listed(spark, column, value, kind="string"):
+    return spark.createDataFrame([(value,)], f"t {kind}").select(column(F.col("t"))).first()[0]
+
+
+SAID = 'Dr. Lee came. then she left! "Why?" asked Bo. 3 went on?  no one did.'
+DENSE = "the cat the sat on the mat. the dog ran off. a bird sang here. one more of them. and so it went on."
+COUNTED = "One two three. Four five six seven. Eight. Nine ten eleven twelve. Last one here."
+
+
+def test_splits_of_known_texts(spark):
+    assert listed(spark, segment.sentences_strict, SAID) == ["Dr.", "Lee came. then she left!", '"Why?" asked Bo.', "3 went on?  no one did."]
+    assert listed(spark, segment.sentences_loose, SAID) == ["Dr.", "Lee came.", "then she left!", '"Why?" asked Bo.', "3 went on?", "no one did."]
+    assert listed(spark, segment.merge_fragments, ["A b", "c d", "E", "f", "g", "H"], "array<string>") == ["A b c d", "E f g", "H"]
+    words = [f"w{i}" for i in range(20)]
+    assert listed(spark, lambda c: chunk.word_chunks(c, 10), " ".join(words)) == [" ".join(words[i : i + 7]) for i in (0, 7, 14)]
+    assert listed(spark, lambda c: chunk.word_chunks(c, 10), "a b") == ["a b"]
+    assert listed(spark, lambda c: chunk.sentence_chunks(c, 8), COUNTED) == ["One two three. Four five six seven.", "Four five six seven. Eight.", "Eight. Nine ten eleven twelve.", "Nine ten eleven twelve. Last one here."]
+    assert listed(spark, lambda c: chunk.index_chunks(c, 6, 2), COUNTED) == ["One two three.", "two three. Four five six seven.", "six seven. Eight.", "seven. Eight. Nine ten eleven twelve.", "eleven twelve. Last one here."]
+    assert listed(spark, lambda c: chunk.index_chunks(c, 6, 0), COUNTED) == ["One two three.", "Four five six seven. Eight.", "Nine ten eleven twelve.", "Last one here."]
+    assert [listed(spark, column, DENSE) for column in (lambda c: chunk.sentence_chunks(c, 12), lambda c: chunk.density_chunks(c, 12, ["the"], 1), lambda c: chunk.density_chunks(c, 12, ["the"], 3))] == [
+        ["the cat the sat on the mat. the dog ran off.", "the dog ran off. a bird sang here. one more of them.", "one more of them. and so it went on."],
+        ["the cat the sat on the mat.", "the cat the sat on the mat. the dog ran off.", "the dog ran off. a bird sang here. one more of them.", "one more of them. and so it went on."],
+        ["the cat the sat on the mat.", "the cat the sat on the mat. the dog ran off.", "the dog ran off. a bird sang here. one more of them. and so it went on."],
+    ]
+    assert [listed(spark, column, DENSE) for column in (lambda c: chunk.sentence_chunks(c, 20), lambda c: chunk.density_chunks(c, 20, ["the"], 1), lambda c: chunk.density_chunks(c, 20, ["the"], 3))] == [
+        ["the cat the sat on the mat. the dog ran off. a bird sang here. one more of them.", "one more of them. and so it went on."],
+        ["the cat the sat on the mat.", "the cat the sat on the mat. the dog ran off.", "the dog ran off. a bird sang here. one more of them. and so it went on."],
+        ["the cat the sat on the mat. the dog ran off. a bird sang here.", "a bird sang here. one more of them. and so it went on."],
+    ]
+
+
+def of_documents(spark, sf, column):
+    """(text, list) for the documents and the edge cases."""
+    docs = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()] + EDGES
+    df = spark.createDataFrame(list(enumerate(docs)), "i int, text string")
+    return [(docs[r[0]], r[1]) for r in df.select("i", column(F.col("text"))).collect()]
+
+
+def test_sentences_lose_nothing(spark, sf):
+    bare = lambda *parts: "".join("".join(p.split()) for p in parts)
+    for t, found in of_documents(spark, sf, segment.sentences_strict):
+        assert bare(*found) == bare(t) and all(s[-1] in ".!?" for s in found[:-1]) and all(re.match("[A-Z0-9\"']", s) for s in found[1:])
+    for t, found in of_documents(spark, sf, segment.sentences_loose):
+        assert bare(*found) == bare(t) and all(s[-1] in ".!?" for s in found[:-1]) and not any(re.search(r"[.?!]\s", s) for s in found)
+    for t, found in of_documents(spark, sf, lambda c: segment.merge_fragments(segment.sentences_strict(c))):
+        assert bare(*found) == bare(t) and not any(s[0].islower() for s in found[1:])
+
+
+def test_word_chunks_overlap_and_lose_nothing(spark, sf):
+    for t, found in of_documents(spark, sf, lambda c: chunk.word_chunks(c, 60)):
+        if len(t.split()) <= 45:
+            assert found == [t]
+            continue
+        parts = [c.split() for c in found]
+        assert all(len(p) == 45 for p in parts[:-1]) and all(a[-4:] == b[:4] for a, b in zip(parts, parts[1:]))
+        assert parts[0] + [w for p in parts[1:] for w in p[4:]] == t.split()
+
+
+@pytest.mark.parametrize("dense", [False, True])
+def test_sentence_chunks_are_runs_of_sentences(spark, sf, dense):
+    column = (lambda c: F.struct(chunk.density_chunks(c, 90, ["the", "of"], 3), segment.sentences_loose(c))) if dense else (lambda c: F.struct(chunk.sentence_chunks(c, 90), segment.sentences_loose(c)))
+    for t, (found, sentences) in of_documents(spark, sf, column):
+        if estimate(t) <= 90:
+            assert found == [t]
+            continue
+        whole = " ".join(sentences)
+        assert all(c in whole for c in found) and whole.startswith(found[0]) and whole.endswith(found[-1])
+        assert all(any(s in c for c in found) for s in sentences)
+        # Nothing is said less often than the text says it, and the overlap is a tenth or a sentence.
+        assert sum(map(len, found)) >= len(whole) - len(found)
+        if not dense:
+            most = max(map(estimate, sentences))
+            assert all(estimate(c) <= 90 + most + c.count(" ") for c in found)
+
+
+@pytest.mark.parametrize("overlap", [12, 0])
+def test_index_chunks_keep_size_and_overlap(spark, sf, overlap):
+    column = lambda c: F.struct(chunk.index_chunks(c, 40, overlap), segment.sentences_loose(c))
+    for t, (found, sentences) in of_documents(spark, sf, column):
+        longest = max((len(s.split()) for s in sentences), default=0)
+        parts = [c.split() for c in found]
+        said = []
+        for p in parts:
+            own = p if not said or not overlap else p[min(overlap, len(last)) :]
+            assert len(p) <= max(40, longest + overlap)
+            said, last = said + own, p
+        assert said == t.split()
 
 
 def test_consolidation(spark):
@@ -213,10 +206,17 @@ def test_consolidation(spark):
         [(0.0, 95.0, "long one"), (95.0, 200.0, "and on"), (200.0, 201.0, "end?\"")],
         [(0.0, 1.0, "")], [], [(0.0, 1.0, "a. "), (1.0, 2.0, "b"), (2.0, 3.0, "c!")],
     ]
+    whole = [(0.0, 9.0, "Good evening everyone. Welcome to the 'meeting.'"), (9.0, 101.0, "After a gap")]
+    three, short = [(0.0, 95.0, "long one"), (95.0, 200.0, "and on"), (200.0, 201.0, 'end?"')], [(0.0, 1.0, "a."), (1.0, 3.0, "b c!")]
+    want = {
+        (90.0, 1): [whole, three, [], [], short],
+        (90.0, 3): [whole, [(0.0, 200.0, "long one and on")], [], [], [(0.0, 3.0, "a. b c!")]],
+        (5.0, 1): [[(0.0, 6.5, "Good evening everyone. Welcome"), (6.5, 9.0, "to the 'meeting.'"), (9.0, 101.0, "After a gap")], three, [], [], short],
+    }
     df = spark.createDataFrame(list(enumerate(sets)), "i int, cues array<struct<start:double,end:double,text:string>>")
-    for window, least in ((90.0, 1), (90.0, 3), (5.0, 1)):
+    for (window, least), segments in want.items():
         for r in df.select("i", segment.consolidate(F.col("cues"), window, least).alias("s")).collect():
-            assert [tuple(x) for x in r.s] == consolidated(sets[r.i], window, least)
+            assert [tuple(x) for x in r.s] == segments[r.i]
 
 
 def one(spark, *columns):
