@@ -27,7 +27,7 @@ from .search import retrieve
 
 MOST_BYTES = 64 << 20
 #: Rows of a sample for each cell, rounds of k-means, and rows of a cell that one task compares with queries.
-SAMPLE, ROUNDS, PART = 256, 8, 4096
+SAMPLE, ROUNDS, PART = 256, 5, 4096
 #: Cells that hold vectors without a direction.
 NOWHERE = -1
 
@@ -126,9 +126,9 @@ class InvertedFile:
         self.table = VersionedTable(spark, path, "cell", {"least": F.min("closeness")})
 
     def build(self, rows: DataFrame, cells: int | None = None, **training) -> Manifest:
-        """Train on rows and store them in place of what is there; by default twice the square root of their number of cells."""
+        """Train on rows and store them in place of what is there; by default the square root of their number of cells."""
         if cells is None:
-            cells = max(1, min(65_536, int(2 * math.sqrt(rows.count()))))
+            cells = max(1, min(65_536, math.isqrt(rows.count())))
         centroids = train(rows, cells, **training)
         base = self.table.manifest()
         dealt = assign(rows, centroids)
