@@ -306,23 +306,40 @@ def strips(jpeg: Jpeg):
         yield _strip(jpeg, top, min(step, down - top), hmax, vmax)
 
 
+def _samples(coefficients: np.ndarray, quant: np.ndarray) -> np.ndarray:
+    """Samples (blocks, 64) of blocks of coefficients in zigzag order, as whole numbers from 0 to 255."""
+    if quant.max() < 256:
+        x = coefficients.astype(np.float64) @ (INVERSE[ZIGZAG] * quant[:, None])
+    else:
+        x = np.clip(coefficients * quant.astype(np.int64), -LARGEST, LARGEST).astype(np.float64) @ INVERSE[ZIGZAG]
+    x += SCALE // 2 + 128 * SCALE
+    x *= 1 / SCALE
+    np.floor(x, out=x)
+    np.clip(x, 0, 255, out=x)
+    return x.astype(np.uint8)
+
+
 def _strip(jpeg: Jpeg, top: int, rows: int, hmax: int, vmax: int) -> np.ndarray:
     planes, height = [], min(jpeg.height - 8 * vmax * top, 8 * vmax * rows)
     for whole, (h, v), t in zip(jpeg.coefficients, jpeg.sampling, jpeg.tables):
         c = whole[top * v : (top + rows) * v]
-        natural = np.empty(c.shape, np.float64)
-        natural[..., ZIGZAG] = np.clip(c * jpeg.quant[t].astype(np.int64), -LARGEST, LARGEST)
         down, across = c.shape[:2]
-        samples = np.floor((natural.reshape(-1, 64) @ INVERSE + SCALE // 2) / SCALE)
-        samples = np.clip(samples + 128, 0, 255).astype(np.uint8).reshape(down, across, 8, 8).swapaxes(1, 2).reshape(down * 8, across * 8)
-        planes.append(samples.repeat(vmax // v, 0).repeat(hmax // h, 1)[:height, : jpeg.width])
+        planes.append(_samples(c.reshape(-1, 64), jpeg.quant[t]).reshape(down, across, 8, 8).swapaxes(1, 2).reshape(down * 8, across * 8))
+    full = lambda p, k: p.repeat(vmax // jpeg.sampling[k][1], 0).repeat(hmax // jpeg.sampling[k][0], 1)[:height, : jpeg.width]
     if len(planes) == 1:
-        return np.stack([planes[0]] * 3, -1)
-    y, cb, cr = (p.astype(np.int32) for p in planes)
-    y, cb, cr = (y << 16) + (1 << 15), cb - 128, cr - 128
+        return np.stack([full(planes[0], 0)] * 3, -1)
+    y = (full(planes[0], 0).astype(np.int32) << 16) + (1 << 15)
+    cb, cr = planes[1].astype(np.int32) - 128, planes[2].astype(np.int32) - 128
+    # Factors are taken before chroma is upsampled, where both components have one size.
+    if jpeg.sampling[1] != jpeg.sampling[2]:
+        cb, cr = (c.repeat(vmax // jpeg.sampling[k][1], 0).repeat(hmax // jpeg.sampling[k][0], 1) for k, c in ((1, cb), (2, cr)))
+        full = lambda p, k: p[:height, : jpeg.width]
     out = np.empty(y.shape + (3,), np.uint8)
-    for k, sum_ in enumerate((y + CHROMA[0] * cr, y - CHROMA[1] * cb - CHROMA[2] * cr, y + CHROMA[3] * cb)):
-        out[..., k] = np.clip(sum_ >> 16, 0, 255)
+    for k, more in enumerate((CHROMA[0] * cr, -CHROMA[1] * cb - CHROMA[2] * cr, CHROMA[3] * cb)):
+        sums = full(more, 1) + y
+        sums >>= 16
+        np.clip(sums, 0, 255, out=sums)
+        out[..., k] = sums
     return out
 
 
