@@ -83,7 +83,9 @@ def train(rows: DataFrame, cells: int, sample: int = SAMPLE, rounds: int = ROUND
                 np.add.at(sums, cell, m)
                 sizes += np.bincount(cell, minlength=len(sizes))
             held = np.flatnonzero(sizes)
-            yield pd.DataFrame({"cell": held, "sums": list(sums[held])})
+            # A task without rows gives none: a column of no arrays would have a type of its own.
+            if len(held):
+                yield pd.DataFrame({"cell": held, "sums": list(sums[held])})
 
         # One row for each cell and task.
         parts = some.mapInPandas(add, "cell long, sums array<double>")
@@ -225,7 +227,7 @@ class InvertedFile:
 
         def compare(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
             if not len(asked) or not len(rows):
-                return pd.DataFrame({"query_id": [], "id": [], "similarity": []})
+                return pd.DataFrame({"query_id": asked["query_id"].iloc[:0], "id": rows["id"].iloc[:0], "similarity": np.zeros(0)})
             q, m = _matrix(asked["vector"], centroids.shape[1]), _matrix(rows["embedding"], centroids.shape[1])
             ids = rows["id"].to_numpy()
             by = np.argsort(ids, kind="stable")

@@ -114,6 +114,25 @@ def test_inverted_file(spark, tmp_path):
     assert inverted.recall(file.search_many(queries, 10, nprobe=1), every) < 1
 
 
+def test_inverted_file_of_tasks_without_rows(spark, tmp_path):
+    m, rows = vectors(spark, 300, 6)
+    small = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "1k"}
+    before = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    try:
+        file = inverted.InvertedFile(spark, str(tmp_path / "f"))
+        file.build(rows.repartition(40), cells=6)
+        want = [r.id for r in search.retrieve(rows, m[7].tolist(), 9).collect()]
+        assert [r.id for r in file.search(m[7].tolist(), 9, nprobe=1, exact=True).collect()] == want
+        asked = rows.filter("id = 7").select(F.col("id").cast("string").alias("query_id"), F.col("embedding").alias("vector"))
+        assert sorted(r.id for r in file.search_many(asked, 9, nprobe=2).collect())[0] >= 0
+        assert sorted(r.id for r in file.search_many(asked, 9, nprobe=None).collect()) == sorted(want)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_inverted_file_takes_rows_in_and_out(spark, tmp_path):
     m, rows = vectors(spark, 600, 12)
     file = inverted.InvertedFile(spark, str(tmp_path / "f"))
