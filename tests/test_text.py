@@ -3,7 +3,7 @@ import re
 import time
 
 import pytest
-from colloquy.functions import meta, policy, text, tokens
+from colloquy.functions import meta, policy, text, tokens, vectors
 from colloquy.operators import chunk, segment
 from pyspark.sql import functions as F
 
@@ -264,3 +264,24 @@ def test_prompts(spark):
     t = "{{x}} {context}|{text}"
     assert one(spark, text.render_prompt(t, F.lit("T")), text.render_prompt(t, F.lit("T"), F.lit("C"))) == ("{x} No context provided.|T", "{x} C|T")
     assert one(spark, text.safe_path_part(F.lit(" a/b\\c ")), text.safe_path_part(F.lit(" .. ")))[:] == ("a_b_c", None)
+
+
+def test_hashed_embeddings_by_their_rule(spark):
+    import hashlib
+    import math
+
+    texts = ["The the CAT, été_1 x-y", "", " .. ", None, "q" * 50, "İstanbul ÉTÉ 😀 ² Ⅷ"] + [f"w{i} w{i % 7} and" for i in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    words = F.filter(F.split(F.lower("t"), r"(?U)\W+"), lambda w: w != "")
+    rows = df.select("t", words.alias("w"), vectors.hashed_embedding(F.col("t")).alias("e")).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        if r.t is None:
+            assert r.e is None
+            continue
+        sums = [0] * 64
+        for w in r.w:
+            code = int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 128
+            sums[code % 64] += 1 if code < 64 else -1
+        norm = math.sqrt(sum(x * x for x in sums))
+        assert r.e == pytest.approx([x / norm if norm else 0.0 for x in sums], rel=1e-6)
