@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import meta
 from ..functions.text import strip, word_count
 from ..functions.vectors import CLAMP, hashed_embedding
+from ..sources import scratch
 from ..sources.versions import one_of_each
 from .chunk import index_chunks
 from .speakers import scan_names
@@ -68,15 +69,25 @@ def index_summaries(files: DataFrame, id_map: DataFrame | None = None, embed: Em
 CELL = 2048
 
 
-def _units(vectors) -> np.ndarray:
-    """Vectors as rows of length one, as cosine() takes them."""
-    width = max((len(v) for v in vectors), default=0)
-    m = np.zeros((len(vectors), width))
-    for i, v in enumerate(vectors):
-        m[i, : len(v)] = v
+def _matrix(vectors: pa.ChunkedArray) -> np.ndarray:
+    """Vectors as rows of length one, as cosine() takes them; shorter and null ones end in zeros."""
+    vectors = vectors.combine_chunks()
+    size = np.nan_to_num(vectors.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    m = np.zeros((len(size), int(size.max(initial=0))))
+    m[np.arange(m.shape[1]) < size[:, None]] = vectors.flatten().to_numpy(zero_copy_only=False)
     return m / np.maximum(np.sqrt((m * m).sum(axis=1, keepdims=True)), CLAMP)
 
 
+def _starts(rows: pa.Table) -> np.ndarray:
+    """Where runs of rows of one document and one pair of cells begin."""
+    differ = np.zeros(max(0, len(rows) - 1), bool)
+    for values in (rows[name].to_numpy() for name in ("_g", "_a", "_b")):
+        differ |= values[1:] != values[:-1]
+    name = rows["_k"].combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    differ |= name[1:] != name[:-1]
+    return np.append(0, np.flatnonzero(differ) + 1)
+
+
 def align(chunks: DataFrame, segments: DataFrame, key: str, chunk: str = "chunk_index", cell: int = CELL) -> DataFrame:
     """Rows (key, chunk, ts): the start of the segment most similar to each chunk of the same document.
 
@@ -88,7 +99,9 @@ def align(chunks: DataFrame, segments: DataFrame, key: str, chunk: str = "chunk_
     """
     spark_cells = lambda rows, name: rows.groupBy(F.col(key).alias("_k")).agg(F.ceil(F.count(F.lit(1)) / F.lit(float(cell))).cast("long").alias(name))
     cells = spark_cells(chunks, "_down").join(spark_cells(segments, "_across"), "_k")
-    vector = F.col("embedding").cast("array<double>")
+    # Single precision stays as it is until it is compared: half the bytes of a vector.
+    held = "array<float>" if all(t.schema["embedding"].dataType.simpleString() == "array<float>" for t in (chunks, segments)) else "array<double>"
+    vector = F.col("embedding").cast(held)
     mine = chunks.select(F.col(key).alias("_k"), F.lit(0).alias("_side"), F.col(chunk).cast("long").alias("_i"), F.lit(None).cast("double").alias("_at"), vector.alias("_v"))
     theirs = segments.select(F.col(key).alias("_k"), F.lit(1).alias("_side"), F.col("segment_index").cast("long").alias("_i"), F.col("start_time").cast("double").alias("_at"), vector.alias("_v"))
     down, across = F.pmod(F.xxhash64("_i"), F.col("_down")), F.pmod(F.xxhash64("_i"), F.col("_across"))
@@ -99,37 +112,40 @@ def align(chunks: DataFrame, segments: DataFrame, key: str, chunk: str = "chunk_
     dealt = mine.select(*names).unionByName(theirs.select(*names)).withColumn("_g", F.xxhash64("_k", "_a", "_b"))
     dealt = dealt.repartition("_g").sortWithinPartitions("_g", "_k", "_a", "_b", "_side", "_i")
 
-    def best(group: pd.DataFrame) -> pd.DataFrame:
-        split = int((group["_side"].to_numpy() == 0).sum())
-        if not split or split == len(group):
-            return None
-        m = _units(group["_v"].tolist())
-        found = []
-        for lo in range(0, split, 256):
-            sims = np.round(m[lo : min(split, lo + 256)] @ m[split:].T, 9)
-            top = sims.argmax(axis=1)  # the first, and segments are in order
-            rows = group.iloc[lo : min(split, lo + 256)]
-            found.append(pd.DataFrame({"_k": rows["_k"], "_i": rows["_i"], "sim": sims[np.arange(len(top)), top], "seg": group["_i"].to_numpy()[split + top], "at": group["_at"].to_numpy()[split + top]}))
-        return pd.concat(found)
+    def best(rows: pa.Table) -> pa.RecordBatch:
+        """The best segment of each chunk in rows of whole groups; groups are runs of rows, vectors become one matrix."""
+        side, number, at = rows["_side"].to_numpy(), rows["_i"].to_numpy(), rows["_at"].to_numpy()
+        first = np.append(_starts(rows), len(rows))
+        m = _matrix(rows["_v"])
+        chunk, seg, near = [], [], []
+        for lo, hi in zip(first[:-1].tolist(), first[1:].tolist()):
+            split = lo + int((side[lo:hi] == 0).sum())
+            if lo < split < hi:
+                for a in range(lo, split, 256):
+                    sims = np.round(m[a : min(split, a + 256)] @ m[split:hi].T, 9)
+                    top = sims.argmax(axis=1)  # the first, and segments are in order
+                    chunk.append(np.arange(a, a + len(top)))
+                    seg.append(split + top)
+                    near.append(sims[np.arange(len(top)), top])
+        chunk, seg = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (chunk, seg))
+        names = rows["_k"].combine_chunks().take(pa.array(chunk))
+        return pa.RecordBatch.from_arrays([names, pa.array(number[chunk]), pa.array(np.concatenate(near) if near else np.zeros(0)), pa.array(number[seg]), pa.array(at[seg])], ["_k", "_i", "sim", "seg", "at"])
 
     def run(batches):
         held = None
         for batch in batches:
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            last = (rows[["_g", "_a", "_b"]] == rows[["_g", "_a", "_b"]].iloc[-1]).all(axis=1).to_numpy() & (rows["_k"] == rows["_k"].iloc[-1]).to_numpy()
-            done = rows[~last]
-            for _, one in done.groupby(["_g", "_k", "_a", "_b"], sort=False):
-                out = best(one)
-                if out is not None:
-                    yield out
-            held = rows[last]
-        if held is not None:
-            out = best(held)
-            if out is not None:
-                yield out
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows]).combine_chunks()
+            # The last group may go on in the next batch.
+            cut = int(_starts(rows)[-1]) if len(rows) else 0
+            if cut:
+                yield best(rows.slice(0, cut))
+            held = rows.slice(cut)
+        if held is not None and len(held):
+            yield best(held)
 
     schema = dealt.select("_k", "_i").schema.add("sim", "double").add("seg", "long").add("at", "double")
-    met = dealt.mapInPandas(run, schema)
+    met = dealt.mapInArrow(run, schema)
     order = F.struct(F.col("sim"), -F.col("seg"))
     found = met.groupBy("_k", "_i").agg(F.max_by("at", order).alias("ts"))
     return found.select(F.col("_k").alias(key), F.col("_i").cast(chunks.schema[chunk].dataType).alias(chunk), "ts")
@@ -167,6 +183,8 @@ def index_transcripts(
     if segments is None:
         rows = rows.withColumn("ts", F.lit(None).cast("double"))
     else:
+        # Both sides are read several times; texts are cut and embedded once.
+        rows, segments = scratch.written(rows, "chunks"), scratch.written(segments, "said")
         rows = rows.join(align(rows, segments, "source"), ["source", "chunk_index"], "left")
     for name, variants in (names or {}).items():
         rows = with_names(rows, name, variants)
