@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +49,9 @@ def hotwords(people: DataFrame, titles: DataFrame) -> DataFrame:
     return words.agg(F.nullif(F.array_join(F.array_sort(F.collect_set("w")), ", "), F.lit("")).alias("hotwords"))
 
 
-#: Words and what stands between them, in turn.
-_TOKENS = r"(?U)\w+|\W+"
+#: Words and what stands between them, in turn; ASCII letters are told by themselves, which is much faster than by their classes.
+_TOKENS = r"(?U)[a-z0-9_\w]++|[^a-z0-9_\w]++"
+_WORD = r"(?U)[a-z0-9_\w]"
 #: Variants whose hashes are sent to all tasks at most: 8 bytes each. With more, all windows meet the variants in a join.
 SENT = 1_000_000
 _BASE = 0x9E3779B97F4A7C15
@@ -55,86 +59,109 @@ _BASE = 0x9E3779B97F4A7C15
 
 def _windows(hashes: np.ndarray, size: int) -> np.ndarray:
     """The hash of each stretch of `size` tokens, from sums of their hashes times powers of a base."""
-    if len(hashes) < size:
-        return np.zeros(0, np.int64)
+    n = max(0, len(hashes) - size + 1)
+    found = np.zeros(n, np.uint64)
     with np.errstate(over="ignore"):
-        powers = np.multiply.accumulate(np.append(np.uint64(1), np.full(len(hashes), _BASE, np.uint64)))
-        back = np.multiply.accumulate(np.append(np.uint64(1), np.full(len(hashes), pow(_BASE, -1, 1 << 64), np.uint64)))
-        sums = np.append(np.uint64(0), np.cumsum(hashes * powers[:-1], dtype=np.uint64))
-        n = len(hashes) - size + 1
-        found = (sums[size:] - sums[: len(sums) - size])[:n] * back[:n]
+        for k in range(size):
+            found = found * np.uint64(_BASE) + hashes[k : k + n]
         found = (found ^ (found >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(size)
         return (found ^ (found >> np.uint64(32))).view(np.int64)
 
 
-def _tokens(text: Column) -> Column:
-    """Hashes of a lower-cased text's tokens."""
-    return F.transform(F.regexp_extract_all(text, F.lit(_TOKENS), 0), lambda t: F.xxhash64(t))
+def _hashes(tokens: pa.Array) -> np.ndarray:
+    """A hash of each token; distinct ones are hashed once."""
+    coded = tokens.dictionary_encode()
+    own = pd.util.hash_array(coded.dictionary.to_numpy(zero_copy_only=False).astype(object), categorize=False) if len(coded.dictionary) else np.zeros(0, np.uint64)
+    return own[coded.indices.to_numpy(zero_copy_only=False)]
 
 
-def _lengths(text: Column) -> Column:
-    return F.transform(F.regexp_extract_all(text, F.lit(_TOKENS), 0), lambda t: F.length(t))
+def _tokens(text: Column) -> Column:
+    """A lower-cased text's tokens."""
+    return F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(0))
 
 
-def scan_names(chunks: DataFrame, variants: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+def scan_names(chunks: DataFrame, variants: DataFrame, key: list[str], text: str = "text", apart: bool = False) -> DataFrame:
     """Rows (key, person, variant) of the variants said in chunks as whole words.
 
-    Variants are grouped by their number of tokens. For each such number a text's
-    windows get rolling hashes, and those that some variant has go on with their
-    own characters, which decide; so a text is read once, is tried against no
-    variant by itself, and isn't fetched again. The variants' hashes are sent to
-    all tasks up to SENT of them; with more, every window goes to the join, which
-    Spark splits where a window is very common.
+    Variants are grouped by their number of tokens. The windows of a batch of
+    texts get hashes for each such number, and those that some variant has go on
+    with their own characters, which decide; so a text is read once, and is tried
+    against no variant by itself. The variants' hashes are sent to all tasks up to
+    SENT of them; with more, nothing is hashed, and every window goes to the join,
+    which Spark splits where a window is very common.
+
+    apart also takes a variant whose words follow one another in a chunk whatever
+    stands between them, if its text stands anywhere in it, within words too.
     """
     spark = chunks.sparkSession
     low = F.lower("variant")
-    named = variants.filter(low.rlike(r"(?U)\w")).select("person", "variant", low.alias("said"), _tokens(low).alias("_t"))
-
-    def name(batches):
-        for batch in batches:
-            out = batch[["person", "variant", "said"]].copy()
-            out["tokens"] = [len(t) for t in batch["_t"]]
-            out["hash"] = [int(_windows(np.asarray(t, np.int64).view(np.uint64), len(t))[0]) for t in batch["_t"]]
-            yield out
-
-    wanted = named.mapInPandas(name, "person string, variant string, said string, tokens int, hash long")
-    at = scratch.folder(spark, "variants")
-    wanted.write.parquet(at)
-    wanted = spark.read.schema(wanted.schema).parquet(at)
+    named = variants.filter(low.rlike(_WORD)).select("person", "variant", low.alias("said"))
+    token = _tokens(F.col("said"))
+    flat = F.array_join(F.filter(token, lambda t: t.rlike(_WORD)), " ") if apart else F.col("said")
+    wanted = scratch.written(named.select("*", flat.alias("flat")).select("*", F.size(_tokens(F.col("flat"))).alias("tokens")), "variants")
     sizes = [r[0] for r in wanted.select("tokens").distinct().collect()]
     sent = None
     if wanted.count() <= SENT:
-        sent = spark.sparkContext.broadcast(np.array(sorted({r[0] for r in wanted.select("hash").distinct().collect()}), np.int64))
+
+        def name(batches):
+            for batch in batches:
+                rows = batch.column(0)
+                hashes, size = _hashes(rows.flatten()), rows.value_lengths().to_numpy()
+                first = np.cumsum(size) - size
+                found = [_windows(hashes, n)[first[size == n]] for n in np.unique(size).tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64))], ["hash"])
+
+        hashes = wanted.select(_tokens(F.col("flat")).alias("t")).mapInArrow(name, "hash long").distinct().collect()
+        sent = spark.sparkContext.broadcast(np.array(sorted(r[0] for r in hashes), np.int64))
 
     def find(batches):
         for batch in batches:
-            rows, hashes, said = [], [], []
-            for i, (body, tokens, lengths, word) in enumerate(zip(batch["_low"], batch["_t"], batch["_n"], batch["_w"])):
-                tokens, ends = np.asarray(tokens, np.int64).view(np.uint64), np.append(0, np.cumsum(np.asarray(lengths, np.int64)))
-                # A window that begins or ends between words has to have a word beyond.
-                begin, end = int(not word), len(tokens) - int((len(tokens) % 2 == 0) == word)
-                for size in sizes:
-                    own = _windows(tokens, size)
-                    first = np.arange(begin, max(begin, end - size + 1))
-                    if sent is not None:
-                        place = np.minimum(np.searchsorted(sent.value, own[first]), len(sent.value) - 1)
-                        first = first[sent.value[place] == own[first]]
-                    own, once = np.unique(own[first], return_index=True)
-                    rows += [i] * len(own)
-                    hashes += own.tolist()
-                    said += [body[ends[k] : ends[k + size]] for k in first[once].tolist()]
-            out = batch.iloc[rows][["_key"]].reset_index(drop=True)
-            out["hash"], out["said"] = np.array(hashes, np.int64), said
-            yield out
+            lists, word = batch["_t"].tolist(), batch["_w"].to_numpy(bool)
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            tokens = pa.array(np.concatenate(lists) if lists else [], pa.string())
+            ends = np.cumsum(size)
+            row = np.repeat(np.arange(len(size)), size)
+            hashes = _hashes(tokens)
+            # A window that begins or ends between words has to have a word beyond.
+            begin = ends - size + ~word
+            end = ends - ((size % 2 == 0) == word)
+            places, spans = [], []
+            for n in sizes:
+                at = np.arange(max(0, len(hashes) - n + 1))
+                at = at[(at >= begin[row[at]]) & (at + n <= end[row[at]])] if len(at) else at
+                if sent is not None:
+                    own = _windows(hashes, n)[at]
+                    place = np.minimum(np.searchsorted(sent.value, own), len(sent.value) - 1)
+                    at = at[sent.value[place] == own] if len(sent.value) else at[:0]
+                places.append(at)
+                spans.append(np.full(len(at), n))
+            at, span = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (places, spans))
+            said = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(span)), pa.int32()), tokens.take(pa.array(np.repeat(at, span) + _within(span))))
+            said = pc.binary_join(said, "")
+            # What a text says again is sent once.
+            out = pa.table({"row": pa.array(row[at]), "flat": said}).group_by(["row", "flat"]).aggregate([]).combine_chunks()
+            found = batch.iloc[out["row"].to_numpy()][kept].reset_index(drop=True)
+            found["flat"] = out["flat"].to_pandas().astype(object)
+            yield found
 
     body = F.lower(F.col(text))
+    kept = ["_key", "_low"] if apart else ["_key"]
     read = chunks.filter(body != "").select(F.struct(*key).alias("_key"), body.alias("_low"))
-    read = read.select("*", _tokens(F.col("_low")).alias("_t"), _lengths(F.col("_low")).alias("_n"), F.col("_low").rlike(r"(?U)^\w").alias("_w"))
-    schema = read.select("_key").schema.add("hash", "long").add("said", "string")
-    met = read.mapInPandas(find, schema).join(wanted, ["hash", "said"])
+    words = F.array_join(F.filter(_tokens(F.col("_low")), lambda t: t.rlike(_WORD)), " ") if apart else F.col("_low")
+    read = read.select(*kept, words.alias("_s")).filter("_s <> ''")
+    read = read.select(*kept, _tokens(F.col("_s")).alias("_t"), F.col("_s").rlike(r"(?U)^\w").alias("_w"))
+    schema = read.select(*kept).schema.add("flat", "string")
+    met = read.mapInPandas(find, schema).join(wanted, "flat")
+    if apart:
+        met = met.filter(F.contains("_low", "said"))
     return met.select(*[F.col("_key").getField(k).alias(k) for k in key], "person", "variant").distinct()
 
 
+def _within(span: np.ndarray) -> np.ndarray:
+    """0, 1, … for each span, one behind the other."""
+    return np.arange(int(span.sum())) - np.repeat(np.cumsum(span) - span, span)
+
+
 def speaker_context(matches: DataFrame, key: list[str]) -> DataFrame:
     """Rows (key, context) from rows (key, person, variant): whom a chunk mentions, and which mentions are unclear."""
     longest = lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0)

@@ -226,3 +226,11 @@ def test_hundred_thousand_names_meet_texts_once(spark, sf):
     plan = catalog.QUERIES["names_of_documents"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("conversations.parquet") <= 1 and plan.count("MapInPandas") == 1
     assert catalog.QUERIES["names_of_documents"](spark, "/root/testdata/sf0.01").count() > 1000
+
+
+def test_words_in_a_row_and_the_text_apart(spark):
+    rows = [(1, "de, la; pide lado"), (2, "de, la"), (3, "pide lado"), (4, "de la"), (5, "a de - la b. x de la"), (6, " ... ")]
+    texts = spark.createDataFrame(rows, "k long, text string")
+    variants = spark.createDataFrame([("leon", "De La"), ("leon", "o'x")], speakers.VARIANTS)
+    found = lambda **how: sorted(r.k for r in speakers.scan_names(texts, variants, ["k"], **how).collect())
+    assert found(apart=True) == [1, 4, 5] and found() == [4, 5]
