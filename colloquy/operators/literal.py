@@ -1,8 +1,9 @@
 """A positional trigram index: literal search that reads a few postings and the texts that may hold the query.
 
 Texts are dealt into parts of PART consecutive ones. For each part and each run
-of three characters of its lower-cased texts a posting lists where it occurs,
-text by text. Postings lie sorted by gram, so that row-group statistics leave
+of three characters of its lower-cased texts a posting lists where it occurs, as
+steps of two or four bytes through the part's texts put end to end; one more row
+of a part says where its texts start. Postings lie sorted by gram, so that row-group statistics leave
 out all but those asked for, and a gram that is very common is many rows, one for
 each part. A query takes the rarest of its grams, keeps the places where they
 stand at their distances from one another, and the texts of these places are
@@ -24,7 +25,9 @@ from ..sources import scratch
 PART, CHARS, RAREST, LISTED = 256, 1 << 20, 3, 1000
 #: Bytes of a row group: what a reader can leave out.
 GROUP = 1 << 20
-_POSTING = "gram long, part long, places array<long>, n long"
+_POSTING = "gram long, part long, places binary, n long"
+#: What stands for a gram in the row of a part's starts.
+STARTS = -1
 
 
 def _codes(text: str) -> np.ndarray:
@@ -55,18 +58,40 @@ def _numbered(files: DataFrame) -> DataFrame:
     return numbered.mapInPandas(run, schema).select("_row.*", "part", "place")
 
 
+def _steps(places: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """Ascending places of each group, which begin at first, as steps from one to the next; two bytes each where they are all short."""
+    if not len(first):
+        return []
+    step = np.diff(places, prepend=0)
+    step[first] = places[first]
+    wide = np.maximum.reduceat(step, first) > 0xFFFF
+    two, four = memoryview(step.astype("<u2").tobytes()), memoryview(step.astype("<u4").tobytes())
+    ends = np.append(first[1:], len(places))
+    return [bytes(four[4 * a : 4 * b]) if w else bytes(two[2 * a : 2 * b]) for a, b, w in zip(first.tolist(), ends.tolist(), wide.tolist())]
+
+
+def _places(steps: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(steps, "<u2" if len(steps) == 2 * n else "<u4"), dtype=np.int64)
+
+
 def _postings(texts: DataFrame) -> DataFrame:
-    """(gram, part, places, n) of texts (part, place, low): places are text << 32 | character, ascending."""
+    """(gram, part, places, n) of texts (part, place, low)."""
 
     def of_part(part: int, rows: list[tuple[int, str]]) -> pd.DataFrame:
+        # Texts without a row here, such as null ones, take no room.
+        starts = np.zeros(rows[-1][0] + 2, np.int64)
+        for place, low in rows:
+            starts[place + 1] = len(low)
+        starts = np.cumsum(starts)
         grams = [_codes(low) for _, low in rows]
-        places = np.concatenate([np.int64(place << 32) + np.arange(len(g)) for (place, _), g in zip(rows, grams)] or [np.zeros(0, np.int64)])
-        grams = np.concatenate(grams or [np.zeros(0, np.int64)])
+        places = np.concatenate([starts[place] + np.arange(len(g)) for (place, _), g in zip(rows, grams)])
+        grams = np.concatenate(grams)
         by = np.argsort(grams, kind="stable")
         grams, places = grams[by], places[by]
-        first = np.flatnonzero(np.diff(grams, prepend=-1))
+        first = np.flatnonzero(np.diff(grams, prepend=STARTS))
         size = np.diff(np.append(first, len(grams)))
-        return pd.DataFrame({"gram": grams[first], "part": part, "places": np.split(places, first[1:]) if len(first) else [], "n": size})
+        steps = _steps(starts, np.zeros(1, np.int64)) + _steps(places, first)
+        return pd.DataFrame({"gram": np.append(STARTS, grams[first]), "part": part, "places": steps, "n": np.append(len(starts), size)})
 
     def run(batches):
         part, rows = None, []
@@ -83,6 +108,11 @@ def _postings(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, _POSTING)
 
 
+def _texts_at(places: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The numbers of the texts in which places of a part lie."""
+    return np.unique(np.searchsorted(starts, places[places >= 0], side="right") - 1)
+
+
 class LiteralIndex:
     """Texts (source, category, document) and their postings under a path."""
 
@@ -96,7 +126,7 @@ class LiteralIndex:
         dealt = texts.repartition("part").sortWithinPartitions("part", "place")
         keys = ["gram", "part"]
         _postings(dealt).repartitionByRange(*keys).sortWithinPartitions(*keys).write.option("parquet.block.size", GROUP).mode("overwrite").parquet(f"{self.path}/postings")
-        sums = self.postings().groupBy("gram").agg(F.sum("n").alias("n"))
+        sums = self.postings().filter(F.col("gram") != STARTS).groupBy("gram").agg(F.sum("n").alias("n"))
         sums.repartitionByRange("gram").sortWithinPartitions("gram").write.option("parquet.block.size", GROUP).mode("overwrite").parquet(f"{self.path}/grams")
         return self
 
@@ -125,15 +155,17 @@ class LiteralIndex:
         if chosen is None:
             return self.spark.createDataFrame([], "part long, place long")
         offsets = dict(chosen)
-        rows = self.postings().filter(F.col("gram").isin(list(offsets))).select("gram", "part", "places")
+        rows = self.postings().filter(F.col("gram").isin([STARTS, *offsets])).select("gram", "part", "places", "n")
 
         def meet(key: tuple, postings: pd.DataFrame) -> pd.DataFrame:
-            common = None
-            for gram, places in zip(postings["gram"].tolist(), postings["places"]):
-                start = np.asarray(places, np.int64) - offsets[gram]
+            starts, common = None, None
+            for gram, steps, n in zip(postings["gram"].tolist(), postings["places"], postings["n"].tolist()):
+                if gram == STARTS:
+                    starts = _places(steps, n)
+                    continue
+                start = _places(steps, n) - offsets[gram]
                 common = start if common is None else np.intersect1d(common, start, assume_unique=True)
-            place = np.unique(common >> 32) if len(postings) == len(offsets) else np.zeros(0, np.int64)
-            return pd.DataFrame({"part": key[0], "place": place})
+            return pd.DataFrame({"part": key[0], "place": _texts_at(common, starts) if len(postings) == len(offsets) + 1 else np.zeros(0, np.int64)})
 
         return rows.groupBy("part").applyInPandas(meet, "part long, place long")
 
@@ -177,17 +209,26 @@ class LiteralIndex:
         split_ = texts.mapInPandas(split, "low string, gram long, offset long").join(self.grams(), "gram", "left")
         listed = split_.groupBy("low").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "gram"))).alias("gs"))
         chosen = listed.filter(F.col("gs")[0]["n"] > 0).select("low", F.least(F.size("gs"), F.lit(RAREST)).alias("take"), F.explode(F.slice("gs", 1, RAREST)).alias("g")).select("low", "take", "g.gram", "g.offset")
-        met = chosen.join(self.postings(), "gram").select("low", "take", "part", "offset", "places")
+        met = chosen.join(self.postings(), "gram").select("low", "take", "part", "offset", "places", "n")
+        begun = self.postings().filter(F.col("gram") == STARTS).select("part", F.col("places").alias("starts"), F.col("n").alias("texts"))
 
         def meet(key: tuple, postings: pd.DataFrame) -> pd.DataFrame:
             common = None
-            for offset, places in zip(postings["offset"].tolist(), postings["places"]):
-                start = np.asarray(places, np.int64) - offset
+            for offset, steps, n in zip(postings["offset"].tolist(), postings["places"], postings["n"].tolist()):
+                start = _places(steps, n) - offset
                 common = start if common is None else np.intersect1d(common, start, assume_unique=True)
-            place = np.unique(common >> 32) if len(postings) == postings["take"].iloc[0] else np.zeros(0, np.int64)
-            return pd.DataFrame({"low": key[0], "part": key[1], "place": place})
+            common = common[common >= 0] if len(postings) == postings["take"].iloc[0] else common[:0]
+            return pd.DataFrame({"low": key[0], "part": key[1], "at": [_steps(common, np.zeros(1, np.int64))[0]] if len(common) else None, "n": len(common)}, index=[0])
+
+        def placed(batches):
+            for batch in batches:
+                found = [_texts_at(_places(at, n), _places(starts, texts)) for at, n, starts, texts in zip(batch["at"], batch["n"], batch["starts"], batch["texts"])]
+                out = batch[["low", "part"]].iloc[np.repeat(np.arange(len(batch)), [len(f) for f in found])].reset_index(drop=True)
+                out["place"] = np.concatenate(found) if found else np.zeros(0, np.int64)
+                yield out
 
-        found = met.groupBy("low", "part").applyInPandas(meet, "low string, part long, place long")
+        found = met.groupBy("low", "part").applyInPandas(meet, "low string, part long, at binary, n long").filter("n > 0")
+        found = found.join(begun, "part").mapInPandas(placed, "low string, part long, place long")
         low = F.lower("document")
         held = found.join(self.texts().select("part", "place", "source", low.alias("text")), ["part", "place"]).filter(F.contains("text", "low")).select("low", "source")
         every = held.join(long, "low").select("query_id", "source")
