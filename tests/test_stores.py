@@ -185,6 +185,17 @@ def test_literal_index(spark, tmp_path, monkeypatch):
     assert sorted(map(tuple, index.search_many(asked).collect())) == want
 
 
+def test_literals_in_parts_of_short_texts_only(spark, tmp_path):
+    rows = [("a", "summary", "ab"), ("b", "summary", ""), ("c", "summary", None), ("d", "summary", "x" * 70_000 + "needle"), ("e", "summary", "lene"), ("f", "summary", "edle")]
+    for part in (rows[:3], rows):
+        files = spark.createDataFrame(part, "source string, category string, document string").coalesce(1)
+        held = literal.LiteralIndex(spark, str(tmp_path / str(len(part)))).build(files)
+        want = ["d"] if len(part) > 3 else []
+        assert [r.source for r in held.search("needle").collect()] == want
+        asked = spark.createDataFrame([(1, "needle"), (2, "leneed")], "query_id long, literal string")
+        assert [tuple(r) for r in held.search_many(asked).collect()] == [(1, s) for s in want]
+
+
 def test_rare_literals_read_little(spark, tmp_path):
     rng = random.Random(3)
     line = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(4000))
