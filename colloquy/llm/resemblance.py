@@ -1,11 +1,16 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: MinHash bands propose, exact sets decide.
-
-Of BANDS bands of ROWS minimums each, two sets of similarity s share at least
-one with odds of 1 - (1 - s^ROWS)^BANDS: at 0.8, 0.04 % of pairs share none,
-and closer ones fewer. Texts with equal sets are one class. Classes that share a
-band meet in a task, in pairs of cells where they are many, and are compared by
-their whole sets; two that others link already need no comparison. Tasks return
-spanning forests, which meet in the components.
+"""Near-duplicates by the Jaccard similarity of word shingles: SimHash tries and MinHash bands propose, exact sets decide.
+
+The fingerprints of the shingles are joined with themselves within BUDGET bits
+by the tries of simhash, and those of a component meet. A similarity of 0.8
+leaves fingerprints ten bits apart on average, which is more than tries can
+take of very many texts; what lies beyond the budget is left to bands. Of BANDS
+bands of ROWS minimums each, two sets of similarity s share at least one with
+odds of 1 - (1 - s^ROWS)^BANDS: at 0.8, 0.04 % of pairs share none, and closer
+ones fewer. Texts with equal sets are one class. Classes that share a band or a
+component meet in a task, in pairs of cells where they are many, and are
+compared by their whole sets, in a component only within the budget; two that
+others link already need no comparison. Tasks return spanning forests, which
+meet in the components.
 
 Edge cases: null and empty texts, and texts without words, have the empty set
 and are alike; fewer words than a shingle are one shingle; equal 64-bit hashes
@@ -24,26 +29,19 @@ from pyspark.sql.types import ArrayType, LongType
 from .columns import lean, map_batches
 from .components import components
 from .descent import _whole_groups
-from .simhash import _LOWER, first_of_each
+from .simhash import fingerprint_of, first_of_each, shingle_hashes, trie_links
 from .store import Store
 
 BANDS, ROWS = 20, 5
+#: Bits by which fingerprints differ at most that the tries propose.
+BUDGET = 6
 #: Classes of a cell.
 CELL = 256
 
 
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """The distinct hashes of a text's word shingles, sorted."""
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    n = max(1, len(words) - width + 1)
-    stops = ends[width - 1 :] if len(words) >= width else ends[-1:]
-    digest = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((digest(joined[a:b]) for a, b in zip(starts[:n].tolist(), stops.tolist())), np.uint64, n))
+    return np.unique(shingle_hashes(text, width))
 
 
 def _signed(value: int) -> int:
@@ -62,15 +60,17 @@ def _bands(shingles: np.ndarray) -> list[int]:
 
 
 def _classes(docs: DataFrame, width: int) -> DataFrame:
-    """Rows (doc_id, digest, cls, bands): digests of the text and of its set, and the set's bands."""
+    """Rows (doc_id, digest, cls, fp, bands): digests of the text and of its set, its fingerprint, and the set's bands."""
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t, width) for t in batch["text"]]
+            hashes = [shingle_hashes(t, width) for t in batch["text"]]
+            sets = [np.unique(h) for h in hashes]
             names = [_signed(xxhash.xxh64_intdigest(s.tobytes())) for s in sets]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": batch["digest"], "cls": names, "bands": [_bands(s) for s in sets]})
+            prints = [_signed(fingerprint_of(h)) for h in hashes]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "digest": batch["digest"], "cls": names, "fp": prints, "bands": [_bands(s) for s in sets]})
 
-    schema = docs.select("doc_id").schema.add("digest", "long").add("cls", "long").add("bands", ArrayType(LongType()))
+    schema = docs.select("doc_id").schema.add("digest", "long").add("cls", "long").add("fp", "long").add("bands", ArrayType(LongType()))
     return map_batches(docs.select("doc_id", "text", F.xxhash64("text").alias("digest")), run, schema)
 
 
@@ -82,13 +82,16 @@ def _alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     return both >= similarity * (few + many - both)
 
 
-def _forest(sets: list[np.ndarray], similarity: float) -> list[int]:
-    """Labels of the sets under the links among them."""
+def _forest(sets: list[np.ndarray], similarity: float, prints: np.ndarray | None = None) -> list[int]:
+    """Labels of the sets under the links among them; with fingerprints, only links within the budget are looked for."""
     label = np.arange(len(sets))
     for step in range(1, len(sets)):
         if not label.any():
             break
-        for i in np.flatnonzero(label[:-step] != label[step:]).tolist():
+        apart = label[:-step] != label[step:]
+        if prints is not None:
+            apart &= np.bitwise_count(prints[:-step] ^ prints[step:]) <= BUDGET
+        for i in np.flatnonzero(apart).tolist():
             x, y = sorted((int(label[i]), int(label[i + step])))
             if x != y and _alike(sets[i], sets[i + step], similarity):
                 label[label == y] = x
@@ -97,13 +100,20 @@ def _forest(sets: list[np.ndarray], similarity: float) -> list[int]:
 
 def links(docs: DataFrame, rows: DataFrame, store: Store, width: int, similarity: float) -> DataFrame:
     """Edges (a, b) that span the links of classes in rows, which come from _classes."""
-    one = rows.groupBy("cls").agg(F.min("digest").alias("digest"), F.first("bands").alias("bands"))
-    placed = store.save(one.select("cls", "digest", F.explode("bands").alias("band")))
+    one = rows.groupBy("cls").agg(F.min("digest").alias("digest"), F.min_by("fp", "digest").alias("fp"), F.first("bands").alias("bands"))
+    one = store.save(one)
+    # Components of fingerprints are groups as bands are, in which only pairs within the budget are compared.
+    prints = store.save(one.select("fp").distinct())
+    near = components(trie_links(prints, BUDGET), store).withColumnRenamed("node", "fp")
+    tried = one.join(near, "fp", "left").select("cls", "digest", "fp", F.xxhash64(F.coalesce("root", "fp"), F.lit("tries")).alias("band"), F.lit(True).alias("tries"))
+    banded = one.select("cls", "digest", "fp", F.explode("bands").alias("band"), F.lit(False).alias("tries"))
+    placed = store.save(tried.unionByName(banded))
     mark = F.sum(F.xxhash64("cls").cast("decimal(38,0)")).alias("mark")
-    shared = placed.groupBy("band").agg(F.count(F.lit(1)).alias("count"), mark).filter("count > 1")
-    # Bands with the same members are compared once.
-    shared = store.save(shared.groupBy("mark", "count").agg(F.min("band").alias("band")).select("band", F.ceil(F.col("count") / F.lit(float(CELL))).cast("long").alias("cells")))
-    dealt = placed.join(shared, "band").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("cells")))
+    shared = placed.groupBy("band", "tries").agg(F.count(F.lit(1)).alias("count"), mark).filter("count > 1")
+    # Groups with the same members are compared once, by a band if one is among them: it compares all pairs.
+    shared = shared.groupBy("mark", "count").agg(F.min(F.struct("tries", "band")).alias("first"))
+    shared = store.save(shared.select("first.band", "first.tries", F.ceil(F.col("count") / F.lit(float(CELL))).cast("long").alias("cells")))
+    dealt = placed.join(shared, ["band", "tries"]).withColumn("own", F.pmod(F.xxhash64("cls"), F.col("cells")))
     dealt = store.save(dealt)
     wanted = dealt.select("cls", "digest").distinct()
     texts = docs.select(F.xxhash64("text").alias("digest"), "text").join(wanted, "digest", "left_semi").dropDuplicates(["digest"])
@@ -114,15 +124,16 @@ def links(docs: DataFrame, rows: DataFrame, store: Store, width: int, similarity
 
     sets = store.save(texts.mapInPandas(lean(hashes), "digest long, held binary"))
     met = dealt.withColumn("other", F.explode(F.expr("sequence(0L, cells - 1)")))
-    met = met.select("cls", "digest", F.xxhash64("band", F.least("own", "other"), F.greatest("own", "other")).alias("group")).join(sets, "digest")
-    met = met.select("group", "cls", "held").repartition("group").sortWithinPartitions("group", "cls")
+    met = met.select("cls", "digest", "fp", "tries", F.xxhash64("band", "tries", F.least("own", "other"), F.greatest("own", "other")).alias("group")).join(sets, "digest")
+    met = met.select("group", "tries", "cls", "fp", "held").repartition("group").sortWithinPartitions("group", "cls")
 
     def run(batches):
         for batch in _whole_groups(batches, "group", 256):
             a, b = [], []
             for _, group in batch.groupby("group"):
                 names = group["cls"].tolist()
-                label = _forest([np.frombuffer(x, np.uint64) for x in group["held"]], similarity)
+                prints = group["fp"].to_numpy(np.int64).view(np.uint64) if group["tries"].iloc[0] else None
+                label = _forest([np.frombuffer(x, np.uint64) for x in group["held"]], similarity, prints)
                 a += [names[i] for i, x in enumerate(label) if x != i]
                 b += [names[x] for i, x in enumerate(label) if x != i]
             yield pd.DataFrame({"a": a, "b": b}, dtype="int64")

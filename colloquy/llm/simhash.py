@@ -41,23 +41,32 @@ _LEAVES = 64
 _CHUNK = 16384
 
 
-def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
-    """The SimHash of a text's word shingles, as an unsigned integer."""
+def shingle_hashes(text: str | None, width: int = 4, seed: int = 42) -> np.ndarray:
+    """The hash of each of a text's word shingles, in order, repeats included."""
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - width + 1)
     stops = ends[width - 1 :] if len(words) >= width else ends[-1:]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), stops.tolist())), np.uint64, n)
+    return np.fromiter((digest(joined[a:b], seed) for a, b in zip(starts[:n].tolist(), stops.tolist())), np.uint64, n)
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The bits that over half of the hashes have set, as an unsigned integer; 0 of none."""
     counts = np.zeros(64, np.int64)
-    for lo in range(0, n, 8192):
+    for lo in range(0, len(hashes), 8192):
         bits = np.unpackbits(hashes[lo : lo + 8192].astype(">u8").view(np.uint8)).reshape(-1, 64)
         counts += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big")
+    return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
+
+
+def fingerprint(text: str | None, width: int = 4, seed: int = 42) -> int:
+    """The SimHash of a text's word shingles, as an unsigned integer."""
+    return fingerprint_of(shingle_hashes(text, width, seed))
 
 
 def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42) -> DataFrame:

@@ -1,5 +1,6 @@
 import numpy as np
-from colloquy.llm import resemblance
+from colloquy.llm import resemblance, simhash
+from pyspark.sql import functions as F
 
 SCHEMA = "doc_id long, text string, source string"
 
@@ -52,3 +53,26 @@ def test_stage_takes_copies_of_similarity_080(spark):
     rows = [(None, texts[0], "s"), (None, texts[7], "s"), (1, texts[14], "s"), (1, texts[21], "s")]
     assert corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, SCHEMA), "").count() == 4
     assert corpus_pipeline.near_dedup(spark, docs.limit(0), "").collect() == []
+
+
+def test_tries_propose_what_bands_miss(spark):
+    # Each text has a band of its own: whatever is linked, the tries have proposed.
+    texts = copies(5) + ["a b c d e f g h", "h g f e d c b a"]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], SCHEMA)
+    store = resemblance.Store(spark, "tried")
+    rows = store.save(resemblance._classes(docs, 5).withColumn("bands", F.array(F.xxhash64("cls", F.lit("alone")))))
+    edges = resemblance.links(docs, rows, store, 5, 0.8).collect()
+    name = {r.cls: r.doc_id for r in rows.collect()}
+    label = list(range(len(texts)))
+    for a, b in ((name[e.a], name[e.b]) for e in edges):
+        x, y = sorted((label[a], label[b]))
+        label = [x if v == y else v for v in label]
+    prints = [simhash.fingerprint(t, 5) for t in texts]
+    sets = [resemblance.shingle_set(t, 5) for t in texts]
+    want = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= resemblance.BUDGET and resemblance._alike(sets[i], sets[j], 0.8):
+                x, y = sorted((want[i], want[j]))
+                want = [x if v == y else v for v in want]
+    assert label == want and len(set(want)) < len(texts) - 12
