@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions import tokens
-from ..functions.text import let, words
+from ..functions.text import WS, let, words
 from .segment import sentences_loose
 
 RANGES = "array<struct<a:int,b:int>>"
@@ -149,4 +149,9 @@ def index_chunks(text: Column, size: int = 150, overlap: int = 25) -> Column:
     def measured(split):
         return F.struct(F.flatten(split).alias("w"), F.transform(split, lambda x: F.size(x).cast("long")).alias("counts"))
 
-    return let(F.transform(sentences_loose(text), words), lambda split: let(measured(split), fold))
+    # Words and sentences are told by one pattern over the text; what is split then are single characters.
+    spaced = F.regexp_replace(text, rf"(?U){WS}+", " ")
+    for mark in ".?!":
+        spaced = F.replace(spaced, F.lit(f"{mark} "), F.lit(f"{mark}\n"))
+    split = F.transform(F.split(spaced, "\n"), lambda sentence: F.filter(F.split(sentence, " "), lambda w: w != ""))
+    return let(F.filter(split, lambda x: F.size(x) > 0), lambda split: let(measured(split), fold))

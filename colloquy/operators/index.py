@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import meta
-from ..functions.text import strip, word_count
+from ..functions.text import NOT_WS, WS, strip, word_count
 from ..functions.vectors import CLAMP, hashed_embedding
 from ..sources import scratch
 from ..sources.versions import one_of_each
 from .chunk import index_chunks
-from .speakers import scan_names
+from .speakers import names_in, scan_names
 
 #: A model as a function of a text column.
 Embed = Callable[[Column], Column]
@@ -151,9 +151,17 @@ def align(chunks: DataFrame, segments: DataFrame, key: str, chunk: str = "chunk_
     return found.select(F.col("_k").alias(key), F.col("_i").cast(chunks.schema[chunk].dataType).alias(chunk), "ts")
 
 
-def with_names(chunks: DataFrame, name: str, variants: DataFrame) -> DataFrame:
-    """Adds a column of those of a gazetteer (person, variant) whom a chunk says, distinct, sorted and joined; null where nobody is said."""
-    said = scan_names(chunks.filter(word_count(F.col("chunk")) > 10).select("source", "chunk_index", "chunk"), variants, ["source", "chunk_index"], "chunk")
+def with_names(chunks: DataFrame, name: str, variants: DataFrame, apart: bool = False) -> DataFrame:
+    """Adds a column of those of a gazetteer (person, variant) whom a chunk says, distinct, sorted and joined; null where nobody is said.
+
+    apart is that of scan_names. A gazetteer too large to be sent meets the chunks in a join.
+    """
+    # More than ten words, of which no more are looked at.
+    long = F.col("chunk").rlike(rf"(?U)^(?:{WS}*+{NOT_WS}++){{11}}")
+    found = names_in(F.col("chunk"), variants, apart)
+    if found is not None:
+        return chunks.withColumn(name, F.when(long, found))
+    said = scan_names(chunks.filter(long).select("source", "chunk_index", "chunk"), variants, ["source", "chunk_index"], "chunk", apart)
     listed = said.groupBy("source", "chunk_index").agg(F.array_join(F.array_sort(F.collect_set("person")), ", ").alias(name))
     return chunks.join(listed, ["source", "chunk_index"], "left")
 
@@ -168,6 +176,7 @@ def index_transcripts(
     prefix: str = TRANSCRIPT_PREFIX,
     finders: dict[str, Embed] | None = None,
     names: dict[str, DataFrame] | None = None,
+    apart: bool = False,
 ) -> DataFrame:
     """Index rows of transcript files (source, text); the prefix is shown but not embedded.
 
@@ -176,7 +185,8 @@ def index_transcripts(
     further columns of entities, such as orgs and persons, and the functions of
     the chunk that find them, which may be pandas UDFs around a model. names
     names columns, such as persons and orgs, and their gazetteers (person,
-    variant): whom a chunk of more than ten words says by one of the variants.
+    variant): whom a chunk of more than ten words says by one of the variants;
+    apart is that of scan_names.
     """
     found = [entities(F.col("chunk"), find).alias(name) for name, find in ({"money": amounts} | (finders or {})).items()]
     rows = _chunks(file_metadata(files, "raw_transcript", id_map), size, overlap).withColumn("embedding", embed(F.col("chunk")))
@@ -187,7 +197,7 @@ def index_transcripts(
         rows, segments = scratch.written(rows, "chunks"), scratch.written(segments, "said")
         rows = rows.join(align(rows, segments, "source"), ["source", "chunk_index"], "left")
     for name, variants in (names or {}).items():
-        rows = with_names(rows, name, variants)
+        rows = with_names(rows, name, variants, apart)
         found.append(F.col(name))
     identity = F.concat_ws("_", F.lit("TRANSCRIPT"), "source", F.col("chunk_index").cast("string"))
     return rows.select(identity.alias("id"), F.concat(F.lit(prefix), F.col("chunk")).alias("document"), "embedding", "source", "category", "type", "date", "video_url", "video_id", "chunk_index", "ts", *found)

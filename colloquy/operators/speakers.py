@@ -162,6 +162,76 @@ def _within(span: np.ndarray) -> np.ndarray:
     return np.arange(int(span.sum())) - np.repeat(np.cumsum(span) - span, span)
 
 
+#: Variants of a gazetteer that is sent to all tasks at most.
+GAZETTEER = 100_000
+_NOT_WORDS, _WORDS = r"(?U)[^a-z0-9_\w]++", r"(?U)[a-z0-9_\w]++"
+
+
+def _proposed(flat: pa.Array, sent: np.ndarray, sizes: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(row, place in sent) of the stretches of words, for each of sizes, whose hash is in sent; each once."""
+    lists = pc.split_pattern(pc.fill_null(flat, ""), " ")
+    size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    hashes = _hashes(lists.flatten())
+    row, ends = np.repeat(np.arange(len(size)), size), np.cumsum(size)
+    found = []
+    for n in sizes:
+        own = _windows(hashes, n)
+        place = np.minimum(np.searchsorted(sent, own), len(sent) - 1)
+        at = np.flatnonzero(sent[place] == own)
+        at = at[at + n <= ends[row[at]]]
+        pairs = np.unique(row[at] * len(sent) + place[at])
+        found.append(np.divmod(pairs, len(sent)))
+    return found
+
+
+def names_in(text: Column, variants: DataFrame, apart: bool = False) -> Column | None:
+    """The persons whom a text says by their variants, distinct, sorted and joined, as scan_names finds them; null where nobody is said.
+
+    A column, so nothing is shuffled and no text is read twice. The variants are
+    sent to all tasks; None if there are more than GAZETTEER. Hashes of words in a
+    row propose a variant, the text decides.
+    """
+    marked = lambda t: F.regexp_replace(t, _WORDS, "\0$0\0")
+    flat = lambda t: F.regexp_replace(t, _NOT_WORDS, " ")
+    said = F.lower("variant")
+    listed = variants.filter(said.rlike(_WORD)).limit(GAZETTEER + 1).select("person", said.alias("said"), F.btrim(flat(said), F.lit(" ")).alias("flat"), marked(said).alias("marked")).collect()
+    if len(listed) > GAZETTEER:
+        return None
+    words = pa.array([r.flat.split(" ") for r in listed], pa.list_(pa.string()))
+    hashes, size = _hashes(words.flatten()), words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    first = np.cumsum(size) - size
+    sizes = np.unique(size).tolist()
+    meant: dict[int, list] = {}
+    for n in sizes:
+        for k, h in zip(np.flatnonzero(size == n).tolist(), _windows(hashes, n)[first[size == n]].tolist()):
+            r = listed[k]
+            # A mark stands at both ends of a word, so that words and what is between them are met whole.
+            whole = r.marked if r.marked[0] == "\0" else "\0" + r.marked
+            sought = r.said if apart else whole if whole[-1] == "\0" else whole + "\0"
+            meant.setdefault(h, []).append((f" {r.flat} ", sought, r.person))
+    sent = np.array(sorted(meant), np.int64)
+    meant = [meant[h] for h in sent.tolist()]
+    held = variants.sparkSession.sparkContext.broadcast((sent, meant))
+
+    @F.arrow_udf("string")
+    def find(flat: pa.Array, text: pa.Array) -> pa.Array:
+        sent, meant = held.value
+        people: list = [None] * len(flat)
+        if len(sent):
+            flats, texts = flat.to_pylist(), text.to_pylist()
+            for rows, places in _proposed(flat, sent, sizes):
+                for i, k in zip(rows.tolist(), places.tolist()):
+                    for near, whole, person in meant[k]:
+                        if whole in texts[i] and near in f" {flats[i]} ":
+                            people[i] = people[i] or set()
+                            people[i].add(person)
+        joined = [p and ", ".join(sorted((x for x in p if x is not None), key=str.encode)) for p in people]
+        return pa.array(joined, pa.string())
+
+    low = F.lower(text)
+    return find(flat(low), low if apart else marked(low))
+
+
 def speaker_context(matches: DataFrame, key: list[str]) -> DataFrame:
     """Rows (key, context) from rows (key, person, variant): whom a chunk mentions, and which mentions are unclear."""
     longest = lambda a, b: F.when(F.length(a) > F.length(b), -1).when(F.length(a) < F.length(b), 1).when(a < b, -1).when(a > b, 1).otherwise(0)

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 from colloquy.functions.text import contains_literal
-from colloquy.operators import inverted, literal, search, speakers
+from colloquy.operators import index, inverted, literal, search, speakers
 from colloquy.sources import versions
 from pyspark.sql import functions as F
 
@@ -245,3 +245,22 @@ def test_words_in_a_row_and_the_text_apart(spark):
     variants = spark.createDataFrame([("leon", "De La"), ("leon", "o'x")], speakers.VARIANTS)
     found = lambda **how: sorted(r.k for r in speakers.scan_names(texts, variants, ["k"], **how).collect())
     assert found(apart=True) == [1, 4, 5] and found() == [4, 5]
+
+
+def test_names_in_one_pass_as_by_joins(spark, sf, monkeypatch):
+    """One column finds what the join finds, in both ways of looking, and nothing is shuffled for it."""
+    said = ["Ann Lee spoke", "ann  lee", "de, la pide lado", "De La", "O'X, o'x", "x o'x", "é ann", "annlee", "", None, "(b) ann.", "b) c", " b) c", "la. de la"]
+    rows = [(f"s{k}", k, t if t is None else t + " 1 2 3 4 5 6 7 8 9 10") for k, t in enumerate(said)] + [("short", 0, "ann 2 3 4 5 6 7 8 9 10"), ("ten", 1, "ann\u00a02 3 4 5 6 7 8 9 10 11")]
+    chunks = spark.createDataFrame(rows, "source string, chunk_index int, chunk string")
+    variants = spark.createDataFrame([("p", "ann"), ("q", "Ann Lee"), ("é", "é"), ("leon", "De La"), ("x", "o'x"), ("y", ") c"), ("a", "ann"), ("none", "--"), (None, "b")], speakers.VARIANTS)
+    for apart in (False, True):
+        one = index.with_names(chunks, "persons", variants, apart)
+        assert "Exchange" not in one._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(tuple, one.select("source", "chunk_index", "persons").collect()))
+        with monkeypatch.context() as m:
+            m.setattr(speakers, "GAZETTEER", 3)
+            joined = index.with_names(chunks, "persons", variants, apart)
+            assert "Join" in joined._jdf.queryExecution().executedPlan().toString()
+            assert got == sorted(map(tuple, joined.select("source", "chunk_index", "persons").collect()))
+        assert dict((r[0], r[2]) for r in got)["ten"] == "a, p" and dict((r[0], r[2]) for r in got)["short"] is None
+    assert index.with_names(chunks, "persons", variants.limit(0)).filter("persons IS NOT NULL").collect() == []
