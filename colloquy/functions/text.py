@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 #: A white-space character, to be put in patterns with (?U): Unicode's and the four separators U+001C to U+001F.
 WS, NOT_WS = r"[\s\x1C-\x1F]", r"[^\s\x1C-\x1F]"
 SPACE = rf"(?U){WS}+"
+#: The first of a run of white space. Patterns begin with it, so that most characters are passed by one test.
+FIRST_WS = rf"{WS}(?<!{WS}{WS})"
+#: All white space, one by one.
+BLANKS = "".join(map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: What ends a line.
 LINE_BREAK = r"\r\n|[\n\x0B\x0C\r\x1C-\x1E\x85\u2028\u2029]"
 #: Notes of sounds in captions, and fillers.
@@ -26,7 +30,7 @@ def let(value: Column, body) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space of any kind around; in time linear in the text, blanks within it included."""
-    return F.regexp_replace(text, rf"(?U)^{WS}++|(?<!{WS}){WS}++$", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def clean_lines(text: Column) -> Column:
@@ -41,7 +45,9 @@ def normalize_whitespace(text: Column) -> Column:
 
 def plain_quotes(text: Column) -> Column:
     """Typographic quotes and dashes as ASCII ones."""
-    return F.translate(text, "“”’‘—–", "\"\"''--")
+    for typed, plain in zip("“”’‘—–", "\"\"''--"):
+        text = F.replace(text, F.lit(typed), F.lit(plain))
+    return text
 
 
 def punctuation_spacing(text: Column, protect_numbers: bool = False) -> Column:
@@ -49,10 +55,10 @@ def punctuation_spacing(text: Column, protect_numbers: bool = False) -> Column:
 
     protect_numbers leaves marks between digits alone, as in 3.5 or 10:30.
     """
-    text = F.regexp_replace(text, rf"(?U)(?<!{WS}){WS}++([,.;:!?])", "$1")
+    text = F.regexp_replace(text, rf"(?U){FIRST_WS}{WS}*+([,.;:!?])", "$1")
     behind = rf"(?U)(?<!\d(?=[,.:]\d))([,.;:!?])({NOT_WS})" if protect_numbers else rf"(?U)([,.;:!?])({NOT_WS})"
     text = F.regexp_replace(text, behind, "$1 $2")
-    return F.regexp_replace(F.regexp_replace(text, rf"(?U)\({WS}+", "("), rf"(?U)(?<!{WS}){WS}++\)", ")")
+    return F.regexp_replace(F.regexp_replace(text, rf"(?U)\({WS}+", "("), rf"(?U){FIRST_WS}{WS}*+\)", ")")
 
 
 def collapse_repeats(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import LINE_BREAK, WS, clean_lines, let, strip, words
 
 #: Where a sentence ends, for loose splitting.
-SENTENCE_END = rf"(?U)(?<=[.?!]){WS}+"
+SENTENCE_END = rf"(?U){WS}(?<=[.?!]{WS}){WS}*+"
 SEGMENT = "struct<start:double,end:double,text_raw:string>"
 
 
@@ -80,7 +80,7 @@ def consolidate(cues: Column, max_window: float = 90.0, min_words: int = 1) -> C
 
 def sentences_strict(text: Column) -> Column:
     """Sentences that end in .!? before a capital, digit or quote."""
-    return F.filter(F.transform(F.split(text, rf"(?U)(?<=[.!?]){WS}+(?=[A-Z0-9\x22\x27])"), strip), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, rf"(?U){WS}(?<=[.!?]{WS}){WS}*+(?=[A-Z0-9\x22\x27])"), strip), lambda s: s != "")
 
 
 def sentences_loose(text: Column) -> Column:

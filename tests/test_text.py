@@ -285,3 +285,20 @@ def test_hashed_embeddings_by_their_rule(spark):
             sums[code % 64] += 1 if code < 64 else -1
         norm = math.sqrt(sum(x * x for x in sums))
         assert r.e == pytest.approx([x / norm if norm else 0.0 for x in sums], rel=1e-6)
+
+
+def test_white_space_around_goes_without_a_pattern(spark):
+    blanks = "".join(c for c in map(chr, range(0x110000)) if c.isspace())
+    rows = [blanks + "a" + blanks + "b" + blanks, blanks, "", "a\u200b", "\u180ea"]
+    df = spark.createDataFrame([(r,) for r in rows], "t string").select(text.strip(F.col("t")).alias("t"))
+    assert [r.t for r in df.collect()] == ["a" + blanks + "b", "", "", "a\u200b", "\u180ea"]
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
+    plan = spark.range(1).select(text.normalize_patterns(text.normalize_whitespace(F.col("id").cast("string"))))._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate(" not in plan
+
+
+def test_chunks_split_at_any_white_space(spark):
+    said = "One two.\u00a0 Three\n\nfour?\tFive.six !\u2028 . Seven"
+    df = spark.createDataFrame([(said,), ("",), (" \n",)], "t string").select(chunk.index_chunks(F.col("t"), 3, 0).alias("c"))
+    assert [r.c for r in df.collect()] == [["One two.", "Three four?", "Five.six ! .", "Seven"], [], []]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("(?U)") == 1
